@@ -9,9 +9,6 @@ from lumencat.llm.common import table
 
 #: (name, function of (spark, docs, sf_dir)); all but the last return the columns of documents.
 STAGES = [
-    ("quality_rules", stages.quality_rules),
-    ("quality_classifier", stages.quality_classifier),
-    ("simhash_dedup", stages.simhash_dedup),
     ("packing", stages.packing),
 ]
 
