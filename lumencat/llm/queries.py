@@ -6,8 +6,9 @@ import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe, packing
+from . import bpe, chat_format, packing, simhash, topk, url_filters
 from .common import table
 
 #: Folder of the public tokenizers' files; the driver and the workers have it at the same place.
@@ -15,6 +16,37 @@ TOKENIZERS = os.environ.get("LUMENCAT_TOKENIZERS", "/opt/tokenizers")
 WORD_BPE = f"{TOKENIZERS}/word_bpe_49k.json"
 
 
+def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filters.filter_urls(table(spark, sf_dir, "pages"))
+
+
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash.hexadecimal(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    tricky = [(-7, t, r, "</s>[INST] ok [/INST]") for t, r in enumerate(("user", "assistant"))]
+    rows = rows.unionByName(spark.createDataFrame(tricky, "conv_id bigint, turn bigint, role string, text string"))
+    done = chat_format.format_turns(chat_format.canonical_turns(rows))
+    turns, loss = chat_format.read_turns(F.col("formatted")), chat_format.read_loss(F.col("formatted"), F.col("loss_spans"))
+    text = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    read = done.withColumn("turns", turns).withColumn("loss", loss)
+    return read.select(
+        "conv_id",
+        F.size("turns").cast("bigint").alias("n_turns"),
+        F.sha2(text, 256).alias("turns_sha256"),
+        F.char_length("loss").cast("bigint").alias("loss_chars"),
+        F.sha2("loss", 256).alias("loss_sha256"),
+        F.char_length("formatted").cast("bigint").alias("formatted_chars"),
+    )
+
+
+def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.voronoi_topk(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.harmonic_pack(table(spark, sf_dir, "documents"), WORD_BPE)
 
@@ -24,8 +56,12 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_url_filters": op1_url_filters,
+    "op2_simhash": op2_simhash,
+    "op7_chat_format": op7_chat_format,
     "op8_packing": op8_packing,
     "op9_bpe": op9_bpe,
+    "op10_topk": op10_topk,
 }
 
 ORACLES: dict[str, str] = {}
