@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat_format, packing, simhash, topk, url_filters
-from .common import table
+from . import bpe, chat_format, html_extract, language_id, packing, quality_classifier, quality_rules, simhash, topk, url_filters
+from .common import checkpointed, table
 
 #: Folder of the public tokenizers' files; the driver and the workers have it at the same place.
 TOKENIZERS = os.environ.get("LUMENCAT_TOKENIZERS", "/opt/tokenizers")
@@ -25,6 +25,37 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hexadecimal(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op3_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    weights = html_extract.learn_weights(pages)
+    found = pages.select("page_id", "url", html_extract.main_text(F.col("html"), weights).alias("text"))
+    return found.withColumn("n_chars", F.char_length("text").cast("bigint"))
+
+
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stats = quality_rules.with_stats(table(spark, sf_dir, "documents")).select("doc_id", "lang", "source", "qr_stats", "qr_base_failed")
+    stats = checkpointed(stats)
+    found = quality_rules.judged(stats, quality_rules.thresholds(quality_rules.sketch(stats)))
+    measured = [F.col("qr_stats")[c].alias(c) for c in quality_rules.STATS[:5]]
+    return found.select("doc_id", *measured, F.col("qr_base_failed").alias("base_failed"), F.col("qr_kept").alias("kept"))
+
+
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    rest = quality_classifier.remainder(F.col("doc_id"), 5)
+    model = quality_classifier.fit(docs, labels, rest != 0)
+    found = quality_classifier.scored(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", F.coalesce(rest == 0, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    rest = quality_classifier.remainder(F.col("doc_id"), 4)
+    found = language_id.identified(docs, rest != 2)
+    held = F.coalesce(quality_classifier.remainder(F.col("doc_id"), 4) == 2, F.lit(False))
+    return found.select("doc_id", held.alias("held_out"), "lang_pred", "score", "cross_entropy", "rejected")
+
+
 def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     tricky = [(-7, t, r, "</s>[INST] ok [/INST]") for t, r in enumerate(("user", "assistant"))]
@@ -58,6 +89,10 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filters": op1_url_filters,
     "op2_simhash": op2_simhash,
+    "op3_html_extract": op3_html_extract,
+    "op4_quality_rules": op4_quality_rules,
+    "op5_quality_classifier": op5_quality_classifier,
+    "op6_language_id": op6_language_id,
     "op7_chat_format": op7_chat_format,
     "op8_packing": op8_packing,
     "op9_bpe": op9_bpe,
