@@ -197,14 +197,16 @@ def fingerprint_links(distinct: DataFrame, distance: int = 4, bands: int | None
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fp = batch.column(0).to_numpy()
+            out = []
             for band, (shift, width) in enumerate(layout):
                 values = ((fp.view(np.uint64) >> np.uint64(shift)) & np.uint64((1 << width) - 1)).astype(np.int64)
                 for leaf, at in trees[band].reach(values, radius):
                     own, g = fp[at], blocks.get((band, leaf), 1)
                     mine = (own.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(40)).astype(np.int64) % g
-                    for other in range(g):
-                        task = np.minimum(mine, other) * g + np.maximum(mine, other)
-                        yield pa.RecordBatch.from_arrays([pa.array(band * 1_000_000 + np.full(len(at), leaf, np.int64)), pa.array(task), pa.array(own)], names=["shard", "task", "fp"])
+                    shard = np.full(len(at), band * 1_000_000 + leaf)
+                    out += [(shard, np.minimum(mine, other) * g + np.maximum(mine, other), own) for other in range(g)]
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out, strict=True)], names=["shard", "task", "fp"])
 
     def search(shard: pa.Table) -> pa.Table:
         # unsigned: counting the bits of a negative number would count those of its magnitude

@@ -1,13 +1,56 @@
-"""Stages of the corpus pipeline: each applies one operator to the documents its predecessor kept."""
+"""Stages of the corpus pipeline: each applies one operator to the documents its predecessor kept.
+
+A stage is (spark, docs, sf_dir) -> DataFrame and returns the columns of
+documents, the last one the packed pieces. Columns of docs are only carried, so
+further columns stay; a null text or id is treated as each operator states.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import packing as packing_op
+from . import quality_classifier as classifier
+from . import quality_rules as rules
+from . import simhash
+from .common import checkpointed, table
 from .queries import WORD_BPE
 
 
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents within the fixed base and the adaptive thresholds of their language and source.
+
+    The thresholds are fitted on all documents of this stage. The texts are
+    read twice rather than shuffled.
+    """
+    stats = rules.with_stats(docs)
+    limits = checkpointed(rules.thresholds(rules.sketch(stats)))
+    return rules.judged(stats, limits).where("qr_kept").select(*docs.columns)
+
+
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier scores 0.3 or more.
+
+    It learns from the labelled rows of the whole documents table: what the
+    rules kept holds hardly any bad examples.
+    """
+    usable = classifier.remainder(F.col("doc_id"), 5) != 0
+    model = classifier.fit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), usable)
+    return classifier.scored(docs, model, name="qc_score").where("qc_score >= 0.3").select(*docs.columns)
+
+
+def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each near-duplicate group; one row of repeated ones.
+
+    A group whose ids are all null keeps one of its rows.
+    """
+    found = simhash.near_duplicates(docs)
+    keep = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
+    kept = docs.join(keep.withColumnRenamed("doc_id", "sd_id"), F.col("doc_id").eqNullSafe(F.col("sd_id")), "left_semi")
+    return kept.dropDuplicates(["doc_id"]).select(*docs.columns)
+
+
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all kept documents, packed into sequences."""
     return packing_op.harmonic_pack(docs, WORD_BPE)
