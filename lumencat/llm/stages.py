@@ -18,15 +18,23 @@ from .common import checkpointed, table
 from .queries import WORD_BPE
 
 
+def _wrapped(docs: DataFrame) -> DataFrame:
+    """The columns that operators read, and all columns as one, so that no name of theirs clashes."""
+    return docs.select("doc_id", "text", "lang", "source", F.struct("*").alias("whole_doc"))
+
+
+def _unwrapped(kept: DataFrame, docs: DataFrame) -> DataFrame:
+    return kept.select(*[F.col("whole_doc")[c].alias(c) for c in docs.columns])
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents within the fixed base and the adaptive thresholds of their language and source.
 
     The thresholds are fitted on all documents of this stage. The texts are
     read twice rather than shuffled.
     """
-    stats = rules.with_stats(docs)
-    limits = checkpointed(rules.thresholds(rules.sketch(stats)))
-    return rules.judged(stats, limits).where("qr_kept").select(*docs.columns)
+    limits = checkpointed(rules.thresholds(rules.sketch(rules.with_stats(docs.select("text", "lang", "source")))))
+    return _unwrapped(rules.judged(rules.with_stats(_wrapped(docs)), limits).where("qr_kept"), docs)
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,7 +45,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     """
     usable = classifier.remainder(F.col("doc_id"), 5) != 0
     model = classifier.fit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), usable)
-    return classifier.scored(docs, model, name="qc_score").where("qc_score >= 0.3").select(*docs.columns)
+    return _unwrapped(classifier.scored(_wrapped(docs), model, name="qc_score").where("qc_score >= 0.3"), docs)
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,9 +54,9 @@ def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     A group whose ids are all null keeps one of its rows.
     """
     found = simhash.near_duplicates(docs)
-    keep = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    kept = docs.join(keep.withColumnRenamed("doc_id", "sd_id"), F.col("doc_id").eqNullSafe(F.col("sd_id")), "left_semi")
-    return kept.dropDuplicates(["doc_id"]).select(*docs.columns)
+    keep = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("sd_id")).distinct()
+    kept = _wrapped(docs).join(keep, F.col("doc_id").eqNullSafe(F.col("sd_id")), "left_semi")
+    return _unwrapped(kept.dropDuplicates(["doc_id"]), docs)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
