@@ -72,6 +72,8 @@ class Mapping:
 MAPPINGS = (
     Mapping("turn_row", ("turn",), ("conv_id", "role", "text"), row=("role", "text")),
     Mapping("turn_row_without_turn", ("conv_id",), ("role", "text"), row=("role", "text")),
+    Mapping("turn_row_bare", ("role",), ("text",), row=("role", "text")),
+    Mapping("turn_row_text", ("text",), row=("role", "text")),
     Mapping("prompt_response", ("prompt", "response"), ("system",), fields=(("system", "system"), ("prompt", "user"), ("response", "assistant"))),
     Mapping("prompt_completion", ("prompt", "completion"), fields=(("prompt", "user"), ("completion", "assistant"))),
     Mapping("instruction", ("instruction", "output"), ("input",), fields=(("instruction", "user"), ("input", "user"), ("output", "assistant"))),
