@@ -151,6 +151,13 @@ def outlier_envelope(mad_low: float, mad_high: float, z_max: float, z_split: flo
     return out
 
 
+def median_default(df: DataFrame, columns: Sequence[str], exact: bool = True) -> DataFrame:
+    """filter, median of detected values: stands in where one of two samples is absent."""
+    cells = F.explode(F.array(*[F.struct(F.lit(c).alias("filter"), F.col(c).cast("double").alias("x")) for c in columns])).alias("cell")
+    rows = df.select(cells).select("cell.*").where(not_sentinel(F.col("x")))
+    return rows.groupBy("filter").agg((F.median("x") if exact else F.percentile_approx("x", 0.5, 10_000).cast("double")).alias("median"))
+
+
 def data_vs_sim(data: DataFrame, sim: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Both tables' columns with the label ``sample``, for shared statistics."""
     return data.select(F.lit("data").alias("sample"), *columns).unionByName(sim.select(F.lit("sim").alias("sample"), *columns))

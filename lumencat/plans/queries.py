@@ -541,3 +541,142 @@ def photometric_catalogue(spark, sf_dir):
 def quality_report(spark, sf_dir):
     cat = catalogue(spark, sf_dir)
     return pipelines.quality_report(cat.where("flag_central = 1"), cat.where("flag_central = 0"), MAGS, MAG_EDGES)[0]
+
+
+# --- single building blocks -------------------------------------------------
+
+_DISK, _BULGE = "1.6721 * {r} / disk_length", "7.6697 * pow({r} / bulge_length, 0.25)"
+_SERIES = " + ".join(f"pow(y, {k}) / {math.factorial(k)}" for k in range(8))
+
+
+@register(
+    "flux_fraction",
+    f", x AS (SELECT *, {_DISK.format(r='0.8')} AS x, {_BULGE.format(r='0.8')} AS y FROM cat WHERE disk_length > 0 AND bulge_length > 0)"
+    f" SELECT {ID}, round((1 - bulge_fraction) * (1 - exp(-x) * (1 + x)) + bulge_fraction * (1 - exp(-y) * ({_SERIES})), 6) AS inside,"
+    " round((1 - bulge_fraction) * x * exp(-x) * 1.6721 / disk_length + bulge_fraction * pow(y, 7) * exp(-y) / 5040 * y / (4 * 0.8), 6) AS slope FROM x",
+)
+def flux_fraction(spark, sf_dir):
+    cat = catalogue(spark, sf_dir).where("disk_length > 0 AND bulge_length > 0")
+    args = F.lit(0.8), F.col("disk_length"), F.col("bulge_length"), F.col("bulge_fraction")
+    return rounded(cat.select(ID, apertures.flux_fraction(*args).alias("inside"), apertures.flux_fraction_derivative(*args).alias("slope")))
+
+
+@register("axis_ratio_from_area", f"SELECT {ID}, round(bulge_axis_ratio, 6) AS ratio FROM cat WHERE disk_length > 0")
+def axis_ratio_from_area(spark, sf_dir):
+    cat = catalogue(spark, sf_dir).where("disk_length > 0")
+    area = math.pi * F.col("disk_length") * F.col("disk_length") * F.col("bulge_axis_ratio")
+    return rounded(cat.select(ID, apertures.axis_ratio_from_area(area, F.col("disk_length")).alias("ratio")))
+
+
+@register(
+    "flux_conversions",
+    f"SELECT {ID}, round(pow(10.0::double, -0.4 * (sdss_r_true - 25)), 6) AS flux, round(10.0 ** (-0.4 * (24.0 - 25)) / 1.5 / bulge_axis_ratio, 6) AS err, round(sdss_r_true, 6) AS mag FROM cat",
+)
+def flux_conversions(spark, sf_dir):
+    flux = magnitudes.flux_from_mag(F.col("sdss_r_true"), 25.0)
+    err = magnitudes.flux_error(24.0, 25.0, 1.5, F.col("bulge_axis_ratio"))
+    return rounded(catalogue(spark, sf_dir).select(ID, flux.alias("flux"), err.alias("err"), magnitudes.mag_from_flux(flux, 25.0).alias("mag")))
+
+
+@register(
+    "noise_realisation",
+    f"SELECT {ID}, round(sn, 4) AS sn, round(2.5 / ln(10) / sn, 4) AS err FROM (SELECT *, greatest(1 + 0.5 * {normal_sql('s', 'n', ID)}, 0.1) / 0.5 AS sn FROM cat)",
+)
+def noise_realisation(spark, sf_dir):
+    draw = photometry.noise_realisation(F.lit(1.0), F.lit(0.5), "s", "n", F.col(ID))
+    sn = magnitudes.signal_to_noise(draw, F.lit(0.5))
+    return rounded(catalogue(spark, sf_dir).select(ID, sn.alias("sn"), magnitudes.mag_error(sn).alias("err")), 4)
+
+
+@register("colour_cut_terms", f", {_COLOURS} SELECT {ID}, round(cp, 6) AS along, round(cr, 6) AS across, round(dr, 6) AS upper FROM o")
+def colour_cut_terms(spark, sf_dir):
+    terms = magnitudes.colour_terms(*map(F.col, MAGS[:3]))
+    return rounded(catalogue(spark, sf_dir).select(ID, *[t.alias(n) for t, n in zip(terms, ("along", "across", "upper"), strict=True)]))
+
+
+@register("detected", f"SELECT {ID}, vhs_ks_true < 90 AS seen, abs(vhs_ks_true) < 99 AS below_99 FROM cat")
+def detected(spark, sf_dir):
+    k = F.col("vhs_ks_true")
+    return catalogue(spark, sf_dir).select(ID, selections.detected(k).alias("seen"), magnitudes.not_sentinel(k, 99.0).alias("below_99"))
+
+
+@register("two_df_lens_parts")
+def two_df_lens_parts(spark, sf_dir):
+    cat = observed(spark, sf_dir)
+    parts = selections.two_df_lens_parts(selections.magnitude_lookup(cat, "kids", ("obs",)))
+    return rounded(selections.step_statistics(cat, parts))
+
+
+@register(
+    "footprint_area",
+    f"SELECT {ID}, round(10 * degrees(sin(radians(dec_gal + 1)) - sin(radians(dec_gal))), 6) AS area, round(degrees(asin(least(1, greatest(-1, 5 / degrees(1) / 10 + sin(radians(dec_gal)))))), 6) AS upper FROM cat",
+)
+def footprint_area(spark, sf_dir):
+    dec = F.col("dec_gal")
+    return rounded(catalogue(spark, sf_dir).select(ID, sky.footprint_area(F.lit(355.0), F.lit(5.0), dec, dec + 1).alias("area"), sky.next_dec(F.lit(5.0), F.lit(10.0), dec).alias("upper")))
+
+
+@register("pointing_nth", f", {_TILES} SELECT {ID} FROM cat, tiles WHERE pointing_id = 8 AND ra_gal >= ra_min AND ra_gal < ra_max AND dec_gal >= dec_min AND dec_gal < dec_max")
+def pointing_nth(spark, sf_dir):
+    tile = tables.pointing_nth(sky.pointing_grid(spark, BOX, 5, 4), 8)
+    return sky.assign_pointing(catalogue(spark, sf_dir), tile).select(ID)
+
+
+@register("accept_rate_by_class", f"SELECT {ID} FROM cat WHERE {uniform_sql('s', 'c', ID)} < CASE WHEN lephare_ic_true <= 22.5 THEN {_ZB.sql('z_cgal')} ELSE {_ZD.sql('z_cgal')} END")
+def accept_rate_by_class(spark, sf_dir):
+    kept = sampling.accepted_by_class(F.col("z_cgal"), F.col("lephare_ic_true") <= 22.5, _ZB, _ZD, "s", "c", F.col(ID))
+    return catalogue(spark, sf_dir).where(kept).select(ID)
+
+
+@register("dense_row_index", "SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) - 1 AS row_index FROM orders")
+def dense_row_index(spark, sf_dir):
+    return sampling.dense_row_index(table(spark, sf_dir, "orders").select("o_orderkey"), "o_orderkey").withColumn("row_index", F.col("row_index").cast("bigint"))
+
+
+@register("row_count", "SELECT count(*) AS n FROM lineitem")
+def row_count(spark, sf_dir):
+    return table(spark, sf_dir, "lineitem").agg(F.count("*").alias("n"))
+
+
+@register("median_default", "SELECT filter, round(median(x), 6) AS median FROM (" + " UNION ALL ".join(f"SELECT '{c}' AS filter, {c} AS x FROM cat" for c in MAGS) + ") WHERE abs(x) < 90 GROUP BY 1")
+def median_default(spark, sf_dir):
+    return rounded(stats.median_default(catalogue(spark, sf_dir), MAGS))
+
+
+@register("data_vs_sim", "SELECT CASE flag_central WHEN 1 THEN 'data' ELSE 'sim' END AS sample, count(*) AS n, round(avg(sdss_r_true), 6) AS mean_r FROM cat GROUP BY 1")
+def data_vs_sim(spark, sf_dir):
+    cat = catalogue(spark, sf_dir)
+    both = stats.data_vs_sim(cat.where("flag_central = 1"), cat.where("flag_central = 0"), ["sdss_r_true"])
+    return rounded(both.groupBy("sample").agg(F.count("*").alias("n"), F.avg("sdss_r_true").alias("mean_r")))
+
+
+@register("outlier_envelope")
+def outlier_envelope(spark, sf_dir):
+    found = stats.photoz_statistics(catalogue(spark, sf_dir), "z_b", "z_b", "z_cgal", [0.1, 0.9, 1.5]).orderBy("bin").collect()  # two rows
+    return spark.createDataFrame(stats.outlier_envelope(found[0]["mad"], found[1]["mad"], 1.5), "line string, z_true double, z_phot double")
+
+
+@register("top_n_per_stratum", "SELECT event_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY " + uniform_sql("s", "stratum", "event_id") + ", event_id) AS no FROM events) WHERE no <= 10")
+def top_n_per_stratum(spark, sf_dir):
+    return sampling.sample_n_per_stratum(table(spark, sf_dir, "events"), 10, "event_type", "s", "event_id").select("event_id", "event_type")
+
+
+@register("spectroscopic_sample", f", {_COLOURS} SELECT {ID}, round(z_cgal_v, 6) AS z_cgal_v FROM o WHERE {_CUTS['gama']} AND r < 90")
+def spectroscopic_sample(spark, sf_dir):
+    cat = observed(spark, sf_dir)
+    chunks = [cat.where(F.col(ID) % 3 == i) for i in range(3)]
+    return rounded(pipelines.spectroscopic_sample(chunks, "gama", pass_survey_selection=True)[0].select(ID, "z_cgal_v"))
+
+
+@register("add_property", f", {_NEAR} SELECT s.{ID} FROM s WHERE {ID} IN (SELECT sid FROM d WHERE d2 < 0.09)")
+def add_property(spark, sf_dir):
+    cat, attrs = catalogue(spark, sf_dir), MAGS[:3]
+    ref = cat.where(F.col(ID) % 10 == 0).select(F.col(ID).alias("ref_id"), *[F.col(a).alias(f"ref_{a}") for a in attrs], F.lit(1).alias("gold"))
+    sim = cat.where(F.col(ID) % 10 != 0).select(ID, *attrs)
+    out = pipelines.add_property(sim, ref, [("flag_gold", "eq", 1)], sim_attrs=attrs, ref_attrs=[f"ref_{a}" for a in attrs], props={"gold": "flag_gold"}, ref_id="ref_id", r_max=0.3, fallback={"gold": 0})
+    return out.select(ID)
+
+
+@register("select_by_prior_mag", f"SELECT {ID}, round(sdss_i_true, 6) AS M_0 FROM cat WHERE abs(sdss_i_true) < 90")
+def select_by_prior_mag(spark, sf_dir):
+    return rounded(photoz.select_by_prior_mag(catalogue(spark, sf_dir).withColumn("M_0", F.col("sdss_i_true"))).select(ID, "M_0"))
