@@ -99,4 +99,24 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_topk": op10_topk,
 }
 
-ORACLES: dict[str, str] = {}
+_ESCAPED = r"length(regexp_replace({c}, '([<\[])(\\*)(/?(?:s>|INST\]))', '\1\\\2\3', 'g'))"
+
+ORACLES: dict[str, str] = {
+    "op7_chat_format": f"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+g AS (
+  SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS turns,
+    coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn, role, text), '') AS loss,
+    sum(length('<s>[INST][/INST]</s>') + {_ESCAPED.format(c="role")} + {_ESCAPED.format(c="text")})::bigint AS formatted_chars
+  FROM t GROUP BY conv_id)
+SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(loss)::bigint AS loss_chars, sha256(loss) AS loss_sha256, formatted_chars FROM g""",
+    "op10_topk": """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::double)) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS (SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.e, c.e)::bigint AS score FROM v q, v c WHERE q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::int AS rank FROM p)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""",
+}
