@@ -214,6 +214,7 @@ def calibrated(found: DataFrame) -> DataFrame:
     limits = known.where(right).groupBy("lang_pred").agg(F.percentile_approx("cross_entropy", ACCEPTED, 10_000).alias("limit"))
     score = F.when(F.col("lang_pred") == "und", 0.0).when(F.col("margin").isNull(), 1.0).otherwise(1 / (1 + F.exp(-beta * F.col("margin"))))
     rejected = F.coalesce(F.col("cross_entropy") > F.col("limit"), F.lit(True))
-    out = found.join(limits, "lang_pred", "left").withColumn("rejected", rejected)
+    # one row for each language of the model
+    out = found.join(F.broadcast(limits), "lang_pred", "left").withColumn("rejected", rejected)
     score = F.when(F.col("rejected"), score / 2).otherwise(score)
     return out.select("doc_id", "learned", "lang_pred", score.alias("score"), "cross_entropy", "rejected")
