@@ -27,16 +27,19 @@ become their special ids, as in the library.
 from __future__ import annotations
 
 import codecs
+import functools
 import hashlib
 import json
+import re
 import struct
 import unicodedata
+from collections import deque
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
-import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from .common import small_batches
 
@@ -45,6 +48,37 @@ CACHE_ENTRIES = 400_000
 CACHE_PAIRS = 300_000
 #: Chunks and words of more bytes are not kept.
 CACHE_BYTES = 64
+#: Bytes of text whose chunks are looked up together.
+GROUP_BYTES = 1 << 23
+SPACE = re.compile(rb"[\x20\x09-\x0D]")
+
+
+# What the tokenizer library's Unicode version knows and Python's tables may not yet:
+# letters and numbers as ranges, and capitals as (first, last, distance to the small letter).
+LATER_LETTERS = (
+    (0x1C89, 0x1C8A), (0xA7CB, 0xA7CD), (0xA7DA, 0xA7DC), (0x105C0, 0x105F3), (0x10D4A, 0x10D65), (0x10D6F, 0x10D85), (0x10EC2, 0x10EC4),
+    (0x11380, 0x11389), (0x1138B, 0x1138B), (0x1138E, 0x1138E), (0x11390, 0x113B5), (0x113B7, 0x113B7), (0x113D1, 0x113D1), (0x113D3, 0x113D3),
+    (0x11BC0, 0x11BE0), (0x13460, 0x143FA), (0x16100, 0x1611D), (0x16D40, 0x16D6C), (0x18CFF, 0x18CFF), (0x1E5D0, 0x1E5ED), (0x1E5F0, 0x1E5F0),
+)
+LATER_NUMBERS = ((0x10D40, 0x10D49), (0x116D0, 0x116E3), (0x11BF0, 0x11BF9), (0x16130, 0x16139), (0x16D70, 0x16D79), (0x1CCF0, 0x1CCF9), (0x1E5F1, 0x1E5FA))
+LATER_CAPITALS = (
+    (0x1C89, 0x1C89, 1), (0xA7CB, 0xA7CB, 0x264 - 0xA7CB), (0xA7CC, 0xA7CC, 1), (0xA7CE, 0xA7CE, 1), (0xA7D2, 0xA7D2, 1), (0xA7D4, 0xA7D4, 1),
+    (0xA7DA, 0xA7DA, 1), (0xA7DC, 0xA7DC, 0x19B - 0xA7DC), (0x10D50, 0x10D65, 0x20), (0x16EA0, 0x16EB8, 0x1B),
+)
+LATER_SMALL = {c: c + d for first, last, d in LATER_CAPITALS for c in range(first, last + 1)}
+
+
+@functools.cache
+def category_class(kind: str, later: tuple[tuple[int, int], ...]) -> str:
+    """Body of a character class: all code points of a general category, as ranges."""
+    out: list[list[int]] = []
+    for c in range(0x110000):
+        if unicodedata.category(chr(c))[0] == kind:
+            if out and out[-1][1] == c - 1:
+                out[-1][1] = c
+            else:
+                out.append([c, c])
+    return "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in [*out, *later])
 
 
 def byte_alphabet() -> list[str]:
@@ -76,9 +110,11 @@ class MergeTable:
         self.symbols = byte_alphabet()
         self.lookahead = max(len(self._parts(t)) for t in self.vocab)
         self._pairs: dict[int, bool] = {}
-        self._split = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")")
-        # Fixed by the tokenizer file: its pre-tokenizer's pattern.
-        self._words = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{White_Space}\p{L}\p{N}]+")
+        self._split = re.compile("(" + "|".join(map(re.escape, self.special)) + ")")
+        # Fixed by the tokenizer file: its pre-tokenizer's pattern, with Unicode's letters, numbers and white space spelt out.
+        letters, numbers = category_class("L", LATER_LETTERS), category_class("N", LATER_NUMBERS)
+        spaces = r"\t-\r\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+        self._words = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{numbers}]|[^{spaces}{letters}{numbers}]+")
 
     def _parts(self, token: str) -> list[str]:
         """The token's base symbols."""
@@ -125,6 +161,8 @@ class MergeTable:
             text = unicodedata.normalize("NFC", text)
         # per character where it matters: the word-final sigma is not told apart
         low = "".join(map(str.lower, text)) if "Σ" in text else text.lower()
+        if not low.isascii():
+            low = low.translate(LATER_SMALL)
         if low.isalpha():
             return [low]
         if low[-1:] in {".", ","} and low[:-1].isalpha():
@@ -207,8 +245,13 @@ class Cache(dict):
         super().__init__()
         self.entries, self.old = entries, {}
 
-    def __missing__(self, key):
-        self.keep(key, value := self.old[key])
+    def find(self, key):
+        """The value, or None."""
+        value = self.get(key)
+        if value is None:
+            value = self.old.get(key)
+            if value is not None:
+                self.keep(key, value)
         return value
 
     def keep(self, key, value) -> None:
@@ -221,49 +264,77 @@ class Cache(dict):
 class CachedEncoder:
     """Ids of whole texts from encode(words): words and chunks seen before cost a look-up."""
 
-    def __init__(self, table: MergeTable, encode: Callable[[list[str]], list[bytes]]):
+    def __init__(self, table: MergeTable, encode: Callable[[list[int | str]], list[bytes]]):
         self.table, self.encode = table, encode
         self._chunks, self._words = Cache(), Cache()
 
-    def _new(self, chunks: Iterable[bytes]) -> dict[bytes, bytes]:
-        """Packed ids of chunks that the cache does not hold."""
-        parts = {c: self.table.words(c.decode()) for c in chunks}
-        made, new = {}, set()
-        for words in parts.values():
-            for w in words:
-                if isinstance(w, int):
-                    made[w] = struct.pack("<I", w)
-                elif w not in made and w not in new:
-                    try:
-                        made[w] = self._words[w]
-                    except KeyError:
-                        new.add(w)
-        for w, ids in zip(new, self.encode([*new]), strict=True):
-            made[w] = ids
-            if len(w) <= CACHE_BYTES:
-                self._words.keep(w, ids)
-        out = {c: b"".join([made[w] for w in words]) for c, words in parts.items()}
-        for c, ids in out.items():
+    def _found(self, chunks: Iterable[bytes]) -> dict[bytes, bytes]:
+        """Packed ids of distinct chunks, from the caches or made anew."""
+        out, parts, new = {}, {}, {}
+        kept, words, split = self._chunks, self._words, self.table.words
+        have = kept.get
+        for c in chunks:
+            ids = have(c)
+            if ids is None:
+                ids = kept.find(c)
+                if ids is None:
+                    parts[c] = own = split(c.decode())
+                    for w in own:
+                        if w not in words and w not in words.old:
+                            new[w] = None
+                    continue
+            out[c] = ids
+        made = dict(zip(new, self.encode([*new]), strict=True))
+        again = []
+        for c, own in parts.items():
+            ids = out[c] = b"".join([made[w] if w in made else words.get(w) or words.old[w] for w in own])
             if len(c) <= CACHE_BYTES:
-                self._chunks.keep(c, ids)
+                kept.keep(c, ids)
+                for w in own:
+                    if w in words.old and w not in words:
+                        again.append((w, words.old[w]))
+        for w, ids in [*made.items(), *again]:
+            if isinstance(w, int) or len(w) <= CACHE_BYTES:
+                words.keep(w, ids)
         return out
 
+    def batch(self, texts: Iterable[str | None]) -> Iterator[bytes]:
+        """Each text's ids as little-endian unsigned 32-bit integers.
+
+        Texts pass in groups of about GROUP_BYTES; a longer one is cut at white
+        space, so the pieces held at a time are bounded.
+        """
+        group: list[list[bytes]] = []
+        size = 0
+        for text in texts:
+            raw = (text or "").encode()
+            if len(raw) > GROUP_BYTES:
+                yield from self._group(group)
+                group, size = [], 0
+                yield b"".join(p for w in windows(raw, GROUP_BYTES) for p in self._group([w.split()]))
+                continue
+            group.append(raw.split())
+            size += len(raw)
+            if size > GROUP_BYTES:
+                yield from self._group(group)
+                group, size = [], 0
+        yield from self._group(group)
+
+    def _group(self, group: list[list[bytes]]) -> list[bytes]:
+        find = self._found(set().union(*group)).__getitem__
+        return [b"".join(map(find, chunks)) for chunks in group]
+
     def ids(self, text: str | None) -> bytes:
-        """The text's ids as little-endian unsigned 32-bit integers."""
-        chunks = (text or "").encode().split()
-        known, new = self._chunks, set()
-        out = [known.get(c) for c in chunks]
-        for i, ids in enumerate(out):
-            if ids is None:
-                c = chunks[i]
-                if c in known.old:
-                    out[i] = known[c]
-                else:
-                    new.add(c)
-        if new:
-            made = self._new(new)
-            out = [made[c] if ids is None else ids for c, ids in zip(chunks, out, strict=True)]
-        return b"".join(out)
+        return next(self.batch([text]))
+
+
+def windows(raw: bytes, size: int) -> Iterator[bytes]:
+    """Consecutive parts of about ``size`` bytes, cut before white space only."""
+    start = 0
+    while len(raw) - start > size and (m := SPACE.search(raw, start + size)):
+        yield raw[start : m.start()]
+        start = m.start()
+    yield raw[start:]
 
 
 def streamed(path: str) -> CachedEncoder:
@@ -271,9 +342,12 @@ def streamed(path: str) -> CachedEncoder:
     table = MergeTable(path)
     transducer = Transducer(table)
 
-    def encode(words: list[str]) -> list[bytes]:
+    def encode(words: list[int | str]) -> list[bytes]:
         out = []
         for w in words:
+            if isinstance(w, int):  # a special id
+                out.append(struct.pack("<I", w))
+                continue
             symbols = [table.symbols[b] for b in w.encode()]
             ids = [*transducer.push(symbols[:-1]), *transducer.finish(symbols[-1])]
             out.append(struct.pack(f"<{len(ids)}I", *ids))
@@ -293,11 +367,12 @@ class TokenDecoder:
     def __init__(self, table: MergeTable):
         self.table = table
         self.byte = {c: b for b, c in enumerate(table.symbols)}
+        self.special = {*table.special.values()}
         self.utf8 = codecs.getincrementaldecoder("utf-8")("replace")
 
     def push(self, token: int) -> str:
         text = self.table.string.get(token, "")
-        if token in self.table.special.values():
+        if token in self.special:
             return self.utf8.decode(b"", True) + text
         ends = bool(self.table.end) and text.endswith(self.table.end)
         body = text[: -len(self.table.end)] if ends else text
@@ -317,6 +392,27 @@ def encoder(path: str) -> CachedEncoder:
     return _encoders[path]
 
 
+def encoded_rows(enc: CachedEncoder, batches: Iterable[pa.RecordBatch], width: int, size: int = 1000) -> Iterator[list[tuple[tuple, bytes]]]:
+    """Lists of (row of the first ``width`` columns, ids of the next column's text), texts grouped across batches."""
+    rows: deque[tuple] = deque()
+
+    def texts() -> Iterator[str | None]:
+        for batch in batches:
+            columns = [c.to_pylist() for c in batch.columns[:width]]
+            for i, t in enumerate(batch.column(width)):
+                rows.append(tuple(c[i] for c in columns))
+                yield t.as_py()
+
+    done = []
+    for packed in enc.batch(texts()):
+        done.append((rows.popleft(), packed))
+        if len(done) == size:
+            yield done
+            done = []
+    if done:
+        yield done
+
+
 def bpe_round_trip(docs: DataFrame, path: str, text: str = "text", keep: tuple[str, ...] = ("doc_id",), ids: bool = False) -> DataFrame:
     """keep's columns, n_tokens, ids_sha256, decoded_sha256 and, with ids, the ids of every text.
 
@@ -325,23 +421,22 @@ def bpe_round_trip(docs: DataFrame, path: str, text: str = "text", keep: tuple[s
     small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(path)
-        for batch in batches:
+        for part in encoded_rows(encoder(path), batches, len(keep)):
             count, first, second, lists = [], [], [], []
-            for value in batch.column(len(keep)):
-                packed = enc.ids(value.as_py())
+            for _, packed in part:
                 values = struct.unpack(f"<{len(packed) // 4}I", packed)
                 count.append(len(values))
                 first.append(hashlib.sha256(packed).hexdigest())
-                second.append(hashlib.sha256(decode_plain(enc.table, values).encode()).hexdigest())
+                second.append(hashlib.sha256(decode_plain(encoder(path).table, values).encode()).hexdigest())
                 lists.append(values if ids else None)
-            out = [*batch.columns[: len(keep)], pa.array(count, pa.int64()), pa.array(first, pa.string()), pa.array(second, pa.string())]
+            kept = [pa.array([row[i] for row, _ in part], kinds[i]) for i in range(len(keep))]
+            out = [*kept, pa.array(count, pa.int64()), pa.array(first, pa.string()), pa.array(second, pa.string())]
             yield pa.RecordBatch.from_arrays(out + [pa.array(lists, pa.list_(pa.int64()))] * ids, names=names)
 
     rows = docs.select(*keep, F.col(text).cast("string").alias("text"))
     names = [*keep, "n_tokens", "ids_sha256", "decoded_sha256"] + ["ids"] * ids
-    kinds = [f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in keep]
-    schema = ", ".join([*kinds, "n_tokens bigint", "ids_sha256 string", "decoded_sha256 string"] + ["ids array<bigint>"] * ids)
+    kinds = [to_arrow_type(rows.schema[c].dataType) for c in keep]
+    schema = ", ".join([*[f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in keep], "n_tokens bigint", "ids_sha256 string", "decoded_sha256 string"] + ["ids array<bigint>"] * ids)
     return rows.mapInArrow(run, schema)
 
 

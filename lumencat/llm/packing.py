@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bpe import CachedEncoder, MergeTable
+from .bpe import CachedEncoder, MergeTable, encoded_rows
 from .common import checkpointed, small_batches
 
 #: Pieces under so many tokens form classes by exact length.
@@ -58,13 +58,21 @@ def library_encoder(path: str) -> CachedEncoder:
     ends = np.zeros(max(table.string) + 1, bool)
     ends[[i for t, i in table.vocab.items() if t.endswith(table.end)]] = True
 
-    def encode(words: list[str]) -> list[bytes]:
-        ids = np.array(tokenizer.encode(" ".join(words), add_special_tokens=False).ids if words else [], "<u4")
-        at = np.flatnonzero(ends[ids]) + 1
+    def plain(words: list[str]) -> list[bytes]:
+        ids = np.array(tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, "<u4")
+        at = (4 * (np.flatnonzero(ends[ids]) + 1)).tolist()
         if len(at) == len(words):  # each word ends in one marked token
-            return [x.tobytes() for x in np.split(ids, at[:-1])] if words else []
+            raw = ids.tobytes()
+            return [raw[i:j] for i, j in zip([0, *at], at, strict=False)]
         return [np.array(tokenizer.encode(w, add_special_tokens=False).ids, "<u4").tobytes() for w in words]
 
+    def encode(words: list[int | str]) -> list[bytes]:
+        out = {w: np.array([w], "<u4").tobytes() for w in words if isinstance(w, int)}  # special ids
+        rest = [w for w in words if w not in out]
+        for i in range(0, len(rest), 2000):
+            out.update(zip(rest[i : i + 2000], plain(rest[i : i + 2000]), strict=True))
+        return [out[w] for w in words]
+
     return CachedEncoder(table, encode)
 
 
@@ -147,10 +155,10 @@ def harmonic_pack(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id:
         def rows(found: list[tuple]) -> pa.RecordBatch:
             return pa.RecordBatch.from_pylist([dict(zip(out_schema.names, x, strict=True)) for x in found], out_schema)
 
-        for batch in batches:
+        for part in encoded_rows(enc, batches, 1):
             done = []
-            for key, value in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                raw = enc.ids(value.as_py()) + end
+            for (key,), raw in part:
+                raw += end
                 total = len(raw) // 4
                 for start, length in cuts(total, capacity, lengths):
                     piece = key, start, length, zlib.crc32(raw[4 * start : 4 * (start + length)]), total

@@ -66,9 +66,8 @@ def text_units(text: str | None) -> np.ndarray:
     """The units of a whole text, chunk by chunk through a bounded cache."""
     out = []
     for raw in (text if isinstance(text, str) else "").encode().split():
-        try:
-            ids = _cache[raw]
-        except KeyError:
+        ids = _cache.find(raw)
+        if ids is None:
             ids = unit_ids(raw.decode())
             if len(raw) <= CACHE_BYTES:
                 _cache.keep(raw, ids)
