@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import small_batches
+from .common import checkpointed, small_batches
 
 SPACES = " \t\n\v\f\r"
 SYMBOLS = "#*$%&|<>"
@@ -32,6 +32,8 @@ STATS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
 GAMMA = 1.02
 LEAST_GROUP = 300
 FENCE = 3.0
+#: Groups (rows of some 100 bytes) that may be broadcast.
+MOST_BROADCAST = 50_000
 #: Measures, the side of the fence, and the floor (upper side) or ceiling (lower side) of its threshold.
 MEASURES: dict[str, tuple[str, str, float]] = {
     "symbol_rate": ("n_symbols / n_words", "high", 0.25),
@@ -143,8 +145,15 @@ def thresholds(sketches: DataFrame) -> DataFrame:
 
 
 def judged(stats: DataFrame, limits: DataFrame, lang: str = "lang", source: str = "source") -> DataFrame:
-    """stats with the boolean qr_kept; all its rows and other columns stay."""
+    """stats with the boolean qr_kept; all its rows and other columns stay.
+
+    Up to MOST_BROADCAST groups are sent to every task; more are joined by a
+    shuffle, in which adaptive execution splits a hot source.
+    """
+    limits = checkpointed(limits)
     cut = limits.select(F.struct(*limits.columns).alias("qr_limit"))
+    if limits.count() <= MOST_BROADCAST:
+        cut = F.broadcast(cut)
     match = F.col(lang).eqNullSafe(F.col("qr_limit.lang")) & F.col(source).eqNullSafe(F.col("qr_limit.source"))
     good = F.lit(True)
     for m, (_, side, _bound) in MEASURES.items():

@@ -14,7 +14,7 @@ from . import packing as packing_op
 from . import quality_classifier as classifier
 from . import quality_rules as rules
 from . import simhash
-from .common import checkpointed, table
+from .common import table
 from .queries import WORD_BPE
 
 
@@ -33,7 +33,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     The thresholds are fitted on all documents of this stage. The texts are
     read twice rather than shuffled.
     """
-    limits = checkpointed(rules.thresholds(rules.sketch(rules.with_stats(docs.select("text", "lang", "source")))))
+    limits = rules.thresholds(rules.sketch(rules.with_stats(docs.select("text", "lang", "source"))))
     return _unwrapped(rules.judged(rules.with_stats(_wrapped(docs)), limits).where("qr_kept"), docs)
 
 
