@@ -44,12 +44,12 @@ from pyspark.sql.pandas.types import to_arrow_type
 from .common import small_batches
 
 #: Entries of one generation of a worker's caches (two are held), and of its pair memo.
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 250_000
 CACHE_PAIRS = 300_000
 #: Chunks and words of more bytes are not kept.
 CACHE_BYTES = 64
 #: Bytes of text whose chunks are looked up together.
-GROUP_BYTES = 1 << 23
+GROUP_BYTES = 1 << 22
 SPACE = re.compile(rb"[\x20\x09-\x0D]")
 
 
@@ -278,7 +278,7 @@ class CachedEncoder:
             if ids is None:
                 ids = kept.find(c)
                 if ids is None:
-                    parts[c] = own = split(c.decode())
+                    parts[c] = own = [c.decode()] if c.isalpha() and c.islower() else split(c.decode())
                     for w in own:
                         if w not in words and w not in words.old:
                             new[w] = None
@@ -308,6 +308,8 @@ class CachedEncoder:
         size = 0
         for text in texts:
             raw = (text or "").encode()
+            if b"<|" not in raw:  # no special string, so case does not matter from here on
+                raw = raw.lower()
             if len(raw) > GROUP_BYTES:
                 yield from self._group(group)
                 group, size = [], 0

@@ -59,7 +59,7 @@ def unit_ids(chunk: str) -> bytes:
     return np.array([zlib.crc32(u.encode()) % BUCKETS for u in out], "<i4").tobytes()
 
 
-_cache = Cache(200_000)
+_cache = Cache(100_000)
 
 
 def text_units(text: str | None) -> np.ndarray:
