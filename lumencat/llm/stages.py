@@ -14,9 +14,12 @@ from . import packing as packing_op
 from . import quality_classifier as classifier
 from . import quality_rules as rules
 from . import simhash
-from .common import table
+from .common import checkpointed, table
 from .queries import WORD_BPE
 
+#: Ids of kept documents that may be broadcast.
+MOST_BROADCAST = 500_000
+
 
 def _wrapped(docs: DataFrame) -> DataFrame:
     """The columns that operators read, and all columns as one, so that no name of theirs clashes."""
@@ -53,10 +56,13 @@ def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
     A group whose ids are all null keeps one of its rows.
     """
-    found = simhash.near_duplicates(docs)
-    keep = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("sd_id")).distinct()
-    kept = _wrapped(docs).join(keep, F.col("doc_id").eqNullSafe(F.col("sd_id")), "left_semi")
-    return _unwrapped(kept.dropDuplicates(["doc_id"]), docs)
+    found = checkpointed(simhash.near_duplicates(docs))
+    keep = checkpointed(found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("sd_id")).distinct())
+    repeated = found.count() > found.select("doc_id").distinct().count()
+    # up to some 30 MB of ids go to the tasks, so that texts need no shuffle; more are joined by one
+    chosen = F.broadcast(keep) if keep.count() <= MOST_BROADCAST else keep
+    kept = _wrapped(docs).join(chosen, F.col("doc_id").eqNullSafe(F.col("sd_id")), "left_semi")
+    return _unwrapped(kept.dropDuplicates(["doc_id"]) if repeated else kept, docs)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
