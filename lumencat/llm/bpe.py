@@ -44,12 +44,12 @@ from pyspark.sql.pandas.types import to_arrow_type
 from .common import small_batches
 
 #: Entries of one generation of a worker's caches (two are held), and of its pair memo.
-CACHE_ENTRIES = 250_000
+CACHE_ENTRIES = 200_000
 CACHE_PAIRS = 300_000
 #: Chunks and words of more bytes are not kept.
 CACHE_BYTES = 64
 #: Bytes of text whose chunks are looked up together.
-GROUP_BYTES = 1 << 22
+GROUP_BYTES = 3 << 20
 SPACE = re.compile(rb"[\x20\x09-\x0D]")
 
 
