@@ -378,6 +378,17 @@ def test_stages_on_odd_documents(spark, sf_dir, odd, empty):
     assert len(kept) == len({*kept}) and all(i < len(ODD) or i >= 2 * len(ODD) for i in kept if i is not None)
 
 
+def test_both_ways_of_joining_give_the_same(spark, sf_dir, odd, monkeypatch):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    found = []
+    for most in (0, 500_000):
+        monkeypatch.setattr(stages, "MOST_BROADCAST", most)
+        monkeypatch.setattr(quality_rules, "MOST_BROADCAST", most)
+        kept = stages.simhash_dedup(spark, stages.quality_rules(spark, docs, sf_dir), sf_dir)
+        found.append(sorted(r["doc_id"] for r in kept.collect()))
+    assert found[0] == found[1] and found[0]
+
+
 def test_pipeline_equals_its_operators(spark, sf_dir):
     pipeline = pytest.importorskip("corpus_pipeline")
     pieces = pipeline.run(spark, sf_dir).collect()
