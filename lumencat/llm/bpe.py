@@ -308,7 +308,9 @@ class CachedEncoder:
         size = 0
         for text in texts:
             raw = (text or "").encode()
-            if b"<|" not in raw:  # no special string, so case does not matter from here on
+            # no special string and no mark of U+0300-U+036F, so case does not matter from here on:
+            # such a mark may compose with the small letter only (NFC comes before the library's lower case)
+            if not (b"<|" in raw or b"\xcc" in raw or b"\xcd" in raw):
                 raw = raw.lower()
             if len(raw) > GROUP_BYTES:
                 yield from self._group(group)

@@ -295,6 +295,16 @@ def test_both_encoders_equal_library(text):
     assert CODERS["own"].ids(text) == want and CODERS["lib"].ids(text) == want
 
 
+def test_letters_that_compose_in_lower_case_only():
+    """NFC comes before lower case: these capitals have no composed form, their small letters do."""
+    t = library()
+    pairs = ["H\u0331", "T\u0308", "W\u030a", "Y\u030a", "J\u030c", "T\u0344", "H\u05b0\u0331", "T\u0323\u0308", "I\u0307", "E\u0301"]
+    texts = [*pairs, *(p + "anun plain Words" for p in pairs), " ".join(pairs), "Plain É Words", "h\u0331anun"]
+    want = [np.array(t.encode(x, add_special_tokens=False).ids, "<u4").tobytes() for x in texts]
+    for make in (bpe.streamed, packing.library_encoder):
+        assert [*make(WORD_BPE).batch(texts)] == want
+
+
 def test_transducer_emits_early_in_constant_memory():
     table = bpe.MergeTable(WORD_BPE)
     machine, out, most = bpe.Transducer(table), [], 0
