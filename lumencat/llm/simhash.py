@@ -65,16 +65,19 @@ def fingerprint(text: str | None, shingle: int = 4) -> int:
     return int(np.packbits(2 * ones > total, bitorder="little").view("<i8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = 4, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, fp (bigint) of every row: one pass, no shuffle."""
+def fingerprints(docs: DataFrame, shingle: int = 4, doc_id: str = "doc_id", text: str = "text", carry: dict[str, Column] | None = None) -> DataFrame:
+    """doc_id, fp (bigint) and the bigint columns carry of every row: one pass, no shuffle."""
+    carry = carry or {}
+    names = ["doc_id", "fp", *carry]
     small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fp = [fingerprint(t.as_py(), shingle) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp, pa.int64())], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp, pa.int64()), *batch.columns[2:]], names=names)
 
-    return docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(run, "doc_id bigint, fp bigint")
+    rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"), *[c.alias(k) for k, c in carry.items()])
+    return rows.mapInArrow(run, ", ".join(f"{n} bigint" for n in names))
 
 
 @dataclass
@@ -217,14 +220,19 @@ def fingerprint_links(distinct: DataFrame, distance: int = 4, bands: int | None
     return routed.groupBy("shard", "task").applyInArrow(search, "a bigint, b bigint").distinct()
 
 
-def near_duplicates(docs: DataFrame, distance: int = 4, shingle: int = 4, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, fp, component_id of every row: the smallest doc_id that its fingerprint reaches."""
-    rows = checkpointed(fingerprints(docs, shingle, doc_id, text))
+def rooted(docs: DataFrame, distance: int = 4, shingle: int = 4, doc_id: str = "doc_id", text: str = "text", carry: dict[str, Column] | None = None) -> DataFrame:
+    """doc_id, fp, carry, component_id and root of every row: the least fingerprint that its own reaches, never null."""
+    rows = checkpointed(fingerprints(docs, shingle, doc_id, text, carry))
     distinct = checkpointed(rows.groupBy("fp").agg(F.min("doc_id").alias("least")))
     roots = components(fingerprint_links(distinct, distance)).select(F.col("node").alias("fp"), "root")
     classes = distinct.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     names = classes.groupBy("root").agg(F.min("least").alias("component_id"))
-    return rows.join(classes.join(names, "root").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
+    return rows.join(classes.join(names, "root").select("fp", "component_id", "root"), "fp").select(*rows.columns, "component_id", "root")
+
+
+def near_duplicates(docs: DataFrame, distance: int = 4, shingle: int = 4, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id, fp, component_id of every row: the smallest doc_id that its fingerprint reaches."""
+    return rooted(docs, distance, shingle, doc_id, text).select("doc_id", "fp", "component_id")
 
 
 def hexadecimal(fp: Column) -> Column:

@@ -7,7 +7,7 @@ further columns stay; a null text or id is treated as each operator states.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import packing as packing_op
@@ -17,7 +17,7 @@ from . import simhash
 from .common import checkpointed, table
 from .queries import WORD_BPE
 
-#: Ids of kept documents that may be broadcast.
+#: Keys of kept documents that may be broadcast.
 MOST_BROADCAST = 500_000
 
 
@@ -51,18 +51,30 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     return _unwrapped(classifier.scored(_wrapped(docs), model, name="qc_score").where("qc_score >= 0.3"), docs)
 
 
+def _row_keys(docs: DataFrame) -> dict[str, Column]:
+    """Hashes of a row's text and of the whole row: with the id they tell rows apart unless all their columns agree."""
+    rest = [c for c in docs.columns if c != "text"]
+    return {"sd_text": F.xxhash64("text"), "sd_row": F.xxhash64(F.lit(1), "text", F.to_json(F.struct(*rest)))}
+
+
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each near-duplicate group; one row of repeated ones.
+    """One row of each near-duplicate group: the least by id (null ids last), fingerprint and hashes of its text and row.
 
-    A group whose ids are all null keeps one of its rows.
+    Every group keeps a row, also where ids are null or one id has several texts.
     """
-    found = checkpointed(simhash.near_duplicates(docs))
-    keep = checkpointed(found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("sd_id")).distinct())
-    repeated = found.count() > found.select("doc_id").distinct().count()
-    # up to some 30 MB of ids go to the tasks, so that texts need no shuffle; more are joined by one
+    keys = _row_keys(docs)
+    found = checkpointed(simhash.rooted(docs, carry=keys))
+    order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("sd_id"), "fp", *keys)
+    keep = checkpointed(found.groupBy("root").agg(F.min(order).alias("first")).select("first.sd_id", *[F.col(f"first.{k}").alias(f"{k}_kept") for k in keys]))
+    repeated = found.count() > found.select("doc_id", *keys).distinct().count()
+    # up to some 50 MB of keys go to the tasks, so that texts need no shuffle; more are joined by one
     chosen = F.broadcast(keep) if keep.count() <= MOST_BROADCAST else keep
-    kept = _wrapped(docs).join(chosen, F.col("doc_id").eqNullSafe(F.col("sd_id")), "left_semi")
-    return _unwrapped(kept.dropDuplicates(["doc_id"]) if repeated else kept, docs)
+    match = F.col("doc_id").eqNullSafe(F.col("sd_id"))
+    for k in keys:
+        match = match & (F.col(k) == F.col(f"{k}_kept"))
+    kept = docs.select("doc_id", F.struct("*").alias("whole_doc"), *[c.alias(k) for k, c in keys.items()]).join(chosen, match, "left_semi")
+    # rows that agree in all columns
+    return _unwrapped(kept.dropDuplicates(["doc_id", *keys]) if repeated else kept, docs)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

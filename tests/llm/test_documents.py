@@ -388,6 +388,20 @@ def test_stages_on_odd_documents(spark, sf_dir, odd, empty):
     assert len(kept) == len({*kept}) and all(i < len(ODD) or i >= 2 * len(ODD) for i in kept if i is not None)
 
 
+def test_every_group_keeps_one_row(spark, sf_dir, monkeypatch):
+    """Null ids in unrelated groups, a null-id copy of a row with an id, one id with two texts, copies that differ in another column."""
+    a, b, c, d, e = (" ".join(f"{w}{i}" for i in range(30)) for w in "abcde")
+    docs = [(None, a, "x"), (None, b, "x"), (None, c, "x"), (3, c, "x"), (5, d, "x"), (5, e, "x"), (4, d, "x"), (None, a, "w"), (None, b, "x"), (3, c, "x")]
+    df = spark.createDataFrame([(i, t, "en", s) for i, t, s in docs], "doc_id bigint, text string, lang string, source string")
+    found = []
+    for most in (0, 500_000):
+        monkeypatch.setattr(stages, "MOST_BROADCAST", most)
+        for n in (1, 7):
+            found.append(sorted(((r["doc_id"], r["text"], r["source"]) for r in stages.simhash_dedup(spark, df.repartition(n), sf_dir).collect()), key=str))
+    assert sorted(found[0], key=lambda r: r[1])[1:] == [(None, b, "x"), (3, c, "x"), (4, d, "x"), (5, e, "x")]
+    assert sum(r[1] == a for r in found[0]) == 1 and all(f == found[0] for f in found)
+
+
 def test_both_ways_of_joining_give_the_same(spark, sf_dir, odd, monkeypatch):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     found = []
