@@ -35,14 +35,14 @@ MAX_LABELLED = 2000
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|$)"
-    r"|<(?P<raw>script|style|noscript|template|textarea|title|svg|iframe|select|head)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>.*?(?:</(?P=raw)\s*>|$)"
+    r"|<(?P<raw>script|style|noscript|template|textarea|title|iframe|select|svg(?!(?:[^>\"']|\"[^\"]*\"|'[^']*')*+(?<=/)>))\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>.*?(?:</(?P=raw)\s*>|$)"
     r"|<(?P<end>/?)(?P<name>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
     r"|<[!?/][^>]*(?:>|$)"
     r"|<[a-zA-Z][^<>]*(?:>|$)"
     r"|[^<]+|<",
     re.DOTALL | re.IGNORECASE,
 )
-ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.IGNORECASE)
+ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
 #: Elements that stand in a line of text; all others separate blocks.
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr nobr".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -54,19 +54,33 @@ CUES = frozenset(
     " widget footer foot header masthead notice notices cookie cookies consent gdpr alert popup modal overlay newsletter subscribe subscription signup login comment comments respond"
     " disqus reply replies discussion share sharing social related recommended recommendations toolbar pagination pager tags copyright legal skip hidden contentinfo complementary search form".split()
 )
+#: Cues that also name parts of an article: inside one they do not count.
+AMBIGUOUS = frozenset("side head header foot form search discussion legal notice notices alert reply replies respond promotion social copyright skip tags".split())
+#: Words that may stand beside cues in a name like site-header.
+LAYOUT = frozenset("site page main top bottom left right upper lower global primary secondary box bar block area section container wrapper inner outer list links buttons widgets unit slot".split())
+#: Elements whose id is a link target named after their text.
+TARGETS = frozenset("h1 h2 h3 h4 h5 h6 p section li dt dd td th tr a span figure figcaption table blockquote pre".split())
+#: Elements that do not end the head.
+HEAD = frozenset("head title meta link base script style noscript template".split())
 #: Elements that begin afresh: open boilerplate ends before them.
 CONTENT = frozenset({"article", "main"})
 
 
-def key_of(name: str, attrs: str) -> tuple[str, bool]:
-    """An element's weight key, and whether its name or attributes mark boilerplate."""
+def cued(token: str, inside: bool) -> bool:
+    """Whether a whole class, id or role names boilerplate: it holds a cue and no word of another kind."""
+    words = {w for w in re.split(r"[^a-z0-9]+", token) if w and not w.isdigit()}
+    return words <= CUES | LAYOUT and not words.isdisjoint(CUES - AMBIGUOUS if inside else CUES)
+
+
+def key_of(name: str, attrs: str, inside: bool = False) -> tuple[str, bool]:
+    """An element's weight key, and whether its name or attributes mark boilerplate, inside an article or not."""
     marked, label = name in BOILERPLATE, ""
     for attr, value in ATTRIBUTE.findall(attrs) if attrs else ():
         attr, value = attr.lower(), value.strip("\"'").lower()
         if attr in ("class", "id", "role"):
-            words = re.split(r"[^a-z0-9]+", value)
             label = label or (value.split() or [""])[0]
-            marked = marked or (name not in ("html", "body", *CONTENT) and not CUES.isdisjoint(words))
+            if name not in ("html", "body", *CONTENT) and not (attr == "id" and (inside or name in TARGETS)):
+                marked = marked or any(cued(token, inside) for token in value.split())
         elif attr == "hidden" or (attr == "aria-hidden" and value == "true") or (attr == "style" and re.search(r"display\s*:\s*none", value)):
             marked = True
     return f"{name}.{label}" if label else name, marked
@@ -79,11 +93,21 @@ def tokens(page: str | None) -> Iterator[tuple[str, str, str, bool, bool]]:
     """
     stack: list[tuple[str, str, bool, bool]] = []  # name, key, boilerplate, content
 
+    in_head = False
+
     def state() -> tuple[str, bool, bool]:
         return stack[-1][1:] if stack else ("", False, False)
 
     for m in TOKEN.finditer(page or ""):
         name = m["name"]
+        if in_head:  # ends at its end tag, or before the first text or tag that a head does not hold
+            tag = (name or m["raw"] or "").lower()
+            if tag == "head" and m["end"]:
+                in_head = False
+                continue
+            if tag in HEAD or (m["end"] and tag not in ("body", "html")) or (not tag and (m[0].isspace() or m[0][:2] in ("<!", "<?", "</"))):
+                continue
+            in_head = False
         if name is None:
             text = m[0]
             if m["raw"] or (text[0] == "<" and len(text) > 1):
@@ -91,6 +115,9 @@ def tokens(page: str | None) -> Iterator[tuple[str, str, str, bool, bool]]:
             yield "text", html_module.unescape(text) if "&" in text else text, *state()
             continue
         name = name.lower()
+        if name == "head":  # one inside the body is ignored
+            in_head = not m["end"] and all(s[0] == "html" for s in stack)
+            continue
         if m["end"]:
             at = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), None)
             if at is not None:
@@ -107,9 +134,9 @@ def tokens(page: str | None) -> Iterator[tuple[str, str, str, bool, bool]]:
             # an open paragraph ends where the next block begins
             while stack and name not in VOID and (stack[-1][0] == "p" or (stack[-1][0] in INLINE and any(s[0] == "p" for s in stack))):
                 stack.pop()
-        key, marked = key_of(name, m["attrs"])
         _, boiler, content = state()
         inside = content or name in CONTENT
+        key, marked = key_of(name, m["attrs"], inside)
         # a header inside the article may carry its title
         marked = marked and not (name == "header" and inside and "." not in key)
         if name not in VOID and not m["attrs"].endswith("/"):

@@ -112,6 +112,24 @@ def test_html_cases(page, text):
     assert html_extract.extract(page, WEIGHTS) == text
 
 
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ("<article><h2 id='side-effects'>Side effects</h2><p id='form-of-government'>a b</p><section id='discussion'><p>c d</p></section></article>", "Side effects a b c d"),
+        ("<article><div class='related-work'><p>a b</p></div><div data-id='search-1'><p>c d</p></div><div title='the id=ad class=menu'>e f</div></article>", "a b c d e f"),
+        ("<body><div class='content has-sidebar'><p>a b c d e</p></div></body>", "a b c d e"),
+        ("<body><div class='content no-comments'><p>a b c d e</p></div></body>", "a b c d e"),
+        ("<body><div class='site-header'>no</div><div class='sidebar-2'>no</div><div class=content><p>a b c d e</p></div></body>", "a b c d e"),
+        ("<html><head><title>no</title><meta charset=utf-8><body><article><p>a b</p></article>", "a b"),
+        ("<head><style>p{}</style><p>a b c d", "a b c d"),
+        ("<head><title>no</title><link href=x></head><article><p>a b</p></article>", "a b"),
+        ("<article><p>a <svg class='x' /> b</p><p>c<svg><text>no</text></svg> d</p></article>", "a b c d"),
+    ],
+)
+def test_html_names_and_heads(page, text):
+    assert html_extract.extract(page, WEIGHTS) == text
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.text(alphabet="<>/ap!-='\" &;x\n", max_size=120))
 def test_html_never_fails(page):
