@@ -11,8 +11,7 @@ task, whose rows are bounded by classes * capacity * FAN_IN, and best-fit
 decreasing packs them. Bins that this leaves half empty are cut at powers of
 two where that pads less.
 
-Ids come from the tokenizers library. Merges stay inside a word, so words and
-chunks between ASCII white space are encoded once and kept in bounded caches.
+Ids are the tokenizers library's, made by the encoder of ``bpe``.
 
 Defined results: null or empty text: the end-of-document id alone; repeated
 rows: each packed on its own; order in a sequence: offset, gapless from 0;
@@ -33,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bpe import CachedEncoder, MergeTable, encoded_rows
+from .bpe import encoded_rows, encoder
 from .common import checkpointed, small_batches
 
 #: Pieces under so many tokens form classes by exact length.
@@ -44,44 +43,6 @@ FAN_IN = 8
 PIECE = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
 
 
-_encoders: dict[str, CachedEncoder] = {}
-
-
-def library_encoder(path: str) -> CachedEncoder:
-    """An encoder whose words pass through the tokenizers library, many in one call."""
-    from tokenizers import Tokenizer
-
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.no_truncation()
-    tokenizer.no_padding()
-    table = MergeTable(path)
-    ends = np.zeros(max(table.string) + 1, bool)
-    ends[[i for t, i in table.vocab.items() if t.endswith(table.end)]] = True
-
-    def plain(words: list[str]) -> list[bytes]:
-        ids = np.array(tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, "<u4")
-        at = (4 * (np.flatnonzero(ends[ids]) + 1)).tolist()
-        if len(at) == len(words):  # each word ends in one marked token
-            raw = ids.tobytes()
-            return [raw[i:j] for i, j in zip([0, *at], at, strict=False)]
-        return [np.array(tokenizer.encode(w, add_special_tokens=False).ids, "<u4").tobytes() for w in words]
-
-    def encode(words: list[int | str]) -> list[bytes]:
-        out = {w: np.array([w], "<u4").tobytes() for w in words if isinstance(w, int)}  # special ids
-        rest = [w for w in words if w not in out]
-        for i in range(0, len(rest), 2000):
-            out.update(zip(rest[i : i + 2000], plain(rest[i : i + 2000]), strict=True))
-        return [out[w] for w in words]
-
-    return CachedEncoder(table, encode)
-
-
-def encoder(path: str) -> CachedEncoder:
-    if path not in _encoders:
-        _encoders[path] = library_encoder(path)
-    return _encoders[path]
-
-
 def class_lengths(capacity: int, short: int = SHORT) -> list[int]:
     """Piece lengths of the reciprocal classes, longest first."""
     out = [capacity // k for k in range(1, capacity + 1) if capacity // k >= short]
@@ -145,7 +106,6 @@ def harmonic_pack(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id:
     small_batches(spark)
     lengths = class_lengths(capacity)
     per_bin = {n: capacity // n for n in {*lengths, *range(1, SHORT)}}
-    end = np.array([end_id], "<u4").tobytes()
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, worker = encoder(tokenizer), TaskContext.get().partitionId()
@@ -153,15 +113,15 @@ def harmonic_pack(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id:
         open_bins: dict[int, list[tuple]] = defaultdict(list)
 
         def rows(found: list[tuple]) -> pa.RecordBatch:
-            return pa.RecordBatch.from_pylist([dict(zip(out_schema.names, x, strict=True)) for x in found], out_schema)
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], schema=out_schema)
 
         for part in encoded_rows(enc, batches, 1):
             done = []
-            for (key,), raw in part:
-                raw += end
-                total = len(raw) // 4
+            for (key,), ids in part:
+                ids = np.append(ids, np.uint32(end_id))
+                total = len(ids)
                 for start, length in cuts(total, capacity, lengths):
-                    piece = key, start, length, zlib.crc32(raw[4 * start : 4 * (start + length)]), total
+                    piece = key, start, length, zlib.crc32(ids[start : start + length]), total
                     waiting = open_bins[length]
                     waiting.append(piece)
                     if len(waiting) == per_bin[length]:

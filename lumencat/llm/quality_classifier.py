@@ -1,16 +1,21 @@
 """Quality classifier: random-indexing word vectors, pooled, into a two-layer numpy network.
 
-Random indexing: every training document is a context with a sparse random
-ternary vector; a word's vector is the sum of the vectors of the documents that
-hold it, scaled to unit length. Words are hashed into BUCKETS rows, so the
-table has a fixed size. Units are lower-cased letter runs, numbers as one unit,
-punctuation runs by character and length class, and a mark for all-capital
-words. A document is the mean of its units' vectors plus a few ratios. The
-network has one tanh layer; its logit is divided by a temperature fitted on
-rows that the training did not see.
-
-Fitted on at most MAX_TRAIN labelled rows (chosen by a hash of their id), the
-documented bound; the score covers every whole text. Language, source, id and
+Random indexing: every document of the corpus is a context with a sparse random
+ternary vector, drawn from a hash of its own units; a word's vector is the sum
+of the vectors of the documents that hold it. The sums are whole numbers, added
+up in each task and then in a tree of merges, so they do not depend on
+partitions. Units are letter runs in small letters, numbers as one unit, runs of
+other characters by their first character and length class, and a mark for
+all-capital words. Units are hashed; a unit has a row of the table as soon as a
+document holds it, so the table grows with the vocabulary up to BUCKETS rows of
+DIMENSIONS bytes (16 MB), the proven bound of its broadcast. A document is the
+mean of its units' vectors plus a few ratios. The network has one tanh layer;
+its logit is divided by a temperature fitted on rows that the training did not
+see.
+
+The network and its temperature are fitted on at most MAX_TRAIN labelled rows
+(chosen by a hash of their id), the documented bound; word vectors come from
+all documents, and the score covers every whole text. Language, source, id and
 label are no inputs.
 
 Defined results: null and empty texts get the score of a document without
@@ -21,58 +26,83 @@ share of label 1 (0.5 without any); empty table: no rows.
 
 from __future__ import annotations
 
-import re
-import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .bpe import CACHE_BYTES, Cache
-from .common import checkpointed, small_batches
+from .bpe import LETTER, NUMBER, code_tables, windows
+from .common import small_batches
 
 MAX_TRAIN = 12_000
-BUCKETS = 1 << 14
+BUCKETS = 1 << 18
 DIMENSIONS = 64
-#: Units pooled at once.
+#: Entries that are not zero in a context's vector: one of each DIMENSIONS / PARTS.
+PARTS = 8
+#: Characters cut into units together, and units pooled at once.
+GROUP_CHARS = 1 << 20
 SLICE = 1 << 15
-UNIT = re.compile(r"[^\W\d_]+|\d+|[^\w\s]+|_+")
-
-
-def unit_ids(chunk: str) -> bytes:
-    """Buckets (int32) of the units of a chunk without white space."""
-    out = []
-    for u in UNIT.findall(chunk):
-        if u.isalpha():
-            out.append("w" + u.lower())
-            if len(u) > 1 and u.isupper():
-                out.append("capitals")
-        elif u[0].isdigit():
-            out.append("number")
-        else:
-            out.append(f"p{u[0]}{min(len(u), 3)}")
-    return np.array([zlib.crc32(u.encode()) % BUCKETS for u in out], "<i4").tobytes()
-
-
-_cache = Cache(100_000)
-
-
-def text_units(text: str | None) -> np.ndarray:
-    """The units of a whole text, chunk by chunk through a bounded cache."""
-    out = []
-    for raw in (text if isinstance(text, str) else "").encode().split():
-        ids = _cache.find(raw)
-        if ids is None:
-            ids = unit_ids(raw.decode())
-            if len(raw) <= CACHE_BYTES:
-                _cache.keep(raw, ids)
-        out.append(ids)
-    return np.frombuffer(b"".join(out), "<i4")
+#: Rows of the table that travel together, and partial tables that meet in one merge.
+BLOCK = 1 << 11
+FAN_IN = 32
+NUMBERS, CAPITALS, MULTIPLIER = 1, 2, 0x9E3779B97F4A7C15
+
+
+def mixed(x: np.ndarray) -> np.ndarray:
+    """Hashes spread over all 64 bits."""
+    x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return x ^ (x >> np.uint64(32))
+
+
+def _pieces_units(pieces: list[str]) -> list[np.ndarray]:
+    """Buckets of the units of each piece of text."""
+    lower, kinds = code_tables()
+    codes = np.frombuffer("\n".join([*pieces, ""]).encode("utf-32-le", "surrogatepass"), "<u4")
+    until = np.cumsum(np.fromiter((len(p) + 1 for p in pieces), np.int64, len(pieces)))
+    small, kind = lower[codes], kinds[codes]
+    start = np.concatenate(([0], np.flatnonzero(kind[1:] != kind[:-1]) + 1))
+    size = np.diff(np.append(start, len(codes)))
+    power = np.multiply.accumulate(np.full(int(size.max()), MULTIPLIER, np.uint64))
+    place = np.arange(len(codes)) - np.repeat(start, size)
+    own = np.add.reduceat((small.astype(np.uint64) + np.uint64(1)) * power[place], start)
+    capital = (np.add.reduceat((codes != small).astype(np.int64), start) == size) & (size > 1)
+    kind = kind[start]
+    other = small[start].astype(np.uint64) * np.uint64(4) + np.minimum(size, 3).astype(np.uint64) + np.uint64(8)
+    units = np.where(kind == LETTER, own, np.where(kind == NUMBER, np.uint64(NUMBERS), other))
+    word = kind > 0
+    start, units, capital = start[word], units[word], (capital & (kind == LETTER))[word]
+    # a word in capitals is followed by their mark
+    count = 1 + capital
+    end = np.cumsum(count)
+    units = np.repeat(units, count)
+    units[end[capital] - 1] = CAPITALS
+    buckets = (mixed(units) >> np.uint64(65 - BUCKETS.bit_length())).astype(np.int32)
+    cut = np.concatenate(([0], end))[np.searchsorted(start, until)]
+    return [buckets[a:b] for a, b in zip([0, *cut[:-1].tolist()], cut.tolist(), strict=True)]
+
+
+def text_units(texts: list[str | None]) -> Iterator[np.ndarray]:
+    """The units of each whole text, texts taken together in groups of GROUP_CHARS; a longer one passes in windows."""
+    group: list[str] = []
+    size = 0
+    for text in texts:
+        text = text if isinstance(text, str) else ""
+        if size + len(text) > GROUP_CHARS and group:
+            yield from _pieces_units(group)
+            group, size = [], 0
+        if len(text) > GROUP_CHARS:
+            yield np.concatenate([_pieces_units([w])[0] for w in windows(text, GROUP_CHARS)])
+            continue
+        group.append(text)
+        size += len(text)
+    if group:
+        yield from _pieces_units(group)
 
 
 def pooled(units: np.ndarray, vectors: np.ndarray) -> np.ndarray:
@@ -80,18 +110,19 @@ def pooled(units: np.ndarray, vectors: np.ndarray) -> np.ndarray:
     n = len(units)
     if not n:
         return np.zeros(DIMENSIONS + 4, np.float32)
-    total = sum(vectors[units[i : i + SLICE]].sum(axis=0) for i in range(0, n, SLICE))
-    mean = total / n
+    total = sum(vectors[units[i : i + SLICE]].sum(axis=0, dtype=np.int64) for i in range(0, n, SLICE))
+    mean = total / (127 * n)
     distinct = len(np.unique(units))
     return np.concatenate([mean, [np.log1p(n) / 10, distinct / n, np.log1p(n / distinct) / 3, np.linalg.norm(mean)]]).astype(np.float32)
 
 
-def context_vector(doc: int) -> np.ndarray:
-    """A document's sparse ternary vector, fixed by its id."""
-    rng = np.random.default_rng(doc & 0xFFFFFFFFFFFF)
-    out = np.zeros(DIMENSIONS, np.float32)
-    out[rng.choice(DIMENSIONS, 8, replace=False)] = rng.choice([-1.0, 1.0], 8)
-    return out
+def context_vectors(units: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """(columns, signs) of the PARTS entries of each document's ternary vector, fixed by its distinct units."""
+    seeds = np.array([int(mixed(np.unique(u).astype(np.uint64) + np.uint64(1)).sum(dtype=np.uint64)) for u in units], np.uint64)
+    drawn = mixed(seeds[:, None] + np.uint64(MULTIPLIER) * np.arange(1, PARTS + 1, dtype=np.uint64))
+    width = DIMENSIONS // PARTS
+    columns = (drawn % np.uint64(width)).astype(np.int64) + width * np.arange(PARTS)
+    return columns, np.where(drawn >> np.uint64(63), 1, -1).astype(np.int32)
 
 
 @dataclass
@@ -147,58 +178,91 @@ def train(x: np.ndarray, y: np.ndarray, hidden: int = 32, epochs: int = 60, rate
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, usable: Column, most: int = MAX_TRAIN) -> DataFrame:
-    """(doc_id, quality, units) of at most ``most`` labelled documents; a checkpoint bounded by that number of texts."""
+    """(doc_id, quality, text) of at most ``most`` labelled ids."""
     chosen = labels.where(F.col("quality").isin(0, 1) & F.coalesce(usable, F.lit(False))).groupBy("doc_id").agg(F.min("quality").alias("quality"))
     chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = rows.join(F.broadcast(chosen), "doc_id").select("doc_id", F.col("quality").cast("int").alias("quality"), "text")  # most rows of 16 bytes
+    return rows.join(F.broadcast(chosen), "doc_id").select("doc_id", F.col("quality").cast("int").alias("quality"), "text")  # most rows of 16 bytes
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            units = [text_units(t.as_py()).tobytes() for t in batch.column(2)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(units, pa.binary())], names=["doc_id", "quality", "units"])
-
-    return checkpointed(rows.mapInArrow(run, "doc_id bigint, quality int, units binary"))
 
+def word_vectors(docs: DataFrame, text: str = "text") -> np.ndarray:
+    """The table of unit vectors (bytes, 127 for length 1) over all documents.
 
-def word_vectors(rows: DataFrame) -> np.ndarray:
-    """The table of unit vectors: partial sums in each task, then by groups of buckets."""
-    group = 1 << 10
+    A task sums its documents into one table and sends its blocks compressed;
+    blocks meet FAN_IN at a time, so no merge grows with the number of tasks.
+    """
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.zeros((BUCKETS, DIMENSIONS), np.float32)
+        table = np.zeros(BUCKETS * DIMENSIONS, np.int32)
         for batch in batches:
-            for doc, raw in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                table[np.unique(np.frombuffer(raw.as_py(), "<i4"))] += context_vector(doc)
-        for i in range(0, BUCKETS, group):
-            if table[i : i + group].any():
-                yield pa.RecordBatch.from_pydict({"part": pa.array([i // group], pa.int32()), "block": [table[i : i + group].tobytes()]})
-
-    def merge(found: pa.Table) -> pa.Table:
-        total = sum(np.frombuffer(b.as_py(), np.float32) for b in found["block"])
-        return pa.table({"part": found["part"].slice(0, 1), "block": [total.astype(np.float32).tobytes()]})
-
-    few = rows.select("doc_id", "units").coalesce(16).mapInArrow(partial, "part int, block binary")
-    table = np.zeros((BUCKETS, DIMENSIONS), np.float32)
-    for r in few.groupBy("part").applyInArrow(merge, "part int, block binary").collect():  # BUCKETS * DIMENSIONS floats
-        table[r["part"] * group : (r["part"] + 1) * group] = np.frombuffer(r["block"], np.float32).reshape(-1, DIMENSIONS)
-    length = np.linalg.norm(table, axis=1, keepdims=True)
-    return np.divide(table, length, out=np.zeros_like(table), where=length > 0)
+            units = [*text_units(batch.column(0).to_pylist())]
+            if not units:
+                continue
+            columns, signs = context_vectors(units)
+            distinct = [np.unique(u) for u in units]
+            count = [len(u) for u in distinct]
+            at = np.concatenate(distinct).astype(np.int64) * DIMENSIONS
+            for j in range(PARTS):
+                np.add.at(table, at + np.repeat(columns[:, j], count), np.repeat(signs[:, j], count))
+        yield from blocks(table.reshape(-1, BLOCK * DIMENSIONS))
+
+    def blocks(table: np.ndarray) -> Iterator[pa.RecordBatch]:
+        task = TaskContext.get().partitionId()
+        for i, block in enumerate(table):
+            if block.any():
+                yield pa.RecordBatch.from_pydict({"part": pa.array([i], pa.int32()), "task": pa.array([task], pa.int64()), "block": pa.array([_packed(block)], pa.binary())})
+
+    def merge(key: tuple, found: pa.Table) -> pa.Table:
+        total = np.zeros(BLOCK * DIMENSIONS, np.int64)
+        for b in found["block"]:
+            total += _unpacked(b.as_py())
+        return pa.table({"part": pa.array([key[0].as_py()], pa.int32()), "task": pa.array([key[1].as_py()], pa.int64()), "block": pa.array([_packed(total)], pa.binary())})
+
+    kind = "part int, task bigint, block binary"
+    found = docs.select(F.col(text).cast("string").alias("text")).mapInArrow(partial, kind)
+    left = found.rdd.getNumPartitions()
+    while True:
+        left = -(-left // FAN_IN)
+        found = found.withColumn("task", F.floor(F.col("task") / FAN_IN)).groupBy("part", "task").applyInArrow(merge, kind)
+        if left <= 1:
+            break
+    table = np.zeros((BUCKETS, DIMENSIONS), np.int8)
+    for r in found.select("part", "block").toLocalIterator():  # BUCKETS * DIMENSIONS numbers, block by block
+        sums = _unpacked(r["block"]).reshape(BLOCK, DIMENSIONS).astype(np.float64)
+        length = np.linalg.norm(sums, axis=1, keepdims=True)
+        unit = np.divide(sums, length, out=np.zeros_like(sums), where=length > 0)
+        table[r["part"] * BLOCK : (r["part"] + 1) * BLOCK] = np.rint(127 * unit)
+    return table
+
+
+def _packed(block: np.ndarray) -> bytes:
+    """A block's numbers, narrow where they fit, compressed."""
+    narrow = block.astype(np.int16)
+    kind = b"s" if (narrow == block).all() else b"l"
+    raw = (narrow if kind == b"s" else block.astype(np.int64)).tobytes()
+    return kind + len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def _unpacked(raw: bytes) -> np.ndarray:
+    data = pa.decompress(raw[9:], int.from_bytes(raw[1:9], "little"), codec="zstd")
+    return np.frombuffer(data, np.int16 if raw[:1] == b"s" else np.int64)
 
 
 def fit(docs: DataFrame, labels: DataFrame, usable: Column, most: int = MAX_TRAIN) -> tuple[np.ndarray, Network]:
-    """Word vectors and network from the labelled rows for which usable (over doc_id) holds."""
+    """Word vectors of all docs, and the network of the labelled rows for which usable (over doc_id) holds."""
     small_batches(docs.sparkSession)
-    rows = training_rows(docs, labels, usable, most)
-    vectors = word_vectors(rows)
+    vectors = word_vectors(docs)
     shared = docs.sparkSession.sparkContext.broadcast(vectors)
 
     def inputs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = [pooled(np.frombuffer(u.as_py(), "<i4"), shared.value).tobytes() for u in batch.column(2)]
+            x = [pooled(u, shared.value).tobytes() for u in text_units(batch.column(2).to_pylist())]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(x, pa.binary())], names=["doc_id", "quality", "x"])
 
-    found = rows.mapInArrow(inputs, "doc_id bigint, quality int, x binary").toPandas().sort_values("doc_id", kind="stable")  # most rows of 272 bytes
+    rows = training_rows(docs, labels, usable, most)
+    found = rows.mapInArrow(inputs, "doc_id bigint, quality int, x binary").toPandas()  # most rows of 272 bytes
+    shared.unpersist()
+    found = found.sort_values(["doc_id", "x"], kind="stable")
     x = np.array([np.frombuffer(b, np.float32) for b in found["x"]]).reshape(-1, DIMENSIONS + 4).astype(np.float64)
     return vectors, train(x, found["quality"].to_numpy(np.float64))
 
@@ -211,7 +275,7 @@ def scored(docs: DataFrame, model: tuple[np.ndarray, Network], text: str = "text
     @F.pandas_udf(T.DoubleType())
     def score(texts):
         vectors, net = shared.value
-        x = np.array([pooled(text_units(t), vectors) for t in texts], np.float64).reshape(-1, DIMENSIONS + 4)
+        x = np.array([pooled(u, vectors) for u in text_units(texts.tolist())], np.float64).reshape(-1, DIMENSIONS + 4)
         return pd.Series(net.score(x))
 
     return docs.withColumn(name, score(F.col(text).cast("string")))
