@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 #: Rows in one Arrow batch: bounds a Python worker's memory when texts are long.
 ROWS_PER_BATCH = 500
+BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+#: Spark's own value of that setting.
+SPARK_ROWS = "10000"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,17 +20,41 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Hand texts to Python workers in batches of ROWS_PER_BATCH rows."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS_PER_BATCH))
+    """Hand texts to Python workers in batches of ROWS_PER_BATCH rows, unless the session has a value of its own."""
+    if spark.conf.get(BATCH_SETTING, SPARK_ROWS) == SPARK_ROWS:
+        spark.conf.set(BATCH_SETTING, str(ROWS_PER_BATCH))
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut df's lineage in the shared folder of spark.checkpoint.dir.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of spark.checkpoint.dir, read from the session.
 
-    The setting is read from the session. Where it is unset (tests on one
-    machine) a temporary folder takes its place.
+    Where it is unset, a temporary folder takes its place on a local master
+    (tests on one machine); a cluster has to name one, as its executors do not
+    share local folders.
     """
-    sc = df.sparkSession.sparkContext
-    if not sc.getConf().get("spark.checkpoint.dir") and not sc.getCheckpointDir():
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="lumencat-checkpoint-"))
+    sc = spark.sparkContext
+    found = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
+    if not found:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        found = tempfile.mkdtemp(prefix="lumencat-checkpoint-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(found)
+    return found
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Cut df's lineage by a checkpoint in the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """Cut df's lineage by a table in the shared folder.
+
+    Spark knows the table's size, so a plain join with it is a broadcast up to
+    the session's own threshold and a shuffle beyond.
+    """
+    path = f"{shared_folder(df.sparkSession).rstrip('/')}/lumencat-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

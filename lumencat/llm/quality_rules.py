@@ -4,10 +4,12 @@ Each document's measures go into a sketch per (language, source): counts in
 buckets of geometrically growing width (relative error GAMMA - 1 on every
 quantile). Two sketches merge by adding counts, so they are exact under any
 partitioning, are summed before the shuffle, and roll up to languages and to
-the whole corpus. A threshold is a Tukey fence on the sketch's quartiles, never
-below a floor that keeps clean documents where all values are alike. Groups of
-fewer than LEAST_GROUP documents use their language's sketch, small languages
-the corpus'. Thresholds are then joined back to the documents.
+the whole corpus. A threshold is a fence on the sketch's quartiles: FENCE times
+their distance beyond the outer one. It moves both ways with its group; only
+where a group's quartiles (nearly) coincide, as those of rare events do, the
+measure's least spread takes their distance's place. Groups of fewer than
+LEAST_GROUP documents use their language's sketch, small languages the corpus'.
+Thresholds are then joined back to the documents.
 
 Defined results: null text: no words, so the base rule rejects it; null
 language or source: a group of its own; repeated rows count repeatedly; empty
@@ -23,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import checkpointed, small_batches
+from .common import small_batches, stored
 
 SPACES = " \t\n\v\f\r"
 SYMBOLS = "#*$%&|<>"
@@ -31,18 +33,16 @@ CAPITALS = bytes(range(65, 91))
 STATS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_capitals", "n_shouts")
 GAMMA = 1.02
 LEAST_GROUP = 300
-FENCE = 3.0
-#: Groups (rows of some 100 bytes) that may be broadcast.
-MOST_BROADCAST = 50_000
-#: Measures, the side of the fence, and the floor (upper side) or ceiling (lower side) of its threshold.
+FENCE = 5.0
+#: Measures, the side of the fence, and the least spread (in units of the measure) where quartiles coincide.
 MEASURES: dict[str, tuple[str, str, float]] = {
-    "symbol_rate": ("n_symbols / n_words", "high", 0.25),
-    "long_words": ("word_chars / n_words", "high", 9.0),
-    "short_words": ("word_chars / n_words", "low", 3.0),
-    "dup_line_rate": ("n_dup_lines / n_lines", "high", 0.4),
-    "repeat_rate": ("n_repeat_words / n_words", "high", 0.45),
-    "capital_rate": ("n_capitals / word_chars", "high", 0.3),
-    "shout_rate": ("n_shouts / n_words", "high", 0.1),
+    "symbol_rate": ("n_symbols / n_words", "high", 0.05),
+    "long_words": ("word_chars / n_words", "high", 0.1),
+    "short_words": ("word_chars / n_words", "low", 0.1),
+    "dup_line_rate": ("n_dup_lines / n_lines", "high", 0.1),
+    "repeat_rate": ("n_repeat_words / n_words", "high", 0.1),
+    "capital_rate": ("n_capitals / word_chars", "high", 0.015),
+    "shout_rate": ("n_shouts / n_words", "high", 0.02),
 }
 
 
@@ -123,9 +123,9 @@ def _fences(sketches: DataFrame, keys: list[str]) -> DataFrame:
 
     quartiles = merged.groupBy(*keys, "measure").agg(quantile(0.25).alias("low"), quantile(0.75).alias("high"), F.max("total").alias("total"))
     limits = []
-    for m, (_, side, bound) in MEASURES.items():
-        spread = FENCE * (F.col("high") - F.col("low"))
-        fence = F.greatest(F.lit(bound), F.col("high") + spread) if side == "high" else F.least(F.lit(bound), F.col("low") - spread)
+    for m, (_, side, least) in MEASURES.items():
+        spread = FENCE * F.greatest(F.col("high") - F.col("low"), F.lit(least))
+        fence = F.col("high") + spread if side == "high" else F.col("low") - spread
         limits.append(F.max(F.when(F.col("measure") == m, fence)).alias(m))
     return quartiles.groupBy(*keys).agg(F.max("total").alias("size"), *limits)
 
@@ -147,16 +147,15 @@ def thresholds(sketches: DataFrame) -> DataFrame:
 def judged(stats: DataFrame, limits: DataFrame, lang: str = "lang", source: str = "source") -> DataFrame:
     """stats with the boolean qr_kept; all its rows and other columns stay.
 
-    Up to MOST_BROADCAST groups are sent to every task; more are joined by a
-    shuffle, in which adaptive execution splits a hot source.
+    The thresholds are a table of their own, one row for each group: small ones
+    are broadcast by Spark, large ones joined by a shuffle, in which adaptive
+    execution splits a hot source.
     """
-    limits = checkpointed(limits)
+    limits = stored(limits)
     cut = limits.select(F.struct(*limits.columns).alias("qr_limit"))
-    if limits.count() <= MOST_BROADCAST:
-        cut = F.broadcast(cut)
     match = F.col(lang).eqNullSafe(F.col("qr_limit.lang")) & F.col(source).eqNullSafe(F.col("qr_limit.source"))
     good = F.lit(True)
-    for m, (_, side, _bound) in MEASURES.items():
+    for m, (_, side, _least) in MEASURES.items():
         limit = F.col(f"qr_limit.{m}")
         good = good & (_measure(m) <= limit if side == "high" else _measure(m) >= limit)
     # a document without a limit belongs to a group that the base rule emptied

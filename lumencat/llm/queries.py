@@ -5,15 +5,15 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe, chat_format, html_extract, language_id, packing, quality_classifier, quality_rules, simhash, topk, url_filters
 from .common import checkpointed, table
 
-#: Folder of the public tokenizers' files; the driver and the workers have it at the same place.
-TOKENIZERS = os.environ.get("LUMENCAT_TOKENIZERS", "/opt/tokenizers")
-WORD_BPE = f"{TOKENIZERS}/word_bpe_49k.json"
+#: The public tokenizer's file; the driver and the workers have it at the same place, which the environment may name.
+WORD_BPE = os.environ.get("LUMENCAT_WORD_BPE") or str(public_tokenizers.path("word_bpe_49k.json"))
 
 
 def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -107,8 +107,8 @@ def _quality_rules_sql() -> str:
     cells = " UNION ALL ".join(
         f"SELECT rid, lang, source, failed, '{m}' AS measure, CASE WHEN {e.split(' / ')[1]} > 0 THEN {e.split(' / ')[0]}::double / {e.split(' / ')[1]} ELSE 0 END AS x FROM s" for m, (e, _, _) in measures.items()
     )
-    bounds = ", ".join(f"('{m}', '{side}', {bound}::double)" for m, (_, side, bound) in measures.items())
-    gamma, least = quality_rules.GAMMA, quality_rules.LEAST_GROUP
+    spreads = ", ".join(f"('{m}', '{side}', {least}::double)" for m, (_, side, least) in measures.items())
+    gamma, fewest = quality_rules.GAMMA, quality_rules.LEAST_GROUP
 
     def fences(name: str, keys: str) -> str:
         by = f"{keys}, " if keys else ""
@@ -117,11 +117,11 @@ def _quality_rules_sql() -> str:
         return f"""
 {name}0 AS (SELECT {by}measure, bucket, sum(n) OVER (PARTITION BY {by}measure ORDER BY bucket) AS until, sum(n) OVER (PARTITION BY {by}measure) AS total FROM (SELECT {by}measure, bucket, sum(n) AS n FROM k GROUP BY ALL)),
 {name}1 AS (SELECT {by}measure, {value(0.25)} AS b1, {value(0.75)} AS b3, max(total) AS size FROM {name}0 GROUP BY {by}measure),
-{name} AS (SELECT {by}measure, size, CASE side WHEN 'high' THEN greatest(bound, q3 + {quality_rules.FENCE} * (q3 - q1)) ELSE least(bound, q1 - {quality_rules.FENCE} * (q3 - q1)) END AS cut
-  FROM (SELECT {by}measure, size, {real('b1')} AS q1, {real('b3')} AS q3 FROM {name}1) JOIN bounds USING (measure))"""
+{name} AS (SELECT {by}measure, size, CASE side WHEN 'high' THEN q3 + {quality_rules.FENCE} * greatest(q3 - q1, spread) ELSE q1 - {quality_rules.FENCE} * greatest(q3 - q1, spread) END AS cut
+  FROM (SELECT {by}measure, size, {real('b1')} AS q1, {real('b3')} AS q3 FROM {name}1) JOIN spreads USING (measure))"""
 
     return f"""
-WITH bounds(measure, side, bound) AS (VALUES {bounds}),
+WITH spreads(measure, side, spread) AS (VALUES {spreads}),
 d AS (SELECT row_number() OVER () AS rid, doc_id, lang, source, coalesce(text, '') AS t FROM documents),
 w AS (SELECT *, list_filter(regexp_split_to_array(t, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS ws, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS ls FROM d),
 g AS (SELECT rid, i, count(*) OVER (PARTITION BY rid, ws[i], ws[i + 1], ws[i + 2]) AS c FROM (SELECT rid, ws, unnest(range(1, len(ws) - 1)) AS i FROM w)),
@@ -133,8 +133,8 @@ s AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS failed FR
 x AS ({cells}),
 k AS (SELECT lang, source, measure, CASE WHEN x <= 1e-6 THEN -1048576 ELSE ceil(ln(x) / ln({gamma}::double))::bigint END AS bucket, count(*) AS n FROM x WHERE NOT failed GROUP BY ALL),
 {fences("f", "lang, source")}, {fences("m", "lang")}, {fences("c", "")},
-u AS (SELECT f.lang, f.source, measure, CASE WHEN f.size >= {least} THEN f.cut WHEN m.size >= {least} THEN m.cut ELSE c.cut END AS cut FROM f JOIN c USING (measure) LEFT JOIN m USING (measure) WHERE m.lang IS NOT DISTINCT FROM f.lang),
-v AS (SELECT rid, bool_and(CASE side WHEN 'high' THEN x <= cut ELSE x >= cut END) AS good FROM x JOIN u USING (measure) JOIN bounds USING (measure) WHERE x.lang IS NOT DISTINCT FROM u.lang AND x.source IS NOT DISTINCT FROM u.source GROUP BY rid)
+u AS (SELECT f.lang, f.source, measure, CASE WHEN f.size >= {fewest} THEN f.cut WHEN m.size >= {fewest} THEN m.cut ELSE c.cut END AS cut FROM f JOIN c USING (measure) LEFT JOIN m USING (measure) WHERE m.lang IS NOT DISTINCT FROM f.lang),
+v AS (SELECT rid, bool_and(CASE side WHEN 'high' THEN x <= cut ELSE x >= cut END) AS good FROM x JOIN u USING (measure) JOIN spreads USING (measure) WHERE x.lang IS NOT DISTINCT FROM u.lang AND x.source IS NOT DISTINCT FROM u.source GROUP BY rid)
 SELECT doc_id, n_words::bigint AS n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, failed AS base_failed, NOT failed AND coalesce(good, false) AS kept FROM s LEFT JOIN v USING (rid)"""
 
 
