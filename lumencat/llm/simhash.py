@@ -1,23 +1,25 @@
 """SimHash near-duplicates, found with vantage-point trees over the fingerprints.
 
-A vantage-point tree splits points by their distance d to a vantage point at a
-radius mu; a query within r of a point on the other side has |d - mu| <= r, so
-only boundary-overlapping branches are visited. On all 64 bits and r = 4 that
-prunes nothing: distances of unrelated fingerprints lie at 32 +- 4, and nearly
-every point overlaps every boundary (measured: a tree of 8 levels would copy
-each fingerprint into some 70 of 256 shards). So the distance of the tree is
-taken on one band of bits at a time. If two fingerprints differ in at most r
-bits, then on one of ``bands`` disjoint bands they differ in at most
-r // bands; each band has a tree of its own, whose shards overlap by that
-radius (0 for the production setting of r + 1 bands: a fingerprint then lies in
-one shard of each tree). Inside a shard, whole fingerprints are compared, again
-only where the triangle bound on the distance to a vantage point allows it.
-
-The trees are built on the driver from the counts of band values (at most
-bands * 2^13 numbers, whatever the input). A shard that one band value alone
-overfills is cut into blocks, and all pairs of blocks are searched as tasks of
-their own: bounded memory, no pair lost. Each task returns a spanning forest of
-its links, never all pairs.
+A vantage-point tree splits points by their Hamming distance d to a vantage
+point at a radius mu; a query within r of a point on the other side has
+|d - mu| <= r, so branches outside are pruned and boundary-overlapping ones are
+visited. On all 64 bits and r = 4 that prunes nothing: distances of unrelated
+fingerprints lie at 32 +- 4, and nearly every point overlaps every boundary
+(measured: a tree of 8 levels would copy each fingerprint into some 70 of 256
+shards). So the distance of a tree is taken on one band of bits at a time. If
+two fingerprints differ in at most r bits, then on one of ``bands`` disjoint
+bands they differ in at most r // bands; each band has a tree of its own, whose
+shards overlap by that radius. A fingerprint goes to every shard that some
+point of it may lie within that radius of; inside a shard, whole fingerprints
+are compared, again only where the triangle bound on the distance to a vantage
+point allows it. BANDS = 3 leaves bands of 21 bits and radius 1: wide bands keep
+shards apart when there are many fingerprints.
+
+The trees are built on the driver from SAMPLE fingerprints (chosen by a hash),
+whatever the input; they only say where to cut, and every fingerprint is routed.
+A shard of more than BLOCK_ROWS is cut into blocks, and all pairs of blocks are
+searched as tasks of their own: bounded memory, no pair lost. Each task returns
+a spanning forest of its links, never all pairs.
 
 Defined results: null and empty texts have fingerprint 0 and link like any
 other; copies of a row share its fingerprint; null doc_id: the row has a
@@ -38,12 +40,17 @@ from pyspark.sql import functions as F
 from .common import checkpointed, small_batches
 from .components import components
 
-#: Most rows of a shard, where its band has another value to split by.
+#: Disjoint bands of bits, and fingerprints that the trees are built from.
+BANDS = 3
+SAMPLE = 1 << 16
+#: Rows that a shard is to hold, where its band has another value to split by.
 SHARD_ROWS = 2048
 #: Most rows of a block of an overfull shard.
 BLOCK_ROWS = 20_000
 #: Shingles whose bits are counted at once.
 CHUNK = 1 << 15
+#: Parts of a class' fingerprints when they get its name.
+SALTS = 32
 
 
 def fingerprint(text: str | None, shingle: int = 4) -> int:
@@ -171,43 +178,52 @@ def links(fps: np.ndarray, distance: int, block: int = 256) -> tuple[np.ndarray,
     return (np.concatenate(roots), np.concatenate(members)) if roots else (none, none)
 
 
-def fingerprint_links(distinct: DataFrame, distance: int = 4, bands: int | None = None) -> DataFrame:
+def sampled_trees(distinct: DataFrame, bands: int) -> list[VPTree]:
+    """A tree for each band, cut where a shard of the whole table would hold about SHARD_ROWS."""
+    total = distinct.count()
+    sample = distinct.orderBy(F.xxhash64("fp"), "fp").limit(SAMPLE).select("fp").toArrow()["fp"].to_numpy().view(np.uint64)
+    most = max(1, SHARD_ROWS * len(sample) // max(total, 1))
+    trees = []
+    for shift, width in band_bits(bands):
+        values, counts = np.unique(band_values(sample, shift, width), return_counts=True)
+        trees.append(VPTree.build(values, counts, most) if len(values) else VPTree(leaf=0))
+    return trees
+
+
+def band_values(fps: np.ndarray, shift: int, width: int) -> np.ndarray:
+    return ((fps.view(np.uint64) >> np.uint64(shift)) & np.uint64((1 << width) - 1)).astype(np.int64)
+
+
+def fingerprint_links(distinct: DataFrame, distance: int = 4, bands: int = BANDS) -> DataFrame:
     """(a, b): links among distinct fingerprints (column fp) that connect all within ``distance``."""
-    bands = bands or distance + 1
     layout, radius = band_bits(bands), distance // bands
+    parts = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    distinct = distinct.select("fp").repartition(parts, "fp")
+    trees = sampled_trees(distinct, bands)
 
-    def value(band: int) -> Column:
-        shift, width = layout[band]
-        return F.shiftrightunsigned("fp", shift).bitwiseAND(F.lit((1 << width) - 1))
+    def reached(fp: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        """(shard, positions of the fingerprints that go there)."""
+        for band, (shift, width) in enumerate(layout):
+            for leaf, at in trees[band].reach(band_values(fp, shift, width), radius):
+                yield band << 32 | leaf, at
 
-    banded = distinct.select("fp", F.posexplode(F.array(*map(value, range(bands)))).alias("band", "value"))
-    trees = []
-    if max(w for _, w in layout) <= 13:  # one number for each value of a band
-        seen = banded.groupBy("band", "value").count().toPandas()
-    else:
-        raise ValueError("bands of more than 13 bits have too many values to count on the driver")
-    for band in range(bands):
-        own = seen[seen["band"] == band].sort_values("value")
-        trees.append(VPTree.build(own["value"].to_numpy("int64"), own["count"].to_numpy("int64"), SHARD_ROWS) if len(own) else VPTree(leaf=0))
-    weight = {}
-    for band, tree in enumerate(trees):
-        own = seen[seen["band"] == band]
-        counts = own["count"].to_numpy("int64")
-        for leaf, at in tree.reach(own["value"].to_numpy("int64"), radius):
-            weight[band, leaf] = int(counts[at].sum())
-    blocks = {k: -(-n // BLOCK_ROWS) for k, n in weight.items() if n > BLOCK_ROWS}
+    def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [(shard, len(at)) for shard, at in reached(batch.column(0).to_numpy())]
+            yield pa.RecordBatch.from_pydict({"shard": pa.array([s for s, _ in found], pa.int64()), "n": pa.array([n for _, n in found], pa.int64())})
+
+    # one row for each shard, and there are no more shards than sampled values
+    weight = distinct.mapInArrow(weigh, "shard bigint, n bigint").groupBy("shard").agg(F.sum("n").alias("n")).where(F.col("n") > BLOCK_ROWS).collect()
+    blocks = {r["shard"]: -(-r["n"] // BLOCK_ROWS) for r in weight}
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fp = batch.column(0).to_numpy()
             out = []
-            for band, (shift, width) in enumerate(layout):
-                values = ((fp.view(np.uint64) >> np.uint64(shift)) & np.uint64((1 << width) - 1)).astype(np.int64)
-                for leaf, at in trees[band].reach(values, radius):
-                    own, g = fp[at], blocks.get((band, leaf), 1)
-                    mine = (own.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(40)).astype(np.int64) % g
-                    shard = np.full(len(at), band * 1_000_000 + leaf)
-                    out += [(shard, np.minimum(mine, other) * g + np.maximum(mine, other), own) for other in range(g)]
+            for shard, at in reached(fp):
+                own, g = fp[at], blocks.get(shard, 1)
+                mine = (own.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(40)).astype(np.int64) % g
+                out += [(np.full(len(at), shard), np.minimum(mine, other) * g + np.maximum(mine, other), own) for other in range(g)]
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out, strict=True)], names=["shard", "task", "fp"])
 
@@ -216,7 +232,7 @@ def fingerprint_links(distinct: DataFrame, distance: int = 4, bands: int | None
         a, b = links(shard["fp"].to_numpy().view(np.uint64), distance)
         return pa.table({"a": a.view(np.int64), "b": b.view(np.int64)})
 
-    routed = distinct.select("fp").mapInArrow(route, "shard bigint, task bigint, fp bigint")
+    routed = distinct.mapInArrow(route, "shard bigint, task bigint, fp bigint")
     return routed.groupBy("shard", "task").applyInArrow(search, "a bigint, b bigint").distinct()
 
 
@@ -225,9 +241,14 @@ def rooted(docs: DataFrame, distance: int = 4, shingle: int = 4, doc_id: str = "
     rows = checkpointed(fingerprints(docs, shingle, doc_id, text, carry))
     distinct = checkpointed(rows.groupBy("fp").agg(F.min("doc_id").alias("least")))
     roots = components(fingerprint_links(distinct, distance)).select(F.col("node").alias("fp"), "root")
-    classes = distinct.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    names = classes.groupBy("root").agg(F.min("least").alias("component_id"))
-    return rows.join(classes.join(names, "root").select("fp", "component_id", "root"), "fp").select(*rows.columns, "component_id", "root")
+    linked = distinct.join(roots, "fp")
+    # a class of very many fingerprints is named in SALTS parts
+    names = linked.groupBy("root").agg(F.min("least").alias("name")).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    named = linked.withColumn("salt", F.pmod(F.xxhash64("fp"), F.lit(SALTS)).cast("int")).join(names, ["root", "salt"]).select("fp", "root", "name")
+    classes = distinct.join(named, "fp", "left").select(
+        "fp", F.when(F.col("root").isNull(), F.col("least")).otherwise(F.col("name")).alias("component_id"), F.coalesce("root", "fp").alias("root")
+    )
+    return rows.join(classes, "fp").select(*rows.columns, "component_id", "root")
 
 
 def near_duplicates(docs: DataFrame, distance: int = 4, shingle: int = 4, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -14,12 +14,9 @@ from . import packing as packing_op
 from . import quality_classifier as classifier
 from . import quality_rules as rules
 from . import simhash
-from .common import checkpointed, table
+from .common import checkpointed, stored, table
 from .queries import WORD_BPE
 
-#: Keys of kept documents that may be broadcast.
-MOST_BROADCAST = 500_000
-
 
 def _wrapped(docs: DataFrame) -> DataFrame:
     """The columns that operators read, and all columns as one, so that no name of theirs clashes."""
@@ -61,18 +58,18 @@ def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """One row of each near-duplicate group: the least by id (null ids last), fingerprint and hashes of its text and row.
 
     Every group keeps a row, also where ids are null or one id has several texts.
+    The kept rows' keys are a table of their own: Spark joins the texts with it,
+    by a shuffle beyond its broadcast threshold.
     """
     keys = _row_keys(docs)
     found = checkpointed(simhash.rooted(docs, carry=keys))
     order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("sd_id"), "fp", *keys)
-    keep = checkpointed(found.groupBy("root").agg(F.min(order).alias("first")).select("first.sd_id", *[F.col(f"first.{k}").alias(f"{k}_kept") for k in keys]))
+    keep = stored(found.groupBy("root").agg(F.min(order).alias("first")).select("first.sd_id", *[F.col(f"first.{k}").alias(f"{k}_kept") for k in keys]))
     repeated = found.count() > found.select("doc_id", *keys).distinct().count()
-    # up to some 50 MB of keys go to the tasks, so that texts need no shuffle; more are joined by one
-    chosen = F.broadcast(keep) if keep.count() <= MOST_BROADCAST else keep
     match = F.col("doc_id").eqNullSafe(F.col("sd_id"))
     for k in keys:
         match = match & (F.col(k) == F.col(f"{k}_kept"))
-    kept = docs.select("doc_id", F.struct("*").alias("whole_doc"), *[c.alias(k) for k, c in keys.items()]).join(chosen, match, "left_semi")
+    kept = docs.select("doc_id", F.struct("*").alias("whole_doc"), *[c.alias(k) for k, c in keys.items()]).join(keep, match, "left_semi")
     # rows that agree in all columns
     return _unwrapped(kept.dropDuplicates(["doc_id", *keys]) if repeated else kept, docs)
 
