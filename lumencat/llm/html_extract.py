@@ -1,20 +1,21 @@
 """Main-text extraction by a maximum-scoring subsequence of a page's tokens.
 
 A page becomes a sequence of tags and pieces of text. A piece scores its words
-times the weight of the element it stands in; a tag scores below zero. One
-linear scan (Kadane's) finds the contiguous region of the highest score: the
-content. Text of the region that stands in an element known for boilerplate is
-left out.
+times the sum of its features' weights: of the element it stands in, of
+standing in an element whose name, class, id or role is a cue for boilerplate,
+and of standing in the page's ``article`` or ``main``. A tag scores below zero.
+One linear scan (Kadane's) finds the contiguous region of the highest score: the
+content. Pieces of the region that score below zero are left out.
 
 Weights are log-odds of lying inside a page's ``article`` or ``main`` element,
 learned from a bounded sample of pages that mark it (the labelled pages). Keys
-are an element's name with its first class or id. Keys not seen there fall back
-to the element's name and to names in use for boilerplate.
+are an element's name with its first class or id; keys not seen there fall back
+to the element's name. Where no page is labelled, PRIORS stand in.
 
 Defined results: null or empty html: empty text; unclosed elements end where
-their parent does; cut-off tags, comments and references stay or go as a browser
-would have it; repeated pages give repeated rows; empty table: no rows. Nothing
-is dropped or capped for length.
+their parent does; a tag or comment that the page's end cuts off goes with what
+it holds, as in a browser; repeated pages give repeated rows; empty table: no
+rows. Nothing is dropped or capped for length, and time is linear in it.
 """
 
 from __future__ import annotations
@@ -33,13 +34,18 @@ from .common import small_batches
 #: Pages that weights are learned from, chosen by a hash of their id.
 MAX_LABELLED = 2000
 
+#: Weights of the features cue and content where nothing is labelled, and the range of what is learned: cues outweigh all else.
+PRIORS = {"f:cue": -4.0, "f:content": 2.0}
+RANGES = {"w": (-1.0, 1.0), "f:cue": (-4.0, 0.0), "f:content": (0.0, 2.0)}
+
+# quotes count after = only; an attribute that the page's end cuts off takes the rest of the page
+_ATTRS = r"(?:=\s*+(?:\"[^\"]*+(?:\"|\Z)|'[^']*+(?:'|\Z))|[^>])*+"
 TOKEN = re.compile(
-    r"<!--.*?(?:-->|$)"
-    r"|<(?P<raw>script|style|noscript|template|textarea|title|iframe|select|svg(?!(?:[^>\"']|\"[^\"]*\"|'[^']*')*+(?<=/)>))\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>.*?(?:</(?P=raw)\s*>|$)"
-    r"|<(?P<end>/?)(?P<name>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
-    r"|<[!?/][^>]*(?:>|$)"
-    r"|<[a-zA-Z][^<>]*(?:>|$)"
-    r"|[^<]+|<",
+    r"<!--.*?(?:-->|\Z)"
+    rf"|<(?P<raw>script|style|noscript|template|textarea|title|iframe|select|svg(?!{_ATTRS}(?<=/)>))\b{_ATTRS}(?:>.*?(?:</(?P=raw)\s*>|\Z)|\Z)"
+    rf"|<(?P<end>/?)(?P<name>[a-zA-Z][a-zA-Z0-9:-]*+)(?P<attrs>{_ATTRS})(?:>|\Z)"
+    r"|<[!?/][^>]*+(?:>|\Z)"
+    r"|[^<]++|<",
     re.DOTALL | re.IGNORECASE,
 )
 ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
@@ -86,18 +92,48 @@ def key_of(name: str, attrs: str, inside: bool = False) -> tuple[str, bool]:
     return f"{name}.{label}" if label else name, marked
 
 
+class _Open:
+    """The open elements of a page; every question about them takes constant time."""
+
+    def __init__(self):
+        self.stack: list[tuple[str, str, bool, bool]] = []  # name, key, boilerplate, content
+        self.places: dict[str, list[int]] = {}  # where each name stands
+        self.blocks: list[int] = []  # where what is not inline stands
+
+    def push(self, name: str, key: str, boiler: bool, content: bool) -> None:
+        self.places.setdefault(name, []).append(len(self.stack))
+        if name not in INLINE:
+            self.blocks.append(len(self.stack))
+        self.stack.append((name, key, boiler, content))
+
+    def pop(self) -> None:
+        name = self.stack.pop()[0]
+        self.places[name].pop()
+        if name not in INLINE:
+            self.blocks.pop()
+
+    def close(self, name: str) -> bool:
+        """End the innermost element of a name and all in it; an inline one does not reach out of its block."""
+        if not self.places.get(name):
+            return True
+        at = self.places[name][-1]
+        if name in INLINE and self.blocks and self.blocks[-1] > at:
+            return False
+        while len(self.stack) > at:
+            self.pop()
+        return True
+
+    def top(self) -> tuple[str, bool, bool]:
+        return self.stack[-1][1:] if self.stack else ("", False, False)
+
+
 def tokens(page: str | None) -> Iterator[tuple[str, str, str, bool, bool]]:
     """(kind, value, element key, boilerplate, in article or main) of a page's tags and texts.
 
     Kinds: ``text``, ``open`` and ``close`` (value: the element's name).
     """
-    stack: list[tuple[str, str, bool, bool]] = []  # name, key, boilerplate, content
-
-    in_head = False
-
-    def state() -> tuple[str, bool, bool]:
-        return stack[-1][1:] if stack else ("", False, False)
-
+    have = _Open()
+    stack, in_head = have.stack, False
     for m in TOKEN.finditer(page or ""):
         name = m["name"]
         if in_head:  # ends at its end tag, or before the first text or tag that a head does not hold
@@ -112,51 +148,49 @@ def tokens(page: str | None) -> Iterator[tuple[str, str, str, bool, bool]]:
             text = m[0]
             if m["raw"] or (text[0] == "<" and len(text) > 1):
                 continue
-            yield "text", html_module.unescape(text) if "&" in text else text, *state()
+            yield "text", html_module.unescape(text) if "&" in text else text, *have.top()
             continue
         name = name.lower()
         if name == "head":  # one inside the body is ignored
-            in_head = not m["end"] and all(s[0] == "html" for s in stack)
+            in_head = not m["end"] and len(stack) == len(have.places.get("html", ()))
             continue
         if m["end"]:
-            at = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), None)
-            if at is not None:
-                # an inline end tag does not reach out of its block
-                if name in INLINE and any(s[0] not in INLINE for s in stack[at:]):
-                    continue
-                del stack[at:]
-            yield "close", name, *state()
+            if have.close(name):
+                yield "close", name, *have.top()
             continue
         if name in CONTENT:
-            while stack and stack[-1][2] and not any(s[3] for s in stack):
-                stack.pop()
-        elif name == "p" or name not in INLINE:
+            while stack and stack[-1][2] and not stack[-1][3]:
+                have.pop()
+        elif name not in INLINE and name not in VOID:
             # an open paragraph ends where the next block begins
-            while stack and name not in VOID and (stack[-1][0] == "p" or (stack[-1][0] in INLINE and any(s[0] == "p" for s in stack))):
-                stack.pop()
-        _, boiler, content = state()
+            while stack and (stack[-1][0] == "p" or (stack[-1][0] in INLINE and have.places.get("p"))):
+                have.pop()
+        _, boiler, content = have.top()
         inside = content or name in CONTENT
         key, marked = key_of(name, m["attrs"], inside)
         # a header inside the article may carry its title
         marked = marked and not (name == "header" and inside and "." not in key)
         if name not in VOID and not m["attrs"].endswith("/"):
-            own = key if name not in INLINE else (stack[-1][1] if stack else key)
-            stack.append((name, own, boiler or marked, inside))
+            have.push(name, key if name not in INLINE else (stack[-1][1] if stack else key), boiler or marked, inside)
         yield "open", name, key, boiler or marked, inside
 
 
 def page_counts(page: str | None) -> dict[str, list[int]]:
-    """Inside and outside counts of text words and tags by key, for a page that marks its content."""
+    """Inside and outside counts of text words and tags by feature, for a page that marks its content."""
     out: dict[str, list[int]] = {}
-    for kind, value, key, _boiler, content in tokens(page):
-        if kind == "text":
-            n, key = len(value.split()), "w:" + key
+
+    def add(key: str, n: int, content: bool) -> None:
+        out.setdefault(key, [0, 0])[0 if content else 1] += n
+
+    for kind, value, key, boiler, content in tokens(page):
+        if kind == "text" and (n := len(value.split())):
+            add("w:" + key, n, content)
+            if boiler:
+                add("f:cue", n, content)
+            if content:
+                add("f:content", n, content)
         elif kind == "open":
-            n, key = 1, "t:" + key
-        else:
-            continue
-        if n:
-            out.setdefault(key, [0, 0])[0 if content else 1] += n
+            add("t:" + key, 1, content)
     return out if any(a for a, _ in out.values()) else {}
 
 
@@ -184,42 +218,50 @@ def learn_weights(pages: DataFrame, page_id: str = "page_id", html: str = "html"
     for r in sums.collect():  # the keys of at most ``most`` pages
         odds = math.log((r["inside"] + 0.5) / (r["outside"] + 0.5))
         # words score positive where content holds them; tags always negative
-        out[r["key"]] = max(-1.0, min(1.0, odds)) if r["key"].startswith("w:") else -max(0.01, min(1.0, -odds))
+        low, high = RANGES.get(r["key"]) or RANGES["w"]
+        out[r["key"]] = -max(0.01, min(1.0, -odds)) if r["key"].startswith("t:") else max(low, min(high, odds))
     return out
 
 
-def extract(page: str | None, weights: dict[str, float]) -> str:
-    """The main text of a page."""
-    parts: list[tuple[float, str, bool]] = []  # score, text, whether a block ends here
+def scored_pieces(page: str | None, weights: dict[str, float]) -> list[tuple[float, str | None]]:
+    """(score, text) of a page's tokens; None stands for the end of a block."""
+    cue, within = (weights.get(f, PRIORS[f]) for f in ("f:cue", "f:content"))
+    parts: list[tuple[float, str | None]] = []
     for kind, value, key, boiler, content in tokens(page):
         if kind != "text":
             if value not in INLINE:
-                parts.append((weights.get("t:" + (key if kind == "open" else value), -0.1), "", True))
+                parts.append((weights.get("t:" + (key if kind == "open" else value), -0.1), None))
             continue
-        n = len(value.split())
-        name = key.split(".")[0]
-        # an element that the labelled pages do not hold: by its name, else by where it stands
-        known = weights.get("w:" + key, weights.get("w:" + name, 1.0))
-        if boiler:
-            parts.append((-0.05 * n, "", False))
-        elif content:
-            parts.append((max(known, 0.5) * n, value, False))
-        else:
-            parts.append((known * n, value, False))
-    best, best_at, total, start = 0.0, (0, 0), 0.0, 0
-    for i, (score, _, _) in enumerate(parts):
+        # an element that the labelled pages do not hold: by its name, else as content
+        known = weights.get("w:" + key, weights.get("w:" + key.split(".")[0], 1.0))
+        weight = known + cue * boiler + within * content
+        # what stands out of place costs the region little: an advert does not end an article
+        parts.append((len(value.split()) * (weight if weight > 0 else max(weight, -0.05 if boiler else weight)), value))
+    return parts
+
+
+def best_region(scores: list[float]) -> tuple[int, int]:
+    """The contiguous run of the highest total, in one pass (Kadane's scan)."""
+    best, at, total, start = 0.0, (0, 0), 0.0, 0
+    for i, score in enumerate(scores):
         if total <= 0:
             total, start = 0.0, i
         total += score
         if total > best:
-            best, best_at = total, (start, i + 1)
+            best, at = total, (start, i + 1)
+    return at
+
+
+def extract(page: str | None, weights: dict[str, float]) -> str:
+    """The main text of a page."""
+    parts = scored_pieces(page, weights)
     blocks, open_ = [], []
-    for _, text, ends in [*parts[slice(*best_at)], (0.0, "", True)]:
-        if ends:
+    for score, text in [*parts[slice(*best_region([s for s, _ in parts]))], (0.0, None)]:
+        if text is None:
             if block := " ".join("".join(open_).split()):
                 blocks.append(block)
             open_ = []
-        elif text:
+        elif score >= 0:
             open_.append(text)
     return " ".join(blocks)
 
