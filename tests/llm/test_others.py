@@ -3,6 +3,7 @@
 import hashlib
 import html as html_module
 import re
+import time
 
 import numpy as np
 import pytest
@@ -136,6 +137,38 @@ def test_html_never_fails(page):
     html_extract.extract(page, WEIGHTS)
 
 
+LABELLED = (
+    "<body><ul><li>home news about</li></ul><div class=zq7>words of a box that no list of names knows</div>"
+    "<article><h1>Some title</h1><p>First words of the text.</p><p>Second words of it.</p></article><div class=zq7>more of that box</div><footer>the foot of it</footer>"
+)
+UNLABELLED = (
+    "<body><ul><li>home news about</li></ul><div class=zq7>words of a box that no list of names knows</div>"
+    "<div class=post><h1>Some title</h1><p>First words of the text.</p><p>Second words of it.</p></div><div class=zq7>more of that box</div>" + "<ul><li></li></ul>" * 30 + "<p>far away</p>"
+)
+
+
+def test_html_weights_and_scan_decide(spark, monkeypatch):
+    """Without the learned weights, or without the scan, the same page gives another text."""
+    pages = spark.createDataFrame([(i, LABELLED) for i in range(5)], "page_id bigint, html string")
+    weights, want = html_extract.learn_weights(pages), "Some title First words of the text. Second words of it."
+    assert weights["w:div.zq7"] < 0 < weights["w:p"] and weights["f:cue"] < 0 < weights["f:content"]
+    assert html_extract.extract(UNLABELLED, weights) == want and html_extract.extract(LABELLED, weights) == want
+    assert "box" in html_extract.extract(UNLABELLED, {})
+    monkeypatch.setattr(html_extract, "best_region", lambda scores: (0, len(scores)))
+    assert html_extract.extract(UNLABELLED, weights) == want + " far away"
+
+
+@pytest.mark.parametrize(
+    "page",
+    ["<a \"x" * 170_000, "<a b=\"x" * 150_000 + ">", "<div>" * 80_000 + "</x>" * 80_000, "<b>" + "<div>" * 80_000 + "</b>" * 80_000, "<i><div>" * 80_000, "<div>" + "<i>" * 120_000 + "</b>" * 80_000,
+     "<head>" * 100_000 + "<p>x", "<svg x='" * 100_000, "<p>" + "<i>" * 100_000 + "<p>" * 100_000, "<!--" * 200_000, "<script>" * 100_000, "a &amp; <b" * 100_000, "<a " + "b " * 400_000 + ">"],
+)
+def test_html_hostile_pages_take_linear_time(page):
+    began = time.process_time()
+    html_extract.extract(page, WEIGHTS)
+    assert time.process_time() - began < 5
+
+
 def test_html_without_labelled_pages(spark):
     df = spark.createDataFrame([(1, None), (2, "<p>hello you</p>"), (2, "<p>hello you</p>")], "page_id bigint, html string")
     assert html_extract.learn_weights(df) == {} and html_extract.learn_weights(df.limit(0)) == {}
