@@ -8,13 +8,14 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def among(x: Column, starts: Sequence[float], leaf: Callable[[int], Column]) -> Column:
-    """leaf(i) for the last start i that is not above x (leaf(0) below the first)."""
+def among(x: Column, starts: Sequence[float | Column | None], leaf: Callable[[int], Column]) -> Column:
+    """leaf(i) for the last start i that is not above x (leaf(0) below the first); starts are numbers or literal columns."""
 
     def tree(lo: int, hi: int) -> Column:
         if hi - lo == 1:
             return leaf(lo)
         middle = (lo + hi) // 2
-        return F.when(x < float(starts[middle]), tree(lo, middle)).otherwise(tree(middle, hi))
+        start = starts[middle]
+        return F.when(x < (start if isinstance(start, Column) else float(start)), tree(lo, middle)).otherwise(tree(middle, hi))
 
     return tree(0, len(starts))

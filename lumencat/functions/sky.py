@@ -97,13 +97,17 @@ def grid_index(ra: Column, dec: Column, box: Box, n_ra: int, n_dec: int) -> Colu
 def assign_pointing(df: DataFrame, pointings: DataFrame, ra: str = "ra_gal", dec: str = "dec_gal", cell: float = 1.0) -> DataFrame:
     """Rows with the pointing_id of every tile of arbitrary bounds that holds them (lower edges in, upper out).
 
-    A range join as an equi-join: tiles are spread over the one-degree rows of
-    declination that they touch, so a row meets only tiles of its own row.
+    A range join as an equi-join: tiles are spread over the cells of one degree
+    each way that they touch, so a row meets only tiles of its own cell.
     """
+    around = math.ceil(360 / cell)
+    place = lambda x: F.pmod(F.floor(x / cell), F.lit(around))
+    wraps = F.col("ra_min") > F.col("ra_max")
+    last = F.col("ra_max") + F.when(wraps, 360.0).otherwise(0.0)
     tiles = pointings.select("pointing_id", "ra_min", "ra_max", "dec_min", "dec_max")
     tiles = tiles.withColumn("strip", F.explode(F.sequence(F.floor(F.col("dec_min") / cell), F.floor(F.col("dec_max") / cell))))
-    rows = df.withColumn("strip", F.floor(F.col(dec) / cell))
-    wraps = F.col("ra_min") > F.col("ra_max")
+    tiles = tiles.withColumn("column", F.explode(F.array_distinct(F.transform(F.sequence(F.floor(F.col("ra_min") / cell), F.floor(last / cell)), lambda k: F.pmod(k, F.lit(around))))))
+    rows = df.withColumns({"strip": F.floor(F.col(dec) / cell), "column": place(F.col(ra))})
     inside = F.when(wraps, (F.col(ra) >= F.col("ra_min")) | (F.col(ra) < F.col("ra_max"))).otherwise((F.col(ra) >= F.col("ra_min")) & (F.col(ra) < F.col("ra_max")))
-    joined = rows.join(tiles, "strip").where(inside & (F.col(dec) >= F.col("dec_min")) & (F.col(dec) < F.col("dec_max")))
+    joined = rows.join(tiles, ["strip", "column"]).where(inside & (F.col(dec) >= F.col("dec_min")) & (F.col(dec) < F.col("dec_max")))
     return joined.select(*df.columns, "pointing_id")

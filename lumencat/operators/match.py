@@ -6,17 +6,27 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import add
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Reference rows that one array of a broadcast row may hold.
-BROADCAST_ROWS = 20_000
+#: Most numbers (rows times attributes) of a reference that every task gets: 64 MB.
+BROADCAST_VALUES = 8_000_000
 #: Attributes by which cells are formed; each neighbouring cell is looked up.
 CELL_DIMENSIONS = 3
+#: Pairs of rows whose distances a task holds at a time.
+PAIRS = 2_000_000
+#: Rows of a cell from which it is split, and parts that it is split into.
+HOT_CELL = 20_000
+SALTS = 16
 
 
-def _distance2(left: Sequence[str], right: Sequence[Column]) -> Column:
-    return reduce(add, [(F.col(a) - b) * (F.col(a) - b) for a, b in zip(left, right, strict=True)])
+def _checked(sim_attrs: Sequence[str], ref_attrs: Sequence[str], props: Mapping[str, str], fallback: Mapping[str, object] | None) -> None:
+    if len(sim_attrs) != len(ref_attrs) or not sim_attrs:
+        raise ValueError("both sides need the same number of attributes")
+    if missing := {*(fallback or {})} - {*props}:
+        raise KeyError(f"fallback for unknown properties: {sorted(missing)}")
 
 
 def nearest_property(
@@ -29,38 +39,123 @@ def nearest_property(
     r_max: float,
     fallback: Mapping[str, object] | None = None,
     row_id: str = "unique_gal_id",
-    salts: int = 16,
 ) -> DataFrame:
     """sim with props (reference column: new name) of the nearest reference row closer than r_max.
 
-    The distance join is an equi-join on cells of side r_max: reference rows
-    are copied to the neighbouring cells, rows of sim stay in theirs. Rows of
-    sim are salted inside their cell, so a hot cell (non-detections pile up)
-    is many tasks; the salt copies only that cell's reference rows. Ties go to
-    the smallest ref_id; a property without a neighbour is its fallback.
+    A reference of up to BROADCAST_VALUES numbers goes to every task, which
+    solves its batches of sim cell by cell: sim is read once and not shuffled.
+    A larger one is joined by cells. Both give the same rows. Ties go to the
+    smallest ref_id; a property without a neighbour is its fallback. Rows with a
+    missing attribute have no neighbour.
     """
-    if len(sim_attrs) != len(ref_attrs) or not sim_attrs:
-        raise ValueError("both sides need the same number of attributes")
-    if missing := {*(fallback or {})} - {*props}:
-        raise KeyError(f"fallback for unknown properties: {sorted(missing)}")
+    _checked(sim_attrs, ref_attrs, props, fallback)
+    most = BROADCAST_VALUES // len(ref_attrs)
+    found = ref.where(reduce(lambda a, b: a & b, [F.col(a).isNotNull() for a in ref_attrs]))
+    if found.limit(most + 1).count() <= most:
+        return _by_broadcast(sim, found, sim_attrs, ref_attrs, props, ref_id, r_max, fallback or {})
+    return _by_cells(sim, found, sim_attrs, ref_attrs, props, ref_id, r_max, fallback or {}, row_id)
+
+
+class CellIndex:
+    """Reference points sorted by cells of side r_max in the first dimensions."""
+
+    def __init__(self, points: np.ndarray, r_max: float):
+        self.r_max, self.dims = r_max, min(CELL_DIMENSIONS, points.shape[1])
+        cells = self._cells(points)
+        self.low, self.shape = (cells.min(axis=0), np.ptp(cells, axis=0) + 1) if len(points) else (np.zeros(self.dims, np.int64), np.zeros(self.dims, np.int64))
+        keys = self._keys(cells)
+        self.order = np.argsort(keys, kind="stable")
+        self.keys, self.points = keys[self.order], points[self.order]
+        self.around = np.stack(np.meshgrid(*[np.array([-1, 0, 1])] * self.dims, indexing="ij"), -1).reshape(-1, self.dims)
+
+    def _cells(self, x: np.ndarray) -> np.ndarray:
+        return np.floor(np.clip(x[:, : self.dims] / self.r_max, -(2.0**40), 2.0**40)).astype(np.int64)
+
+    def _keys(self, cells: np.ndarray) -> np.ndarray:
+        """A cell's number, the lowest outside the reference's range; cells that share one are told apart by distance."""
+        at = cells - self.low
+        inside = ((at >= 0) & (at < self.shape)).all(axis=1)
+        key = np.zeros(len(cells), np.int64)
+        for i in range(self.dims):
+            key = key * np.int64(1_000_003) + at[:, i]
+        return np.where(inside, key, np.iinfo(np.int64).min)
+
+    def nearest(self, x: np.ndarray) -> np.ndarray:
+        """Position of the nearest reference point closer than r_max, the first on ties; -1 without one."""
+        best, at = np.full(len(x), np.inf), np.full(len(x), -1, np.int64)
+        rows = np.flatnonzero(np.isfinite(x).all(axis=1))
+        if not len(self.points) or not len(rows):
+            return at
+        cells = self._cells(x[rows])
+        for shift in self.around:
+            keys = self._keys(cells + shift)
+            first, last = np.searchsorted(self.keys, keys), np.searchsorted(self.keys, keys, "right")
+            count = np.where(keys == np.iinfo(np.int64).min, 0, last - first)
+            busy = np.flatnonzero(count)
+            ends = np.cumsum(count[busy])
+            done = 0
+            while done < len(busy):
+                # as many rows as fit PAIRS, one at least
+                upto = max(int(np.searchsorted(ends, (ends[done - 1] if done else 0) + PAIRS, "right")), done + 1)
+                part = busy[done:upto]
+                done = upto
+                n = count[part]
+                begin = np.cumsum(n) - n
+                ref = np.repeat(first[part] - begin, n) + np.arange(int(n.sum()))
+                d2 = ((x[rows[np.repeat(part, n)]] - self.points[ref]) ** 2).sum(axis=1)
+                least = np.minimum.reduceat(d2, begin)
+                position = np.where(d2 == np.repeat(least, n), self.order[ref], np.iinfo(np.int64).max)
+                position = np.minimum.reduceat(position, begin)
+                own = rows[part]
+                better = (least < self.r_max**2) & ((least < best[own]) | ((least == best[own]) & (position < at[own])))
+                best[own[better]], at[own[better]] = least[better], position[better]
+        return at
+
+
+def _collected(ref: DataFrame, ref_id: str, columns: Sequence[Column], props: Mapping[str, str]) -> tuple[pd.DataFrame, DataFrame]:
+    """The reference's attributes in the order of its ids, and its properties by position, as a table to broadcast; size checked before."""
+    spark = ref.sparkSession
+    rows = ref.orderBy(ref_id).select(*[c.alias(f"_a{i}") for i, c in enumerate(columns)], F.struct(*[F.col(p).alias(f"_p{i}") for i, p in enumerate(props)]).alias("_best")).toArrow()
+    placed = rows.select(["_best"]).append_column("_at", [np.arange(rows.num_rows)])
+    values = spark.createDataFrame(placed) if rows.num_rows else spark.createDataFrame([], ref.select(F.struct(*[F.col(p).alias(f"_p{i}") for i, p in enumerate(props)]).alias("_best"), F.lit(0).cast("bigint").alias("_at")).schema)
+    return rows.drop_columns(["_best"]).to_pandas(), values
+
+
+def _by_broadcast(sim: DataFrame, ref: DataFrame, sim_attrs: Sequence[str], ref_attrs: Sequence[str], props: Mapping[str, str], ref_id: str, r_max: float, fallback: Mapping[str, object]) -> DataFrame:
+    points, values = _collected(ref, ref_id, [F.col(a).cast("double") for a in ref_attrs], props)
+    shared = sim.sparkSession.sparkContext.broadcast(points.to_numpy(float).reshape(-1, len(ref_attrs)))
+    made: dict[int, CellIndex] = {}
+
+    @F.pandas_udf("bigint")
+    def nearest(x: pd.DataFrame) -> pd.Series:
+        if 0 not in made:
+            made[0] = CellIndex(shared.value, r_max)
+        return pd.Series(made[0].nearest(x.to_numpy(float)))
+
+    attrs = F.struct(*[F.col(a).cast("double").alias(f"_s{i}") for i, a in enumerate(sim_attrs)])
+    out = sim.withColumn("_at", nearest(attrs)).join(F.broadcast(values), "_at", "left")
+    return _filled(out, ref, props, fallback, sim.columns)
+
+
+def _by_cells(
+    sim: DataFrame, ref: DataFrame, sim_attrs: Sequence[str], ref_attrs: Sequence[str], props: Mapping[str, str], ref_id: str, r_max: float, fallback: Mapping[str, object], row_id: str
+) -> DataFrame:
+    """An equi-join on cells: reference rows are copied to the neighbouring cells, and to each salt of a hot cell of sim."""
     dims = range(min(CELL_DIMENSIONS, len(sim_attrs)))
     cell = lambda c: F.floor(F.col(c) / r_max)
     keys = [f"_c{i}" for i in dims]
     left = sim.select(row_id, *sim_attrs).withColumns({f"_c{i}": cell(sim_attrs[i]) for i in dims})
-    left = left.withColumn("_salt", F.pmod(F.xxhash64(row_id), F.lit(salts)))
+    hot = left.groupBy(*keys).count().where(F.col("count") > HOT_CELL).select(*keys, F.lit(SALTS).alias("_parts"))
+    left = left.join(hot, keys, "left").withColumn("_salt", F.pmod(F.xxhash64(row_id), F.coalesce("_parts", F.lit(1))).cast("int")).drop("_parts")
     right = ref.select(F.col(ref_id).alias("_ref"), *[F.col(a).alias(f"_a{i}") for i, a in enumerate(ref_attrs)], *[F.col(p).alias(f"_p{i}") for i, p in enumerate(props)])
     for i in dims:
-        around = F.array(*[cell(f"_a{i}") + d for d in (-1, 0, 1)])
-        right = right.withColumn(f"_c{i}", F.explode(around))
-    # copies only for salts of cells that hold rows: a cell of few rows has few
-    present = left.select(*keys, "_salt").distinct()
-    right = right.join(present, keys)
-    d2 = _distance2(sim_attrs, [F.col(f"_a{i}") for i in range(len(ref_attrs))])
+        right = right.withColumn(f"_c{i}", F.explode(F.array(*[cell(f"_a{i}") + d for d in (-1, 0, 1)])))
+    right = right.join(hot, keys, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1))).drop("_parts")
+    d2 = reduce(add, [(F.col(a) - F.col(f"_a{i}")) * (F.col(a) - F.col(f"_a{i}")) for i, a in enumerate(sim_attrs)])
     near = left.join(right, [*keys, "_salt"]).withColumn("_d2", d2).where(F.col("_d2") < r_max * r_max)
     values = F.struct(*[f"_p{i}" for i in range(len(props))])
     best = near.groupBy(row_id).agg(F.min_by(values, F.struct("_d2", "_ref")).alias("_best"))
-    out = sim.join(best, row_id, "left")
-    return _filled(out, ref, props, fallback or {}, sim.columns)
+    return _filled(sim.join(best, row_id, "left"), ref, props, fallback, sim.columns)
 
 
 def _filled(out: DataFrame, ref: DataFrame, props: Mapping[str, str], fallback: Mapping[str, object], columns: Sequence[str]) -> DataFrame:
@@ -71,19 +166,61 @@ def _filled(out: DataFrame, ref: DataFrame, props: Mapping[str, str], fallback:
     return out.select(*columns, *[value(i, p).alias(name) for i, (p, name) in enumerate(props.items())])
 
 
+def nearest_vectors(x: np.ndarray, points: np.ndarray) -> np.ndarray:
+    """Position of each row's nearest point, the first on ties.
+
+    Matrix products leave the points whose distance lies within rounding of the
+    least; these are measured exactly.
+    """
+    at = np.empty(len(x), np.int64)
+    squares, scale = (points**2).sum(axis=1), 1e-9
+    for i in range(0, len(x), max(1, PAIRS // max(len(points), 1))):
+        part = x[i : i + max(1, PAIRS // max(len(points), 1))]
+        own = (part**2).sum(axis=1)
+        d2 = own[:, None] + squares - 2 * part @ points.T
+        row, ref = np.nonzero(d2 <= d2.min(axis=1)[:, None] + scale * (own[:, None] + squares.max()))
+        exact = ((part[row] - points[ref]) ** 2).sum(axis=1)
+        order = np.lexsort((ref, exact, row))
+        first = order[np.concatenate(([True], np.diff(row[order]) > 0))]
+        at[i : i + len(part)] = ref[first]
+    return at
+
+
 def nearest_unbounded(sim: DataFrame, ref: DataFrame, vector: str, ref_vector: str, props: Mapping[str, str], ref_id: str, row_id: str) -> DataFrame:
     """sim with props of the nearest reference row by Euclidean distance of vector columns, without a bound.
 
-    The reference is cut into blocks of BROADCAST_ROWS rows; each row of sim
-    meets one block at a time, and the best of all blocks is kept.
+    The reference goes to every task, in blocks of up to BROADCAST_VALUES
+    numbers: batches of sim meet a block by matrix products, and the best of all
+    blocks is kept. Ties go to the smallest ref_id. Vectors that are null or of
+    another length than the reference's have no neighbour.
     """
-    n = max(1, -(-ref.count() // BROADCAST_ROWS))
-    values = F.struct(*[F.col(p).alias(f"_p{i}") for i, p in enumerate(props)])
-    blocks = ref.select(F.pmod(F.xxhash64(ref_id), F.lit(n)).alias("_block"), F.struct(F.col(ref_id).alias("id"), F.col(ref_vector).alias("v"), values.alias("p")).alias("row"))
-    blocks = blocks.groupBy("_block").agg(F.collect_list("row").alias("_rows"))
-    d2 = lambda v: F.aggregate(F.zip_with(F.col(vector), v, lambda a, b: (a.cast("double") - b) * (a.cast("double") - b)), F.lit(0.0), add)
-    left = sim.select(row_id, vector).withColumn("_block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint"))))
-    nearest = F.array_min(F.transform("_rows", lambda r: F.struct(d2(r["v"]).alias("d2"), r["id"].alias("id"), r["p"].alias("p"))))
-    found = left.join(blocks, "_block").select(row_id, nearest.alias("near"))
-    best = found.groupBy(row_id).agg(F.min("near").alias("near")).select(row_id, F.col("near.p").alias("_best"))
+    found = ref.where(F.col(ref_vector).isNotNull())
+    width, total = found.agg(F.max(F.size(ref_vector)), F.count("*")).first()
+    if not total:
+        return _filled(sim.withColumn("_best", F.lit(None).cast(ref.select(F.struct(*[F.col(p).alias(f"_p{i}") for i, p in enumerate(props)])).schema[0].dataType)), ref, props, {}, sim.columns)
+    blocks = -(-total * width // BROADCAST_VALUES)
+    best = None
+    for b in range(blocks):
+        own = found if blocks == 1 else found.where(F.pmod(F.xxhash64(ref_id), F.lit(blocks)) == b)
+        met = _met(sim.where(F.size(vector) == width), own, vector, ref_vector, width, props, ref_id, row_id)
+        best = met if best is None else best.unionByName(met)
+    best = best.groupBy(row_id).agg(F.min_by("_best", F.struct("_d2", "_ref")).alias("_best")) if blocks > 1 else best.select(row_id, "_best")
     return _filled(sim.join(best, row_id, "left"), ref, props, {}, sim.columns)
+
+
+def _met(sim: DataFrame, ref: DataFrame, vector: str, ref_vector: str, width: int, props: Mapping[str, str], ref_id: str, row_id: str) -> DataFrame:
+    """row_id, _d2, _ref, _best of the nearest row of one block."""
+    items = ref.where(F.size(ref_vector) == width).orderBy(ref_id)
+    kept = F.struct(*[F.col(p).alias(f"_p{i}") for i, p in enumerate(props)]).alias("_best")
+    rows = items.select(F.col(ref_id).alias("_ref"), F.col(ref_vector).cast("array<double>").alias("_v"), kept).toArrow()
+    points = np.array(rows["_v"].to_pylist(), float).reshape(-1, width)
+    shared = sim.sparkSession.sparkContext.broadcast(points)
+    values = sim.sparkSession.createDataFrame(rows.drop_columns(["_v"]).append_column("_at", [np.arange(rows.num_rows)]))
+
+    @F.pandas_udf("_at bigint, _d2 double")
+    def nearest(x: pd.Series) -> pd.DataFrame:
+        own = np.stack(x.to_numpy()).astype(float) if len(x) else np.zeros((0, width))
+        at = nearest_vectors(own, shared.value)
+        return pd.DataFrame({"_at": at, "_d2": ((own - shared.value[at]) ** 2).sum(axis=1)})
+
+    return sim.select(row_id, nearest(F.col(vector).cast("array<double>")).alias("_n")).select(row_id, "_n.*").join(F.broadcast(values), "_at").drop("_at")

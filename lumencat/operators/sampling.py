@@ -10,8 +10,12 @@ from pyspark.sql import functions as F
 
 from ..functions.rng import uniform
 from ..functions.spline import Curve, quadratic
+from .ranges import range_part
 from .stats import binned_kde
 
+#: Bound of the rate on its grid: any above 1 keeps every row, and infinities do not interpolate.
+MOST_RATE = 1e6
+
 #: Published success rates. Of R in bins of 0.2 from 18.9; of I in bins of 0.5 from 17; of redshift at the given nodes for I <= 22.5 and I > 22.5.
 DEEP2_RATES = (
     0.931, 0.931, 0.918, 0.918, 0.931, 0.930, 0.956, 0.897, 0.907, 0.859, 0.907, 0.915, 0.892,
@@ -143,14 +147,16 @@ def target_count(n: int, area_data: float, area_mock: float, chunks: int = 1) ->
 def dense_row_index(df: DataFrame, order: str, name: str = "row_index", partitions: int | None = None) -> DataFrame:
     """Add 0, 1, 2... in the order of a column, without a single-task window.
 
-    Rows are range-partitioned and numbered inside each partition; partition
-    counts (one row for each partition) give the offsets.
+    Rows are numbered inside range parts; the parts' counts (one row each) give
+    the offsets. A part is a function of the row, so counting and numbering
+    agree although the table is evaluated twice. Nulls come first; rows of one
+    value are ordered by a hash of the row.
     """
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, order).withColumn("_part", F.spark_partition_id())
-    local = ranged.withColumn("_local", F.row_number().over(Window.partitionBy("_part").orderBy(order)))
-    counts = local.groupBy("_part").agg(F.count("*").alias("_n"))
+    part, tie = range_part(df, order, partitions)
+    ranged = df.withColumns({"_part": part, "_tie": tie})
+    counts = ranged.groupBy("_part").agg(F.count("*").alias("_n"))
     offsets = counts.select("_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_offset"))
+    local = ranged.withColumn("_local", F.row_number().over(Window.partitionBy("_part").orderBy(order, "_tie")))
     return local.join(F.broadcast(offsets), "_part").withColumn(name, F.col("_local") + F.col("_offset") - 1).select(*df.columns, name)
 
 
@@ -172,7 +178,9 @@ def match_distribution(df: DataFrame, x: str, target: DataFrame, target_x: str,
 
     A row is kept with probability min(1, k_t(x) N_t / (k_s(x) N_s)), both
     densities being Gaussian kernel estimates on one grid (at most ``cells``
-    cells, far finer than the bandwidth), linearly interpolated.
+    cells, far finer than the bandwidth), linearly interpolated. Where the
+    source's density vanishes the rate is 1. No target: no rows; a source or
+    target without spread, or an empty source: df as it is.
     """
     def bounds(d: DataFrame, c: str):
         return d.agg(F.min(c), F.max(c), F.stddev_samp(c), F.count(c)).first()
@@ -184,7 +192,7 @@ def match_distribution(df: DataFrame, x: str, target: DataFrame, target_x: str,
     step = (high - low) / cells
     source = binned_kde(df, x, low, step, cells, factor * s_std)
     wanted = binned_kde(target, target_x, low, step, cells, factor * t_std)
-    ratio = source.join(wanted.withColumnRenamed("density", "wanted"), "cell").select("cell", (F.col("wanted") * n_t / (F.col("density") * n_s)).alias("r"))
+    ratio = source.join(wanted.withColumnRenamed("density", "wanted"), "cell").select("cell", F.least(F.coalesce(F.try_divide(F.col("wanted") * n_t, F.col("density") * n_s), F.lit(1.0)), F.lit(MOST_RATE)).alias("r"))
     grid = ratio.agg(F.transform(F.sort_array(F.collect_list(F.struct("cell", "r"))), lambda s: s["r"]).alias("_grid"))
     place = (F.col(x) - low) / step
     cell = F.least(F.floor(place), F.lit(cells - 1)).cast("int")

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.lookup import among
 from ..functions.magnitudes import not_sentinel, redshift_error
 from ..functions.rng import uniform
+from .ranges import range_part
 
 
 def bin_index(x: Column, edges: Sequence[float], closed: bool = True) -> Column:
@@ -52,8 +53,12 @@ def histogram_per_filter(df: DataFrame, columns: Sequence[str], edges: Sequence[
     return rows.groupBy("filter", *keys, "bin").agg((F.sum(weight) if weight else F.count("*").cast("double")).alias("value"))
 
 
-def percentile_limits(df: DataFrame, columns: Sequence[str], low: float, high: float, sample: str | None = None, exact: bool = True, guard: float | None = 90.0) -> DataFrame:
-    """filter, low, high: percentiles of detected values; over samples the lowest low and the highest high."""
+def percentile_limits(df: DataFrame, columns: Sequence[str], low: float, high: float, sample: str | None = None, exact: bool = False, guard: float | None = 90.0) -> DataFrame:
+    """filter, low, high: percentiles of detected values; over samples the lowest low and the highest high.
+
+    From sketches (relative rank error 1e-4); exact holds a filter's distinct
+    values in one task.
+    """
     keys = [sample] if sample else []
     cells = F.explode(F.array(*[F.struct(F.lit(c).alias("filter"), F.col(c).cast("double").alias("x")) for c in columns])).alias("cell")
     rows = df.select(*keys, cells).select(*keys, "cell.*")
@@ -82,8 +87,14 @@ def binned_kde(df: DataFrame, x: str, low: float, step: float, cells: int, bandw
 
 
 def kde_1d(df: DataFrame, x: str, low: float, high: float, points: int = 251, factor: float | str = "scott", times_n: bool = False, refine: int = 64) -> DataFrame:
-    """z, density at ``points`` even points; bandwidth: factor (or n^(-1/5)) times the standard deviation."""
+    """z, density at ``points`` even points; bandwidth: factor (or n^(-1/5)) times the standard deviation.
+
+    Without a spread (no rows, one row, a constant) the density is null.
+    """
     std, n = df.agg(F.stddev_samp(x), F.count(x)).first()
+    if not std:
+        grid = df.sparkSession.range(points)
+        return grid.select((low + F.col("id") * ((high - low) / (points - 1))).alias("z"), F.lit(None).cast("double").alias("density"))
     width = std * (n ** (-0.2) if factor == "scott" else factor)
     step = (high - low) / (points - 1) / refine
     lead = math.ceil(8 * width / step)  # values just outside still reach the grid
@@ -97,10 +108,17 @@ def kde_1d(df: DataFrame, x: str, low: float, high: float, points: int = 251, fa
 
 
 def grid_step(df: DataFrame, x: str) -> DataFrame:
-    """step: half the mean of the distinct differences of consecutive sorted unique values."""
+    """step: half the mean of the distinct differences of consecutive sorted unique values.
+
+    Differences are taken inside range parts, and between the edges of
+    neighbouring parts (one row each).
+    """
     unique = df.where(F.col(x).isNotNull()).select(F.col(x).alias("v")).distinct()
-    steps = unique.select((F.col("v") - F.lag("v").over(Window.orderBy("v"))).alias("d")).where(F.col("d").isNotNull()).distinct()
-    return steps.agg((F.avg("d") / 2).alias("step"))
+    parted = unique.withColumn("part", range_part(unique, "v")[0])
+    inside = parted.select((F.col("v") - F.lag("v").over(Window.partitionBy("part").orderBy("v"))).alias("d"))
+    edges = parted.groupBy("part").agg(F.min("v").alias("first"), F.max("v").alias("last"))
+    between = edges.select((F.col("first") - F.lag("last").over(Window.orderBy("part"))).alias("d"))
+    return inside.unionByName(between).where(F.col("d").isNotNull()).distinct().agg((F.avg("d") / 2).alias("step"))
 
 
 def jitter_discrete(df: DataFrame, x: str, seed: str, row_id: str, name: str) -> DataFrame:
@@ -110,15 +128,16 @@ def jitter_discrete(df: DataFrame, x: str, seed: str, row_id: str, name: str) ->
 
 
 def _binned(df: DataFrame, by: str, z_phot: str, z_true: str, edges: Sequence[float]) -> DataFrame:
-    bin_ = bin_index(F.col(by), edges, closed=False)
+    bin_ = bin_index(F.col(by), edges, closed=False) if len(edges) > 1 else F.lit(None).cast("int")
     return df.select(bin_.alias("bin"), F.col(by).alias("by"), redshift_error(F.col(z_phot), F.col(z_true)).alias("dz")).where(F.col("bin").isNotNull())
 
 
-def photoz_statistics(df: DataFrame, by: str, z_phot: str, z_true: str, edges: Sequence[float], n: float = 3.0, sigma: float = 0.15, exact: bool = True) -> DataFrame:
+def photoz_statistics(df: DataFrame, by: str, z_phot: str, z_true: str, edges: Sequence[float], n: float = 3.0, sigma: float = 0.15, exact: bool = False) -> DataFrame:
     """bin, center, middle, n, bias, mad, nmad_fraction, outlier_fraction of each half-open bin.
 
     center: mean of the binning value; middle: middle of the bin; mad: scaled
-    median deviation from the bin's mean. Empty bins have nulls.
+    median deviation from the bin's mean, from a sketch unless exact. Empty bins
+    have nulls; fewer than two edges make no bins.
     """
     rows = _binned(df, by, z_phot, z_true, edges)
     means = rows.groupBy("bin").agg(F.avg("dz").alias("bias"), F.avg("by").alias("center"), F.count("*").alias("n"), F.avg((F.abs("dz") > sigma).cast("double")).alias("outlier_fraction"))
@@ -135,10 +154,11 @@ def photoz_bias(df: DataFrame, by: str, z_phot: str, z_true: str, edges: Sequenc
     return _binned(df, by, z_phot, z_true, edges).groupBy("bin").agg(F.avg("by").alias("center"), F.avg("dz").alias("bias"))
 
 
-def percentile_edges(df: DataFrame, by: str, first: float = 0.5, last: float = 96.5, count: int = 25) -> list[float]:
-    """Automatic bin edges at even percentiles; a list of ``count`` numbers."""
-    steps = [(first + (last - first) * i / (count - 1)) / 100 for i in range(count)]
-    return df.agg(F.percentile(by, F.array(*map(F.lit, steps)))).first()[0]
+def percentile_edges(df: DataFrame, by: str, first: float = 0.5, last: float = 96.5, count: int = 25, exact: bool = False) -> list[float]:
+    """Automatic bin edges at even percentiles; a list of ``count`` numbers, none for no rows."""
+    steps = F.array(*[F.lit((first + (last - first) * i / (count - 1)) / 100) for i in range(count)])
+    found = F.percentile(by, steps) if exact else F.percentile_approx(F.col(by).cast("double"), steps, 10_000)
+    return df.agg(found).first()[0] or []
 
 
 def outlier_envelope(mad_low: float, mad_high: float, z_max: float, z_split: float = 0.9) -> list[tuple[str, float, float]]:
@@ -151,7 +171,7 @@ def outlier_envelope(mad_low: float, mad_high: float, z_max: float, z_split: flo
     return out
 
 
-def median_default(df: DataFrame, columns: Sequence[str], exact: bool = True) -> DataFrame:
+def median_default(df: DataFrame, columns: Sequence[str], exact: bool = False) -> DataFrame:
     """filter, median of detected values: stands in where one of two samples is absent."""
     cells = F.explode(F.array(*[F.struct(F.lit(c).alias("filter"), F.col(c).cast("double").alias("x")) for c in columns])).alias("cell")
     rows = df.select(cells).select("cell.*").where(not_sentinel(F.col("x")))

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import math
 import re
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +15,7 @@ from ..functions import apertures, magnitudes, sky
 from ..functions.rng import uniform
 from ..operators import match, photometry, photoz, sampling, selections, stats
 from ..sources import tables
+from ..streaming import catalogue_streams
 from . import pipelines
 from .fixtures import catalogue, catalogue_sql, normal_sql, uniform_sql
 
@@ -289,7 +292,14 @@ def idealized_sample(spark, sf_dir):
     return selections.select("idealized", observed(spark, sf_dir))[0].select(ID)
 
 
-@register("zcosmos_stats")
+_ZCOSMOS_DRAW = f"{_CUTS['zcosmos']} AND {uniform_sql('sapling:zcosmos', 'success', ID)} < rate"
+
+
+@register(
+    "zcosmos_stats",
+    f", {_COLOURS}, {_PLACED} SELECT step_no, step, count(*) AS N_tot, round(avg(z_cgal_v), 6) AS z_mean FROM (SELECT 0 AS step_no, 'input' AS step, z_cgal_v FROM p UNION ALL SELECT 1, 'cut', z_cgal_v FROM p WHERE {_CUTS['zcosmos']}"
+    f" UNION ALL SELECT 2, 'success', z_cgal_v FROM p WHERE {_ZCOSMOS_DRAW} UNION ALL SELECT 3, 'downsampling', z_cgal_v FROM (SELECT * FROM p WHERE {_ZCOSMOS_DRAW} ORDER BY {uniform_sql('sapling:zcosmos', 'sample', ID)}, {ID} LIMIT 400)) GROUP BY 1, 2",
+)
 def zcosmos_stats(spark, sf_dir):
     return rounded(selections.select("zcosmos", observed(spark, sf_dir), n_tot=400, surface=surface(spark, sf_dir))[1])
 
@@ -314,18 +324,35 @@ def sample_n_per_tile(spark, sf_dir):
 
 @register(
     "sample_systematic",
-    "SELECT o_orderkey FROM (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) - 1 AS i, 400.0::double / count(*) OVER () AS f FROM orders) WHERE i = 0 OR floor(i * f) > floor(i * f - f)",
+    "SELECT o_orderkey, o_custkey, o_orderstatus FROM (SELECT *, row_number() OVER (ORDER BY o_orderkey) - 1 AS i, 400.0::double / count(*) OVER () AS f FROM orders) WHERE i = 0 OR floor(i * f) > floor(i * f - f)",
 )
 def sample_systematic(spark, sf_dir):
-    return sampling.sample_systematic(table(spark, sf_dir, "orders").select("o_orderkey"), 400, "o_orderkey")
+    return sampling.sample_systematic(table(spark, sf_dir, "orders"), 400, "o_orderkey").select("o_orderkey", "o_custkey", "o_orderstatus")
 
 
-@register("sparse_every", "SELECT o_orderkey FROM (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) - 1 AS i FROM orders) WHERE i % 256 = 0")
+@register("sparse_every", "SELECT o_orderkey, o_custkey, o_orderstatus FROM (SELECT *, row_number() OVER (ORDER BY o_orderkey) - 1 AS i FROM orders) WHERE i % 256 = 0")
 def sparse_every(spark, sf_dir):
-    return sampling.sparse_every(table(spark, sf_dir, "orders").select("o_orderkey"), 256, "o_orderkey")
+    return sampling.sparse_every(table(spark, sf_dir, "orders"), 256, "o_orderkey").select("o_orderkey", "o_custkey", "o_orderstatus")
+
+
+def _kde_sql(rows: str, h: str) -> str:
+    """Sums of the grid's cells, then the kernel estimate at every grid point."""
+    return (
+        f"{rows}0 AS (SELECT greatest(0, least(floor((x - low) / step), 1999)) AS a, (x - low) / step AS place FROM {rows}, p),"
+        f" {rows}1 AS (SELECT pos, sum(w) AS w FROM (SELECT a AS pos, 1 - (place - a) AS w FROM {rows}0 UNION ALL SELECT a + 1, place - a FROM {rows}0) GROUP BY 1),"
+        f" {rows}2 AS (SELECT g.k, sum(w * exp(-0.5 * pow((g.k - pos) * (step / {h}), 2))) / (sum(w) * any_value({h}) * sqrt(2 * pi())) AS d FROM range(2001) g(k), {rows}1, p GROUP BY 1)"
+    )
 
 
-@register("match_distribution")
+@register(
+    "match_distribution",
+    f", {_COLOURS}, s AS (SELECT {ID}, z_cgal_v AS x FROM o WHERE {_CUTS['wigglez']}), t AS (SELECT z_cgal_v AS x FROM o WHERE {_CUTS['sdss_main']} AND z_cgal_v < 1),"
+    " p AS (SELECT least(s0, t0) AS low, (greatest(s1, t1) - least(s0, t0)) / 2000 AS step, hs, ht, ns, nt FROM (SELECT min(x) AS s0, max(x) AS s1, 0.05::double * stddev_samp(x) AS hs, count(*) AS ns FROM s),"
+    f" (SELECT min(x) AS t0, max(x) AS t1, 0.05::double * stddev_samp(x) AS ht, count(*) AS nt FROM t)), {_kde_sql('s', 'hs')}, {_kde_sql('t', 'ht')},"
+    " r AS (SELECT s2.k, least(CASE WHEN s2.d * ns = 0 THEN 1 ELSE t2.d * nt / (s2.d * ns) END, 1e6) AS r FROM s2 JOIN t2 USING (k), p),"
+    " c AS (SELECT *, (x - low) / step AS place, least(floor((x - low) / step), 1999) AS cell FROM s, p)"
+    f" SELECT {ID} FROM c JOIN r a ON a.k = cell JOIN r b ON b.k = cell + 1 WHERE 1 - least(1, a.r + (place - cell) * (b.r - a.r)) < {uniform_sql('sapling:wigglez', 'match', ID)}",
+)
 def match_distribution(spark, sf_dir):
     cat = observed(spark, sf_dir)
     wanted = selections.SELECTIONS["sdss_main"].cut(selections.magnitude_lookup(cat, "kids", ("obs",)))
@@ -407,7 +434,7 @@ def histogram_per_filter(spark, sf_dir):
     + ") WHERE abs(x) < 90 GROUP BY 1, 2) GROUP BY 1",
 )
 def percentile_limits(spark, sf_dir):
-    return rounded(stats.percentile_limits(catalogue(spark, sf_dir), MAGS, 0.5, 99.5, sample="flag_central"))
+    return rounded(stats.percentile_limits(catalogue(spark, sf_dir), MAGS, 0.5, 99.5, sample="flag_central", exact=True))
 
 
 @register(
@@ -426,7 +453,7 @@ _PHOTOZ = "z_b", "z_b", "z_cgal", Z_EDGES
 
 
 def _photoz(*columns: str) -> Query:
-    return lambda spark, sf_dir: rounded(stats.photoz_statistics(catalogue(spark, sf_dir), *_PHOTOZ).where("n > 0").select("bin", *columns))
+    return lambda spark, sf_dir: rounded(stats.photoz_statistics(catalogue(spark, sf_dir), *_PHOTOZ, exact=True).where("n > 0").select("bin", *columns))
 
 
 @register("photoz_bias", f", {_DZ} SELECT bin, round(avg(z_b), 6) AS center, round(avg(dz), 6) AS bias FROM m GROUP BY 1")
@@ -439,7 +466,7 @@ register("photoz_nmad_fraction", f", {_MAD} SELECT bin, round(avg((abs(dz) > 3 *
 register("photoz_outlier_fraction", f", {_DZ} SELECT bin, round(bin / 10.0 + 0.05, 6)::double AS middle, round(avg((abs(dz) > 0.15)::int), 6) AS outlier_fraction FROM m GROUP BY 1")(_photoz("middle", "outlier_fraction"))
 register(
     "photoz_summary", f", {_MAD.replace('floor(z_b * 10 + 1e-9)::int', '0').replace('z_b >= 0 AND z_b < 1.5', 'z_b >= 0.1 AND z_b < 0.9')} SELECT bin, count(*) AS n, round(any_value(bias), 6) AS bias, round(any_value(mad), 6) AS mad FROM q GROUP BY 1"
-)(lambda spark, sf_dir: rounded(stats.photoz_statistics(catalogue(spark, sf_dir), "z_b", "z_b", "z_cgal", [0.1, 0.9]).select("bin", "n", "bias", "mad")))
+)(lambda spark, sf_dir: rounded(stats.photoz_statistics(catalogue(spark, sf_dir), "z_b", "z_b", "z_cgal", [0.1, 0.9], exact=True).select("bin", "n", "bias", "mad")))
 
 
 @register(
@@ -450,7 +477,7 @@ register(
 )
 def photoz_statistics(spark, sf_dir):
     cat = catalogue(spark, sf_dir)
-    edges = stats.percentile_edges(cat, "sdss_r_true")
+    edges = stats.percentile_edges(cat, "sdss_r_true", exact=True)
     return rounded(stats.photoz_statistics(cat, "sdss_r_true", "z_b", "z_cgal", edges).select("bin", "n", "center", "bias"))
 
 
@@ -503,7 +530,10 @@ def photoz_q_value(spark, sf_dir):
     return rounded(_fit(spark, sf_dir).select(ID, photoz.q_value(F.col("p"), F.col("p_z"), F.col("z_cgal")).alias("q")), 4)
 
 
-@register("photoz_odds")
+@register(
+    "photoz_odds",
+    f"{_POSTERIOR}, b AS (SELECT *, arg_max(zz, (p, -zz)) OVER (PARTITION BY {ID}) AS zb FROM y) SELECT {ID}, round(CASE WHEN sum(p) > 0 THEN sum(CASE WHEN abs(zz - zb) <= 0.12::double * (1 + zb) THEN p ELSE 0 END) / sum(p) END, 4) AS odds FROM b GROUP BY 1",
+)
 def photoz_odds(spark, sf_dir):
     return rounded(_fit(spark, sf_dir).select(ID, photoz.odds(F.col("p"), F.col("p_z"), F.col("Z_B")).alias("odds")), 4)
 
@@ -530,14 +560,37 @@ def line_of_sight_realisations(spark, sf_dir):
     return rounded(pipelines.line_of_sight_realisations(observed(spark, sf_dir), "gama", BOX, 5, 4, 20)[1])
 
 
-@register("photometric_catalogue")
+_SIZES = {"d": "1.6721 * r / disk_length", "b": "7.6697 * pow(r / bulge_length, 0.25)"}
+_INSIDE = (
+    f"(CASE WHEN bulge_fraction < 1 AND disk_length > 0 THEN (1 - bulge_fraction) * (1 - exp(-{_SIZES['d']}) * (1 + {_SIZES['d']})) ELSE 0 END"
+    f" + CASE WHEN bulge_fraction > 0 AND bulge_length > 0 THEN bulge_fraction * (1 - exp(-{_SIZES['b']}) * ({' + '.join(f'pow({_SIZES["b"]}, {k}) / {math.factorial(k)}' for k in range(8))})) ELSE 0 END)"
+)
+_R_LIMIT, _R_PSF = pipelines.KIDS_PRESET.limits["sdss_r"], pipelines.KIDS_PRESET.psf["sdss_r"]
+
+
+@register(
+    "photometric_catalogue",
+    f", q AS (SELECT {ID}, disk_length, bulge_length, bulge_fraction, bulge_axis_ratio, {EVO.format(m='sdss_r_true')} - 2.5 * log10(1 + 2 * kappa) AS m FROM cat WHERE ra_gal BETWEEN 35 AND 55 AND dec_gal BETWEEN 6 AND 24),"
+    f" h AS (SELECT {ID}, lo, hi FROM (WITH RECURSIVE h AS (SELECT *, -5.0::double AS lo, 2.0::double AS hi, 0 AS k FROM q UNION ALL SELECT {ID}, disk_length, bulge_length, bulge_fraction, bulge_axis_ratio, m,"
+    f" CASE WHEN under THEN mid ELSE lo END, CASE WHEN under THEN hi ELSE mid END, k + 1 FROM (SELECT *, {_INSIDE} < 0.5 AS under FROM (SELECT *, (lo + hi) / 2 AS mid, pow(10.0::double, (lo + hi) / 2) AS r FROM h WHERE k < 50))) SELECT * FROM h WHERE k = 50)),"
+    f" a AS (SELECT {ID}, m, 2.5 * pow(10.0::double, (lo + hi) / 2) AS a, 2.5 * pow(10.0::double, (lo + hi) / 2) * bulge_axis_ratio AS b FROM q JOIN h USING ({ID})),"
+    f" e AS (SELECT *, sqrt({_R_PSF**2!r} / (sqrt(a * a + {_R_PSF**2!r}) * sqrt(b * b + {_R_PSF**2!r}))) AS factor FROM a),"
+    f" f AS (SELECT *, {10.0 ** (-0.4 * _R_LIMIT) / 1.5!r}::double / factor AS err FROM e), g AS (SELECT *, pow(10.0::double, -0.4 * m) + err * {normal_sql('sapling', 'sdss_r_evo_mag', ID)} AS f FROM f), n AS (SELECT *, greatest(f / err, 0.2) AS sn FROM g)"
+    f" SELECT {ID}, round(({_mag_sql(_R_LIMIT)[0]})::float::double, 3) AS sdss_r_obs_mag, round(({_mag_sql(_R_LIMIT)[1]})::float::double, 3) AS sdss_r_obserr_mag, round(factor, 3) AS sn_factor_sdss_r FROM n WHERE {_mag_sql(_R_LIMIT)[0]} < 99",
+)
 def photometric_catalogue(spark, sf_dir):
-    return pipelines.photometric_catalogue(
+    out = pipelines.photometric_catalogue(
         catalogue(spark, sf_dir), ["sdss_g", "sdss_r"], pipelines.KIDS_PRESET, sky.Box(35.0, 55.0, 6.0, 24.0), rules=[("sdss_r_obs_mag", "ll", 99.0)], columns=[ID, "sdss_r_obs_mag", "sdss_r_obserr_mag", "sn_factor_sdss_r"]
     )
+    return rounded(out, 3)
 
 
-@register("quality_report")
+@register(
+    "quality_report",
+    "SELECT filter, CASE flag_central WHEN 1 THEN 'data' ELSE 'sim' END AS sample, least(floor((x - 16) / 0.5), 19)::int AS bin, count(*)::double AS value FROM ("
+    + " UNION ALL ".join(f"SELECT '{c}' AS filter, flag_central, {c} AS x FROM cat" for c in MAGS)
+    + ") WHERE x BETWEEN 16 AND 26 GROUP BY 1, 2, 3",
+)
 def quality_report(spark, sf_dir):
     cat = catalogue(spark, sf_dir)
     return pipelines.quality_report(cat.where("flag_central = 1"), cat.where("flag_central = 0"), MAGS, MAG_EDGES)[0]
@@ -600,7 +653,18 @@ def detected(spark, sf_dir):
     return catalogue(spark, sf_dir).select(ID, selections.detected(k).alias("seen"), magnitudes.not_sentinel(k, 99.0).alias("below_99"))
 
 
-@register("two_df_lens_parts")
+_LOW1 = "(r > 16.5 AND r < 19.2 AND r < 13.1 + cp / 0.32 AND abs(cr) < 0.2)"
+_LOW2 = "(r > 16.5 AND r < 19.5 AND g - r > 1.3 + 0.25 * (r - i) AND cr > 0.45 - (g - r) / 6)"
+_PARTS = {
+    "low1": _LOW1,
+    "low2": f"NOT {_LOW1} AND {_LOW2}",
+    "low3": f"NOT {_LOW1} AND NOT {_LOW2} AND r > 16.5 AND r < 19.6 AND r < 13.5 + cp / 0.32 AND abs(cr) < 0.2",
+    "mid": "i > 17.5 AND i < 19.9 AND r - i < 2 AND dr > 0.55 AND i < 19.86 + 1.6 * (dr - 0.9)",
+    "high": "z < 19.9 AND i > 19.9 AND i < 21.8 AND r - k > 1.9 * (r - i) AND r - i > 0.98 AND i - z > 0.6",
+}
+
+
+@register("two_df_lens_parts", f", {_COLOURS} " + " UNION ALL ".join(f"SELECT {n} AS step_no, '{name}' AS step, count(*) AS N_tot, round(avg(z_cgal_v), 6) AS z_mean FROM o WHERE {cut}" for n, (name, cut) in enumerate(_PARTS.items())))
 def two_df_lens_parts(spark, sf_dir):
     cat = observed(spark, sf_dir)
     parts = selections.two_df_lens_parts(selections.magnitude_lookup(cat, "kids", ("obs",)))
@@ -628,9 +692,10 @@ def accept_rate_by_class(spark, sf_dir):
     return catalogue(spark, sf_dir).where(kept).select(ID)
 
 
-@register("dense_row_index", "SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) - 1 AS row_index FROM orders")
+@register("dense_row_index", "SELECT o_orderkey, o_custkey, o_orderstatus, row_number() OVER (ORDER BY o_orderkey) - 1 AS row_index FROM orders")
 def dense_row_index(spark, sf_dir):
-    return sampling.dense_row_index(table(spark, sf_dir, "orders").select("o_orderkey"), "o_orderkey").withColumn("row_index", F.col("row_index").cast("bigint"))
+    found = sampling.dense_row_index(table(spark, sf_dir, "orders"), "o_orderkey")
+    return found.select("o_orderkey", "o_custkey", "o_orderstatus", F.col("row_index").cast("bigint").alias("row_index"))
 
 
 @register("row_count", "SELECT count(*) AS n FROM lineitem")
@@ -640,7 +705,7 @@ def row_count(spark, sf_dir):
 
 @register("median_default", "SELECT filter, round(median(x), 6) AS median FROM (" + " UNION ALL ".join(f"SELECT '{c}' AS filter, {c} AS x FROM cat" for c in MAGS) + ") WHERE abs(x) < 90 GROUP BY 1")
 def median_default(spark, sf_dir):
-    return rounded(stats.median_default(catalogue(spark, sf_dir), MAGS))
+    return rounded(stats.median_default(catalogue(spark, sf_dir), MAGS, exact=True))
 
 
 @register("data_vs_sim", "SELECT CASE flag_central WHEN 1 THEN 'data' ELSE 'sim' END AS sample, count(*) AS n, round(avg(sdss_r_true), 6) AS mean_r FROM cat GROUP BY 1")
@@ -650,10 +715,15 @@ def data_vs_sim(spark, sf_dir):
     return rounded(both.groupBy("sample").agg(F.count("*").alias("n"), F.avg("sdss_r_true").alias("mean_r")))
 
 
-@register("outlier_envelope")
+@register(
+    "outlier_envelope",
+    f", {_MAD.replace('floor(z_b * 10 + 1e-9)::int', 'CASE WHEN z_b < 0.9 THEN 0 ELSE 1 END').replace('z_b >= 0 AND z_b < 1.5', 'z_b >= 0.1 AND z_b < 1.5')}, w AS (SELECT max(mad) FILTER (WHERE bin = 0) AS a, max(mad) FILTER (WHERE bin = 1) AS b FROM q),"
+    " l AS (SELECT * FROM (VALUES ('upper', 1), ('lower', -1)) l(line, s), w) SELECT line, 0.0::double AS z_true, round(-s * a, 6) AS z_phot FROM l"
+    " UNION ALL SELECT line, round((0.9 + s * a) / (1 - s * a), 6), 0.9 FROM l UNION ALL SELECT line, round((0.9 + s * b) / (1 - s * b), 6), 0.9 FROM l UNION ALL SELECT line, round((1.5 + s * b) / (1 - s * b), 6), 1.5 FROM l",
+)
 def outlier_envelope(spark, sf_dir):
-    found = stats.photoz_statistics(catalogue(spark, sf_dir), "z_b", "z_b", "z_cgal", [0.1, 0.9, 1.5]).orderBy("bin").collect()  # two rows
-    return spark.createDataFrame(stats.outlier_envelope(found[0]["mad"], found[1]["mad"], 1.5), "line string, z_true double, z_phot double")
+    found = stats.photoz_statistics(catalogue(spark, sf_dir), "z_b", "z_b", "z_cgal", [0.1, 0.9, 1.5], exact=True).orderBy("bin").collect()  # two rows
+    return rounded(spark.createDataFrame(stats.outlier_envelope(found[0]["mad"], found[1]["mad"], 1.5), "line string, z_true double, z_phot double"))
 
 
 @register("top_n_per_stratum", "SELECT event_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY " + uniform_sql("s", "stratum", "event_id") + ", event_id) AS no FROM events) WHERE no <= 10")
@@ -680,3 +750,171 @@ def add_property(spark, sf_dir):
 @register("select_by_prior_mag", f"SELECT {ID}, round(sdss_i_true, 6) AS M_0 FROM cat WHERE abs(sdss_i_true) < 90")
 def select_by_prior_mag(spark, sf_dir):
     return rounded(photoz.select_by_prior_mag(catalogue(spark, sf_dir).withColumn("M_0", F.col("sdss_i_true"))).select(ID, "M_0"))
+
+
+# --- files, streams, other layouts -------------------------------------------
+
+
+def scratch(spark: SparkSession) -> str:
+    """A new folder for a query's files, in the folder of spark.checkpoint.dir that all executors share; on a local master a temporary one."""
+    root = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        root = tempfile.mkdtemp(prefix="lumencat-")
+    return f"{root.rstrip('/')}/queries-{uuid.uuid4().hex}"
+
+
+_GAMA_STEPS = f"SELECT 'gama' AS survey, 'main' AS output, 0 AS step_no, 'input' AS step, z_cgal_v FROM o UNION ALL SELECT 'gama', 'main', 1, 'cut', z_cgal_v FROM o WHERE {_CUTS['gama']}"
+
+
+@register(
+    "write_statistics",
+    f", {_COLOURS} SELECT survey, output, step_no, step, count(*) AS N_tot, round(avg(z_cgal_v), 6) AS z_mean FROM ({_GAMA_STEPS} UNION ALL {_GAMA_STEPS.replace('gama', 'sdss_main').replace(_CUTS['gama'], _CUTS['sdss_main'])}) GROUP BY 1, 2, 3, 4",
+)
+def write_statistics(spark, sf_dir):
+    path = f"{scratch(spark)}/stats"
+    for name, mode in (("gama", "w"), ("sdss_main", "a"), ("boss", "n")):
+        tables.write_statistics(selections.select(name, observed(spark, sf_dir))[1], path, mode, name, "main")
+    return rounded(tables.load_catalogue(spark, path, required=["survey", "step"]))
+
+
+@register("write_catalogue", f"SELECT {ID}, sdss_r_true FROM cat WHERE flag_central = 1")
+def write_catalogue(spark, sf_dir):
+    path = scratch(spark)
+    tables.write_catalogue(catalogue(spark, sf_dir).select(ID, "sdss_r_true", "flag_central"), path)
+    return tables.load_catalogue(spark, path, required=[ID]).where("flag_central = 1").select(ID, "sdss_r_true")
+
+
+@register("split_by_tile", f", {_TILES} SELECT pointing_id, count(*) AS n, round(avg(sdss_r_true), 6) AS mean_r FROM cat, tiles WHERE ra_gal >= ra_min AND ra_gal < ra_max AND dec_gal >= dec_min AND dec_gal < dec_max GROUP BY 1")
+def split_by_tile(spark, sf_dir):
+    path = scratch(spark)
+    tables.write_catalogue(sky.assign_pointing(catalogue(spark, sf_dir).select(ID, "ra_gal", "dec_gal", "sdss_r_true"), sky.pointing_grid(spark, BOX, 5, 4)), path, partition_by=["pointing_id"])
+    back = tables.load_catalogue(spark, path).groupBy(F.col("pointing_id").cast("bigint").alias("pointing_id"))
+    return rounded(back.agg(F.count("*").alias("n"), F.avg("sdss_r_true").alias("mean_r")))
+
+
+@register("pointings_file", f", {_TILES} SELECT pointing_id, count({ID}) AS n FROM tiles LEFT JOIN cat ON ra_gal >= ra_min AND ra_gal < ra_max AND dec_gal >= dec_min AND dec_gal < dec_max WHERE pointing_id > 10 GROUP BY 1")
+def pointings_file(spark, sf_dir):
+    path = scratch(spark)
+    tables.write_pointings(sky.pointing_grid(spark, BOX, 5, 4), path, decimals=12)
+    tiles = tables.read_pointings(spark, path).where("pointing_id > 10")
+    found = sky.assign_pointing(catalogue(spark, sf_dir), tiles).groupBy("pointing_id").agg(F.count("*").alias("n"))
+    return tiles.select("pointing_id").join(found, "pointing_id", "left").select("pointing_id", F.coalesce("n", F.lit(0)).alias("n"))
+
+
+@register("footprint_lookup", f", b AS (SELECT min(ra_gal) AS a, max(ra_gal) AS b, min(dec_gal) AS c, max(dec_gal) AS d FROM cat WHERE {ID} % 1000 < 3) SELECT {ID} FROM cat, b WHERE ra_gal BETWEEN a AND b AND dec_gal BETWEEN c AND d")
+def footprint_lookup(spark, sf_dir):
+    cat = catalogue(spark, sf_dir)
+    bounds = [f(c).alias(n) for f, c, n in ((F.min, "ra_gal", "ra_min"), (F.max, "ra_gal", "ra_max"), (F.min, "dec_gal", "dec_min"), (F.max, "dec_gal", "dec_max"))]
+    registry = cat.where(F.col(ID) % 1000 < 3).groupBy(F.lit("deep").alias("survey")).agg(*bounds)
+    return sky.sky_box(cat, tables.footprint_lookup(registry, "deep")).select(ID)
+
+
+@register("rate_curve_file", "SELECT l_linenumber::double AS x, round(avg(l_discount)::double, 6) AS rate FROM lineitem GROUP BY 1")
+def rate_curve_file(spark, sf_dir):
+    path = scratch(spark)
+    rates = table(spark, sf_dir, "lineitem").groupBy("l_linenumber").agg(F.avg("l_discount").alias("rate"))
+    lines = rates.select(F.format_string("%d \t %.12e  # bin", F.col("l_linenumber").cast("int"), F.col("rate").cast("double")).alias("value"))
+    lines.unionByName(spark.range(1).select(F.lit("# x rate").alias("value"))).write.text(path)
+    return rounded(tables.load_rate_curve(spark, path))
+
+
+@register("column_metadata", "SELECT 'sdss_r_true' AS name, 'mag' AS unit, 'model magnitude' AS description, count(*) AS n FROM cat UNION ALL SELECT 'z_cgal', '', 'redshift', count(*) FROM cat")
+def column_metadata(spark, sf_dir):
+    noted = tables.with_column_metadata(catalogue(spark, sf_dir).select("sdss_r_true", "z_cgal"), {"sdss_r_true": ("mag", "model magnitude"), "z_cgal": ("", "redshift")})
+    rows = [(f.name, f.metadata["unit"], f.metadata["description"]) for f in noted.schema]
+    counts = noted.agg(F.count("*").alias("n"))
+    return spark.createDataFrame(rows, "name string, unit string, description string").crossJoin(F.broadcast(counts))  # one row
+
+
+@register("target_count", f"SELECT {ID} FROM cat ORDER BY {uniform_sql('s', 'sample', ID)}, {ID} LIMIT {sampling.target_count(8698, 0.815761, 5156.625, 256 * 512)}")
+def target_count(spark, sf_dir):
+    return sampling.sample_n(catalogue(spark, sf_dir), sampling.target_count(8698, 0.815761, 5156.625, 256 * 512), "s").select(ID)
+
+
+_DEEP_EVO = {b: EVO.format(m=f"lephare_{c}_true") for b, c in (("mb", "b"), ("mr", "rc"), ("mi", "ic"))}
+
+
+@register("sel_deep2_evolved", f", o AS (SELECT *, {', '.join(f'{e} AS {b}' for b, e in _DEEP_EVO.items())} FROM cat) SELECT {ID} FROM o WHERE {_CUTS['deep2']}")
+def sel_deep2_evolved(spark, sf_dir):
+    """Evolved magnitudes come before observed ones."""
+    cat = magnitudes.evolve_magnitudes(catalogue(spark, sf_dir)).withColumns({f"lephare_{b}_obs": F.lit(0.0) for b in ("b", "rc", "ic")})
+    s = selections.SELECTIONS["deep2"]
+    return cat.where(s.cut(selections.magnitude_lookup(cat, "kids", s.suffixes))).select(ID)
+
+
+@register(
+    "deep2_detected_stats",
+    f", {_COLOURS}, d AS (SELECT *, {_CUTS['deep2']} AS a, {uniform_sql('sapling:deep2', 'success', ID)} < {sampling.deep2_curve().sql('mr')} AS b, r < 20 AS c FROM o)"
+    f" SELECT step_no, step, count(*) AS N_tot, round(avg(z_cgal_v), 6) AS z_mean FROM (SELECT 0 AS step_no, 'input' AS step, z_cgal_v FROM d UNION ALL SELECT 1, 'cut', z_cgal_v FROM d WHERE a UNION ALL SELECT 2, 'success', z_cgal_v FROM d WHERE a AND b"
+    f" UNION ALL SELECT 3, 'detection', z_cgal_v FROM d WHERE a AND b AND c UNION ALL SELECT 4, 'downsampling', z_cgal_v FROM (SELECT * FROM d WHERE a AND b AND c ORDER BY {uniform_sql('sapling:deep2', 'sample', ID)}, {ID} LIMIT 100)) GROUP BY 1, 2",
+)
+def deep2_detected_stats(spark, sf_dir):
+    """A deep survey with the detection of the shallow one: what is fainter than 20 is lost there."""
+    cat = observed(spark, sf_dir).withColumn("sdss_r_obs", F.when(F.col("sdss_r_obs") < 20, F.col("sdss_r_obs")).otherwise(99.0))
+    return rounded(selections.select("deep2", cat, n_tot=100, pass_survey_selection=True)[1])
+
+
+def _renamed(spark: SparkSession, sf_dir: str, stem: str) -> DataFrame:
+    """The observed catalogue with another layout's column names."""
+    cat = observed(spark, sf_dir)
+    return cat.withColumnsRenamed({f"sdss_{b}_obs": f"{stem}_{b}_obs" for b in "griz"})
+
+
+@register("sel_boss_des", f", {_COLOURS} SELECT step_no, step, count(*) AS N_tot, round(avg(z_cgal_v), 6) AS z_mean FROM (SELECT 0 AS step_no, 'input' AS step, z_cgal_v FROM o UNION ALL SELECT 1, 'cut', z_cgal_v FROM o WHERE {_CUTS['boss']} UNION ALL SELECT 2, 'detection', z_cgal_v FROM o WHERE {_CUTS['boss']} AND i < 90) GROUP BY 1, 2")
+def sel_boss_des(spark, sf_dir):
+    return rounded(selections.select("boss", _renamed(spark, sf_dir, "des_asahi_full"), layout="des", pass_survey_selection=True)[1])
+
+
+@register("sel_gama_euclid", f", {_COLOURS} SELECT {ID} FROM o WHERE {_CUTS['gama']}")
+def sel_gama_euclid(spark, sf_dir):
+    return selections.select("gama", _renamed(spark, sf_dir, "lsst"), layout="euclid")[0].select(ID)
+
+
+@register("register_selection", f", {_COLOURS} SELECT {ID} FROM o WHERE r < 21 AND g - r > 1")
+def register_selection(spark, sf_dir):
+    selections.register_selection("red", selections.Selection(lambda mag: selections.true((mag("r") < 21.0) & (mag("g") - mag("r") > 1.0))))
+    return selections.select("red", observed(spark, sf_dir))[0].select(ID)
+
+
+_NINE = ["sdss_u_true", "sdss_g_true", "sdss_r_true", "sdss_i_true", "sdss_z_true", "lephare_b_true", "lephare_rc_true", "lephare_ic_true", "z_cgal"]
+
+
+@register(
+    "nearest_property_nine",
+    f", s AS (SELECT * FROM cat WHERE {ID} % 10 <> 0), f AS (SELECT * FROM cat WHERE {ID} % 10 = 0),"
+    f" d AS (SELECT s.{ID} AS sid, f.{ID} AS fid, f.lmhalo AS w, {' + '.join(f'pow(s.{c} - f.{c}, 2)' for c in _NINE)} AS d2 FROM s, f WHERE abs(s.sdss_r_true - f.sdss_r_true) < 0.6)"
+    f" SELECT s.{ID}, round(coalesce(b.w, -1), 6) AS weight FROM s LEFT JOIN (SELECT sid, arg_min(w, (d2, fid)) AS w FROM d WHERE d2 < 0.36::double GROUP BY 1) b ON b.sid = s.{ID}",
+)
+def nearest_property_nine(spark, sf_dir):
+    """All nine attributes of a photometric survey."""
+    cat = catalogue(spark, sf_dir)
+    ref = cat.where(F.col(ID) % 10 == 0).select(F.col(ID).alias("ref_id"), *_NINE, F.col("lmhalo").alias("w"))
+    out = match.nearest_property(cat.where(F.col(ID) % 10 != 0).select(ID, *_NINE), ref, _NINE, _NINE, {"w": "weight"}, "ref_id", 0.6, {"w": -1.0})
+    return rounded(out.select(ID, "weight"))
+
+
+@register("stream_statistics", f", {_COLOURS} SELECT step, count(*) AS N_tot, round(avg(z_cgal_v), 6) AS z_mean FROM (SELECT 'input' AS step, z_cgal_v FROM o UNION ALL SELECT 'cut', z_cgal_v FROM o WHERE {_CUTS['gama']}) GROUP BY 1")
+def stream_statistics(spark, sf_dir):
+    """Running statistics of a stream of catalogue files, after the last of them."""
+    path = scratch(spark)
+    rows = observed(spark, sf_dir).select(ID, "sdss_r_obs", "z_cgal_v")
+    rows.repartition(6).write.parquet(f"{path}/in")
+    stream = catalogue_streams.read_stream(spark, f"{path}/in", rows.schema, 2)
+    steps = {"input": F.lit(True), "cut": F.col("sdss_r_obs") < 19.87}
+    name = f"running_{uuid.uuid4().hex}"
+    catalogue_streams.running_statistics(stream, steps).writeStream.outputMode("complete").format("memory").queryName(name).option("checkpointLocation", f"{path}/state").trigger(availableNow=True).start().awaitTermination()
+    return rounded(spark.table(name))
+
+
+@register("stream_windows", "SELECT date_trunc('hour', ts) AS start, event_type, count(*) AS n FROM events GROUP BY 1, 2")
+def stream_windows(spark, sf_dir):
+    """Hourly counts by type of a stream of events, in complete mode."""
+    path = scratch(spark)
+    events = table(spark, sf_dir, "events").select(F.col("ts").cast("timestamp").alias("ts"), "event_type")
+    events.repartition(3).write.parquet(f"{path}/in")
+    stream = catalogue_streams.read_stream(spark, f"{path}/in", events.schema, 1)
+    name = f"windows_{uuid.uuid4().hex}"
+    catalogue_streams.windowed_counts(stream, "ts", "event_type").writeStream.outputMode("complete").format("memory").queryName(name).option("checkpointLocation", f"{path}/state").trigger(availableNow=True).start().awaitTermination()
+    return spark.table(name).select(F.col("window.start").cast("timestamp_ntz").alias("start"), "event_type", "n")

@@ -97,11 +97,14 @@ def vstack(tables: Sequence[DataFrame]) -> DataFrame:
 
 def hstack(tables: Sequence[DataFrame], key: str) -> DataFrame:
     """Column concatenation on a unique key; an error if the tables do not pair one to one."""
-    sizes = {t.count() for t in tables}
-    out = reduce(lambda a, b: a.join(b, key), tables)
-    if len(sizes) != 1 or out.count() != sizes.pop():
+    marked = [t.withColumn(f"_has{i}", F.lit(1)) for i, t in enumerate(tables)]
+    out = reduce(lambda a, b: a.join(b, key, "full"), marked)
+    marks = [f"_has{i}" for i in range(len(tables))]
+    # one pass over one join: a row that lacks a mark has no partner, a key of two rows is not unique
+    n, keys, *paired = out.agg(F.count("*"), F.count_distinct(key), *[F.count(m) for m in marks]).first()
+    if {n} != {keys, *paired}:
         raise ValueError("tables do not pair one to one")
-    return out
+    return out.drop(*marks)
 
 
 def split_rows(df: DataFrame, n: int, key: str, name: str = "chunk") -> DataFrame:

@@ -199,6 +199,50 @@ def test_systematic_sample_and_stride(spark):
     assert sampling.target_count(8698, 0.815761, 5156.625, 256) == int(8698 / 0.815761 * 5156.625 / 256)
 
 
+@pytest.mark.parametrize("parts", [1, 7, 16])
+def test_row_index_of_wide_tables(spark, sf_dir, parts):
+    """Every number once, in order, whatever else the table holds; keys that tie, nulls, strings."""
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    wide = lines.withColumn("half", F.when(F.col("l_linenumber") > 2, F.col("l_linenumber")))
+    for order in ("l_orderkey", "half", "l_shipdate", "l_returnflag"):
+        rows = sampling.dense_row_index(wide, order, partitions=parts).orderBy("row_index").select("row_index", order).collect()
+        assert [r[0] for r in rows] == list(range(lines.count()))
+        keys = [r[1] for r in rows]
+        assert keys == sorted(keys, key=lambda k: (k is not None, k if k is not None else 0))
+    assert sampling.sparse_every(wide, 10, "l_orderkey").count() == -(-lines.count() // 10)
+    assert sampling.dense_row_index(wide.limit(0), "half").count() == 0
+
+
+def test_match_distribution_beyond_the_source(spark):
+    df = spark.range(500).select(F.col("id").alias("unique_gal_id"), (0.4 + 0.2 * uniform("s", "x", F.col("id"))).alias("x"))
+    target = spark.range(4000).select((20 * uniform("s", "t", F.col("id"))).alias("x"))
+    assert 0 < sampling.match_distribution(df, "x", target, "x", "s").count() <= 500
+    assert sampling.match_distribution(df, "x", target.limit(0), "x", "s").count() == 0
+
+
+def test_statistics_without_spread(spark):
+    none, same = spark.createDataFrame([], "x double, z double"), spark.createDataFrame([(1.0, 1.0)] * 5, "x double, z double")
+    for df in (none, same):
+        assert values(stats.kde_1d(df, "x", 0, 1, points=5), "density") == [None] * 5
+        assert stats.grid_step(df, "x").first()["step"] is None
+    assert stats.percentile_edges(none, "x") == [] and stats.photoz_statistics(none, "x", "x", "z", []).count() == 0
+    assert stats.percentile_limits(none, ["x"], 1, 99).count() == 0 and stats.median_default(none, ["x"]).count() == 0
+
+
+def test_hstack_pairs_one_to_one(spark):
+    a, b = spark.range(5).withColumn("p", F.lit(1)), spark.range(5).withColumn("q", F.lit(2))
+    assert sorted(map(tuple, tables.hstack([a, b, b.withColumnRenamed("q", "r")], "id").collect())) == [(i, 1, 2, 2) for i in range(5)]
+    for other in (b.limit(4), b.unionByName(b), b.where("id < 4").unionByName(b.where("id = 3")), b.withColumn("id", F.col("id") + 1)):
+        with pytest.raises(ValueError):
+            tables.hstack([a, other], "id")
+
+
+def test_tiles_across_zero(spark):
+    df = spark.createDataFrame([(i, ra) for i, ra in enumerate([359.5, 0.0, 0.4, 10.0, 350.0, 360.0])], "unique_gal_id bigint, ra_gal double").withColumn("dec_gal", F.lit(1.0))
+    tiles = spark.createDataFrame([(1, 350.0, 10.0, 0.0, 2.0), (2, 0.0, 0.5, 0.0, 2.0)], "pointing_id bigint, ra_min double, ra_max double, dec_min double, dec_max double")
+    assert sorted(map(tuple, sky.assign_pointing(df, tiles).select("pointing_id", "unique_gal_id").collect())) == [(1, 0), (1, 1), (1, 2), (1, 4), (1, 5), (2, 1), (2, 2)]
+
+
 def test_match_distribution_shape(spark):
     df = spark.range(20000).select(F.col("id").alias("unique_gal_id"), uniform("s", "x", F.col("id")).alias("x"))
     target = spark.range(1500).select((0.5 + 0.1 * normal("s", "t", F.col("id"))).alias("x"))
@@ -206,7 +250,12 @@ def test_match_distribution_shape(spark):
     assert abs(kept.mean() - 0.5) < 0.02 and abs(kept.std() - 0.1) < 0.02 and abs(len(kept) - 1500) < 200
 
 
-def test_nearest_property_equals_brute_force(spark):
+@pytest.mark.parametrize("values_", [10, 8_000_000])
+def test_nearest_property_equals_brute_force(spark, monkeypatch, values_):
+    """By cells with hot ones split, and by broadcast in small blocks of pairs."""
+    monkeypatch.setattr(match, "BROADCAST_VALUES", values_)
+    monkeypatch.setattr(match, "HOT_CELL", 20)
+    monkeypatch.setattr(match, "PAIRS", 30)
     rng = np.random.default_rng(5)
     sim = [(i, *map(float, x)) for i, x in enumerate([*rng.random((200, 2)), *[[99.0, 99.0]] * 30])]
     ref = [(i, *map(float, x), f"p{i}") for i, x in enumerate([*rng.random((60, 2)), [99.0, 99.0], [99.0, 99.0]])]
@@ -228,7 +277,8 @@ def test_neighbour_at_exactly_r_max_is_out(spark):
 
 
 def test_nearest_unbounded_in_blocks(spark, monkeypatch):
-    monkeypatch.setattr(match, "BROADCAST_ROWS", 7)
+    monkeypatch.setattr(match, "BROADCAST_VALUES", 21)
+    monkeypatch.setattr(match, "PAIRS", 50)
     rng = np.random.default_rng(6)
     s = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rng.random((40, 3)))], "i bigint, v array<double>")
     r = spark.createDataFrame([(i, v.tolist(), i * 2) for i, v in enumerate(rng.random((30, 3)))], "j bigint, w array<double>, p int")
@@ -261,7 +311,7 @@ def test_photoz_statistics_with_an_empty_bin(spark):
     z = rng.uniform(0, 1, 400)
     zp = z + rng.normal(0, 0.1, 400) * (1 + z)
     df = spark.createDataFrame([(float(a), float(b)) for a, b in zip(z, zp, strict=True)], "z double, zp double")
-    rows = stats.photoz_statistics(df, "z", "zp", "z", [0, 0.5, 1, 2]).orderBy("bin").collect()
+    rows = stats.photoz_statistics(df, "z", "zp", "z", [0, 0.5, 1, 2], exact=True).orderBy("bin").collect()
     for r, (lo, hi) in zip(rows, ((0, 0.5), (0.5, 1)), strict=False):
         dz = ((zp - z) / (1 + z))[(z >= lo) & (z < hi)]
         mad = 1.4826 * np.median(np.abs(dz - dz.mean()))
