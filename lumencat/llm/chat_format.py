@@ -53,7 +53,7 @@ class Mapping:
 
     fields: (path, role) of each turn. messages: path of an array of structs
     and the names of its role and text. row: the record is one turn itself,
-    (role path, text path).
+    (role path, text path). columns: serves only tables that have them.
     """
 
     name: str
@@ -62,6 +62,7 @@ class Mapping:
     fields: tuple[tuple[str, str], ...] = ()
     messages: tuple[str, str, str] | None = None
     row: tuple[str, str] | None = None
+    columns: tuple[str, ...] = ()
 
     def layouts(self) -> list[tuple[str, ...]]:
         """Every path set that this mapping serves."""
@@ -74,6 +75,7 @@ MAPPINGS = (
     Mapping("turn_row_without_turn", ("conv_id",), ("role", "text"), row=("role", "text")),
     Mapping("turn_row_bare", ("role",), ("text",), row=("role", "text")),
     Mapping("turn_row_text", ("text",), row=("role", "text")),
+    Mapping("turn_row_empty", (), row=("role", "text"), columns=("conv_id", "turn", "role", "text")),
     Mapping("prompt_response", ("prompt", "response"), ("system",), fields=(("system", "system"), ("prompt", "user"), ("response", "assistant"))),
     Mapping("prompt_completion", ("prompt", "completion"), fields=(("prompt", "user"), ("completion", "assistant"))),
     Mapping("instruction", ("instruction", "output"), ("input",), fields=(("instruction", "user"), ("input", "user"), ("output", "assistant"))),
@@ -119,7 +121,7 @@ def canonical_turns(df: DataFrame, mappings: tuple[Mapping, ...] = MAPPINGS) ->
     """
     have = set(field_paths(df.schema))
     known = {p for m in mappings for p in (*m.required, *m.optional)}
-    serving = [(m, [layout_hash(x) for x in m.layouts() if set(x) <= have]) for m in mappings]
+    serving = [(m, [layout_hash(x) for x in m.layouts() if {*x, *m.columns} <= have]) for m in mappings]
     turns, names = F.lit(None).cast(TURNS), F.lit(None).cast("string")
     fp = F.col("schema_fp")
     for m, hashes in reversed(serving):

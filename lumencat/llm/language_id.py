@@ -14,11 +14,14 @@ language (all interpolation done beforehand) and small tables for keys never
 seen. Every whole text is scored by binary search, in slices. The lowest
 length-normalised cross-entropy wins. The margin to the runner-up is calibrated
 to a probability, and a text whose cross-entropy exceeds what nearly all
-learning texts of its language show is marked ``rejected``.
+learning texts of its language show is marked ``rejected``. Both are calibrated
+on one of CALIBRATION learning rows (by a hash of their id), whose trigrams are
+not counted; tables of too few rows are calibrated on what they have.
 
 Defined results: text null or without a letter: ``und`` with score 0; a single
 language: score 1; nothing to learn from: ``und``; ties: the language that
-sorts first; null lang: not learned from; empty table: no rows.
+sorts first; null lang: not learned from; more than MOST_LANGUAGES languages: an
+error, as the model would outgrow its broadcast; empty table: no rows.
 """
 
 from __future__ import annotations
@@ -39,6 +42,10 @@ KEYS = CLASSES**3
 SLICE = 1 << 19
 #: Languages counted at once in a task; with more, counts are passed on early.
 OPEN_LANGUAGES = 8
+#: Languages of one model: 16 bytes times 2^21 keys at most for each in the broadcast.
+MOST_LANGUAGES = 256
+#: One of so many learning rows is kept from the counts, to calibrate on.
+CALIBRATION = 10
 #: Share of learning texts that the rejection threshold accepts.
 ACCEPTED = 0.999
 
@@ -170,6 +177,8 @@ def kneser_ney(langs: list[str], columns: dict[str, tuple[np.ndarray, np.ndarray
 def fit(docs: DataFrame) -> Model | None:
     """Model of all rows (lang, text); None if there is nothing to learn from."""
     small_batches(docs.sparkSession)
+    if len(docs.where(F.col("lang").isNotNull()).select("lang").distinct().limit(MOST_LANGUAGES + 1).collect()) > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} languages to learn")
     found = trigram_counts(docs).toPandas()  # at most 2^21 rows for each language
     columns = {lang: (g["key"].to_numpy(), g["n"].to_numpy()) for lang, g in found.sort_values("key").groupby("lang")}
     return kneser_ney(sorted(columns), columns) if columns else None
@@ -178,7 +187,9 @@ def fit(docs: DataFrame) -> Model | None:
 def identified(docs: DataFrame, learn: Column, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
     """doc_id, learned, lang_pred, score, cross_entropy, rejected of every row; learn picks the learning rows."""
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("lang"), F.coalesce(learn, F.lit(False)).alias("learned"))
-    model = docs.sparkSession.sparkContext.broadcast(fit(rows.where("learned")))
+    rows = rows.withColumn("kept", F.col("learned") & F.coalesce(F.pmod(F.xxhash64("doc_id"), F.lit(CALIBRATION)) == 0, F.lit(False)))
+    counted = fit(rows.where("learned AND NOT kept"))
+    model = docs.sparkSession.sparkContext.broadcast(counted or fit(rows.where("learned")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model.value
@@ -192,15 +203,18 @@ def identified(docs: DataFrame, learn: Column, doc_id: str = "doc_id", text: str
                     best = int(h.argmin())
                     pred.append(m.langs[best]), low.append(float(h[best]))
                     margin.append(float(np.delete(h, best).min() - h[best]) if len(h) > 1 else None)
-            out = [batch.column(0), batch.column(2), batch.column(3), pa.array(pred, pa.string()), pa.array(low, pa.float64()), pa.array(margin, pa.float64())]
-            yield pa.RecordBatch.from_arrays(out, names=["doc_id", "lang", "learned", "lang_pred", "cross_entropy", "margin"])
+            out = [batch.column(0), batch.column(2), batch.column(3), batch.column(4), pa.array(pred, pa.string()), pa.array(low, pa.float64()), pa.array(margin, pa.float64())]
+            yield pa.RecordBatch.from_arrays(out, names=["doc_id", "lang", "learned", "kept", "lang_pred", "cross_entropy", "margin"])
 
-    found = checkpointed(rows.mapInArrow(run, "doc_id bigint, lang string, learned boolean, lang_pred string, cross_entropy double, margin double"))
+    found = checkpointed(rows.mapInArrow(run, "doc_id bigint, lang string, learned boolean, kept boolean, lang_pred string, cross_entropy double, margin double"))
     return calibrated(found)
 
 
 def calibrated(found: DataFrame) -> DataFrame:
-    """Scores and rejections, calibrated on all learning rows."""
+    """Scores and rejections, calibrated on the rows kept for it.
+
+    A language without a kept row takes its limit from all its learning rows.
+    """
     known = found.where(F.col("learned") & F.col("lang").isNotNull() & F.col("cross_entropy").isNotNull())
     right = F.col("lang_pred") == F.col("lang")
     steps = [2.0**i for i in range(0, 10)]
@@ -209,9 +223,10 @@ def calibrated(found: DataFrame) -> DataFrame:
         z = F.when(right, F.lit(-beta)).otherwise(F.lit(beta)) * F.col("margin")
         return F.avg(F.greatest(z, F.lit(0.0)) + F.log1p(F.exp(-F.abs(z)))).alias(f"b{beta:g}")
 
-    losses = known.agg(*map(loss, steps)).first()
+    losses = known.where("kept").agg(*map(loss, steps)).first()
     beta = min(steps, key=lambda b: losses[f"b{b:g}"] if losses[f"b{b:g}"] is not None else 0.0)
-    limits = known.where(right).groupBy("lang_pred").agg(F.percentile_approx("cross_entropy", ACCEPTED, 10_000).alias("limit"))
+    kept_limit, limit = (F.percentile_approx(c, ACCEPTED, 10_000) for c in (F.when(F.col("kept"), F.col("cross_entropy")), F.col("cross_entropy")))
+    limits = known.where(right).groupBy("lang_pred").agg(F.coalesce(kept_limit, limit).alias("limit"))
     score = F.when(F.col("lang_pred") == "und", 0.0).when(F.col("margin").isNull(), 1.0).otherwise(1 / (1 + F.exp(-beta * F.col("margin"))))
     rejected = F.coalesce(F.col("cross_entropy") > F.col("limit"), F.lit(True))
     # one row for each language of the model

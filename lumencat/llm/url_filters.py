@@ -11,7 +11,9 @@ out (or, reversed, in) keep their mass.
 Everything is DataFrame functions. Pages are counted per host and links per
 (source, target) before any join, so a hot host is one row of the graph; its
 pages meet only the list of blocked hosts. Iterations stop when no score moves
-by more than the tolerance, and each is checkpointed.
+by more than the tolerance, and each is checkpointed; scores that have not
+settled after ``rounds`` (damping shrinks every change, so 300 serve any graph
+that fits a cluster) are an error, never a result.
 
 Defined results: null url or one without ``://``: empty host and path, no rule,
 judged as the host ''; null html: no links; repeated pages count repeatedly;
@@ -70,7 +72,7 @@ def host_links(pages: DataFrame) -> DataFrame:
     return found.groupBy("src", "dst").agg(F.count("*").alias("n"))
 
 
-def host_scores(seeds: DataFrame, links: DataFrame, damping: float = 0.85, tolerance: float = 1e-4, rounds: int = 30) -> DataFrame:
+def host_scores(seeds: DataFrame, links: DataFrame, damping: float = 0.85, tolerance: float = 1e-4, rounds: int = 300) -> DataFrame:
     """(host, trust, distrust) of every host in seeds (host, trusted, blocked) or links (src, dst, n)."""
     links = checkpointed(links)
     ends = links.select(F.col("src").alias("host")).unionByName(links.select(F.col("dst").alias("host"))).distinct()
@@ -105,6 +107,8 @@ def host_scores(seeds: DataFrame, links: DataFrame, damping: float = 0.85, toler
         state = new.select("host", "trusted", "blocked", F.col("new_trust").alias("trust"), F.col("new_distrust").alias("distrust"))
         if change <= tolerance * (1 - damping):
             break
+    else:
+        raise RuntimeError(f"scores did not settle in {rounds} rounds")
     return state.select("host", "trust", "distrust")
 
 
