@@ -184,9 +184,8 @@ def page_counts(page: str | None) -> dict[str, list[int]]:
 
     for kind, value, key, boiler, content in tokens(page):
         if kind == "text" and (n := len(value.split())):
-            add("w:" + key, n, content)
-            if boiler:
-                add("f:cue", n, content)
+            # what stands under a cue says nothing about the element that it stands in
+            add("f:cue" if boiler else "w:" + key, n, content)
             if content:
                 add("f:content", n, content)
         elif kind == "open":
