@@ -11,8 +11,8 @@ two fingerprints differ in at most r bits, then on one of ``bands`` disjoint
 bands they differ in at most r // bands; each band has a tree of its own, whose
 shards overlap by that radius. A fingerprint goes to every shard that some
 point of it may lie within that radius of; inside a shard, whole fingerprints
-are compared, again only where the triangle bound on the distance to a vantage
-point allows it. BANDS = 3 leaves bands of 21 bits and radius 1: wide bands keep
+at home there are compared with all others, again only where the triangle bound
+on the distance to a vantage point allows it. BANDS = 3 leaves bands of 21 bits and radius 1: wide bands keep
 shards apart when there are many fingerprints.
 
 The trees are built on the driver from SAMPLE fingerprints (chosen by a hash),
@@ -46,7 +46,7 @@ SAMPLE = 1 << 16
 #: Rows that a shard is to hold, where its band has another value to split by.
 SHARD_ROWS = 2048
 #: Most rows of a block of an overfull shard.
-BLOCK_ROWS = 20_000
+BLOCK_ROWS = 60_000
 #: Shingles whose bits are counted at once.
 CHUNK = 1 << 15
 #: Parts of a class' fingerprints when they get its name.
@@ -133,30 +133,35 @@ def band_bits(bands: int) -> list[tuple[int, int]]:
     return [(a, b - a) for a, b in zip(edges, edges[1:], strict=False)]
 
 
-def links(fps: np.ndarray, distance: int, block: int = 256) -> tuple[np.ndarray, np.ndarray]:
-    """A spanning forest (root, member) of the distinct fingerprints that link within a shard.
+def links(fps: np.ndarray, home: np.ndarray, distance: int, block: int = 64) -> tuple[np.ndarray, np.ndarray]:
+    """A spanning forest (root, member) of a shard's distinct fingerprints under the links that have an end at home in it.
 
-    Points are sorted by their distance to a vantage point: a link's ends
-    differ there by at most ``distance``, so each block meets a window only.
-    Points without a partner drop out first; the rest are reached outward from
-    a root, and a point once reached is not compared again.
+    Both ends of a link meet where either is at home, so visitors need not be
+    compared with each other. Points are sorted by their distance to a vantage
+    point: a link's ends differ there by at most ``distance``, so each block
+    meets a window only. Points without a partner drop out first; the rest are
+    reached outward from a root, and a point once reached is not compared again.
     """
     none = np.zeros(0, fps.dtype)
-    if len(fps) < 2:
+    if len(fps) < 2 or not home.any():
         return none, none
     d0 = np.bitwise_count(fps ^ fps[0]).astype(np.int16)
     order = np.argsort(d0, kind="stable")
-    x, d0 = fps[order], d0[order]
+    x, d0, home = fps[order], d0[order], home[order]
 
     def window(lo: int, hi: int) -> slice:
         return slice(np.searchsorted(d0, lo - distance), np.searchsorted(d0, hi + distance, "right"))
 
     linked = np.zeros(len(x), bool)
-    for i in range(0, len(x), block):
-        part = slice(i, min(i + block, len(x)))
-        near = np.bitwise_count(x[part, None] ^ x[None, window(d0[part.start], d0[part.stop - 1])]) <= distance
-        linked[part] = near.sum(axis=1) > 1
-    x, d0 = x[linked], d0[linked]
+    at_home = np.flatnonzero(home)
+    for i in range(0, len(at_home), block):
+        part = at_home[i : i + block]
+        w = window(d0[part[0]], d0[part[-1]])
+        near = np.bitwise_count(x[part, None] ^ x[None, w]) <= distance
+        partners = near.sum(axis=1) > 1
+        linked[part] |= partners
+        linked[w] |= near[partners].any(axis=0)
+    x, d0, home = x[linked], d0[linked], home[linked]
     left, roots, members = np.ones(len(x), bool), [], []
     for seed in range(len(x)):
         if not left[seed]:
@@ -168,7 +173,8 @@ def links(fps: np.ndarray, distance: int, block: int = 256) -> tuple[np.ndarray,
             w = window(d0[front].min(), d0[front].max())
             open_ = w.start + np.flatnonzero(left[w])
             if len(open_):
-                hit = open_[(np.bitwise_count(x[front, None] ^ x[None, open_]) <= distance).any(axis=0)]
+                near = np.bitwise_count(x[front, None] ^ x[None, open_]) <= distance
+                hit = open_[(near & (home[front, None] | home[None, open_])).any(axis=0)]
                 left[hit] = False
                 found += hit.tolist()
         if len(found) > 1:
@@ -201,15 +207,19 @@ def fingerprint_links(distinct: DataFrame, distance: int = 4, bands: int = BANDS
     distinct = distinct.select("fp").repartition(parts, "fp")
     trees = sampled_trees(distinct, bands)
 
-    def reached(fp: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-        """(shard, positions of the fingerprints that go there)."""
+    def reached(fp: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(shard, positions of the fingerprints that go there, whether they are at home)."""
         for band, (shift, width) in enumerate(layout):
-            for leaf, at in trees[band].reach(band_values(fp, shift, width), radius):
-                yield band << 32 | leaf, at
+            values = band_values(fp, shift, width)
+            own = np.empty(len(fp), np.int64)
+            for leaf, at in trees[band].reach(values, 0):
+                own[at] = leaf
+            for leaf, at in trees[band].reach(values, radius):
+                yield band << 32 | leaf, at, own[at] == leaf
 
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [(shard, len(at)) for shard, at in reached(batch.column(0).to_numpy())]
+            found = [(shard, len(at)) for shard, at, _ in reached(batch.column(0).to_numpy())]
             yield pa.RecordBatch.from_pydict({"shard": pa.array([s for s, _ in found], pa.int64()), "n": pa.array([n for _, n in found], pa.int64())})
 
     # one row for each shard, and there are no more shards than sampled values
@@ -220,19 +230,19 @@ def fingerprint_links(distinct: DataFrame, distance: int = 4, bands: int = BANDS
         for batch in batches:
             fp = batch.column(0).to_numpy()
             out = []
-            for shard, at in reached(fp):
+            for shard, at, home in reached(fp):
                 own, g = fp[at], blocks.get(shard, 1)
                 mine = (own.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(40)).astype(np.int64) % g
-                out += [(np.full(len(at), shard), np.minimum(mine, other) * g + np.maximum(mine, other), own) for other in range(g)]
+                out += [(np.full(len(at), shard), np.minimum(mine, other) * g + np.maximum(mine, other), own, home) for other in range(g)]
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out, strict=True)], names=["shard", "task", "fp"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out, strict=True)], names=["shard", "task", "fp", "home"])
 
     def search(shard: pa.Table) -> pa.Table:
         # unsigned: counting the bits of a negative number would count those of its magnitude
-        a, b = links(shard["fp"].to_numpy().view(np.uint64), distance)
+        a, b = links(shard["fp"].to_numpy().view(np.uint64), shard["home"].to_numpy(), distance)
         return pa.table({"a": a.view(np.int64), "b": b.view(np.int64)})
 
-    routed = distinct.mapInArrow(route, "shard bigint, task bigint, fp bigint")
+    routed = distinct.mapInArrow(route, "shard bigint, task bigint, fp bigint, home boolean")
     return routed.groupBy("shard", "task").applyInArrow(search, "a bigint, b bigint").distinct()
 
 
