@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
+from itertools import product
 from operator import add
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -51,46 +53,57 @@ def nearest_property(
     _checked(sim_attrs, ref_attrs, props, fallback)
     most = BROADCAST_VALUES // len(ref_attrs)
     found = ref.where(reduce(lambda a, b: a & b, [F.col(a).isNotNull() for a in ref_attrs]))
-    if found.limit(most + 1).count() <= most:
-        return _by_broadcast(sim, found, sim_attrs, ref_attrs, props, ref_id, r_max, fallback or {})
+    rows = _attributes(found, ref_id, [F.col(a).cast("double") for a in ref_attrs], props).limit(most + 1).toArrow()
+    if rows.num_rows <= most:
+        return _by_broadcast(sim, ref, rows.sort_by("_ref"), sim_attrs, props, r_max, fallback or {})
     return _by_cells(sim, found, sim_attrs, ref_attrs, props, ref_id, r_max, fallback or {}, row_id)
 
 
 class CellIndex:
-    """Reference points sorted by cells of side r_max in the first dimensions."""
+    """Reference points sorted by columns of cells (r_max / 2 wide in all indexed attributes but the last) and, inside a column, by slices of the last.
+
+    A point closer than r_max lies at most two cells away in each direction, and
+    in a run of slices: each neighbouring column is one stretch of the order.
+    Columns are numbered by a hash; two that share a number are told apart by
+    distance.
+    """
+
+    SLICE_BITS = 22
 
     def __init__(self, points: np.ndarray, r_max: float):
         self.r_max, self.dims = r_max, min(CELL_DIMENSIONS, points.shape[1])
-        cells = self._cells(points)
-        self.low, self.shape = (cells.min(axis=0), np.ptp(cells, axis=0) + 1) if len(points) else (np.zeros(self.dims, np.int64), np.zeros(self.dims, np.int64))
-        keys = self._keys(cells)
+        self.low = points[:, self.dims - 1].min() if len(points) else 0.0
+        self.around = np.array([*product(range(-2, 3), repeat=self.dims - 1)], np.int64)
+        keys = self._column(self._cells(points)) | self._slice(points[:, self.dims - 1])
         self.order = np.argsort(keys, kind="stable")
-        self.keys, self.points = keys[self.order], points[self.order]
-        self.around = np.stack(np.meshgrid(*[np.array([-1, 0, 1])] * self.dims, indexing="ij"), -1).reshape(-1, self.dims)
+        self.keys, self.points = keys[self.order], np.ascontiguousarray(points[self.order].T)
 
     def _cells(self, x: np.ndarray) -> np.ndarray:
-        return np.floor(np.clip(x[:, : self.dims] / self.r_max, -(2.0**40), 2.0**40)).astype(np.int64)
+        return np.floor(np.clip(x[:, : self.dims - 1] / (self.r_max / 2), -(2.0**40), 2.0**40)).astype(np.int64)
 
-    def _keys(self, cells: np.ndarray) -> np.ndarray:
-        """A cell's number, the lowest outside the reference's range; cells that share one are told apart by distance."""
-        at = cells - self.low
-        inside = ((at >= 0) & (at < self.shape)).all(axis=1)
-        key = np.zeros(len(cells), np.int64)
-        for i in range(self.dims):
-            key = key * np.int64(1_000_003) + at[:, i]
-        return np.where(inside, key, np.iinfo(np.int64).min)
+    def _column(self, cells: np.ndarray) -> np.ndarray:
+        number = np.zeros(len(cells), np.uint64)
+        for c in cells.T:
+            number = (number + c.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+        return (number >> np.uint64(24)).astype(np.int64) << self.SLICE_BITS
+
+    def _slice(self, x: np.ndarray) -> np.ndarray:
+        return np.clip((x - self.low) / (self.r_max / 8), 0, (1 << self.SLICE_BITS) - 1).astype(np.int64)
 
     def nearest(self, x: np.ndarray) -> np.ndarray:
         """Position of the nearest reference point closer than r_max, the first on ties; -1 without one."""
         best, at = np.full(len(x), np.inf), np.full(len(x), -1, np.int64)
         rows = np.flatnonzero(np.isfinite(x).all(axis=1))
-        if not len(self.points) or not len(rows):
+        if not len(self.keys) or not len(rows):
             return at
-        cells = self._cells(x[rows])
+        cells, columns = self._cells(x[rows]), np.ascontiguousarray(x[rows].T)
+        # a little wider than r_max: rounding must not lose a point that its distance lets in
+        reach = self.r_max * (1 + 1e-9)
+        low, high = (self._slice(columns[self.dims - 1] + s * reach) for s in (-1, 1))
         for shift in self.around:
-            keys = self._keys(cells + shift)
-            first, last = np.searchsorted(self.keys, keys), np.searchsorted(self.keys, keys, "right")
-            count = np.where(keys == np.iinfo(np.int64).min, 0, last - first)
+            number = self._column(cells + shift)
+            first, last = np.searchsorted(self.keys, number | low), np.searchsorted(self.keys, number | high, "right")
+            count = last - first
             busy = np.flatnonzero(count)
             ends = np.cumsum(count[busy])
             done = 0
@@ -102,28 +115,37 @@ class CellIndex:
                 n = count[part]
                 begin = np.cumsum(n) - n
                 ref = np.repeat(first[part] - begin, n) + np.arange(int(n.sum()))
-                d2 = ((x[rows[np.repeat(part, n)]] - self.points[ref]) ** 2).sum(axis=1)
+                pair, d2 = np.repeat(part, n), np.zeros(len(ref))
+                for column, points in zip(columns, self.points, strict=True):
+                    # pairs that one attribute after the other puts too far apart drop out
+                    d2 = d2 + (column[pair] - points[ref]) ** 2
+                    near = d2 < self.r_max**2
+                    pair, ref, d2 = pair[near], ref[near], d2[near]
+                if not len(pair):
+                    continue
+                begin = np.flatnonzero(np.diff(pair, prepend=-1))
                 least = np.minimum.reduceat(d2, begin)
-                position = np.where(d2 == np.repeat(least, n), self.order[ref], np.iinfo(np.int64).max)
+                position = np.where(d2 == np.repeat(least, np.diff(np.append(begin, len(pair)))), self.order[ref], np.iinfo(np.int64).max)
                 position = np.minimum.reduceat(position, begin)
-                own = rows[part]
-                better = (least < self.r_max**2) & ((least < best[own]) | ((least == best[own]) & (position < at[own])))
+                own = rows[pair[begin]]
+                better = (least < best[own]) | ((least == best[own]) & (position < at[own]))
                 best[own[better]], at[own[better]] = least[better], position[better]
         return at
 
 
-def _collected(ref: DataFrame, ref_id: str, columns: Sequence[Column], props: Mapping[str, str]) -> tuple[pd.DataFrame, DataFrame]:
-    """The reference's attributes in the order of its ids, and its properties by position, as a table to broadcast; size checked before."""
-    spark = ref.sparkSession
-    rows = ref.orderBy(ref_id).select(*[c.alias(f"_a{i}") for i, c in enumerate(columns)], F.struct(*[F.col(p).alias(f"_p{i}") for i, p in enumerate(props)]).alias("_best")).toArrow()
-    placed = rows.select(["_best"]).append_column("_at", [np.arange(rows.num_rows)])
-    values = spark.createDataFrame(placed) if rows.num_rows else spark.createDataFrame([], ref.select(F.struct(*[F.col(p).alias(f"_p{i}") for i, p in enumerate(props)]).alias("_best"), F.lit(0).cast("bigint").alias("_at")).schema)
-    return rows.drop_columns(["_best"]).to_pandas(), values
+def _attributes(ref: DataFrame, ref_id: str, columns: Sequence[Column], props: Mapping[str, str]) -> DataFrame:
+    """_ref, the attributes _a0, _a1... and the properties as one column _best."""
+    kept = F.struct(*[F.col(p).alias(f"_p{i}") for i, p in enumerate(props)]).alias("_best")
+    return ref.select(F.col(ref_id).alias("_ref"), *[c.alias(f"_a{i}") for i, c in enumerate(columns)], kept)
 
 
-def _by_broadcast(sim: DataFrame, ref: DataFrame, sim_attrs: Sequence[str], ref_attrs: Sequence[str], props: Mapping[str, str], ref_id: str, r_max: float, fallback: Mapping[str, object]) -> DataFrame:
-    points, values = _collected(ref, ref_id, [F.col(a).cast("double") for a in ref_attrs], props)
-    shared = sim.sparkSession.sparkContext.broadcast(points.to_numpy(float).reshape(-1, len(ref_attrs)))
+def _by_broadcast(sim: DataFrame, ref: DataFrame, rows: pa.Table, sim_attrs: Sequence[str], props: Mapping[str, str], r_max: float, fallback: Mapping[str, object]) -> DataFrame:
+    """rows: the reference, sorted by its ids."""
+    spark = sim.sparkSession
+    points = np.column_stack([rows[f"_a{i}"].to_numpy() for i in range(len(sim_attrs))])
+    shared = spark.sparkContext.broadcast(points)
+    kind = ref.select(F.struct(*[F.col(p).alias(f"_p{i}") for i, p in enumerate(props)]).alias("_best"), F.lit(0).cast("bigint").alias("_at")).schema
+    values = spark.createDataFrame(rows.select(["_best"]).append_column("_at", [np.arange(rows.num_rows)]), kind) if rows.num_rows else spark.createDataFrame([], kind)
     made: dict[int, CellIndex] = {}
 
     @F.pandas_udf("bigint")
