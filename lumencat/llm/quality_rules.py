@@ -19,8 +19,12 @@ in the stats columns' prefix ``qr_``.
 
 from __future__ import annotations
 
+import string
+from collections.abc import Iterable
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,10 +33,11 @@ from .common import small_batches, stored
 
 SPACES = " \t\n\v\f\r"
 SYMBOLS = "#*$%&|<>"
-CAPITALS = bytes(range(65, 91))
 STATS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_capitals", "n_shouts")
 GAMMA = 1.02
 LEAST_GROUP = 300
+#: Characters of texts whose statistics are taken together.
+GROUP_CHARS = 1 << 19
 FENCE = 5.0
 #: Measures, the side of the fence, and the least spread (in units of the measure) where quartiles coincide.
 MEASURES: dict[str, tuple[str, str, float]] = {
@@ -46,46 +51,98 @@ MEASURES: dict[str, tuple[str, str, float]] = {
 }
 
 
-def repeated_words(words: list[bytes], size: int = 3) -> int:
-    """Words that lie in a window of ``size`` words found twice or more."""
+def _marks(characters: str) -> np.ndarray:
+    """Table of bytes: which stand for one of some ASCII characters."""
+    out = np.zeros(256, bool)
+    out[[*characters.encode()]] = True
+    return out
+
+
+IS_SPACE, IS_SYMBOL, IS_CAPITAL, IS_SHOUT = map(_marks, (SPACES, SYMBOLS, string.ascii_uppercase, "!"))
+
+
+def _numbered(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Equal numbers for equal slices of a byte array that begin at starts, each up to the next."""
+    offsets = np.append(starts, len(data)).astype(np.int64)
+    slices = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data))])
+    return slices.dictionary_encode().indices.to_numpy()
+
+
+def _repeated(words: np.ndarray, doc: np.ndarray, size: int = 3) -> np.ndarray:
+    """Which words lie in a window of ``size`` words found twice or more in their document."""
     n = len(words) - size + 1
+    cover = np.zeros(len(words), bool)
     if n < 2:
-        return 0
-    seen: dict[bytes, int] = {}
-    ids = np.array([seen.setdefault(w, len(seen)) for w in words], np.int64)
-    key = ids[:n]
+        return cover
+    key = words[:n].astype(np.int64)
     for i in range(1, size):
-        # renumbered at each step: no product of two counts overflows
-        key = np.unique(key, return_inverse=True)[1] * len(seen) + ids[i : n + i]
-    _, inverse, counts = np.unique(key, return_inverse=True, return_counts=True)
-    cover = np.zeros(len(words) + 1, np.int64)
-    at = np.flatnonzero(counts[inverse] > 1)
-    np.add.at(cover, at, 1)
-    np.add.at(cover, at + size, -1)
-    return int((np.cumsum(cover)[:-1] > 0).sum())
+        wide = int(words.max()) + 1
+        if int(key.max()) >= (1 << 62) // wide:  # numbers that would overflow are dealt anew
+            key = np.unique(key, return_inverse=True)[1]
+        key = key * wide + words[i : n + i]
+    if int(key.max()) >= (1 << 62) // (int(doc[-1]) + 1):
+        key = np.unique(key, return_inverse=True)[1]
+    key = key * (int(doc[-1]) + 1) + doc[:n]
+    inside = np.flatnonzero(doc[:n] == doc[size - 1 :])
+    order = inside[np.argsort(key[inside])]
+    same = key[order[1:]] == key[order[:-1]]
+    twice = np.concatenate((order[1:][same], order[:-1][same]))
+    for i in range(size):
+        cover[twice + i] = True
+    return cover
+
+
+def _group_stats(texts: list[str]) -> np.ndarray:
+    raw = np.frombuffer("\n".join([*texts, ""]).encode(), np.uint8)
+    until = np.flatnonzero(raw == 10)  # line ends; the documents' ends are among them
+    size = np.fromiter((len(t.encode()) + 1 for t in texts), np.int64, len(texts))
+    ends = np.cumsum(size)
+
+    def total(flags: np.ndarray) -> np.ndarray:
+        """Bytes of each document that are flagged; every document has its line end at least."""
+        return np.add.reduceat(flags, ends - size, dtype=np.int64)
+
+    space = IS_SPACE[raw]
+    begins = ~space
+    begins[1:] &= space[:-1]
+    word_at = np.flatnonzero(begins)
+    letters = np.flatnonzero(~space)
+    words = _numbered(raw[letters], np.flatnonzero(begins[letters]))
+    doc = np.searchsorted(ends, word_at, "right")
+    line_at = np.concatenate(([0], until[:-1] + 1))
+    full = np.diff(np.searchsorted(word_at, until), prepend=0) > 0
+    line_doc = np.searchsorted(ends, line_at, "right")[full]
+    distinct = np.unique(line_doc * len(until) + _numbered(raw, line_at)[full]) // len(until)
+    n_lines = np.bincount(line_doc, minlength=len(texts))
+    return np.column_stack([
+        np.bincount(doc, minlength=len(texts)), total(~space & ((raw & 0xC0) != 0x80)), total(IS_SYMBOL[raw]), n_lines - np.bincount(distinct, minlength=len(texts)),
+        np.bincount(doc[_repeated(words, doc)], minlength=len(texts)), n_lines, total(IS_CAPITAL[raw]), total(IS_SHOUT[raw]),
+    ])
+
+
+def batch_stats(texts: Iterable[str | None]) -> np.ndarray:
+    """The STATS of each whole text, texts taken together in groups of GROUP_CHARS."""
+    out, group, size = [np.zeros((0, len(STATS)), np.int64)], [], 0
+    for text in texts:
+        text = text if isinstance(text, str) else ""
+        if group and size + len(text) > GROUP_CHARS:
+            out.append(_group_stats(group))
+            group, size = [], 0
+        group.append(text)
+        size += len(text)
+    if group:
+        out.append(_group_stats(group))
+    return np.concatenate(out)
 
 
 def text_stats(text: str | None) -> tuple[int, ...]:
     """The STATS of one whole text."""
-    text = text if isinstance(text, str) else ""
-    raw = text.encode()
-    words = raw.split()
-    lines = [x for x in text.split("\n") if x.strip(SPACES)]
-    return (
-        len(words),
-        len(text) - sum(map(text.count, SPACES)),
-        sum(map(text.count, SYMBOLS)),
-        len(lines) - len({*lines}),
-        repeated_words(words),
-        len(lines),
-        len(raw) - len(raw.translate(None, CAPITALS)),
-        text.count("!"),
-    )
+    return tuple(batch_stats([text])[0].tolist())
 
 
 @F.pandas_udf(T.StructType([T.StructField(s, T.LongType()) for s in STATS]))
 def _stats(texts: pd.Series) -> pd.DataFrame:
-    return pd.DataFrame([text_stats(t) for t in texts], columns=[*STATS])
+    return pd.DataFrame(batch_stats(texts), columns=[*STATS])
 
 
 def with_stats(docs: DataFrame, text: str = "text") -> DataFrame:

@@ -136,6 +136,19 @@ def test_text_stats_equal_brute_force(text):
     assert quality_rules.text_stats(text)[:5] == brute_stats(text)
 
 
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.text(alphabet="ab #A!\n\t\x1c\x85é|", max_size=40), max_size=6), st.integers(1, 60))
+def test_stats_of_many_texts_equal_brute_force(texts, size):
+    before, quality_rules.GROUP_CHARS = quality_rules.GROUP_CHARS, size
+    try:
+        found = quality_rules.batch_stats(texts)
+    finally:
+        quality_rules.GROUP_CHARS = before
+    lines = [[x for x in t.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)] for t in texts]
+    want = [(*brute_stats(t), len(own), len(re.findall("[A-Z]", t)), t.count("!")) for t, own in zip(texts, lines, strict=True)]
+    assert [tuple(r) for r in found.tolist()] == want
+
+
 def test_quality_rules_keep_good_and_reject_bad(spark, sf_dir):
     found = {r["doc_id"]: r for r in QUERIES["op4_quality_rules"](spark, sf_dir).collect()}
     docs = dict(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect())
