@@ -47,8 +47,15 @@ def decimals_as_doubles(formula: str) -> str:
 
 
 def catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One galaxy per order; formulas are nested once per level, not materialised."""
+    """One galaxy per order; formulas are nested once per level, not materialised.
+
+    A row costs some twenty digests, so an input of fewer splits than cores (one
+    small file) is dealt to all of them: its ids alone are shuffled.
+    """
     df = spark.read.parquet(f"{sf_dir}/orders.parquet").select(F.col("o_orderkey").alias("unique_gal_id"))
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        df = df.repartition(cores)
     df = df.select("*", *[uniform("fx", s, F.col("unique_gal_id")).alias(f"u_{s}") for s in STREAMS])
     for name, formula in FORMULAS.items():
         df = df.withColumn(name, F.expr(decimals_as_doubles(formula)))
