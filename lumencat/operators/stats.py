@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -14,6 +16,10 @@ from ..functions.rng import uniform
 from .ranges import range_part
 
 
+#: Accuracy of the sketches that bracket exact quantiles.
+SKETCH = 200_000
+
+
 def bin_index(x: Column, edges: Sequence[float], closed: bool = True) -> Column:
     """0-based bin of x; null outside, for NaN and null. closed: the last bin holds its upper edge."""
     inside = (x >= edges[0]) & (x <= edges[-1] if closed else x < edges[-1]) & ~F.isnan(x)
@@ -53,19 +59,63 @@ def histogram_per_filter(df: DataFrame, columns: Sequence[str], edges: Sequence[
     return rows.groupBy("filter", *keys, "bin").agg((F.sum(weight) if weight else F.count("*").cast("double")).alias("value"))
 
 
+def exact_quantiles(rows: DataFrame, keys: Sequence[str], x: str, shares: Sequence[float]) -> DataFrame:
+    """keys and ``values``: the interpolated quantiles of x at shares in each group, null for none.
+
+    Sketches bracket each quantile (their rank error is bounded); what lies below
+    a bracket is counted, and only the values inside, some 1e-5 of the rows, are
+    tallied and ordered. No group's values meet in one buffer.
+    """
+    keys, x_, every = [*keys], F.col(x), range(len(shares))
+    margin = 2.0 / SKETCH
+    sketch = [F.percentile_approx(x, F.array(*[F.lit(min(max(s + side * margin, 0.0), 1.0)) for s in shares]), SKETCH) for side in (-1, 1)]
+    bracket = rows.where(x_.isNotNull()).groupBy(*keys).agg(sketch[0].alias("_low"), sketch[1].alias("_high"), F.count("*").alias("_n"))
+    named = bracket.withColumnsRenamed({k: f"_k_{k}" for k in keys})
+    match = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys], F.lit(True))
+    joined = rows.where(x_.isNotNull()).join(F.broadcast(named), match)  # one row for each group
+    # interpolation may want the value next to the bracket on either side
+    outside = (
+        F.array(*[F.count_if(x_ < F.col("_low")[i]) for i in every]).alias("_below"),
+        F.array(*[F.max(F.when(x_ < F.col("_low")[i], x_)) for i in every]).alias("_before"),
+        F.array(*[F.min(F.when(x_ > F.col("_high")[i], x_)) for i in every]).alias("_after"),
+    )
+    below = joined.groupBy(*keys).agg(*outside)
+    inside = F.array(*[F.when((x_ >= F.col("_low")[i]) & (x_ <= F.col("_high")[i]), F.lit(i)) for i in every])
+    tally = joined.select(*keys, "_n", x_.alias("_x"), F.explode(F.array_compact(inside)).alias("_i")).groupBy(*keys, "_n", "_i", "_x").agg(F.count("*").alias("_c"))
+    tally = tally.join(F.broadcast(below.withColumnsRenamed({k: f"_k_{k}" for k in keys})), match)  # one row for each group
+    own = lambda c: F.element_at(c, F.col("_i") + 1)
+    until = own("_below") + F.sum("_c").over(Window.partitionBy(*keys, "_i").orderBy("_x"))
+    placed = tally.withColumns({"_until": until, "_at": own(F.array(*map(F.lit, map(float, shares)))) * (F.col("_n") - 1)})
+    placed = placed.select(*keys, "_i", "_at", "_x", "_until", own("_below").alias("_below"), own("_before").alias("_before"), own("_after").alias("_after"))
+
+    def ranked(rank: Column) -> Column:
+        return F.when(rank < F.first("_below"), F.first("_before")).otherwise(F.coalesce(F.min(F.when(F.col("_until") > rank, F.col("_x"))), F.first("_after")))
+
+    found = placed.groupBy(*keys, "_i", "_at").agg(ranked(F.floor("_at")).alias("_a"), ranked(F.ceil("_at")).alias("_b"))
+    part = F.col("_at") - F.floor("_at")
+    found = found.withColumn("_v", F.when(part == 0, F.col("_a")).otherwise((1 - part) * F.col("_a") + part * F.col("_b")))
+    ordered = F.transform(F.sort_array(F.collect_list(F.struct("_i", "_v"))), lambda s: s["_v"])  # one item for each share
+    return found.groupBy(*keys).agg(ordered.alias("values"))
+
+
+def quantiles(rows: DataFrame, keys: Sequence[str], x: str, shares: Sequence[float], exact: bool) -> DataFrame:
+    """keys and ``values``: quantiles of x in each group, exact ones interpolated, others from a sketch."""
+    if exact:
+        return exact_quantiles(rows, keys, x, shares)
+    return rows.where(F.col(x).isNotNull()).groupBy(*keys).agg(F.percentile_approx(x, F.array(*map(F.lit, map(float, shares))), 10_000).cast("array<double>").alias("values"))
+
+
 def percentile_limits(df: DataFrame, columns: Sequence[str], low: float, high: float, sample: str | None = None, exact: bool = False, guard: float | None = 90.0) -> DataFrame:
     """filter, low, high: percentiles of detected values; over samples the lowest low and the highest high.
 
-    From sketches (relative rank error 1e-4); exact holds a filter's distinct
-    values in one task.
+    From sketches (relative rank error 1e-4) unless exact.
     """
     keys = [sample] if sample else []
     cells = F.explode(F.array(*[F.struct(F.lit(c).alias("filter"), F.col(c).cast("double").alias("x")) for c in columns])).alias("cell")
     rows = df.select(*keys, cells).select(*keys, "cell.*")
     rows = rows.where(not_sentinel(F.col("x"), guard)) if guard else rows.where(F.col("x").isNotNull())
-    pick = (lambda p: F.percentile("x", p / 100.0)) if exact else (lambda p: F.percentile_approx("x", p / 100.0, 10_000).cast("double"))
-    each = rows.groupBy("filter", *keys).agg(pick(low).alias("low"), pick(high).alias("high"))
-    return each.groupBy("filter").agg(F.min("low").alias("low"), F.max("high").alias("high"))
+    each = quantiles(rows, ["filter", *keys], "x", [low / 100.0, high / 100.0], exact)
+    return each.groupBy("filter").agg(F.min(F.col("values")[0]).alias("low"), F.max(F.col("values")[1]).alias("high"))
 
 
 def binned_kde(df: DataFrame, x: str, low: float, step: float, cells: int, bandwidth: float, first: int = 0, stride: int = 1, points: int | None = None) -> DataFrame:
@@ -142,8 +192,7 @@ def photoz_statistics(df: DataFrame, by: str, z_phot: str, z_true: str, edges: S
     rows = _binned(df, by, z_phot, z_true, edges)
     means = rows.groupBy("bin").agg(F.avg("dz").alias("bias"), F.avg("by").alias("center"), F.count("*").alias("n"), F.avg((F.abs("dz") > sigma).cast("double")).alias("outlier_fraction"))
     off = rows.join(F.broadcast(means.select("bin", "bias")), "bin").withColumn("off", F.abs(F.col("dz") - F.col("bias")))  # one row for each bin
-    middle = F.median("off") if exact else F.percentile_approx("off", 0.5, 10_000)
-    mads = off.groupBy("bin").agg((1.4826 * middle).alias("mad"))
+    mads = quantiles(off, ["bin"], "off", [0.5], exact).select("bin", (1.4826 * F.col("values")[0]).alias("mad"))
     far = rows.join(F.broadcast(mads), "bin").groupBy("bin").agg(F.avg((F.abs("dz") > n * F.col("mad")).cast("double")).alias("nmad_fraction"))
     out = bins_of(df, edges).join(means, "bin", "left").join(mads, "bin", "left").join(far, "bin", "left")
     count = F.coalesce("n", F.lit(0)).alias("n")
@@ -156,9 +205,9 @@ def photoz_bias(df: DataFrame, by: str, z_phot: str, z_true: str, edges: Sequenc
 
 def percentile_edges(df: DataFrame, by: str, first: float = 0.5, last: float = 96.5, count: int = 25, exact: bool = False) -> list[float]:
     """Automatic bin edges at even percentiles; a list of ``count`` numbers, none for no rows."""
-    steps = F.array(*[F.lit((first + (last - first) * i / (count - 1)) / 100) for i in range(count)])
-    found = F.percentile(by, steps) if exact else F.percentile_approx(F.col(by).cast("double"), steps, 10_000)
-    return df.agg(found).first()[0] or []
+    steps = [(first + (last - first) * i / (count - 1)) / 100 for i in range(count)]
+    found = quantiles(df.select(F.lit(0).alias("all"), F.col(by).cast("double").alias("x")), ["all"], "x", steps, exact).first()
+    return found["values"] if found else []
 
 
 def outlier_envelope(mad_low: float, mad_high: float, z_max: float, z_split: float = 0.9) -> list[tuple[str, float, float]]:
@@ -175,7 +224,7 @@ def median_default(df: DataFrame, columns: Sequence[str], exact: bool = False) -
     """filter, median of detected values: stands in where one of two samples is absent."""
     cells = F.explode(F.array(*[F.struct(F.lit(c).alias("filter"), F.col(c).cast("double").alias("x")) for c in columns])).alias("cell")
     rows = df.select(cells).select("cell.*").where(not_sentinel(F.col("x")))
-    return rows.groupBy("filter").agg((F.median("x") if exact else F.percentile_approx("x", 0.5, 10_000).cast("double")).alias("median"))
+    return quantiles(rows, ["filter"], "x", [0.5], exact).select("filter", F.col("values")[0].alias("median"))
 
 
 def data_vs_sim(data: DataFrame, sim: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -220,6 +220,18 @@ def test_match_distribution_beyond_the_source(spark):
     assert sampling.match_distribution(df, "x", target.limit(0), "x", "s").count() == 0
 
 
+def test_exact_quantiles_equal_numpy(spark, monkeypatch):
+    """Ties, null keys, groups of one value; brackets that hold part of the values only."""
+    rng = np.random.default_rng(11)
+    groups = {"a": rng.normal(size=4000).round(2), "b": np.repeat(5.0, 50), None: rng.random(7), "c": np.concatenate([np.zeros(3000), rng.random(1000)])}
+    df = spark.createDataFrame([(k, float(v)) for k, x in groups.items() for v in x] + [("a", None)], "k string, x double").repartition(5)
+    shares = [0.0, 0.005, 0.25, 0.5, 0.995, 1.0]
+    for accuracy in (100, 200_000):
+        monkeypatch.setattr(stats, "SKETCH", accuracy)
+        found = {r["k"]: r["values"] for r in stats.exact_quantiles(df, ["k"], "x", shares).collect()}
+        assert found == {k: pytest.approx(np.quantile(x, shares).tolist()) for k, x in groups.items()}
+
+
 def test_statistics_without_spread(spark):
     none, same = spark.createDataFrame([], "x double, z double"), spark.createDataFrame([(1.0, 1.0)] * 5, "x double, z double")
     for df in (none, same):
