@@ -49,8 +49,10 @@ SHARD_ROWS = 2048
 BLOCK_ROWS = 60_000
 #: Shingles whose bits are counted at once.
 CHUNK = 1 << 15
-#: Parts of a class' fingerprints when they get its name.
+#: Parts of a class' fingerprints when they get its name, and of a hot fingerprint's rows when they get their class.
 SALTS = 32
+#: A fingerprint is hot if more than one of so many rows have it: no more than these can be.
+HOT_SHARE = 1000
 
 
 def fingerprint(text: str | None, shingle: int = 4) -> int:
@@ -249,7 +251,7 @@ def fingerprint_links(distinct: DataFrame, distance: int = 4, bands: int = BANDS
 def rooted(docs: DataFrame, distance: int = 4, shingle: int = 4, doc_id: str = "doc_id", text: str = "text", carry: dict[str, Column] | None = None) -> DataFrame:
     """doc_id, fp, carry, component_id and root of every row: the least fingerprint that its own reaches, never null."""
     rows = checkpointed(fingerprints(docs, shingle, doc_id, text, carry))
-    distinct = checkpointed(rows.groupBy("fp").agg(F.min("doc_id").alias("least")))
+    distinct = checkpointed(rows.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")))
     roots = components(fingerprint_links(distinct, distance)).select(F.col("node").alias("fp"), "root")
     linked = distinct.join(roots, "fp")
     # a class of very many fingerprints is named in SALTS parts
@@ -258,7 +260,11 @@ def rooted(docs: DataFrame, distance: int = 4, shingle: int = 4, doc_id: str = "
     classes = distinct.join(named, "fp", "left").select(
         "fp", F.when(F.col("root").isNull(), F.col("least")).otherwise(F.col("name")).alias("component_id"), F.coalesce("root", "fp").alias("root")
     )
-    return rows.join(classes, "fp").select(*rows.columns, "component_id", "root")
+    total = distinct.agg(F.sum("n")).first()[0] or 0
+    hot = F.broadcast(distinct.where(F.col("n") * HOT_SHARE > total).select("fp", F.lit(SALTS).alias("parts")))  # HOT_SHARE rows at most
+    parted = rows.join(hot, "fp", "left").withColumn("salt", F.pmod(F.xxhash64("doc_id", F.spark_partition_id()), F.coalesce("parts", F.lit(1))).cast("int"))
+    classes = classes.join(hot, "fp", "left").withColumn("salt", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)))
+    return parted.join(classes.drop("parts"), ["fp", "salt"]).select(*rows.columns, "component_id", "root")
 
 
 def near_duplicates(docs: DataFrame, distance: int = 4, shingle: int = 4, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
