@@ -85,7 +85,7 @@ def key_of(name: str, attrs: str, inside: bool = False) -> tuple[str, bool]:
         attr, value = attr.lower(), value.strip("\"'").lower()
         if attr in ("class", "id", "role"):
             label = label or (value.split() or [""])[0]
-            if name not in ("html", "body", *CONTENT) and not (attr == "id" and (inside or name in TARGETS)):
+            if name not in ("html", "body", *CONTENT) and not (attr == "id" and name in TARGETS):
                 marked = marked or any(cued(token, inside) for token in value.split())
         elif attr == "hidden" or (attr == "aria-hidden" and value == "true") or (attr == "style" and re.search(r"display\s*:\s*none", value)):
             marked = True

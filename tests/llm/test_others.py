@@ -164,6 +164,7 @@ def test_html_cases(page, text):
     [
         ("<article><h2 id='side-effects'>Side effects</h2><p id='form-of-government'>a b</p><section id='discussion'><p>c d</p></section></article>", "Side effects a b c d"),
         ("<article><div class='related-work'><p>a b</p></div><div data-id='search-1'><p>c d</p></div><div title='the id=ad class=menu'>e f</div></article>", "a b c d e f"),
+        ("<article><p>a b</p><div id='comments'><p>c d e f</p></div><div id='search'>g h</div></article>", "a b g h"),
         ("<body><div class='content has-sidebar'><p>a b c d e</p></div></body>", "a b c d e"),
         ("<body><div class='content no-comments'><p>a b c d e</p></div></body>", "a b c d e"),
         ("<body><div class='site-header'>no</div><div class='sidebar-2'>no</div><div class=content><p>a b c d e</p></div></body>", "a b c d e"),
