@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from lumencat.llm import stages
-from lumencat.llm.common import table
+from lumencat.llm.common import stored, table
 
 #: (name, function of (spark, docs, sf_dir)); all but the last return the columns of documents.
 STAGES = [
@@ -20,8 +20,8 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply all stages to the documents."""
+    """Apply all stages to the documents; what a stage keeps is a table in the shared folder, so no text is judged twice."""
     docs = table(spark, sf_dir, "documents")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for _, stage in STAGES[:-1]:
+        docs = stored(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)
