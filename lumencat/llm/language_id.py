@@ -15,8 +15,9 @@ seen. Every whole text is scored by binary search, in slices. The lowest
 length-normalised cross-entropy wins. The margin to the runner-up is calibrated
 to a probability, and a text whose cross-entropy exceeds what nearly all
 learning texts of its language show is marked ``rejected``. Both are calibrated
-on one of CALIBRATION learning rows (by a hash of their id), whose trigrams are
-not counted; tables of too few rows are calibrated on what they have.
+on one of CALIBRATION learning rows (by a hash of their text, so copies stay
+together), whose trigrams are not counted; a language without such a row takes
+its limit from the counted ones.
 
 Defined results: text null or without a letter: ``und`` with score 0; a single
 language: score 1; nothing to learn from: ``und``; ties: the language that
@@ -187,7 +188,7 @@ def fit(docs: DataFrame) -> Model | None:
 def identified(docs: DataFrame, learn: Column, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
     """doc_id, learned, lang_pred, score, cross_entropy, rejected of every row; learn picks the learning rows."""
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("lang"), F.coalesce(learn, F.lit(False)).alias("learned"))
-    rows = rows.withColumn("kept", F.col("learned") & F.coalesce(F.pmod(F.xxhash64("doc_id"), F.lit(CALIBRATION)) == 0, F.lit(False)))
+    rows = rows.withColumn("kept", F.col("learned") & F.coalesce(F.pmod(F.xxhash64("text"), F.lit(CALIBRATION)) == 0, F.lit(False)))
     counted = fit(rows.where("learned AND NOT kept"))
     model = docs.sparkSession.sparkContext.broadcast(counted or fit(rows.where("learned")))
 
