@@ -46,10 +46,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import small_batches
+from .common import release_memory, small_batches
 
 #: Bytes of text encoded together, and words that run in lockstep.
-GROUP_BYTES = 2 << 20
+GROUP_BYTES = 1 << 19
 LOCKSTEP_WORDS = 1 << 15
 #: Symbols of a word up to which it runs in lockstep.
 WIDE = 40
@@ -620,6 +620,7 @@ def encoded_rows(enc: TextEncoder, batches: Iterable[pa.RecordBatch], width: int
             done = []
     if done:
         yield done
+    release_memory()
 
 
 def bpe_round_trip(docs: DataFrame, path: str, text: str = "text", keep: tuple[str, ...] = ("doc_id",), ids: bool = False) -> DataFrame:

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+import ctypes.util
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 #: Rows in one Arrow batch: bounds a Python worker's memory when texts are long.
@@ -25,6 +28,14 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(BATCH_SETTING, str(ROWS_PER_BATCH))
 
 
+def release_memory() -> None:
+    """Hand freed memory of a Python worker back: workers live on between tasks, and their peaks would add up."""
+    pa.default_memory_pool().release_unused()
+    libc = ctypes.CDLL(ctypes.util.find_library("c") or None)
+    if hasattr(libc, "malloc_trim"):
+        libc.malloc_trim(0)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder of spark.checkpoint.dir, read from the session.
 

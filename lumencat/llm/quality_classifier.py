@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .bpe import LETTER, NUMBER, code_tables, windows
-from .common import small_batches
+from .common import release_memory, small_batches
 
 MAX_TRAIN = 12_000
 BUCKETS = 1 << 18
@@ -205,6 +205,8 @@ def word_vectors(docs: DataFrame, text: str = "text") -> np.ndarray:
             for j in range(PARTS):
                 np.add.at(table, at + np.repeat(columns[:, j], count), np.repeat(signs[:, j], count))
         yield from blocks(table.reshape(-1, BLOCK * DIMENSIONS))
+        del table
+        release_memory()
 
     def blocks(table: np.ndarray) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId()
@@ -258,6 +260,7 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column, most: int = MAX_TRAI
         for batch in batches:
             x = [pooled(u, shared.value).tobytes() for u in text_units(batch.column(2).to_pylist())]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(x, pa.binary())], names=["doc_id", "quality", "x"])
+        release_memory()
 
     rows = training_rows(docs, labels, usable, most)
     found = rows.mapInArrow(inputs, "doc_id bigint, quality int, x binary").toPandas()  # most rows of 272 bytes
@@ -276,6 +279,7 @@ def scored(docs: DataFrame, model: tuple[np.ndarray, Network], text: str = "text
     def score(texts):
         vectors, net = shared.value
         x = np.array([pooled(u, vectors) for u in text_units(texts.tolist())], np.float64).reshape(-1, DIMENSIONS + 4)
+        release_memory()
         return pd.Series(net.score(x))
 
     return docs.withColumn(name, score(F.col(text).cast("string")))

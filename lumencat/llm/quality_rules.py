@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import small_batches, stored
+from .common import release_memory, small_batches, stored
 
 SPACES = " \t\n\v\f\r"
 SYMBOLS = "#*$%&|<>"
@@ -142,7 +142,9 @@ def text_stats(text: str | None) -> tuple[int, ...]:
 
 @F.pandas_udf(T.StructType([T.StructField(s, T.LongType()) for s in STATS]))
 def _stats(texts: pd.Series) -> pd.DataFrame:
-    return pd.DataFrame(batch_stats(texts), columns=[*STATS])
+    found = pd.DataFrame(batch_stats(texts), columns=[*STATS])
+    release_memory()
+    return found
 
 
 def with_stats(docs: DataFrame, text: str = "text") -> DataFrame:

@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, small_batches
+from .common import checkpointed, release_memory, small_batches
 from .components import components
 
 #: Disjoint bands of bits, and fingerprints that the trees are built from.
@@ -84,6 +84,7 @@ def fingerprints(docs: DataFrame, shingle: int = 4, doc_id: str = "doc_id", text
         for batch in batches:
             fp = [fingerprint(t.as_py(), shingle) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp, pa.int64()), *batch.columns[2:]], names=names)
+        release_memory()
 
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"), *[c.alias(k) for k, c in carry.items()])
     return rows.mapInArrow(run, ", ".join(f"{n} bigint" for n in names))
@@ -238,6 +239,7 @@ def fingerprint_links(distinct: DataFrame, distance: int = 4, bands: int = BANDS
                 out += [(np.full(len(at), shard), np.minimum(mine, other) * g + np.maximum(mine, other), own, home) for other in range(g)]
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out, strict=True)], names=["shard", "task", "fp", "home"])
+        release_memory()
 
     def search(shard: pa.Table) -> pa.Table:
         # unsigned: counting the bits of a negative number would count those of its magnitude
