@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat_format, html_extract, language_id, packing, quality_classifier, quality_rules, simhash, topk, url_filters
+from . import bpe, chat_format, html_extract, language_id, lexical, packing, quality_classifier, quality_rules, simhash, topk, url_filters
 from .common import checkpointed, table
 
 #: The public tokenizer's file; the driver and the workers have it at the same place, which the environment may name.
@@ -86,6 +86,10 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.bpe_round_trip(table(spark, sf_dir, "documents"), WORD_BPE)
 
 
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filters": op1_url_filters,
     "op2_simhash": op2_simhash,
@@ -97,10 +101,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_bpe": op9_bpe,
     "op10_topk": op10_topk,
+    "op12_lexical_search": op12_lexical_search,
 }
 
 
-
 def _quality_rules_sql() -> str:
     """The base statistics, the sketches as counts of geometric buckets, the fences and their fallbacks in SQL."""
     measures = quality_rules.MEASURES
@@ -138,6 +142,8 @@ v AS (SELECT rid, bool_and(CASE side WHEN 'high' THEN x <= cut ELSE x >= cut END
 SELECT doc_id, n_words::bigint AS n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, failed AS base_failed, NOT failed AND coalesce(good, false) AS kept FROM s LEFT JOIN v USING (rid)"""
 
 
+#: The terms of a text for ranked search.
+_TERMS = r"regexp_extract_all(translate(coalesce({t}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
 _ESCAPED = r"length(regexp_replace({c}, '([<\[])(\\*)(/?(?:s>|INST\]))', '\1\\\2\3', 'g'))"
 
 ORACLES: dict[str, str] = {
@@ -159,4 +165,14 @@ WITH v AS (
 p AS (SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.e, c.e)::bigint AS score FROM v q, v c WHERE q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id),
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::int AS rank FROM p)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""",
+    "op12_lexical_search": rf"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {_TERMS.format(t="text")} AS ts FROM documents),
+c AS (SELECT count(*) AS docs, sum(len(ts))::bigint AS terms FROM d WHERE len(ts) > 0),
+tf AS (SELECT rid, doc_id, size, t, count(*) AS tf FROM (SELECT rid, doc_id, len(ts) AS size, unnest(ts) AS t FROM d) GROUP BY ALL),
+w AS (SELECT t, floor(1000 * ln((2 * docs + 2)::double / (2 * df + 1)))::bigint AS w FROM (SELECT t, count(*) AS df FROM tf GROUP BY t), c),
+q AS (SELECT item_id, t, count(*) AS repeats FROM (SELECT item_id, unnest({_TERMS.format(t="text")}) AS t FROM benchmark) GROUP BY ALL),
+s AS (SELECT item_id, rid, doc_id, sum(repeats * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * size * docs) // terms))))::bigint AS score
+  FROM q JOIN tf USING (t) JOIN w USING (t), c GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST)::int AS rank FROM s WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 20""",
 }
