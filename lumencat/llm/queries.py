@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat_format, html_extract, language_id, lexical, packing, quality_classifier, quality_rules, simhash, topk, url_filters
+from . import bpe, chat_format, conversation_repair, html_extract, language_id, lexical, packing, quality_classifier, quality_rules, simhash, topk, url_filters
 from .common import checkpointed, table
 
 #: The public tokenizer's file; the driver and the workers have it at the same place, which the environment may name.
@@ -86,6 +86,10 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.bpe_round_trip(table(spark, sf_dir, "documents"), WORD_BPE)
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repair_plans(conversation_repair.damaged(table(spark, sf_dir, "conversations")))
+
+
 def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -101,6 +105,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_bpe": op9_bpe,
     "op10_topk": op10_topk,
+    "op11_conversation_repair": op11_conversation_repair,
     "op12_lexical_search": op12_lexical_search,
 }
 
@@ -142,6 +147,64 @@ v AS (SELECT rid, bool_and(CASE side WHEN 'high' THEN x <= cut ELSE x >= cut END
 SELECT doc_id, n_words::bigint AS n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, failed AS base_failed, NOT failed AND coalesce(good, false) AS kept FROM s LEFT JOIN v USING (rid)"""
 
 
+def _conversation_repair_sql() -> str:
+    """The dynamic program row by row in a recursive query: cost, letters and text of the best repair that ends in each role."""
+
+    def plus(path: str, cost: str, letter: str, row: str) -> str:
+        line = f" || CASE WHEN {path}.t = '' THEN '' ELSE chr(10) END || {row}" if row else ""
+        return f"CASE WHEN {path} IS NOT NULL THEN {{'c': {path}.c + {cost}, 'e': {path}.e || '{letter}', 't': {path}.t{line}}} END"
+
+    def best(*paths: str) -> str:
+        return f"list_sort(list_filter([{', '.join(paths)}], lambda x: x IS NOT NULL))[1]"
+
+    def when(test: str, path: str) -> str:
+        return f"CASE WHEN {test} THEN {path} END"
+
+    free, stay = "NOT n.blank AND NOT n.dup", "(CASE WHEN n.short THEN 5 ELSE 0 END)"
+    kept, user, assistant = ("n.role || ':' || n.text", "'user:' || n.text", "'assistant:' || n.text")
+    before_user = ("p.n", "p.s", "p.a")
+    step = {
+        "n": best(plus("p.n", "2", "D", "")),
+        "s": best(plus("p.s", "2", "D", ""), when(f"{free} AND n.initial = 's'", plus("p.n", stay, "K", kept))),
+        "u": best(
+            plus("p.u", "2", "D", ""),
+            *[when(free, plus(x, f"1 + {stay}", "R", user)) for x in before_user],
+            *[when(f"{free} AND n.initial = 'u'", plus(x, stay, "K", kept)) for x in before_user],
+        ),
+        "a": best(plus("p.a", "2", "D", ""), when(free, plus("p.u", f"1 + {stay}", "R", assistant)), when(f"{free} AND n.initial = 'a'", plus("p.u", stay, "K", kept))),
+    }
+    with_user = best("u", *[plus(x, "5", "I", "'user:'") for x in ("n", "s", "a")])
+    with_assistant = best("a", plus("u", "5", "I", "'assistant:'"))
+    steps = ", ".join(f"{sql} AS {x}" for x, sql in step.items())
+    white = r"[^\x20\x09-\x0D]"
+    path = "STRUCT(c BIGINT, e VARCHAR, t VARCHAR)"
+    return f"""
+WITH RECURSIVE k AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    [unicode(x)::ubigint for x in regexp_extract_all(coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' '), '.')] AS bytes FROM conversations),
+h AS (SELECT conv_id, turn, role, text, xor(list_reduce(list_prepend(4294967295::ubigint, bytes), lambda c, b: list_reduce(list_prepend(xor(c, b), [x::ubigint for x in range(8)]),
+    lambda r, i: xor(r >> 1, (r & 1::ubigint) * 3988292384::ubigint))), 4294967295::ubigint) % 20 AS deal FROM k),
+d0 AS (SELECT conv_id, turn, CASE WHEN deal = 4 THEN 'user' ELSE role END AS role, CASE deal WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text, deal FROM h WHERE deal <> 0),
+d AS (SELECT *, 0 AS copy FROM d0 UNION ALL SELECT *, 1 FROM d0 WHERE deal = 3),
+n AS (SELECT conv_id, turn, role, text, left(role, 1) AS initial, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+  row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) > 1 AS dup, NOT regexp_matches(text, '{white}') AS blank,
+  coalesce(regexp_extract(text, '({white})[\x20\x09-\x0D]*$', 1) NOT IN ('.', '!', '?'), true) AS short FROM d),
+p AS (
+  SELECT DISTINCT conv_id, 0::bigint AS i, {{'c': 0::bigint, 'e': '', 't': ''}}::{path} AS n, NULL::{path} AS s, {{'c': 5::bigint, 'e': 'I', 't': 'user:'}}::{path} AS u,
+    {{'c': 10::bigint, 'e': 'II', 't': 'user:' || chr(10) || 'assistant:'}}::{path} AS a FROM n
+  UNION ALL
+  SELECT conv_id, i, n, s, u, {with_assistant} AS a FROM (SELECT conv_id, i, n, s, {with_user} AS u, a FROM (
+    SELECT n.conv_id, n.i, {steps} FROM p JOIN n ON n.conv_id IS NOT DISTINCT FROM p.conv_id AND n.i = p.i + 1))),
+g AS (SELECT conv_id, max(i) AS size, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count_if(blank) AS blank, count_if(dup AND NOT blank) AS dup,
+  count_if(short AND NOT blank AND NOT dup) AS short, count_if(i > 1 AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM (SELECT *, lag(initial) OVER (PARTITION BY conv_id ORDER BY i) AS before FROM n) GROUP BY conv_id),
+f AS (SELECT g.*, {best("p.n", "p.a")} AS best FROM g JOIN p ON p.conv_id IS NOT DISTINCT FROM g.conv_id AND p.i = g.size),
+o AS (SELECT DISTINCT conv_id AS id FROM conversations)
+SELECT o.id AS conv_id, coalesce(gaps, 0)::bigint AS gaps, coalesce(blank, 0)::bigint AS blank, coalesce(dup, 0)::bigint AS duplicate, coalesce(short, 0)::bigint AS truncated,
+  coalesce(illegal, 0)::bigint AS illegal, coalesce(best.c, 0)::bigint AS cost, coalesce(best.e, '') AS audit, sha256(coalesce(best.t, '')) AS repaired_sha256
+FROM o LEFT JOIN f ON f.conv_id IS NOT DISTINCT FROM o.id"""
+
+
 #: The terms of a text for ranked search.
 _TERMS = r"regexp_extract_all(translate(coalesce({t}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
 _ESCAPED = r"length(regexp_replace({c}, '([<\[])(\\*)(/?(?:s>|INST\]))', '\1\\\2\3', 'g'))"
@@ -165,6 +228,7 @@ WITH v AS (
 p AS (SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.e, c.e)::bigint AS score FROM v q, v c WHERE q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id),
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::int AS rank FROM p)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""",
+    "op11_conversation_repair": _conversation_repair_sql(),
     "op12_lexical_search": rf"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {_TERMS.format(t="text")} AS ts FROM documents),
 c AS (SELECT count(*) AS docs, sum(len(ts))::bigint AS terms FROM d WHERE len(ts) > 0),
