@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat_format, conversation_repair, html_extract, language_id, lexical, packing, quality_classifier, quality_rules, simhash, topk, url_filters
+from . import bpe, chat_format, conversation_repair, html_extract, jaccard, language_id, lexical, packing, quality_classifier, quality_rules, simhash, topk, url_filters
 from .common import checkpointed, table
 
 #: The public tokenizer's file; the driver and the workers have it at the same place, which the environment may name.
@@ -94,6 +94,10 @@ def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op13_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_join(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filters": op1_url_filters,
     "op2_simhash": op2_simhash,
@@ -107,6 +111,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_topk": op10_topk,
     "op11_conversation_repair": op11_conversation_repair,
     "op12_lexical_search": op12_lexical_search,
+    "op13_jaccard_join": op13_jaccard_join,
 }
 
 
@@ -239,4 +244,17 @@ s AS (SELECT item_id, rid, doc_id, sum(repeats * w * ((1000000000 * tf) // (1000
   FROM q JOIN tf USING (t) JOIN w USING (t), c GROUP BY ALL),
 r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST)::int AS rank FROM s WHERE score > 0)
 SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 20""",
+    "op13_jaccard_join": r"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS rid, doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+g AS (SELECT rid, doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 3 THEN [array_to_string(ws, ' ')]
+  ELSE list_distinct(list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2])) END AS s FROM d),
+e AS (SELECT min(rid) AS node, list_sort(s) AS s, min(doc_id) AS least FROM g WHERE len(s) > 0 GROUP BY list_sort(s)),
+p AS (SELECT node, len(s) AS size, unnest(s) AS x FROM e),
+l AS (SELECT a.node AS a, b.node AS b FROM p a JOIN p b ON a.x = b.x AND a.node <> b.node AND 100 * least(a.size, b.size) >= 90 * greatest(a.size, b.size)
+  GROUP BY a.node, b.node, a.size, b.size HAVING 100 * count(*) >= 90 * (a.size + b.size - count(*))),
+r AS (SELECT node AS a, node AS b FROM e UNION SELECT r.a, l.b FROM r JOIN l ON l.a = r.b),
+c AS (SELECT r.a AS node, min(e.least) AS component_id FROM r JOIN e ON e.node = r.b GROUP BY r.a),
+k AS (SELECT g.rid, c.component_id FROM g JOIN e ON list_sort(g.s) = e.s JOIN c ON c.node = e.node WHERE len(g.s) > 0)
+SELECT doc_id, len(s)::bigint AS n_shingles, CASE WHEN len(s) = 0 THEN doc_id ELSE component_id END AS component_id FROM g LEFT JOIN k USING (rid)""",
 }
