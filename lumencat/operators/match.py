@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
-from functools import reduce
+from collections.abc import Callable, Mapping, Sequence
 from itertools import product
-from operator import add
 
 import numpy as np
 import pandas as pd
@@ -13,15 +11,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.storage import checkpointed
+from . import neighbours
+
 #: Most numbers (rows times attributes) of a reference that every task gets: 64 MB.
 BROADCAST_VALUES = 8_000_000
+#: Most bytes of its properties, as text.
+BROADCAST_BYTES = 64 << 20
 #: Attributes by which cells are formed; each neighbouring cell is looked up.
 CELL_DIMENSIONS = 3
 #: Pairs of rows whose distances a task holds at a time.
 PAIRS = 2_000_000
-#: Rows of a cell from which it is split, and parts that it is split into.
-HOT_CELL = 20_000
-SALTS = 16
 
 
 def _checked(sim_attrs: Sequence[str], ref_attrs: Sequence[str], props: Mapping[str, str], fallback: Mapping[str, object] | None) -> None:
@@ -41,22 +41,28 @@ def nearest_property(
     r_max: float,
     fallback: Mapping[str, object] | None = None,
     row_id: str = "unique_gal_id",
+    broadcast_values: int | None = None,
 ) -> DataFrame:
     """sim with props (reference column: new name) of the nearest reference row closer than r_max.
 
-    A reference of up to BROADCAST_VALUES numbers goes to every task, which
-    solves its batches of sim cell by cell: sim is read once and not shuffled.
-    A larger one is joined by cells. Both give the same rows. Ties go to the
-    smallest ref_id; a property without a neighbour is its fallback. Rows with a
-    missing attribute have no neighbour.
+    A reference of up to broadcast_values (BROADCAST_VALUES) numbers and BROADCAST_BYTES of
+    properties goes to every task, which solves its batches of sim cell by
+    cell: sim is read once and not shuffled. A larger one is cut into k-d boxes
+    (neighbours.py). Both give the same rows, whatever the ids of sim (row_id is
+    not looked at): a neighbour belongs to a row's attributes. Ties go to the
+    smallest ref_id (null last), then to a hash of the properties; a property
+    without a neighbour is its fallback. Rows with a missing attribute (null,
+    NaN, infinite) have no neighbour and are none.
     """
     _checked(sim_attrs, ref_attrs, props, fallback)
-    most = BROADCAST_VALUES // len(ref_attrs)
-    found = ref.where(reduce(lambda a, b: a & b, [F.col(a).isNotNull() for a in ref_attrs]))
-    rows = _attributes(found, ref_id, [F.col(a).cast("double") for a in ref_attrs], props).limit(most + 1).toArrow()
-    if rows.num_rows <= most:
-        return _by_broadcast(sim, ref, rows.sort_by("_ref"), sim_attrs, props, r_max, fallback or {})
-    return _by_cells(sim, found, sim_attrs, ref_attrs, props, ref_id, r_max, fallback or {}, row_id)
+    width = len(ref_attrs)
+    found = _reference(ref, F.array(*[F.col(a).cast("double") for a in ref_attrs]), ref_id, props)
+    rows = _small(found, width, broadcast_values)
+    vector = F.array(*[F.col(a).cast("double") for a in sim_attrs])
+    index = lambda points: CellIndex(points, r_max).nearest
+    if rows is not None:
+        return _filled(_by_broadcast(sim, found, rows, vector, width, index), ref, props, fallback or {}, sim.columns)
+    return _filled(_by_vector(sim, vector, lambda v: neighbours.nearest_by_cells(v, found, width, found.count(), index, r_max)), ref, props, fallback or {}, sim.columns)
 
 
 class CellIndex:
@@ -133,51 +139,48 @@ class CellIndex:
         return at
 
 
-def _attributes(ref: DataFrame, ref_id: str, columns: Sequence[Column], props: Mapping[str, str]) -> DataFrame:
-    """_ref, the attributes _a0, _a1... and the properties as one column _best."""
-    kept = F.struct(*[F.col(p).alias(f"_p{i}") for i, p in enumerate(props)]).alias("_best")
-    return ref.select(F.col(ref_id).alias("_ref"), *[c.alias(f"_a{i}") for i, c in enumerate(columns)], kept)
+def _reference(ref: DataFrame, vector: Column, ref_id: str, props: Mapping[str, str]) -> DataFrame:
+    """_v, _ref, _tie and the properties as one column _best, of the rows that can be neighbours."""
+    best = F.struct(*[F.col(p).alias(f"_p{i}") for i, p in enumerate(props)])
+    rows = ref.select(vector.alias("_v"), F.col(ref_id).alias("_ref"), F.xxhash64(F.to_json(best)).alias("_tie"), best.alias("_best"))
+    return rows.where(neighbours.finite(F.col("_v")))
+
+
+def _small(found: DataFrame, width: int, most: int | None) -> pa.Table | None:
+    """The reference in order of its ids, if it is small enough to go to every task."""
+    count, size = found.agg(F.count("*"), F.sum(F.length(F.to_json("_best")))).first()
+    if count * width > (BROADCAST_VALUES if most is None else most) or (size or 0) > BROADCAST_BYTES:
+        return None
+    rows = found.toArrow()
+    return rows.sort_by([("_ref", "ascending"), ("_tie", "ascending")])
 
 
-def _by_broadcast(sim: DataFrame, ref: DataFrame, rows: pa.Table, sim_attrs: Sequence[str], props: Mapping[str, str], r_max: float, fallback: Mapping[str, object]) -> DataFrame:
-    """rows: the reference, sorted by its ids."""
+def _by_broadcast(sim: DataFrame, found: DataFrame, rows: pa.Table, vector: Column, width: int, index: Callable[[np.ndarray], Callable[[np.ndarray], np.ndarray]]) -> DataFrame:
+    """sim and _best; rows: the whole reference, in order."""
     spark = sim.sparkSession
-    points = np.column_stack([rows[f"_a{i}"].to_numpy() for i in range(len(sim_attrs))])
-    shared = spark.sparkContext.broadcast(points)
-    kind = ref.select(F.struct(*[F.col(p).alias(f"_p{i}") for i, p in enumerate(props)]).alias("_best"), F.lit(0).cast("bigint").alias("_at")).schema
+    shared = spark.sparkContext.broadcast(neighbours.matrix(rows["_v"], width) if rows.num_rows else np.zeros((0, width)))
+    kind = found.select("_best", F.lit(0).cast("bigint").alias("_at")).schema
     values = spark.createDataFrame(rows.select(["_best"]).append_column("_at", [np.arange(rows.num_rows)]), kind) if rows.num_rows else spark.createDataFrame([], kind)
-    made: dict[int, CellIndex] = {}
+    made: dict[int, Callable[[np.ndarray], np.ndarray]] = {}
 
     @F.pandas_udf("bigint")
-    def nearest(x: pd.DataFrame) -> pd.Series:
+    def nearest(x: pd.Series) -> pd.Series:
         if 0 not in made:
-            made[0] = CellIndex(shared.value, r_max)
-        return pd.Series(made[0].nearest(x.to_numpy(float)))
+            made[0] = index(shared.value)
+        at, there = np.full(len(x), -1, np.int64), np.flatnonzero(x.notna().to_numpy())
+        if len(there) and len(shared.value):
+            at[there] = made[0](np.stack(x.to_numpy()[there]).astype(float))
+        return pd.Series(at)
 
-    attrs = F.struct(*[F.col(a).cast("double").alias(f"_s{i}") for i, a in enumerate(sim_attrs)])
-    out = sim.withColumn("_at", nearest(attrs)).join(F.broadcast(values), "_at", "left")
-    return _filled(out, ref, props, fallback, sim.columns)
+    usable = F.when((F.size(vector) == width) & neighbours.finite(vector), vector)
+    return sim.withColumn("_at", nearest(usable)).join(F.broadcast(values), "_at", "left")
 
 
-def _by_cells(
-    sim: DataFrame, ref: DataFrame, sim_attrs: Sequence[str], ref_attrs: Sequence[str], props: Mapping[str, str], ref_id: str, r_max: float, fallback: Mapping[str, object], row_id: str
-) -> DataFrame:
-    """An equi-join on cells: reference rows are copied to the neighbouring cells, and to each salt of a hot cell of sim."""
-    dims = range(min(CELL_DIMENSIONS, len(sim_attrs)))
-    cell = lambda c: F.floor(F.col(c) / r_max)
-    keys = [f"_c{i}" for i in dims]
-    left = sim.select(row_id, *sim_attrs).withColumns({f"_c{i}": cell(sim_attrs[i]) for i in dims})
-    hot = left.groupBy(*keys).count().where(F.col("count") > HOT_CELL).select(*keys, F.lit(SALTS).alias("_parts"))
-    left = left.join(hot, keys, "left").withColumn("_salt", F.pmod(F.xxhash64(row_id), F.coalesce("_parts", F.lit(1))).cast("int")).drop("_parts")
-    right = ref.select(F.col(ref_id).alias("_ref"), *[F.col(a).alias(f"_a{i}") for i, a in enumerate(ref_attrs)], *[F.col(p).alias(f"_p{i}") for i, p in enumerate(props)])
-    for i in dims:
-        right = right.withColumn(f"_c{i}", F.explode(F.array(*[cell(f"_a{i}") + d for d in (-1, 0, 1)])))
-    right = right.join(hot, keys, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1))).drop("_parts")
-    d2 = reduce(add, [(F.col(a) - F.col(f"_a{i}")) * (F.col(a) - F.col(f"_a{i}")) for i, a in enumerate(sim_attrs)])
-    near = left.join(right, [*keys, "_salt"]).withColumn("_d2", d2).where(F.col("_d2") < r_max * r_max)
-    values = F.struct(*[f"_p{i}" for i in range(len(props))])
-    best = near.groupBy(row_id).agg(F.min_by(values, F.struct("_d2", "_ref")).alias("_best"))
-    return _filled(sim.join(best, row_id, "left"), ref, props, fallback, sim.columns)
+def _by_vector(sim: DataFrame, vector: Column, search: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """sim and _best, from a search over its distinct vectors; every row is kept, whatever its id."""
+    keyed = sim.withColumn("_v", F.when(neighbours.finite(vector), vector))
+    best = search(keyed.where(F.col("_v").isNotNull()).select("_v")).select("_v", "_best")
+    return keyed.join(best, "_v", "left")
 
 
 def _filled(out: DataFrame, ref: DataFrame, props: Mapping[str, str], fallback: Mapping[str, object], columns: Sequence[str]) -> DataFrame:
@@ -208,41 +211,51 @@ def nearest_vectors(x: np.ndarray, points: np.ndarray) -> np.ndarray:
     return at
 
 
-def nearest_unbounded(sim: DataFrame, ref: DataFrame, vector: str, ref_vector: str, props: Mapping[str, str], ref_id: str, row_id: str) -> DataFrame:
+def nearest_unbounded(
+    sim: DataFrame, ref: DataFrame, vector: str, ref_vector: str, props: Mapping[str, str], ref_id: str, row_id: str = "unique_gal_id", recall: float | None = None, broadcast_values: int | None = None
+) -> DataFrame:
     """sim with props of the nearest reference row by Euclidean distance of vector columns, without a bound.
 
-    The reference goes to every task, in blocks of up to BROADCAST_VALUES
-    numbers: batches of sim meet a block by matrix products, and the best of all
-    blocks is kept. Ties go to the smallest ref_id. Vectors that are null or of
-    another length than the reference's have no neighbour.
+    A reference of up to broadcast_values (BROADCAST_VALUES) numbers goes to every task, where
+    batches of sim meet it by matrix products. A larger one is cut into cells
+    (neighbours.py): the distance found in a vector's home cell bounds which
+    others it has to visit. With ``recall`` a larger one is searched in hashed
+    buckets instead, whose number and width are fitted so that at least this
+    share of a sample's true neighbours (from a scan) is met; vectors that meet
+    no row are searched exactly.
+
+    Ties go to the smallest ref_id (null last), then to a hash of the
+    properties. Vectors that are null, hold a null, NaN or infinite component
+    or are of another length than the reference's longest have no neighbour
+    and are none. Ids of sim may repeat or be missing.
     """
-    found = ref.where(F.col(ref_vector).isNotNull())
-    width, total = found.agg(F.max(F.size(ref_vector)), F.count("*")).first()
-    if not total:
-        return _filled(sim.withColumn("_best", F.lit(None).cast(ref.select(F.struct(*[F.col(p).alias(f"_p{i}") for i, p in enumerate(props)])).schema[0].dataType)), ref, props, {}, sim.columns)
-    blocks = -(-total * width // BROADCAST_VALUES)
-    best = None
-    for b in range(blocks):
-        own = found if blocks == 1 else found.where(F.pmod(F.xxhash64(ref_id), F.lit(blocks)) == b)
-        met = _met(sim.where(F.size(vector) == width), own, vector, ref_vector, width, props, ref_id, row_id)
-        best = met if best is None else best.unionByName(met)
-    best = best.groupBy(row_id).agg(F.min_by("_best", F.struct("_d2", "_ref")).alias("_best")) if blocks > 1 else best.select(row_id, "_best")
-    return _filled(sim.join(best, row_id, "left"), ref, props, {}, sim.columns)
-
-
-def _met(sim: DataFrame, ref: DataFrame, vector: str, ref_vector: str, width: int, props: Mapping[str, str], ref_id: str, row_id: str) -> DataFrame:
-    """row_id, _d2, _ref, _best of the nearest row of one block."""
-    items = ref.where(F.size(ref_vector) == width).orderBy(ref_id)
-    kept = F.struct(*[F.col(p).alias(f"_p{i}") for i, p in enumerate(props)]).alias("_best")
-    rows = items.select(F.col(ref_id).alias("_ref"), F.col(ref_vector).cast("array<double>").alias("_v"), kept).toArrow()
-    points = np.array(rows["_v"].to_pylist(), float).reshape(-1, width)
-    shared = sim.sparkSession.sparkContext.broadcast(points)
-    values = sim.sparkSession.createDataFrame(rows.drop_columns(["_v"]).append_column("_at", [np.arange(rows.num_rows)]))
-
-    @F.pandas_udf("_at bigint, _d2 double")
-    def nearest(x: pd.Series) -> pd.DataFrame:
-        own = np.stack(x.to_numpy()).astype(float) if len(x) else np.zeros((0, width))
-        at = nearest_vectors(own, shared.value)
-        return pd.DataFrame({"_at": at, "_d2": ((own - shared.value[at]) ** 2).sum(axis=1)})
-
-    return sim.select(row_id, nearest(F.col(vector).cast("array<double>")).alias("_n")).select(row_id, "_n.*").join(F.broadcast(values), "_at").drop("_at")
+    _checked([vector], [ref_vector], props, None)
+    found = _reference(ref, F.col(ref_vector).cast("array<double>"), ref_id, props)
+    width = found.agg(F.max(F.size("_v"))).first()[0] or 0
+    found = found.where(F.size("_v") == width)
+    own = F.when(F.size(vector) == width, F.col(vector).cast("array<double>"))
+    rows = _small(found, max(width, 1), broadcast_values) if width else None
+    index = lambda points: lambda x: nearest_vectors(x, points)
+    if not width:
+        return _filled(sim.withColumn("_best", F.lit(None).cast(found.schema["_best"].dataType)), ref, props, {}, sim.columns)
+    if rows is not None:
+        return _filled(_by_broadcast(sim, found, rows, own, width, index), ref, props, {}, sim.columns)
+
+    def search(vectors: DataFrame) -> DataFrame:
+        if recall is None:
+            return neighbours.nearest_by_cells(vectors, found, width, found.count(), index)
+        return approximate_neighbours(vectors, found, width, recall)[0]
+
+    return _filled(_by_vector(sim, own, search), ref, props, {}, sim.columns)
+
+
+def approximate_neighbours(vectors: DataFrame, found: DataFrame, width: int, recall: float) -> tuple[DataFrame, float]:
+    """_v, _best, _d2 by hashed buckets, and the recall measured on the sample that they were fitted to."""
+    x, near, other = neighbours.sampled_neighbours(vectors, found, width)
+    made = neighbours.fitted_projections(x, near, other, recall)
+    index = lambda points: lambda v: nearest_vectors(v, points)
+    met = checkpointed(neighbours.nearest_by_buckets(vectors, found, width, index, made))
+    missed = vectors.select("_v").distinct().join(met.select("_v"), "_v", "left_anti")
+    if not missed.isEmpty():
+        met = met.unionByName(neighbours.nearest_by_cells(missed, found, width, found.count(), index))
+    return met, made.recall(x, near)

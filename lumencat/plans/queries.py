@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import math
 import re
-import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -14,7 +13,7 @@ from pyspark.sql import functions as F
 from ..functions import apertures, magnitudes, sky
 from ..functions.rng import uniform
 from ..operators import match, photometry, photoz, sampling, selections, stats
-from ..sources import tables
+from ..sources import storage, tables
 from ..streaming import catalogue_streams
 from . import pipelines
 from .fixtures import catalogue, catalogue_sql, normal_sql, uniform_sql
@@ -400,6 +399,37 @@ def nearest_unbounded(spark, sf_dir):
     return match.nearest_unbounded(sim, ref, "embedding", "ref_v", {"ref_label": "near_label"}, "ref_id", "vec_id").select("vec_id", "near_label")
 
 
+@register(
+    "nearest_property_cells",
+    f", {_NEAR.replace('s AS (SELECT * FROM cat', f's AS (SELECT *, {ID} % 50 AS repeated FROM cat')}, k AS (SELECT s.{ID} AS real, repeated, round(sdss_r_true, 6) AS r FROM s),"
+    f" b AS (SELECT sid, arg_min(w, (d2, fid)) AS w FROM d WHERE d2 < 0.09 AND sid % 13 <> 0 GROUP BY 1) SELECT repeated AS {ID}, r, round(coalesce(b.w, 0), 6) AS weight FROM k LEFT JOIN b ON b.sid = k.real",
+)
+def nearest_property_cells(spark, sf_dir):
+    """The path of a large reference, with ids that repeat and attributes that are NaN."""
+    cat = catalogue(spark, sf_dir)
+    attrs = ["sdss_r_true", "sdss_g_true", "sdss_i_true"]
+    ref = cat.where(F.col(ID) % 10 == 0).select(F.col(ID).alias("ref_id"), *attrs, F.col("lmhalo").alias("w"))
+    missing = F.when(F.col(ID) % 13 == 0, float("nan")).otherwise(F.col("sdss_g_true")).alias("sdss_g_true")
+    sim = cat.where(F.col(ID) % 10 != 0).select((F.col(ID) % 50).alias(ID), F.round("sdss_r_true", 6).alias("r"), "sdss_r_true", missing, "sdss_i_true")
+    out = match.nearest_property(sim, ref, attrs, attrs, {"w": "weight"}, "ref_id", 0.3, {"w": 0.0}, broadcast_values=0)
+    return rounded(out.select(ID, "r", "weight"))
+
+
+@register(
+    "nearest_unbounded_cells",
+    "SELECT s.vec_id % 7 AS vec_id, arg_min(r.label, (list_distance(s.embedding::DOUBLE[], r.embedding::DOUBLE[]), r.vec_id)) AS near_label, s.vec_id AS v FROM embeddings s, embeddings r WHERE s.vec_id % 10 <> 0 AND s.vec_id % 11 <> 0 AND r.vec_id % 10 = 0 GROUP BY s.vec_id"
+    " UNION ALL SELECT vec_id % 7, NULL, vec_id FROM embeddings WHERE vec_id % 10 <> 0 AND vec_id % 11 = 0",
+)
+def nearest_unbounded_cells(spark, sf_dir):
+    """The path of a large reference, with ids that repeat and vectors that hold NaN."""
+    vectors = table(spark, sf_dir, "embeddings")
+    ref = vectors.where(F.col("vec_id") % 10 == 0).select(F.col("vec_id").alias("ref_id"), F.col("embedding").alias("ref_v"), F.col("label").alias("ref_label"))
+    holed = F.when(F.col("vec_id") % 11 == 0, F.transform("embedding", lambda x, i: F.when(i == 3, F.lit(float("nan")).cast("float")).otherwise(x))).otherwise(F.col("embedding"))
+    sim = vectors.where(F.col("vec_id") % 10 != 0).select((F.col("vec_id") % 7).alias("vec_id"), F.col("vec_id").alias("v"), holed.alias("embedding"))
+    out = match.nearest_unbounded(sim, ref, "embedding", "ref_v", {"ref_label": "near_label"}, "ref_id", broadcast_values=0)
+    return out.select("vec_id", "near_label", "v")
+
+
 # --- statistics -------------------------------------------------------------
 
 _PRICE_BIN = "least(floor(l_extendedprice / 5000), 19)::int"
@@ -756,13 +786,8 @@ def select_by_prior_mag(spark, sf_dir):
 
 
 def scratch(spark: SparkSession) -> str:
-    """A new folder for a query's files, in the folder of spark.checkpoint.dir that all executors share; on a local master a temporary one."""
-    root = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        root = tempfile.mkdtemp(prefix="lumencat-")
-    return f"{root.rstrip('/')}/queries-{uuid.uuid4().hex}"
+    """A new folder for a query's files, in the folder that all executors share."""
+    return storage.new_path(spark, "queries")
 
 
 _GAMA_STEPS = f"SELECT 'gama' AS survey, 'main' AS output, 0 AS step_no, 'input' AS step, z_cgal_v FROM o UNION ALL SELECT 'gama', 'main', 1, 'cut', z_cgal_v FROM o WHERE {_CUTS['gama']}"

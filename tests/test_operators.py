@@ -266,7 +266,7 @@ def test_match_distribution_shape(spark):
 def test_nearest_property_equals_brute_force(spark, monkeypatch, values_):
     """By cells with hot ones split, and by broadcast in small blocks of pairs."""
     monkeypatch.setattr(match, "BROADCAST_VALUES", values_)
-    monkeypatch.setattr(match, "HOT_CELL", 20)
+    monkeypatch.setattr(match.neighbours, "BLOCK_ROWS", 20)
     monkeypatch.setattr(match, "PAIRS", 30)
     rng = np.random.default_rng(5)
     sim = [(i, *map(float, x)) for i, x in enumerate([*rng.random((200, 2)), *[[99.0, 99.0]] * 30])]
