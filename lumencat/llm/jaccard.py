@@ -2,10 +2,13 @@
 
 Two sets of sizes x <= y with a Jaccard similarity of at least t share at least
 T = ceil(t / (1 + t) * (x + y)) shingles. In a shard, the T-occurrence search
-has an inverted list for each shingle. A document that asks sets its longest
-lists aside (as many as DivideSkip's formula says), merges the short ones on a
-heap with skips, and looks its candidates up in the long lists by binary search
-until T is reached or out of reach.
+has an inverted list for each shingle. A document that asks sets its L long
+lists aside, merges the short ones on a heap with skips, keeps what is in T - L
+of them, and probes these candidates in the long lists. Long are lists that
+more than one in LONG_SHARE of the shard's documents are in; they are kept as a
+bitmap, so the probes of many documents are one matrix product. Where L
+reaches T, every document of a fitting size is a candidate, and the short lists
+are counted.
 
 Shards. Sets that link differ in at most H = x * (1 - t) / t shingles. So when
 shingles are dealt to more than H bands by their hash, at least one band holds
@@ -42,7 +45,6 @@ from __future__ import annotations
 from bisect import bisect_left
 from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
-from math import log2
 
 import numpy as np
 import pyarrow as pa
@@ -62,8 +64,12 @@ SAMPLE_ROWS = 20_000
 HOT_IN_SAMPLE = 20
 #: Hashes in a slice or block of a shard: 16 MB.
 SHARD_HASHES = 2_000_000
-#: DivideSkip's weight of a long list's length against a short one's.
-MU = 0.01
+#: A list is long if it holds more documents than LONG_LIST and than one of LONG_SHARE of its shard.
+LONG_LIST = 8
+LONG_SHARE = 8
+#: Documents of a shard that ask at once, and most cells of their probes.
+ASKING_ROWS = 256
+PROBES = 1 << 22
 #: Bytes of a text that are cut into words at once.
 CHUNK = 1 << 20
 
@@ -208,69 +214,84 @@ def merge_skip(lists: list[tuple[int, int]], documents: list[int], least: int, l
                 heappush(heap, (documents[at], at, end))
 
 
+class Shard:
+    """The inverted lists of a shard's sets, its documents by size; lists longer than a share of the shard are kept as a bitmap."""
+
+    def __init__(self, members: list[np.ndarray]) -> None:
+        self.sizes = np.array([len(m) for m in members], np.int64)
+        found, self.inverse, self.counts = np.unique(np.concatenate(members), return_inverse=True, return_counts=True)
+        self.first = np.concatenate(([0], np.cumsum(self.sizes)))
+        self.postings = np.repeat(np.arange(len(members)), self.sizes)[np.argsort(self.inverse, kind="stable")]
+        self.ends = np.cumsum(self.counts)
+        self.long = self.counts > max(LONG_LIST, len(members) // LONG_SHARE)
+        self.column = np.cumsum(self.long) - 1
+        self.bitmap = np.zeros((len(members), int(self.long.sum())), np.float32)
+        at = self.long[self.inverse]
+        self.bitmap[np.repeat(np.arange(len(members)), self.sizes)[at], self.column[self.inverse[at]]] = 1
+        self.documents = self.postings.tolist()
+
+    def lists(self, i: int) -> np.ndarray:
+        """The lists of a document that hold others too."""
+        own = self.inverse[self.first[i] : self.first[i + 1]]
+        return own[self.counts[own] > 1]
+
+    def runs(self, lists: np.ndarray) -> list[tuple[int, int]]:
+        return list(zip((self.ends[lists] - self.counts[lists]).tolist(), self.ends[lists].tolist(), strict=True))
+
+
 def linked_nodes(nodes: np.ndarray, sets: list[np.ndarray], labels: list[int], home: list[bool], percent: int, centre: int | None = None) -> list[tuple[int, int]]:
     """Links (places in nodes) that connect all of a shard that are similar enough and not of one class, home with home left out."""
     order = sorted(range(len(nodes)), key=lambda i: (len(sets[i]), nodes[i]))
-    sizes = [len(sets[i]) for i in order]
-    parent = {label: label for label in labels}
+    members = [sets[i] for i in order]
+    sizes = np.array([len(m) for m in members], np.int64)
+    label = np.unique([labels[i] for i in order], return_inverse=True)[1]
     out: list[tuple[int, int]] = []
 
-    def root(i: int) -> int:
-        at = labels[order[i]]
-        while parent[at] != at:
-            parent[at] = at = parent[parent[at]]
-        return at
-
-    def link(i: int, j: int) -> None:
-        out.append((order[i], order[j]))
-        parent[root(j)] = root(i)
-
-    def overlap(x: int, y: int) -> int:
+    def overlap(x: int, y: np.ndarray | int) -> np.ndarray | int:
         return -(-percent * (x + y) // (100 + percent))
 
-    members = [sets[i] for i in order]
+    def link(i: int, others: np.ndarray) -> None:
+        """One link to each class that others are in."""
+        known, at = np.unique(label[others], return_index=True)
+        out.extend((order[i], order[j]) for j in others[at].tolist())
+        label[np.isin(label, known)] = label[i]
+
+    asking = np.flatnonzero(~np.array([home[i] for i in order], bool))
     if centre is not None:
-        # all meet the centre first: near copies of it need no search
+        # all meet the centre first: its near copies are one class and need not ask
         c = order.index(centre)
         for i, own in enumerate(members):
-            if i != c and root(i) != root(c) and 100 * min(sizes[i], sizes[c]) >= percent * max(sizes[i], sizes[c]):
+            if i != c and 100 * min(sizes[i], sizes[c]) >= percent * max(sizes[i], sizes[c]):
                 place = np.minimum(np.searchsorted(members[c], own), sizes[c] - 1)
-                if int((members[c][place] == own).sum()) >= overlap(sizes[i], sizes[c]):
-                    link(c, i)
-    largest = root(c) if centre is not None else None
-    asking = [i for i in range(len(order)) if not home[order[i]] and root(i) != largest]
-    if not asking:
+                if int((members[c][place] == own).sum()) >= overlap(int(sizes[i]), int(sizes[c])) and label[i] != label[c]:
+                    link(c, np.array([i]))
+        asking = asking[label[asking] != label[c]]
+    if not len(asking):
         return out
-
-    shingles = np.concatenate(members)
-    found, inverse, counts = np.unique(shingles, return_inverse=True, return_counts=True)
-    documents = np.repeat(np.arange(len(order)), sizes)[np.argsort(inverse, kind="stable")].tolist()  # lists in shingle order, documents by size
-    ends = np.cumsum(counts)
-    first = np.concatenate(([0], np.cumsum(sizes)))
-    for i in asking:
-        x = sizes[i]
-        least_size, most_size = -(-percent * x // 100), 100 * x // percent
-        low, high = bisect_left(sizes, least_size), bisect_left(sizes, most_size + 1)
-        needed = overlap(x, least_size)
-        own = inverse[first[i] : first[i + 1]]
-        own = own[counts[own] > 1]  # other lists hold no partner
-        if len(own) < needed:
-            continue
-        own = own[np.argsort(counts[own], kind="stable")]
-        aside = min(needed - 1, int(needed / (MU * log2(counts[own[-1]]) + 1)))
-        runs = list(zip((ends[own] - counts[own]).tolist(), ends[own].tolist(), strict=True))
-        short, long = runs[: len(runs) - aside], runs[len(runs) - aside :]
-        for j, seen in merge_skip(short, documents, needed - aside, low, high):
-            if j == i or root(j) == root(i):
+    shard = Shard(members)
+    step = max(1, min(ASKING_ROWS, PROBES // len(members)))
+    for begin in range(0, len(asking), step):
+        block = asking[begin : begin + step]
+        probed = shard.bitmap[block] @ shard.bitmap.T
+        for i, in_long in zip(block.tolist(), probed, strict=True):
+            x = int(sizes[i])
+            low, high = np.searchsorted(sizes, -(-percent * x // 100)), np.searchsorted(sizes, 100 * x // percent, "right")
+            needed, own = overlap(x, -(-percent * x // 100)), shard.lists(i)
+            if len(own) < needed or (label[low:high] == label[i]).all():
                 continue
-            goal = overlap(x, sizes[j])
-            for left, (start, end) in zip(range(len(long), 0, -1), long, strict=True):
-                if seen >= goal or seen + left < goal:
-                    break
-                at = bisect_left(documents, j, start, end)
-                seen += at < end and documents[at] == j
-            if seen >= goal:
-                link(i, j)
+            goal, short = overlap(x, sizes), own[~shard.long[own]]
+            least = needed - (len(own) - len(short))
+            if least > 0:
+                found = [j for j, seen in merge_skip(shard.runs(short), shard.documents, least, low, high) if label[j] != label[i] and seen + in_long[j] >= goal[j]]
+                hits = np.array(found, np.int64)
+            else:
+                # the long lists alone may suffice: every document of a fitting size is a candidate
+                parts = [shard.postings[a:b] for a, b in shard.runs(short)]
+                seen = np.bincount(np.concatenate(parts), minlength=len(order)) if parts else 0
+                fits = (in_long + seen >= goal) & (label != label[i])
+                hits = low + np.flatnonzero(fits[low:high])
+            if len(hits):
+                link(i, hits)
     return out
 
 
