@@ -74,7 +74,7 @@ PROBES = 1 << 22
 CHUNK = 1 << 20
 
 _FOLD = bytes(0x20 if b == 0x20 or 0x09 <= b <= 0x0D else b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
-_WEIGHTS = [np.uint64(w | 1) for w in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
+_GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -97,10 +97,12 @@ def shingle_set(text: bytes | None, n: int = 3) -> np.ndarray:
     if not len(words):
         return words
     size = min(n, len(words))
-    total = np.full(len(words) - size + 1, size, np.uint64)
+    count = len(words) - size + 1
+    total = np.full(count, size, np.uint64)
     for i in range(size):
-        total = mixed(total + words[i : len(words) - size + 1 + i] * _WEIGHTS[i % len(_WEIGHTS)])
-    return np.unique(total)
+        total += words[i : count + i] * mixed(np.array([i + 1], np.uint64))  # a weight for each place
+    total = np.sort(mixed(total))
+    return total[np.concatenate(([True], total[1:] != total[:-1]))]
 
 
 def size_classes(largest: int, smallest: int) -> list[tuple[int, int]]:
@@ -114,7 +116,7 @@ def size_classes(largest: int, smallest: int) -> list[tuple[int, int]]:
 
 def band_keys(hashes: np.ndarray, percent: int = 90) -> np.ndarray:
     """The keys of a set for all size classes that a partner smaller or equal may be in."""
-    n, keys = len(hashes), []
+    n, keys, scrambled = len(hashes), [], mixed(hashes)
     smallest = -(-percent // (100 - percent))  # below, only equal sets link
     for low, high in size_classes(n, smallest):
         if high < -(-percent * n // 100):
@@ -123,11 +125,11 @@ def band_keys(hashes: np.ndarray, percent: int = 90) -> np.ndarray:
         bands = high * (100 - percent) // percent + 1 + spare
         band = ((hashes >> np.uint64(32)) * np.uint64(bands)) >> np.uint64(32)  # hashes are sorted, so bands are runs
         starts = np.flatnonzero(np.concatenate(([True], band[1:] != band[:-1])))
-        content, number = np.add.reduceat(mixed(hashes), starts), band[starts]
+        content, number = np.add.reduceat(scrambled, starts), band[starts]
         if bands - len(starts) > spare:
             empty = np.setdiff1d(np.arange(bands, dtype=np.uint64), number)
             content, number = np.concatenate([content, np.zeros(len(empty), np.uint64)]), np.concatenate([number, empty])
-        keys.append(mixed(content + mixed(number * _WEIGHTS[0] + mixed(np.array([low], np.uint64)))))
+        keys.append(mixed(content + mixed(number * _GOLDEN + mixed(np.array([low], np.uint64)))))
     return np.unique(np.concatenate(keys)) if keys else np.zeros(0, np.uint64)
 
 
