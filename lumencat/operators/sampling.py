@@ -5,8 +5,10 @@ from __future__ import annotations
 from functools import cache
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.rng import uniform
 from ..functions.spline import Curve, quadratic
@@ -133,7 +135,7 @@ def sample_n(df: DataFrame, n: int, seed: str, row_id: str = "unique_gal_id") ->
     return keyed.where(F.col("_u") < low).unionByName(band).drop("_u")
 
 
-def sample_n_per_stratum(df: DataFrame, n: int, stratum: str, seed: str, row_id: str = "unique_gal_id") -> DataFrame:
+def sample_n_per_stratum(df: DataFrame, n: int | Column, stratum: str, seed: str, row_id: str = "unique_gal_id") -> DataFrame:
     """At most n rows of each stratum, uniformly."""
     w = Window.partitionBy(stratum).orderBy(uniform(seed, "stratum", F.col(row_id)), row_id)
     return df.withColumn("_no", F.row_number().over(w)).where(F.col("_no") <= n).drop("_no")
@@ -173,19 +175,30 @@ def sample_systematic(df: DataFrame, n: int, order: str) -> DataFrame:
     return dense_row_index(df, order, "_row").where(keep).drop("_row")
 
 
+def _bounds(df: DataFrame, x: str) -> tuple:
+    """min, max, standard deviation and count of the values that are numbers."""
+    number = F.when(F.abs(F.col(x).cast("double")) < float("inf"), F.col(x).cast("double"))
+    return tuple(df.select(number.alias("x")).agg(F.min("x"), F.max("x"), F.stddev_samp("x"), F.count("x")).first())
+
+
+def _placed(x: str, low: float, step: float, cells: int) -> tuple[Column, Column]:
+    """A value's place on the grid in cells, and its cell."""
+    place = (F.col(x) - low) / step
+    return place, F.least(F.floor(place), F.lit(cells - 1)).cast("int")
+
+
 def match_distribution(df: DataFrame, x: str, target: DataFrame, target_x: str, seed: str, row_id: str = "unique_gal_id", factor: float = 0.05, cells: int = 2000) -> DataFrame:
     """Thin df so that the distribution of x follows the target's.
 
     A row is kept with probability min(1, k_t(x) N_t / (k_s(x) N_s)), both
     densities being Gaussian kernel estimates on one grid (at most ``cells``
-    cells, far finer than the bandwidth), linearly interpolated. Where the
-    source's density vanishes the rate is 1. No target: no rows; a source or
-    target without spread, or an empty source: df as it is.
+    cells, far finer than the bandwidth), linearly interpolated. The source's
+    density is that of all its rows, not of an evenly spaced share. Where it
+    vanishes the rate is 1. Values that are null, NaN or infinite count nowhere,
+    and such rows of df are not kept. No target: no rows; a source or target
+    without spread, or an empty source: df as it is.
     """
-    def bounds(d: DataFrame, c: str):
-        return d.agg(F.min(c), F.max(c), F.stddev_samp(c), F.count(c)).first()
-
-    (s0, s1, s_std, n_s), (t0, t1, t_std, n_t) = bounds(df, x), bounds(target, target_x)
+    (s0, s1, s_std, n_s), (t0, t1, t_std, n_t) = _bounds(df, x), _bounds(target, target_x)
     if not n_s or not n_t or not s_std or not t_std:
         return df.limit(0) if not n_t else df
     low, high = min(s0, t0), max(s1, t1)
@@ -194,8 +207,53 @@ def match_distribution(df: DataFrame, x: str, target: DataFrame, target_x: str,
     wanted = binned_kde(target, target_x, low, step, cells, factor * t_std)
     ratio = source.join(wanted.withColumnRenamed("density", "wanted"), "cell").select("cell", F.least(F.coalesce(F.try_divide(F.col("wanted") * n_t, F.col("density") * n_s), F.lit(1.0)), F.lit(MOST_RATE)).alias("r"))
     grid = ratio.agg(F.transform(F.sort_array(F.collect_list(F.struct("cell", "r"))), lambda s: s["r"]).alias("_grid"))
-    place = (F.col(x) - low) / step
-    cell = F.least(F.floor(place), F.lit(cells - 1)).cast("int")
+    place, cell = _placed(x, low, step, cells)
     rate = F.get("_grid", cell) + (place - cell) * (F.get("_grid", cell + 1) - F.get("_grid", cell))
-    kept = df.crossJoin(F.broadcast(grid)).where(1 - F.least(F.lit(1.0), rate) < uniform(seed, "match", F.col(row_id)))  # one row of cells + 1 numbers
+    number = F.abs(F.col(x).cast("double")) < float("inf")
+    kept = df.where(number).crossJoin(F.broadcast(grid)).where(1 - F.least(F.lit(1.0), rate) < uniform(seed, "match", F.col(row_id)))  # one row of cells + 1 numbers
+    return kept.select(*df.columns)
+
+
+def match_distribution_by_stratum(
+    df: DataFrame, x: str, stratum: str, target: DataFrame, target_x: str, seed: str, row_id: str = "unique_gal_id", factor: float = 0.05, cells: int = 2000
+) -> DataFrame:
+    """``match_distribution`` in every stratum at once, each with a kernel estimate of its own rows; one target for all.
+
+    The grid is common to all strata. The rows pass once into (stratum, cell)
+    sums; a stratum's cells + 1 sums become its rates in one small group, and
+    rows meet the rates of their own stratum and cell by an equi-join.
+    """
+    (s0, s1, _, n_s), (t0, t1, t_std, n_t) = _bounds(df, x), _bounds(target, target_x)
+    if not n_s or not n_t or not t_std:
+        return df.limit(0) if not n_t else df
+    low, high = min(s0, t0), max(s1, t1)
+    step = (high - low) / cells or 1.0
+    wanted = binned_kde(target, target_x, low, step, cells, factor * t_std).toPandas().sort_values("cell")["density"].to_numpy()  # cells + 1 numbers
+    number = F.abs(F.col(x).cast("double")) < float("inf")
+    place, cell = _placed(x, low, step, cells)
+    shares = F.inline(F.array(F.struct(cell.alias("cell"), (1 - (place - cell)).alias("w")), F.struct((cell + 1).alias("cell"), (place - cell).alias("w"))))
+    numbers = df.where(number)
+    sums = numbers.select(stratum, shares).groupBy(stratum, "cell").agg(F.sum("w").alias("w"))
+    spread = numbers.groupBy(stratum).agg(F.stddev_samp(x).alias("std"), F.count("*").alias("n"))
+    kind = df.schema[stratum].dataType
+
+    def rates(rows: pa.Table) -> pa.Table:
+        """Rates at the cells of one stratum: r at its start, d to the next; 1 everywhere without a spread."""
+        std, n = rows["std"][0].as_py(), rows["n"][0].as_py()
+        mass = np.zeros(cells + 1)
+        mass[rows["cell"].to_numpy()] = rows["w"].to_numpy()
+        rate = np.ones(cells + 1)
+        if std:
+            width = factor * std
+            kernel = np.exp(-0.5 * (np.arange(-cells, cells + 1) * (step / width)) ** 2)
+            density = np.array([mass @ kernel[cells - k : 2 * cells + 1 - k] for k in range(cells + 1)]) / (mass.sum() * width * np.sqrt(2 * np.pi))
+            with np.errstate(all="ignore"):
+                rate = np.where(density > 0, np.minimum(wanted * n_t / (density * n), MOST_RATE), 1.0)
+        used = np.unique(np.minimum(np.flatnonzero(mass), cells - 1))
+        return pa.table({stratum: pa.repeat(rows[stratum][0], len(used)), "_cell": pa.array(used.astype(np.int32)), "_r": rate[used], "_d": rate[used + 1] - rate[used]})
+
+    schema = T.StructType([T.StructField(stratum, kind), T.StructField("_cell", T.IntegerType()), T.StructField("_r", T.DoubleType()), T.StructField("_d", T.DoubleType())])
+    found = sums.join(spread, stratum).groupBy(stratum).applyInArrow(rates, schema)
+    placed = numbers.withColumns({"_cell": cell, "_part": place - cell})
+    kept = placed.join(found, [stratum, "_cell"]).where(1 - F.least(F.lit(1.0), F.col("_r") + F.col("_part") * F.col("_d")) < uniform(seed, "match", F.col(row_id)))
     return kept.select(*df.columns)

@@ -167,30 +167,27 @@ def magnitude_lookup(df: DataFrame, layout: str, suffixes: tuple[str, ...]) -> M
     return lambda band: m.resolve_mag(df.columns, bands, band, suffixes)
 
 
-def step_statistics(df: DataFrame, steps: Mapping[str, Column], z: str = "z_cgal_v") -> DataFrame:
-    """step_no, step, N_tot, z_mean of each boolean column, in one pass over df."""
+def step_statistics(df: DataFrame, steps: Mapping[str, Column], z: str = "z_cgal_v", by: str | None = None) -> DataFrame:
+    """(by,) step_no, step, N_tot, z_mean of each boolean column, in one pass over df."""
     cells = [c for i, s in enumerate(steps.values()) for c in (F.count_if(s).alias(f"n{i}"), F.avg(F.when(s, F.col(z))).alias(f"z{i}"))]
     rows = [F.struct(F.lit(i).alias("step_no"), F.lit(name).alias("step"), F.col(f"n{i}").alias("N_tot"), F.col(f"z{i}").alias("z_mean")) for i, name in enumerate(steps)]
-    return df.agg(*cells).select(F.inline(F.array(*rows)))
+    keys = [by] if by else []
+    return df.groupBy(*keys).agg(*cells).select(*keys, F.inline(F.array(*rows)))
 
 
-def select(
-    name: str,
-    df: DataFrame,
-    layout: str = "kids",
-    seed: str = "sapling",
-    row_id: str = "unique_gal_id",
-    z: str = "z_cgal_v",
-    n_tot: int | None = None,
-    n_z: DataFrame | None = None,
-    surface: DataFrame | None = None,
-    pass_survey_selection: bool = False,
-) -> tuple[DataFrame, DataFrame]:
-    """The selected rows, and a row of statistics for each step.
+@dataclass(frozen=True)
+class _Plan:
+    """What a selection does with a table: the table with its draws, the steps, and what is left after them."""
 
-    Order: cut, success draw, [survey detection], target count or redshift
-    distribution; a selection by a share of its input draws before detection.
-    """
+    survey: Selection
+    work: DataFrame
+    steps: dict[str, Column]
+    mask: Column
+    seen: Column | None
+
+
+def _plan(name: str, df: DataFrame, layout: str, seed: str, row_id: str, z: str, n_tot: int | None, n_z: DataFrame | None, surface: DataFrame | None, pass_survey_selection: bool) -> _Plan:
+    """Cut, success draw and detection as boolean columns; an error if the survey needs an argument that is missing."""
     s = SELECTIONS[name]
     if s.needs_n and n_tot is None:
         raise ValueError(f"{name} needs n_tot")
@@ -202,15 +199,14 @@ def select(
     bands, detection = m.BAND_MAPS[layout]
     seen = detected(m.resolve_mag(df.columns, bands, detection, "obs")) if pass_survey_selection else None
     steps: dict[str, Column] = {"input": F.lit(True)}
-    work, cut = df, s.cut(mag)
     if s.parts:
-        reached = F.lit(False)
+        # every branch is a selection of its own with its own statistics
         for part, predicate in s.parts.items():
-            reached = reached | predicate(mag)
-            steps[part] = reached & seen if seen is not None else reached
-        mask = list(steps.values())[-1]
-        return df.where(mask), step_statistics(df, steps, z)
-    mask = cut
+            steps[part] = predicate(mag) & seen if seen is not None else predicate(mag)
+        mask = reduce(or_, [*steps.values()][1:])
+        steps["union"] = mask
+        return _Plan(s, df, steps, mask, seen)
+    work, mask = df, s.cut(mag)
     steps["cut"] = mask
     if name == "zcosmos":
         work = sampling.with_surface_rate(work, F.col(z), mag("I"), surface, "_rate")
@@ -222,8 +218,33 @@ def select(
     if seen is not None and s.share_of_input is None:
         mask = mask & seen
         steps["detection"] = mask
-    stats = step_statistics(work, steps, z)
-    kept = work.where(mask).select(*df.columns)
+    return _Plan(s, work, steps, mask, seen)
+
+
+def select(
+    name: str,
+    df: DataFrame,
+    layout: str = "kids",
+    seed: str = "sapling",
+    row_id: str = "unique_gal_id",
+    z: str = "z_cgal_v",
+    n_tot: int | None = None,
+    n_z: DataFrame | None = None,
+    surface: DataFrame | None = None,
+    pass_survey_selection: bool = False,
+) -> tuple[DataFrame, DataFrame]:
+    """The selected rows, and a row of statistics for each step.
+
+    Order: cut, success draw, [survey detection], target count or redshift
+    distribution; a selection by a share of its input draws before detection. A
+    survey of several branches reports each branch alone, then their union.
+    """
+    p = _plan(name, df, layout, seed, row_id, z, n_tot, n_z, surface, pass_survey_selection)
+    s, seen = p.survey, p.seen
+    stats = step_statistics(p.work, p.steps, z)
+    kept = p.work.where(p.mask).select(*df.columns)
+    if s.parts:
+        return kept, stats
     if s.share_of_input is not None:
         n_tot = int(s.share_of_input * df.count())
     if n_tot is not None:
@@ -238,6 +259,58 @@ def select(
     return kept, stats
 
 
+def select_by_stratum(
+    name: str,
+    df: DataFrame,
+    stratum: str,
+    layout: str = "kids",
+    seed: str = "sapling",
+    row_id: str = "unique_gal_id",
+    z: str = "z_cgal_v",
+    n_tot: int | None = None,
+    n_z: DataFrame | None = None,
+    surface: DataFrame | None = None,
+    pass_survey_selection: bool = False,
+) -> tuple[DataFrame, DataFrame]:
+    """A selection of every stratum (tile, realisation) at once: the rows, and (stratum,) statistics for each step.
+
+    Each stratum is treated as ``select`` treats a table: n_tot rows of each,
+    n(z) matched in each, a share of its own input. One job does all strata;
+    rows with a null stratum belong to none.
+    """
+    df = df.where(F.col(stratum).isNotNull())
+    p = _plan(name, df, layout, seed, row_id, z, n_tot, n_z, surface, pass_survey_selection)
+    s, seen, key = p.survey, p.seen, f"{seed}:{name}"
+    stats = step_statistics(p.work, p.steps, z, stratum)
+    number = len(p.steps)
+    kept = p.work.where(p.mask).select(*df.columns)
+
+    def further(step: str) -> None:
+        nonlocal stats, number
+        # strata that lost all their rows are in the first statistics still
+        last = kept.groupBy(stratum).agg(F.count("*").alias("N_tot"), F.avg(z).alias("z_mean"))
+        strata = stats.where("step_no = 0").select(stratum)
+        rows = strata.join(last, stratum, "left").select(stratum, F.lit(number).alias("step_no"), F.lit(step).alias("step"), F.coalesce("N_tot", F.lit(0)).alias("N_tot"), "z_mean")
+        stats, number = stats.unionByName(rows), number + 1
+
+    if s.parts:
+        return kept, stats
+    if s.share_of_input is not None:
+        quota = df.groupBy(stratum).agg(F.floor(F.lit(s.share_of_input) * F.count("*")).alias("_quota"))
+        kept = sampling.sample_n_per_stratum(kept.join(quota, stratum), F.col("_quota"), stratum, key, row_id).select(*df.columns)
+        further("downsampling")
+    if n_tot is not None:
+        kept = sampling.sample_n_per_stratum(kept, n_tot, stratum, key, row_id)
+        further("downsampling")
+    if s.needs_nz:
+        kept = sampling.match_distribution_by_stratum(kept, z, stratum, n_z, n_z.columns[0], key, row_id)
+        further("downsampling")
+    if seen is not None and s.share_of_input is not None:
+        kept = kept.where(seen)
+        further("detection")
+    return kept, stats
+
+
 def _with_step(stats: DataFrame, kept: DataFrame, name: str, z: str) -> DataFrame:
     last = step_statistics(kept, {name: F.lit(True)}, z)
     number = stats.agg((F.max("step_no") + 1).alias("step_no"))

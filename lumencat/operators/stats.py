@@ -128,7 +128,7 @@ def binned_kde(df: DataFrame, x: str, low: float, step: float, cells: int, bandw
     left = F.greatest(F.lit(0), F.least(F.floor(place), F.lit(cells - 1))).cast("int")
     right = place - left
     parts = F.inline(F.array(F.struct(left.alias("at"), (1 - right).alias("w")), F.struct((left + 1).alias("at"), right.alias("w"))))
-    sums = df.where(F.col(x).isNotNull() & ~F.isnan(x)).select(parts).groupBy("at").agg(F.sum("w").alias("w"))
+    sums = df.where(F.abs(F.col(x).cast("double")) < float("inf")).select(parts).groupBy("at").agg(F.sum("w").alias("w"))
     masses = sums.agg(F.collect_list(F.struct("at", "w")).alias("masses"), F.sum("w").alias("n"))
     grid = df.sparkSession.range(cells + 1 if points is None else points).select((F.col("id") * stride + first).cast("int").alias("cell"))
     z = lambda s: (F.col("cell") - s["at"]) * (step / bandwidth)
@@ -139,8 +139,10 @@ def binned_kde(df: DataFrame, x: str, low: float, step: float, cells: int, bandw
 def kde_1d(df: DataFrame, x: str, low: float, high: float, points: int = 251, factor: float | str = "scott", times_n: bool = False, refine: int = 64) -> DataFrame:
     """z, density at ``points`` even points; bandwidth: factor (or n^(-1/5)) times the standard deviation.
 
-    Without a spread (no rows, one row, a constant) the density is null.
+    Values that are null, NaN or infinite count nowhere. Without a spread (no
+    rows, one row, a constant) the density is null.
     """
+    df = df.where(F.abs(F.col(x).cast("double")) < float("inf"))
     std, n = df.agg(F.stddev_samp(x), F.count(x)).first()
     if not std:
         grid = df.sparkSession.range(points)

@@ -587,7 +587,8 @@ def photometry_realisations(spark, sf_dir):
     " FROM cat, tiles WHERE sdss_r_true < 19.87 AND ra_gal >= ra_min AND ra_gal < ra_max AND dec_gal >= dec_min AND dec_gal < dec_max) WHERE no <= 20 GROUP BY 1",
 )
 def line_of_sight_realisations(spark, sf_dir):
-    return rounded(pipelines.line_of_sight_realisations(observed(spark, sf_dir), "gama", BOX, 5, 4, 20)[1])
+    drawn = pipelines.line_of_sight_realisations(observed(spark, sf_dir), "gama", BOX, 5, 4, 20)[1].where("step = 'downsampling' AND N_tot > 0")
+    return rounded(drawn.select("pointing_id", "N_tot", "z_mean"))
 
 
 _SIZES = {"d": "1.6721 * r / disk_length", "b": "7.6697 * pow(r / bulge_length, 0.25)"}

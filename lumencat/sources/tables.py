@@ -46,12 +46,17 @@ def load_rate_curve(spark: SparkSession, path: str, columns: Sequence[str] = ("x
     return lines.select(*[F.get(parts, F.lit(i)).cast("double").alias(c) for i, c in enumerate(columns)])
 
 
-def write_statistics(stats: DataFrame, path: str, mode: str = "w", survey: str = "", output: str = "") -> None:
-    """Write (w) or append (a) step statistics, or nothing (n)."""
+def write_statistics(stats: DataFrame, path: str, mode: str = "w", survey: str = "", output: str = "", by: str | None = None) -> None:
+    """Write (w) or append (a) step statistics, or nothing (n).
+
+    by names the column of a stratum (tile, realisation): its values, after
+    ``output``, tell the outputs apart, and all are one append.
+    """
     if mode not in ("n", "w", "a"):
         raise ValueError("mode must be n, w or a")
     if mode != "n":
-        labelled = stats.select(F.lit(survey).alias("survey"), F.lit(output).alias("output"), "step_no", "step", "N_tot", "z_mean")
+        label = F.concat(F.lit(output), F.col(by).cast("string")) if by else F.lit(output)
+        labelled = stats.select(F.lit(survey).alias("survey"), label.alias("output"), "step_no", "step", "N_tot", "z_mean")
         labelled.write.mode("overwrite" if mode == "w" else "append").parquet(path)
 
 

@@ -4,6 +4,7 @@ import duckdb
 import pandas as pd
 import pytest
 
+from lumencat.plans.chain_queries import register as _register  # noqa: F401  (its queries join the others)
 from lumencat.plans.queries import ORACLES, QUERIES
 
 TABLES = "region nation customer supplier part orders lineitem events embeddings".split()
