@@ -74,14 +74,20 @@ def photo_z(z_phot: str, z_true: str, edges: Sequence[float], sigma: float = 0.1
 
 
 def _cells(both: DataFrame, families: Sequence[Family], sample: str) -> DataFrame:
-    """sample, family, label, bin, x, y: a row for each family and label of every row."""
+    """sample, family, label, bin, x, y: a row for each family and label of every row.
+
+    Values leave the row first and are binned after, so a value's expression
+    is not repeated at every edge.
+    """
     number = lambda c: clean(c) if c is not None else F.lit(None).cast("double")
     cells = [
-        F.struct(F.lit(f.name).alias("family"), F.lit(label).alias("label"), bin_index(number(x), f.edges).alias("bin"), number(x).alias("x"), number(y).alias("y"))
-        for f in families
+        F.struct(F.lit(i).alias("no"), F.lit(f.name).alias("family"), F.lit(label).alias("label"), number(x).alias("x"), number(y).alias("y"))
+        for i, f in enumerate(families)
         for label, (x, y) in f.values.items()
     ]
-    return both.select(F.col(sample).alias("sample"), F.inline(F.array(*cells)))
+    rows = both.select(F.col(sample).alias("sample"), F.inline(F.array(*cells)))
+    bin_ = F.coalesce(*[F.when(F.col("no") == i, bin_index(F.col("x"), f.edges)) for i, f in enumerate(families)])
+    return rows.select("sample", "family", "label", bin_.alias("bin"), "x", "y")
 
 
 def report(both: DataFrame, families: Sequence[Family], sample: str = "sample") -> DataFrame:
