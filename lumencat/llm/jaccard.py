@@ -70,6 +70,9 @@ LONG_SHARE = 8
 #: Documents of a shard that ask at once, and most cells of their probes.
 ASKING_ROWS = 256
 PROBES = 1 << 22
+#: Bits of a bitmap of wanted keys, and of one row of it.
+MOST_BITS = 1 << 27
+PAGE_BITS = 1 << 15
 #: Bytes of a text that are cut into words at once.
 CHUNK = 1 << 20
 
@@ -100,7 +103,7 @@ def shingle_set(text: bytes | None, n: int = 3) -> np.ndarray:
     count = len(words) - size + 1
     total = np.full(count, size, np.uint64)
     for i in range(size):
-        total += words[i : count + i] * mixed(np.array([i + 1], np.uint64))  # a weight for each place
+        total += words[i : count + i] * (mixed(np.array([i + 1], np.uint64)) | np.uint64(1))  # a weight for each place
     total = np.sort(mixed(total))
     return total[np.concatenate(([True], total[1:] != total[:-1]))]
 
@@ -175,6 +178,22 @@ def shared_keys(rows: DataFrame) -> DataFrame:
     return cold.select("key", "node", "least").unionByName(busy.join(several, "key").select("key", "node", "least")).distinct()
 
 
+def sifted(rows: DataFrame, key: str, wanted: DataFrame, wanted_key: str) -> DataFrame:
+    """rows without most of those whose key (a hash) is not wanted, before a join shuffles them.
+
+    A bitmap of the wanted keys goes to every task: 32 bits a key, MOST_BITS
+    (16 MB) at most, beyond which it lets more rows pass.
+    """
+    bits = 1 << min(max(32 * wanted.count(), 1 << 15) - 1, MOST_BITS - 1).bit_length()
+    place = lambda c: F.pmod(F.col(c), F.lit(bits))
+    page = lambda c: F.floor(place(c) / PAGE_BITS)
+    maps = wanted.groupBy(page(wanted_key).alias("page")).agg(F.bitmap_construct_agg(place(wanted_key) % PAGE_BITS).alias("map"))
+    at = place(key) % PAGE_BITS
+    byte = F.conv(F.hex(F.substring("map", (F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    known = F.expr(f"shiftright(byte_of_map, cast(pmod(pmod({key}, {bits}L), 8) as int)) & 1") == 1
+    return rows.join(F.broadcast(maps), page(key) == F.col("page")).withColumn("byte_of_map", byte).where(known).select(*rows.columns)
+
+
 def node_sets(docs: DataFrame, rows: DataFrame, nodes: DataFrame, n: int, doc_id: str, text: str) -> DataFrame:
     """node, n_shingles, hashes of the wanted nodes, from one row of each."""
 
@@ -186,10 +205,12 @@ def node_sets(docs: DataFrame, rows: DataFrame, nodes: DataFrame, n: int, doc_id
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(ends), pa.int64()), lists], names=["node", "n_shingles", "hashes"])
         release_memory()
 
-    pick = F.min(F.struct("text_key", F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id")))
-    wanted = stored(rows.join(nodes, "node", "left_semi").groupBy("node").agg(pick.alias("pick")).select("node", F.col("pick.text_key").alias("wanted_key"), F.col("pick.id").alias("wanted_id")))
+    # copies of one text meet in partial sums before the shuffle
+    first = rows.where(F.col("node").isNotNull()).groupBy("node", "text_key").agg(F.min("doc_id").alias("id")).join(nodes, "node", "left_semi")
+    pick = F.min(F.struct("text_key", "id")).alias("pick")
+    wanted = stored(first.groupBy("node").agg(pick).select("node", F.col("pick.text_key").alias("wanted_key"), F.col("pick.id").alias("wanted_id")))
     texts = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.xxhash64(F.col(text).cast("string")).alias("text_key"), F.col(text).cast("binary").alias("text"))
-    found = texts.join(wanted, (F.col("text_key") == F.col("wanted_key")) & F.col("doc_id").eqNullSafe(F.col("wanted_id")))
+    found = sifted(texts, "text_key", wanted, "wanted_key").join(wanted, (F.col("text_key") == F.col("wanted_key")) & F.col("doc_id").eqNullSafe(F.col("wanted_id")))
     return found.select("node", "text").mapInArrow(run, "node bigint, n_shingles bigint, hashes array<bigint>").dropDuplicates(["node"])
 
 
