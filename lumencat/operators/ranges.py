@@ -1,4 +1,4 @@
-"""Range parts of a table by explicit bounds: a row's part is a function of the row alone."""
+"""Tables in ranges of a column: one range exchange, kept as a checkpoint."""
 
 from __future__ import annotations
 
@@ -6,10 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.lookup import among
+from ..sources.storage import checkpointed
 
-#: Sampled rows for each part.
-PER_PART = 60
+#: Bits of a row's number inside its partition in monotonically_increasing_id.
+ROW_BITS = 33
 
 
 def tie_breaker(df: DataFrame) -> Column:
@@ -17,25 +17,15 @@ def tie_breaker(df: DataFrame) -> Column:
     return F.xxhash64(*[F.col(f"`{f.name}`") for f in df.schema.fields if not isinstance(f.dataType, T.MapType)])
 
 
-def range_part(df: DataFrame, order: str, parts: int | None = None) -> tuple[Column, Column]:
-    """(part, tie): parts rise with (order, tie), nulls first, and hold about as many rows each.
+def ranged(df: DataFrame, order: str, parts: int | None = None) -> DataFrame:
+    """df with _part and _local: parts rise with order (nulls first, then a hash of the row), rows are numbered from 0 inside them.
 
-    Bounds are picked from a sample of PER_PART rows a part, chosen by a hash;
-    they are literals, so however often the plan is evaluated a row keeps its
-    part. A value that many rows share is split by the tie.
+    Spark's range partitioner cuts the parts, so a value that many rows share
+    is split by the hash. The numbers are those of one evaluation: it is
+    checkpointed, and what is derived from it agrees.
     """
     n = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    tie = tie_breaker(df)
-    keyed = df.select(F.struct(F.col(f"`{order}`").alias("x"), tie.alias("h")).alias("k"))
-    sample = keyed.orderBy(F.xxhash64("k"), "k").limit(PER_PART * n)
-    kind = sample.schema["k"].dataType
-    found = [r[0] for r in sample.orderBy("k").collect()]  # a bounded number of small rows
-    picked = [found[len(found) * i // n] for i in range(1, n) if found]
-    bounds = [b for i, b in enumerate(picked) if not i or b != picked[i - 1]]
-    own = F.struct(F.col(f"`{order}`").alias("x"), tie.alias("h"))
-
-    def literal(bound) -> Column:
-        return F.struct(F.lit(bound["x"]).cast(kind["x"].dataType).alias("x"), F.lit(bound["h"]).cast("bigint").alias("h"))
-
-    # part 0 lies below the first bound
-    return among(own, [None, *map(literal, bounds)], F.lit), tie
+    first, tie = F.asc_nulls_first(f"`{order}`"), F.asc("_tie")
+    keyed = df.withColumn("_tie", tie_breaker(df)).repartitionByRange(n, first, tie).sortWithinPartitions(first, tie)
+    at = F.col("_at")
+    return checkpointed(keyed.withColumn("_at", F.monotonically_increasing_id()).select(*[F.col(f"`{c}`") for c in df.columns], F.shiftright(at, ROW_BITS).cast("int").alias("_part"), at.bitwiseAND(F.lit((1 << ROW_BITS) - 1)).alias("_local")))

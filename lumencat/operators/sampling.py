@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from ..functions.rng import uniform
 from ..functions.spline import Curve, quadratic
-from .ranges import range_part
+from .ranges import ranged
 from .stats import binned_kde
 
 #: Bound of the rate on its grid: any above 1 keeps every row, and infinities do not interpolate.
@@ -149,17 +149,14 @@ def target_count(n: int, area_data: float, area_mock: float, chunks: int = 1) ->
 def dense_row_index(df: DataFrame, order: str, name: str = "row_index", partitions: int | None = None) -> DataFrame:
     """Add 0, 1, 2... in the order of a column, without a single-task window.
 
-    Rows are numbered inside range parts; the parts' counts (one row each) give
-    the offsets. A part is a function of the row, so counting and numbering
-    agree although the table is evaluated twice. Nulls come first; rows of one
-    value are ordered by a hash of the row.
+    One range exchange, checkpointed, numbers the rows inside its parts; the
+    parts' counts (one row each) give the offsets. Nulls come first; rows of
+    one value are ordered by a hash of the row.
     """
-    part, tie = range_part(df, order, partitions)
-    ranged = df.withColumns({"_part": part, "_tie": tie})
-    counts = ranged.groupBy("_part").agg(F.count("*").alias("_n"))
+    numbered = ranged(df, order, partitions)
+    counts = numbered.groupBy("_part").agg(F.count("*").alias("_n"))
     offsets = counts.select("_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_offset"))
-    local = ranged.withColumn("_local", F.row_number().over(Window.partitionBy("_part").orderBy(order, "_tie")))
-    return local.join(F.broadcast(offsets), "_part").withColumn(name, F.col("_local") + F.col("_offset") - 1).select(*df.columns, name)
+    return numbered.join(F.broadcast(offsets), "_part").withColumn(name, F.col("_local") + F.col("_offset")).select(*df.columns, name)
 
 
 def sparse_every(df: DataFrame, n: int, order: str) -> DataFrame:

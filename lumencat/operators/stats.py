@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..functions.lookup import among
 from ..functions.magnitudes import not_sentinel, redshift_error
 from ..functions.rng import uniform
-from .ranges import range_part
+from .ranges import ranged
 
 
 #: Accuracy of the sketches that bracket exact quantiles.
@@ -166,7 +166,7 @@ def grid_step(df: DataFrame, x: str) -> DataFrame:
     neighbouring parts (one row each).
     """
     unique = df.where(F.col(x).isNotNull()).select(F.col(x).alias("v")).distinct()
-    parted = unique.withColumn("part", range_part(unique, "v")[0])
+    parted = ranged(unique, "v").select("v", F.col("_part").alias("part"))
     inside = parted.select((F.col("v") - F.lag("v").over(Window.partitionBy("part").orderBy("v"))).alias("d"))
     edges = parted.groupBy("part").agg(F.min("v").alias("first"), F.max("v").alias("last"))
     between = edges.select((F.col("first") - F.lag("last").over(Window.orderBy("part"))).alias("d"))
