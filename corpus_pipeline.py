@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from lumencat.llm import stages
-from lumencat.llm.common import stored, table
+from lumencat.llm.common import discard, new_path, stored, table
 
 #: (name, function of (spark, docs, sf_dir)); all but the last return the columns of documents.
 STAGES = [
@@ -20,8 +20,17 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply all stages to the documents; what a stage keeps is a table in the shared folder, so no text is judged twice."""
-    docs = table(spark, sf_dir, "documents")
+    """Apply all stages to the documents.
+
+    What a stage keeps is a table in the shared folder, so no text is judged
+    twice; it is deleted once its successor is written. The last one stays, as
+    the result is read from it.
+    """
+    docs, before = table(spark, sf_dir, "documents"), None
     for _, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir))
+        path = new_path(spark)
+        docs = stored(stage(spark, docs, sf_dir), path)
+        if before:
+            discard(spark, before)
+        before = path
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -60,12 +60,23 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def stored(df: DataFrame) -> DataFrame:
+def stored(df: DataFrame, path: str | None = None) -> DataFrame:
     """Cut df's lineage by a table in the shared folder.
 
     Spark knows the table's size, so a plain join with it is a broadcast up to
     the session's own threshold and a shuffle beyond.
     """
-    path = f"{shared_folder(df.sparkSession).rstrip('/')}/lumencat-{uuid.uuid4().hex}"
+    path = path or new_path(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def new_path(spark: SparkSession) -> str:
+    """A path of its own in the shared folder."""
+    return f"{shared_folder(spark).rstrip('/')}/lumencat-{uuid.uuid4().hex}"
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a table that nothing reads any more, on whatever file system it lies."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)

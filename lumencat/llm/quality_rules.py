@@ -4,11 +4,21 @@ Each document's measures go into a sketch per (language, source): counts in
 buckets of geometrically growing width (relative error GAMMA - 1 on every
 quantile). Two sketches merge by adding counts, so they are exact under any
 partitioning, are summed before the shuffle, and roll up to languages and to
-the whole corpus. A threshold is a fence on the sketch's quartiles: FENCE times
-their distance beyond the outer one. It moves both ways with its group; only
-where a group's quartiles (nearly) coincide, as those of rare events do, the
-measure's least spread takes their distance's place. Groups of fewer than
-LEAST_GROUP documents use their language's sketch, small languages the corpus'.
+the whole corpus.
+
+A threshold is where a group's own distribution says that a document no longer
+belongs to it. Values are compared on a logarithmic scale; for a rate it counts
+the events of a document of the group's median length, log(1 + rate * length),
+so that none and one are neighbours. Where the quartiles differ, the threshold
+lies FENCE times their distance beyond the outer one. Where they coincide, as
+those of rare events do, it lies in the middle of the first gap above them: two
+neighbouring values of the sketch of which one is GAP times the other. Without
+such a gap it lies GAP times beyond the largest value. So no threshold is a
+cutoff in the measure's units.
+
+Every source counts: its threshold is the weighted mean (of logarithms) of its
+own and its language's, with as much weight on the source as it has documents
+against POOLED; a language's is drawn to the corpus' in the same way.
 Thresholds are then joined back to the documents.
 
 Defined results: null text: no words, so the base rule rejects it; null
@@ -35,20 +45,26 @@ SPACES = " \t\n\v\f\r"
 SYMBOLS = "#*$%&|<>"
 STATS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_capitals", "n_shouts")
 GAMMA = 1.02
-LEAST_GROUP = 300
+#: Documents whose weight a group's parent has beside the group's own.
+POOLED = 300
 #: Characters of texts whose statistics are taken together.
 GROUP_CHARS = 1 << 19
+#: Quartile distances beyond the outer quartile, and the ratio of neighbouring values that is a gap.
 FENCE = 5.0
-#: Measures, the side of the fence, and the least spread (in units of the measure) where quartiles coincide.
-MEASURES: dict[str, tuple[str, str, float]] = {
-    "symbol_rate": ("n_symbols / n_words", "high", 0.05),
-    "long_words": ("word_chars / n_words", "high", 0.1),
-    "short_words": ("word_chars / n_words", "low", 0.1),
-    "dup_line_rate": ("n_dup_lines / n_lines", "high", 0.1),
-    "repeat_rate": ("n_repeat_words / n_words", "high", 0.1),
-    "capital_rate": ("n_capitals / word_chars", "high", 0.015),
-    "shout_rate": ("n_shouts / n_words", "high", 0.02),
+GAP = 8.0
+#: Bucket of values that are (nearly) nothing.
+NOTHING = -(1 << 20)
+#: Measures, the side of the threshold, and the length whose median makes a rate's events (none: the value itself counts).
+MEASURES: dict[str, tuple[str, str, str | None]] = {
+    "symbol_rate": ("n_symbols / n_words", "high", "n_words"),
+    "long_words": ("word_chars / n_words", "high", None),
+    "short_words": ("word_chars / n_words", "low", None),
+    "dup_line_rate": ("n_dup_lines / n_lines", "high", "n_lines"),
+    "repeat_rate": ("n_repeat_words / n_words", "high", "n_words"),
+    "capital_rate": ("n_capitals / word_chars", "high", "word_chars"),
+    "shout_rate": ("n_shouts / n_words", "high", "n_words"),
 }
+LENGTHS = ("n_words", "n_lines", "word_chars")
 
 
 def _marks(characters: str) -> np.ndarray:
@@ -162,45 +178,57 @@ def _measure(name: str) -> Column:
 
 
 def sketch(stats: DataFrame, lang: str = "lang", source: str = "source") -> DataFrame:
-    """(lang, source, measure, bucket, n) of the documents that pass the base rule."""
+    """(lang, source, measure, bucket, n) of the documents that pass the base rule: the measures, and their lengths."""
     x = F.col("cell.value")
-    bucket = F.when(x <= 1e-6, F.lit(-(1 << 20))).otherwise(F.ceil(F.log(x) / float(np.log(GAMMA)))).cast("int")
-    cells = F.explode(F.array(*[F.struct(F.lit(m).alias("measure"), _measure(m).alias("value")) for m in MEASURES])).alias("cell")
+    bucket = F.when(x <= 1e-6, F.lit(NOTHING)).otherwise(F.ceil(F.log(x) / float(np.log(GAMMA)))).cast("int")
+    values = {m: _measure(m) for m in MEASURES} | {n: F.col("qr_stats")[n].cast("double") for n in LENGTHS}
+    cells = F.explode(F.array(*[F.struct(F.lit(m).alias("measure"), v.alias("value")) for m, v in values.items()])).alias("cell")
     rows = stats.where(~F.col("qr_base_failed")).select(F.col(lang).alias("lang"), F.col(source).alias("source"), cells)
     return rows.select("lang", "source", F.col("cell.measure").alias("measure"), bucket.alias("bucket")).groupBy("lang", "source", "measure", "bucket").agg(F.count("*").alias("n"))
 
 
-def _fences(sketches: DataFrame, keys: list[str]) -> DataFrame:
-    """keys, size and one threshold for each measure, from sketches merged over keys."""
+def cuts(sketches: DataFrame, keys: list[str]) -> DataFrame:
+    """keys, size and the logarithm of each measure's threshold, from sketches merged over keys."""
     merged = sketches.groupBy(*keys, "measure", "bucket").agg(F.sum("n").alias("n"))
     own = Window.partitionBy(*keys, "measure")
-    merged = merged.withColumn("until", F.sum("n").over(own.orderBy("bucket"))).withColumn("total", F.sum("n").over(own))
-
-    def quantile(q: float) -> Column:
-        bucket = F.min(F.when(F.col("until") >= q * F.col("total"), F.col("bucket")))
-        return F.when(bucket == -(1 << 20), 0.0).otherwise(F.pow(F.lit(GAMMA), bucket) * 2 / (1 + GAMMA))
-
-    quartiles = merged.groupBy(*keys, "measure").agg(quantile(0.25).alias("low"), quantile(0.75).alias("high"), F.max("total").alias("total"))
+    value = F.when(F.col("bucket") == NOTHING, 0.0).otherwise(F.pow(F.lit(GAMMA), F.col("bucket")) * 2 / (1 + GAMMA))
+    merged = merged.withColumns({"until": F.sum("n").over(own.orderBy("bucket")), "total": F.sum("n").over(own), "value": value})
+    median = lambda name: F.min(F.when((F.col("measure") == name) & (F.col("until") >= 0.5 * F.col("total")), F.col("value"))).over(Window.partitionBy(*keys))
+    merged = merged.withColumns({f"typical_{n}": median(n) for n in LENGTHS})
+    length = F.coalesce(*[F.when(F.col("measure") == m, F.col(f"typical_{n}")) for m, (_, _, n) in MEASURES.items() if n])
+    merged = merged.where(F.col("measure").isin([*MEASURES])).withColumn("length", length)
+    merged = merged.withColumn("z", F.when(F.col("length").isNotNull(), F.log1p(F.col("value") * F.col("length"))).otherwise(F.log("value")))
+    following = F.lead("z").over(own.orderBy("bucket"))
+    gap = F.when((F.col("until") >= 0.75 * F.col("total")) & (following - F.col("z") >= float(np.log(GAP))), (F.col("z") + following) / 2)
+    quartile = lambda q: F.min(F.when(F.col("until") >= q * F.col("total"), F.col("z")))
+    facts = merged.withColumn("gap", gap).groupBy(*keys, "measure").agg(
+        quartile(0.25).alias("z1"), quartile(0.75).alias("z3"), F.min("gap").alias("gap"), F.min("z").alias("least"), F.max("z").alias("most"), F.max("total").alias("total"), F.first("length").alias("length")
+    )
+    spread, far = F.col("z3") - F.col("z1"), float(np.log(GAP))
+    high = F.when(spread > 0, F.col("z3") + FENCE * spread).otherwise(F.coalesce("gap", F.col("most") + far))
+    low = F.when(spread > 0, F.col("z1") - FENCE * spread).otherwise(F.col("least") - far)
     limits = []
-    for m, (_, side, least) in MEASURES.items():
-        spread = FENCE * F.greatest(F.col("high") - F.col("low"), F.lit(least))
-        fence = F.col("high") + spread if side == "high" else F.col("low") - spread
-        limits.append(F.max(F.when(F.col("measure") == m, fence)).alias(m))
-    return quartiles.groupBy(*keys).agg(F.max("total").alias("size"), *limits)
+    for m, (_, side, n) in MEASURES.items():
+        z = high if side == "high" else low
+        limits.append(F.max(F.when(F.col("measure") == m, F.log(F.expm1(z) / F.col("length")) if n else z)).alias(m))
+    return facts.groupBy(*keys).agg(F.max("total").alias("size"), *limits)
 
 
 def thresholds(sketches: DataFrame) -> DataFrame:
     """(lang, source, one threshold for each measure) for every (lang, source) of the sketches."""
-    fine = _fences(sketches, ["lang", "source"]).alias("f")
-    middle = _fences(sketches, ["lang"]).alias("m")
-    coarse = _fences(sketches.withColumn("all", F.lit(1)), ["all"]).alias("c")
+    fine = cuts(sketches, ["lang", "source"]).alias("f")
+    middle = cuts(sketches, ["lang"]).alias("m")
+    coarse = cuts(sketches.withColumn("all", F.lit(1)), ["all"]).alias("c")
     joined = fine.join(middle, F.col("f.lang").eqNullSafe(F.col("m.lang")), "left").crossJoin(F.broadcast(coarse))  # coarse is one row
 
-    def chosen(m: str) -> Column:
-        picked = F.when(F.col("f.size") >= LEAST_GROUP, F.col(f"f.{m}")).when(F.col("m.size") >= LEAST_GROUP, F.col(f"m.{m}"))
-        return picked.otherwise(F.col(f"c.{m}")).alias(m)
+    def pooled(m: str) -> Column:
+        def drawn(level: str, parent: Column) -> Column:
+            size = F.col(f"{level}.size")
+            return (size * F.col(f"{level}.{m}") + POOLED * parent) / (size + POOLED)
+
+        return F.exp(drawn("f", drawn("m", F.col(f"c.{m}")))).alias(m)
 
-    return joined.select(F.col("f.lang").alias("lang"), F.col("f.source").alias("source"), *map(chosen, MEASURES))
+    return joined.select(F.col("f.lang").alias("lang"), F.col("f.source").alias("source"), *map(pooled, MEASURES))
 
 
 def judged(stats: DataFrame, limits: DataFrame, lang: str = "lang", source: str = "source") -> DataFrame:
@@ -214,7 +242,7 @@ def judged(stats: DataFrame, limits: DataFrame, lang: str = "lang", source: str
     cut = limits.select(F.struct(*limits.columns).alias("qr_limit"))
     match = F.col(lang).eqNullSafe(F.col("qr_limit.lang")) & F.col(source).eqNullSafe(F.col("qr_limit.source"))
     good = F.lit(True)
-    for m, (_, side, _least) in MEASURES.items():
+    for m, (_, side, _length) in MEASURES.items():
         limit = F.col(f"qr_limit.{m}")
         good = good & (_measure(m) <= limit if side == "high" else _measure(m) >= limit)
     # a document without a limit belongs to a group that the base rule emptied

@@ -116,26 +116,31 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 
 def _quality_rules_sql() -> str:
-    """The base statistics, the sketches as counts of geometric buckets, the fences and their fallbacks in SQL."""
-    measures = quality_rules.MEASURES
-    cells = " UNION ALL ".join(
-        f"SELECT rid, lang, source, failed, '{m}' AS measure, CASE WHEN {e.split(' / ')[1]} > 0 THEN {e.split(' / ')[0]}::double / {e.split(' / ')[1]} ELSE 0 END AS x FROM s" for m, (e, _, _) in measures.items()
-    )
-    spreads = ", ".join(f"('{m}', '{side}', {least}::double)" for m, (_, side, least) in measures.items())
-    gamma, fewest = quality_rules.GAMMA, quality_rules.LEAST_GROUP
-
-    def fences(name: str, keys: str) -> str:
+    """The base statistics, the sketches as counts of geometric buckets, quartiles, gaps and pooling in SQL."""
+    q = quality_rules
+    rate = lambda e: f"CASE WHEN {e.split(' / ')[1]} > 0 THEN {e.split(' / ')[0]}::double / {e.split(' / ')[1]} ELSE 0 END"
+    values = {m: rate(e) for m, (e, _, _) in q.MEASURES.items()} | {n: f"{n}::double" for n in q.LENGTHS}
+    cells = " UNION ALL ".join(f"SELECT rid, lang, source, failed, '{m}' AS measure, {x} AS x FROM s" for m, x in values.items())
+    sides = ", ".join(f"('{m}', '{side}', {f"'{n}'" if n else 'NULL'})" for m, (_, side, n) in q.MEASURES.items())
+
+    def level(name: str, keys: str) -> str:
         by = f"{keys}, " if keys else ""
-        value = lambda q: f"min(bucket) FILTER (WHERE until >= {q} * total)"
-        real = lambda b: f"CASE WHEN {b} = -1048576 THEN 0 ELSE pow({gamma}::double, {b}) * 2 / (1 + {gamma}::double) END"
+        own, every = f"PARTITION BY {by}measure", f"PARTITION BY {keys}" if keys else ""
+        typical = "CASE measured_in " + " ".join(f"WHEN '{n}' THEN min(value) FILTER (WHERE measure = '{n}' AND until >= 0.5 * total) OVER ({every})" for n in q.LENGTHS) + " END"
         return f"""
-{name}0 AS (SELECT {by}measure, bucket, sum(n) OVER (PARTITION BY {by}measure ORDER BY bucket) AS until, sum(n) OVER (PARTITION BY {by}measure) AS total FROM (SELECT {by}measure, bucket, sum(n) AS n FROM k GROUP BY ALL)),
-{name}1 AS (SELECT {by}measure, {value(0.25)} AS b1, {value(0.75)} AS b3, max(total) AS size FROM {name}0 GROUP BY {by}measure),
-{name} AS (SELECT {by}measure, size, CASE side WHEN 'high' THEN q3 + {quality_rules.FENCE} * greatest(q3 - q1, spread) ELSE q1 - {quality_rules.FENCE} * greatest(q3 - q1, spread) END AS cut
-  FROM (SELECT {by}measure, size, {real('b1')} AS q1, {real('b3')} AS q3 FROM {name}1) JOIN spreads USING (measure))"""
+{name}0 AS (SELECT {by}measure, bucket, sum(n) AS n FROM k GROUP BY ALL),
+{name}1 AS (SELECT *, sum(n) OVER ({own} ORDER BY bucket) AS until, sum(n) OVER ({own}) AS total, CASE WHEN bucket = {q.NOTHING} THEN 0 ELSE pow({q.GAMMA}::double, bucket) * 2 / (1 + {q.GAMMA}::double) END AS value FROM {name}0),
+{name}2 AS (SELECT {name}1.*, side, {typical} AS length FROM {name}1 LEFT JOIN sides USING (measure)),
+{name}3 AS (SELECT *, CASE WHEN length IS NOT NULL THEN ln(1 + value * length) ELSE ln(value) END AS z FROM {name}2 WHERE side IS NOT NULL),
+{name}4 AS (SELECT *, lead(z) OVER ({own} ORDER BY bucket) AS following FROM {name}3),
+{name}5 AS (SELECT {by}measure, any_value(side) AS side, any_value(length) AS length, max(total) AS size, min(z) FILTER (WHERE until >= 0.25 * total) AS z1, min(z) FILTER (WHERE until >= 0.75 * total) AS z3,
+  min((z + following) / 2) FILTER (WHERE until >= 0.75 * total AND following - z >= ln({q.GAP}::double)) AS gap, min(z) AS least, max(z) AS most FROM {name}4 GROUP BY {by}measure),
+{name}6 AS (SELECT *, CASE side WHEN 'high' THEN CASE WHEN z3 > z1 THEN z3 + {q.FENCE} * (z3 - z1) ELSE coalesce(gap, most + ln({q.GAP}::double)) END
+  ELSE CASE WHEN z3 > z1 THEN z1 - {q.FENCE} * (z3 - z1) ELSE least - ln({q.GAP}::double) END END AS cut FROM {name}5),
+{name} AS (SELECT {by}measure, size, CASE WHEN length IS NULL THEN cut ELSE ln((exp(cut) - 1) / length) END AS cut FROM {name}6)"""
 
     return f"""
-WITH spreads(measure, side, spread) AS (VALUES {spreads}),
+WITH sides(measure, side, measured_in) AS (VALUES {sides}),
 d AS (SELECT row_number() OVER () AS rid, doc_id, lang, source, coalesce(text, '') AS t FROM documents),
 w AS (SELECT *, list_filter(regexp_split_to_array(t, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS ws, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS ls FROM d),
 g AS (SELECT rid, i, count(*) OVER (PARTITION BY rid, ws[i], ws[i + 1], ws[i + 2]) AS c FROM (SELECT rid, ws, unnest(range(1, len(ws) - 1)) AS i FROM w)),
@@ -145,10 +150,10 @@ s0 AS (SELECT w.*, len(ws) AS n_words, length(regexp_replace(t, '[\\x20\\x09-\\x
   FROM w LEFT JOIN r USING (rid)),
 s AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS failed FROM s0),
 x AS ({cells}),
-k AS (SELECT lang, source, measure, CASE WHEN x <= 1e-6 THEN -1048576 ELSE ceil(ln(x) / ln({gamma}::double))::bigint END AS bucket, count(*) AS n FROM x WHERE NOT failed GROUP BY ALL),
-{fences("f", "lang, source")}, {fences("m", "lang")}, {fences("c", "")},
-u AS (SELECT f.lang, f.source, measure, CASE WHEN f.size >= {fewest} THEN f.cut WHEN m.size >= {fewest} THEN m.cut ELSE c.cut END AS cut FROM f JOIN c USING (measure) LEFT JOIN m USING (measure) WHERE m.lang IS NOT DISTINCT FROM f.lang),
-v AS (SELECT rid, bool_and(CASE side WHEN 'high' THEN x <= cut ELSE x >= cut END) AS good FROM x JOIN u USING (measure) JOIN spreads USING (measure) WHERE x.lang IS NOT DISTINCT FROM u.lang AND x.source IS NOT DISTINCT FROM u.source GROUP BY rid)
+k AS (SELECT lang, source, measure, CASE WHEN x <= 1e-6 THEN {q.NOTHING} ELSE ceil(ln(x) / ln({q.GAMMA}::double))::bigint END AS bucket, count(*) AS n FROM x WHERE NOT failed GROUP BY ALL),
+{level("f", "lang, source")}, {level("m", "lang")}, {level("c", "")},
+u AS (SELECT f.lang, f.source, measure, exp((f.size * f.cut + {q.POOLED} * (m.size * m.cut + {q.POOLED} * c.cut) / (m.size + {q.POOLED})) / (f.size + {q.POOLED})) AS cut FROM f JOIN c USING (measure) JOIN m USING (measure) WHERE m.lang IS NOT DISTINCT FROM f.lang),
+v AS (SELECT rid, bool_and(CASE side WHEN 'high' THEN x <= cut ELSE x >= cut END) AS good FROM x JOIN u USING (measure) JOIN sides USING (measure) WHERE x.lang IS NOT DISTINCT FROM u.lang AND x.source IS NOT DISTINCT FROM u.source GROUP BY rid)
 SELECT doc_id, n_words::bigint AS n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, failed AS base_failed, NOT failed AND coalesce(good, false) AS kept FROM s LEFT JOIN v USING (rid)"""
 
 

@@ -2,6 +2,7 @@
 
 import binascii
 import hashlib
+import math
 import re
 import struct
 import unicodedata
@@ -162,15 +163,55 @@ def test_quality_rules_keep_good_and_reject_bad(spark, sf_dir):
     assert np.mean(kept[1]) > 0.97 and (not kept[0] or np.mean(kept[0]) < 0.1)
 
 
-def test_sketches_merge_to_quantiles(spark):
+def brute_cut(values, lengths, side="high"):
+    """The logarithm of a threshold from all values of a group; lengths: of its documents, none for a plain value."""
+
+    def sketched(x):
+        return 0.0 if x <= 1e-6 else quality_rules.GAMMA ** math.ceil(math.log(x) / math.log(quality_rules.GAMMA)) * 2 / (1 + quality_rules.GAMMA)
+
+    quantile = lambda xs, q: sorted(xs)[math.ceil(q * len(xs)) - 1]
+    typical = quantile([*map(sketched, lengths)], 0.5) if lengths else None
+    z = sorted(math.log1p(sketched(x) * typical) if typical else math.log(sketched(x)) for x in values)
+    low, high, far = quantile(z, 0.25), quantile(z, 0.75), math.log(quality_rules.GAP)
+    if high > low:
+        cut = high + quality_rules.FENCE * (high - low) if side == "high" else low - quality_rules.FENCE * (high - low)
+    elif side == "high":
+        gaps = [(a + b) / 2 for a, b in zip(z, z[1:]) if a >= high and b - a >= far]
+        cut = gaps[0] if gaps else z[-1] + far
+    else:
+        cut = z[0] - far
+    return math.log(math.expm1(cut) / typical) if typical else cut
+
+
+def test_sketches_merge_to_thresholds(spark):
+    """However rows are dealt, a group's cuts are those of all its values: quartiles that differ, gaps, and neither."""
     rng = np.random.default_rng(2)
-    texts = [" ".join("x" * int(k) for k in rng.integers(2, 9, 60)) + " " + "#" * int(rng.integers(0, 30)) for _ in range(400)]
-    df = quality_rules.with_stats(spark.createDataFrame([(i, t, "en", "abc"[i % 3]) for i, t in enumerate(texts)], "doc_id bigint, text string, lang string, source string"))
-    one, many = (quality_rules._fences(quality_rules.sketch(d), ["lang"]).first() for d in (df.coalesce(1), df.repartition(7)))
-    assert one == many
-    rate = [quality_rules.text_stats(t)[2] / quality_rules.text_stats(t)[0] for t in texts]
-    low, high = np.quantile(rate, [0.25, 0.75], method="inverted_cdf")
-    assert one["symbol_rate"] == pytest.approx(high + quality_rules.FENCE * (high - low), rel=0.08)
+    word = lambda: "".join(rng.choice([*"abcdefgh"], int(rng.integers(2, 9))))
+    plain = [" ".join(word() for _ in range(int(rng.integers(55, 90)))) for _ in range(400)]
+    often = [t + " " + "# " * int(rng.integers(0, 30)) for t in plain]
+    rare = [t + (" $" if i % 9 == 0 else " $ $ &" if i % 50 == 0 else " " + "#" * 200 if i % 40 == 7 else "") for i, t in enumerate(plain)]
+    for texts in (plain, often, rare):
+        df = quality_rules.with_stats(spark.createDataFrame([(i, t, "en", "abc"[i % 3]) for i, t in enumerate(texts)], "doc_id bigint, text string, lang string, source string"))
+        one, many = (quality_rules.cuts(quality_rules.sketch(d), ["lang"]).first() for d in (df.coalesce(1), df.repartition(7)))
+        assert one == many
+        facts = [dict(zip(quality_rules.STATS, quality_rules.text_stats(t), strict=True)) for t in texts]
+        facts = [f for f in facts if f["n_words"] >= 50 and 100 * f["n_repeat_words"] <= 50 * f["n_words"]]
+        for m, (formula, side, length) in quality_rules.MEASURES.items():
+            top, bottom = formula.split(" / ")
+            assert one[m] == pytest.approx(brute_cut([f[top] / f[bottom] for f in facts], [f[length] for f in facts] if length else None, side), abs=1e-9)
+    # between what is usual and what is not: three symbols pass, two hundred do not
+    assert 3 < math.exp(one["symbol_rate"]) * 72 < 200
+
+
+def test_no_threshold_is_a_constant(spark):
+    """Every measure's threshold differs between the groups of one corpus, and between corpora."""
+    found = []
+    for sf in ("sf0.001", "sf0.01"):
+        stats = quality_rules.with_stats(spark.read.parquet(f"/root/testdata/{sf}/documents.parquet"))
+        found.append(quality_rules.thresholds(quality_rules.sketch(stats)).toPandas())
+    for m in quality_rules.MEASURES:
+        assert all(t[m].nunique() > 10 for t in found)
+        assert not {*found[0][m].round(9)} & {*found[1][m].round(9)}
 
 
 def test_thresholds_follow_their_group(spark):
@@ -180,16 +221,16 @@ def test_thresholds_follow_their_group(spark):
     def text(size, spread):
         return " ".join("".join(rng.choice([*"abcdefghij"], int(k))) for k in np.clip(rng.normal(size, spread, 80), 1, 60))
 
-    near, wide = [(i, text(5, 0.5), "en", "near") for i in range(400)], [(1000 + i, text(rng.uniform(3, 9), 0.5), "en", "wide") for i in range(400)]
-    planted = [(2000, text(8, 0.5), "en", "near"), (2001, text(8, 0.5), "en", "wide"), (2002, text(3, 0.5), "en", "near"), (2003, text(3.2, 0.5), "en", "wide")]
+    near, wide = [(i, text(5, 0.5), "en", "near") for i in range(1500)], [(4000 + i, text(rng.uniform(3, 9), 0.5), "en", "wide") for i in range(1500)]
+    planted = [(2000, text(14, 0.5), "en", "near"), (2001, text(14, 0.5), "en", "wide"), (2002, text(2, 0.5), "en", "near"), (2003, text(2.2, 0.5), "en", "wide")]
     df = spark.createDataFrame([*near, *wide, *planted], "doc_id bigint, text string, lang string, source string")
     stats = quality_rules.with_stats(df)
     limits = quality_rules.thresholds(quality_rules.sketch(stats))
     cut = {r["source"]: r for r in limits.collect()}
-    assert cut["near"]["long_words"] < 7 < 9 < cut["wide"]["long_words"] and cut["near"]["short_words"] > 3.5 > cut["wide"]["short_words"]
+    assert cut["near"]["long_words"] < 13 < 16 < cut["wide"]["long_words"] and cut["near"]["short_words"] > 2.3 > cut["wide"]["short_words"]
     kept = {r["doc_id"]: r["qr_kept"] for r in quality_rules.judged(stats, limits).collect()}
     assert [kept[i] for i in range(2000, 2004)] == [False, True, False, True]
-    assert np.mean([kept[i] for i in kept if i < 2000]) > 0.99
+    assert np.mean([kept[i] for i in kept if i < 2000 or i >= 4000]) > 0.99
 
 
 def test_quality_rules_edge_rows(spark, odd, empty):
