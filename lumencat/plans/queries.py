@@ -430,6 +430,15 @@ def nearest_unbounded_cells(spark, sf_dir):
     return out.select("vec_id", "near_label", "v")
 
 
+@register("nearest_approximate")
+def nearest_approximate(spark, sf_dir):
+    """Hashed buckets that meet at least nine of ten true neighbours of a sample; tests measure it on all rows."""
+    vectors = table(spark, sf_dir, "embeddings")
+    ref = vectors.where(F.col("vec_id") % 10 == 0).select(F.col("vec_id").alias("ref_id"), F.col("embedding").alias("ref_v"), F.col("label").alias("ref_label"))
+    out = match.nearest_unbounded(vectors.where(F.col("vec_id") % 10 != 0), ref, "embedding", "ref_v", {"ref_id": "near_id", "ref_label": "near_label"}, "ref_id", recall=0.9, broadcast_values=0)
+    return out.select("vec_id", "near_id", "near_label")
+
+
 # --- statistics -------------------------------------------------------------
 
 _PRICE_BIN = "least(floor(l_extendedprice / 5000), 19)::int"
