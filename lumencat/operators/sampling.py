@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from ..functions.rng import uniform
 from ..functions.spline import Curve, quadratic
+from ..sources.storage import checkpointed
 from .ranges import ranged
 from .stats import binned_kde
 
@@ -195,13 +196,15 @@ def match_distribution(df: DataFrame, x: str, target: DataFrame, target_x: str,
     and such rows of df are not kept. No target: no rows; a source or target
     without spread, or an empty source: df as it is.
     """
-    (s0, s1, s_std, n_s), (t0, t1, t_std, n_t) = _bounds(df, x), _bounds(target, target_x)
+    # the bounds and the density read one column each
+    values, wanted_values = checkpointed(df.select(x)), checkpointed(target.select(target_x))
+    (s0, s1, s_std, n_s), (t0, t1, t_std, n_t) = _bounds(values, x), _bounds(wanted_values, target_x)
     if not n_s or not n_t or not s_std or not t_std:
         return df.limit(0) if not n_t else df
     low, high = min(s0, t0), max(s1, t1)
     step = (high - low) / cells
-    source = binned_kde(df, x, low, step, cells, factor * s_std)
-    wanted = binned_kde(target, target_x, low, step, cells, factor * t_std)
+    source = binned_kde(values, x, low, step, cells, factor * s_std)
+    wanted = binned_kde(wanted_values, target_x, low, step, cells, factor * t_std)
     ratio = source.join(wanted.withColumnRenamed("density", "wanted"), "cell").select("cell", F.least(F.coalesce(F.try_divide(F.col("wanted") * n_t, F.col("density") * n_s), F.lit(1.0)), F.lit(MOST_RATE)).alias("r"))
     grid = ratio.agg(F.transform(F.sort_array(F.collect_list(F.struct("cell", "r"))), lambda s: s["r"]).alias("_grid"))
     place, cell = _placed(x, low, step, cells)

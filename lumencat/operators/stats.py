@@ -13,11 +13,14 @@ from pyspark.sql import functions as F
 from ..functions.lookup import among
 from ..functions.magnitudes import not_sentinel, redshift_error
 from ..functions.rng import uniform
+from ..sources.storage import checkpointed
 from .ranges import ranged
 
 
 #: Accuracy of the sketches that bracket exact quantiles.
 SKETCH = 200_000
+#: Groups whose brackets (some 100 bytes each) go to every task.
+FEW_GROUPS = 100_000
 
 
 def bin_index(x: Column, edges: Sequence[float], closed: bool = True) -> Column:
@@ -68,11 +71,13 @@ def exact_quantiles(rows: DataFrame, keys: Sequence[str], x: str, shares: Sequen
     """
     keys, x_, every = [*keys], F.col(x), range(len(shares))
     margin = 2.0 / SKETCH
+    rows = checkpointed(rows.where(x_.isNotNull()).select(*keys, x))  # three passes over two or three columns
     sketch = [F.percentile_approx(x, F.array(*[F.lit(min(max(s + side * margin, 0.0), 1.0)) for s in shares]), SKETCH) for side in (-1, 1)]
-    bracket = rows.where(x_.isNotNull()).groupBy(*keys).agg(sketch[0].alias("_low"), sketch[1].alias("_high"), F.count("*").alias("_n"))
+    bracket = checkpointed(rows.groupBy(*keys).agg(sketch[0].alias("_low"), sketch[1].alias("_high"), F.count("*").alias("_n")))
+    hint = F.broadcast if bracket.count() <= FEW_GROUPS else lambda groups: groups  # one row for each group
     named = bracket.withColumnsRenamed({k: f"_k_{k}" for k in keys})
     match = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys], F.lit(True))
-    joined = rows.where(x_.isNotNull()).join(F.broadcast(named), match)  # one row for each group
+    joined = rows.join(hint(named), match)
     # interpolation may want the value next to the bracket on either side
     outside = (
         F.array(*[F.count_if(x_ < F.col("_low")[i]) for i in every]).alias("_below"),
@@ -82,7 +87,7 @@ def exact_quantiles(rows: DataFrame, keys: Sequence[str], x: str, shares: Sequen
     below = joined.groupBy(*keys).agg(*outside)
     inside = F.array(*[F.when((x_ >= F.col("_low")[i]) & (x_ <= F.col("_high")[i]), F.lit(i)) for i in every])
     tally = joined.select(*keys, "_n", x_.alias("_x"), F.explode(F.array_compact(inside)).alias("_i")).groupBy(*keys, "_n", "_i", "_x").agg(F.count("*").alias("_c"))
-    tally = tally.join(F.broadcast(below.withColumnsRenamed({k: f"_k_{k}" for k in keys})), match)  # one row for each group
+    tally = tally.join(hint(below.withColumnsRenamed({k: f"_k_{k}" for k in keys})), match)
     own = lambda c: F.element_at(c, F.col("_i") + 1)
     until = own("_below") + F.sum("_c").over(Window.partitionBy(*keys, "_i").orderBy("_x"))
     placed = tally.withColumns({"_until": until, "_at": own(F.array(*map(F.lit, map(float, shares)))) * (F.col("_n") - 1)})
@@ -191,7 +196,7 @@ def photoz_statistics(df: DataFrame, by: str, z_phot: str, z_true: str, edges: S
     median deviation from the bin's mean, from a sketch unless exact. Empty bins
     have nulls; fewer than two edges make no bins.
     """
-    rows = _binned(df, by, z_phot, z_true, edges)
+    rows = checkpointed(_binned(df, by, z_phot, z_true, edges))  # three numbers a row, read by every statistic
     means = rows.groupBy("bin").agg(F.avg("dz").alias("bias"), F.avg("by").alias("center"), F.count("*").alias("n"), F.avg((F.abs("dz") > sigma).cast("double")).alias("outlier_fraction"))
     off = rows.join(F.broadcast(means.select("bin", "bias")), "bin").withColumn("off", F.abs(F.col("dz") - F.col("bias")))  # one row for each bin
     mads = quantiles(off, ["bin"], "off", [0.5], exact).select("bin", (1.4826 * F.col("values")[0]).alias("mad"))
