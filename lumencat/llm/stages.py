@@ -31,9 +31,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Documents within the fixed base and the adaptive thresholds of their language and source.
 
     The thresholds are fitted on all documents of this stage. The texts are
-    read twice rather than shuffled.
+    read twice rather than shuffled; the sketches, read at three levels, are kept.
     """
-    limits = rules.thresholds(rules.sketch(rules.with_stats(docs.select("text", "lang", "source"))))
+    limits = rules.thresholds(checkpointed(rules.sketch(rules.with_stats(docs.select("text", "lang", "source")))))
     return _unwrapped(rules.judged(rules.with_stats(_wrapped(docs)), limits).where("qr_kept"), docs)
 
 
