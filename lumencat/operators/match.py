@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from itertools import product
 
 import numpy as np
@@ -66,26 +66,111 @@ def nearest_property(
 
 
 class CellIndex:
-    """Reference points sorted by columns of cells (r_max / 2 wide in all indexed attributes but the last) and, inside a column, by slices of the last.
+    """Reference points within r_max, searched by widening radii: one that finds a point has found the nearest.
 
-    A point closer than r_max lies at most two cells away in each direction, and
-    in a run of slices: each neighbouring column is one stretch of the order.
-    Columns are numbered by a hash; two that share a number are told apart by
-    distance.
+    The first radius is about a point's distance to its own neighbour, so a
+    search meets a few points however many lie within r_max; only rows without
+    a point so near go on to the next radius. Points are turned to the axes of
+    their widest spread (``neighbours.spread_axes``) to sift pairs; what is left
+    is measured in the attributes themselves.
+    """
+
+    def __init__(self, points: np.ndarray, r_max: float):
+        self.r_max, self.raw = r_max, np.ascontiguousarray(points.T)
+        self.centre = np.median(points, axis=0) if len(points) else np.zeros(points.shape[1])
+        with np.errstate(all="ignore"):
+            self.far = float(np.sqrt(((points - self.centre) ** 2).sum(axis=1)).max()) if len(points) else 0.0
+        # turned coordinates of points this near are right to 1e-6 r_max
+        tame = self.far < 1e8 * r_max
+        self.axes = neighbours.spread_axes(points[:: max(len(points) // 10_000, 1)] - self.centre) if tame and len(points) else np.eye(points.shape[1])
+        self.centre = self.centre if tame else np.zeros(points.shape[1])
+        self.slack = 1e-5 if tame else 0.0
+        self.turned = neighbours.turned(points - self.centre, self.axes)
+        self.radii = self._radii() if len(points) else []
+        self.levels: dict[int, _Level] = {}
+
+    def _radii(self, sampled: int = 64) -> list[float]:
+        """Rising radii that end at r_max; the first holds most points' own neighbours, by an even sample."""
+        n = len(self.turned)
+        own = self.turned[:: max(n // sampled, 1)][:sampled]
+        least = np.full(len(own), np.inf)
+        for i in range(0, n, PAIRS // sampled):
+            part = self.turned[i : i + PAIRS // sampled]
+            with np.errstate(all="ignore"):
+                d2 = (own**2).sum(axis=1)[:, None] + (part**2).sum(axis=1) - 2 * own @ part.T
+            # the point itself and its copies say nothing of the others
+            least = np.minimum(least, np.where(d2 > 1e-12 * (own**2).sum(axis=1)[:, None], d2, np.inf).min(axis=1))
+        least = np.sqrt(least[np.isfinite(least)])
+        radius, out = float(np.quantile(least, 0.6)) if len(least) else self.r_max, []
+        radius = max(radius, self.r_max / 4096)
+        for wider in (1.5, 1.5, 2.0, *[3.0] * 9):
+            if radius * 1.2 >= self.r_max:
+                break
+            out.append(radius)
+            radius *= wider
+        return [*out, self.r_max]
+
+    def nearest(self, x: np.ndarray, bound: np.ndarray | None = None) -> np.ndarray:
+        """Position of the nearest reference point closer than r_max (and within the row's bound, if given), the first on ties; -1 without one."""
+        at = np.full(len(x), -1, np.int64)
+        limit = np.full(len(x), self.r_max) if bound is None else np.minimum(bound * neighbours.MARGIN, self.r_max)
+        with np.errstate(all="ignore"):
+            off = np.sqrt(((x - self.centre) ** 2).sum(axis=1))
+        rows = np.flatnonzero(np.isfinite(x).all(axis=1) & (off <= (self.far + self.r_max) * (1 + 1e-9))) if self.slack else np.flatnonzero(np.isfinite(x).all(axis=1))
+        turned = np.zeros(x.shape)
+        turned[rows] = neighbours.turned(x[rows] - self.centre, self.axes)
+        for level, radius in enumerate(self.radii):
+            if not len(rows):
+                break
+            if level not in self.levels:
+                self.levels[level] = _Level(self.turned, radius, self.slack * self.r_max)
+            reach = np.minimum(limit[rows], radius)
+            at[rows] = self._nearest_within(self.levels[level], x[rows], turned[rows], reach, radius)
+            rows = rows[(at[rows] < 0) & (limit[rows] > radius)]
+        return at
+
+    def _nearest_within(self, level: _Level, x: np.ndarray, turned: np.ndarray, reach: np.ndarray, radius: float) -> np.ndarray:
+        best, at = np.full(len(x), np.inf), np.full(len(x), -1, np.int64)
+        columns = np.ascontiguousarray(x.T)
+        for pair, position in level.pairs(turned, reach * (1 + 1e-9) + self.slack * self.r_max):
+            d2 = np.zeros(len(pair))
+            for column, points in zip(columns, self.raw, strict=True):
+                d2 += (column[pair] - points[position]) ** 2
+            near = d2 < radius**2
+            pair, position, d2 = pair[near], position[near], d2[near]
+            if not len(pair):
+                continue
+            begin = np.flatnonzero(np.diff(pair, prepend=-1))
+            least = np.minimum.reduceat(d2, begin)
+            first = np.where(d2 == np.repeat(least, np.diff(np.append(begin, len(pair)))), position, np.iinfo(np.int64).max)
+            first = np.minimum.reduceat(first, begin)
+            own = pair[begin]
+            better = (least < best[own]) | ((least == best[own]) & (first < at[own]))
+            best[own[better]], at[own[better]] = least[better], first[better]
+        return at
+
+
+class _Level:
+    """Points sorted by columns of cells (radius / 2 wide in all indexed axes but the last) and, inside a column, by slices of the last.
+
+    A point within the radius lies at most two cells away in each direction
+    (three with the slack of turned coordinates at a border), and in a run of
+    slices: each neighbouring column is one stretch of the order. Columns are
+    numbered by a hash; two that share a number are told apart by distance.
     """
 
     SLICE_BITS = 22
 
-    def __init__(self, points: np.ndarray, r_max: float):
-        self.r_max, self.dims = r_max, min(CELL_DIMENSIONS, points.shape[1])
-        self.low = points[:, self.dims - 1].min() if len(points) else 0.0
+    def __init__(self, points: np.ndarray, radius: float, slack: float):
+        self.dims, self.width = min(CELL_DIMENSIONS, points.shape[1]), (radius * (1 + 1e-9) + slack) / 2
+        self.low = points[:, self.dims - 1].min()
         self.around = np.array([*product(range(-2, 3), repeat=self.dims - 1)], np.int64)
         keys = self._column(self._cells(points)) | self._slice(points[:, self.dims - 1])
         self.order = np.argsort(keys, kind="stable")
         self.keys, self.points = keys[self.order], np.ascontiguousarray(points[self.order].T)
 
     def _cells(self, x: np.ndarray) -> np.ndarray:
-        return np.floor(np.clip(x[:, : self.dims - 1] / (self.r_max / 2), -(2.0**40), 2.0**40)).astype(np.int64)
+        return np.floor(np.clip(x[:, : self.dims - 1] / self.width, -(2.0**40), 2.0**40)).astype(np.int64)
 
     def _column(self, cells: np.ndarray) -> np.ndarray:
         number = np.zeros(len(cells), np.uint64)
@@ -94,49 +179,41 @@ class CellIndex:
         return (number >> np.uint64(24)).astype(np.int64) << self.SLICE_BITS
 
     def _slice(self, x: np.ndarray) -> np.ndarray:
-        return np.clip((x - self.low) / (self.r_max / 8), 0, (1 << self.SLICE_BITS) - 1).astype(np.int64)
+        return np.clip((x - self.low) / (self.width / 4), 0, (1 << self.SLICE_BITS) - 1).astype(np.int64)
 
-    def nearest(self, x: np.ndarray) -> np.ndarray:
-        """Position of the nearest reference point closer than r_max, the first on ties; -1 without one."""
-        best, at = np.full(len(x), np.inf), np.full(len(x), -1, np.int64)
-        rows = np.flatnonzero(np.isfinite(x).all(axis=1))
-        if not len(self.keys) or not len(rows):
-            return at
-        cells, columns = self._cells(x[rows]), np.ascontiguousarray(x[rows].T)
-        # a little wider than r_max: rounding must not lose a point that its distance lets in
-        reach = self.r_max * (1 + 1e-9)
-        low, high = (self._slice(columns[self.dims - 1] + s * reach) for s in (-1, 1))
+    def pairs(self, x: np.ndarray, reach: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(row of x, position of a point) of pairs that may lie within the row's reach, rows rising, no more than PAIRS before sifting (one row at least)."""
+        cells, columns, limit, last_axis = self._cells(x), np.ascontiguousarray(x.T), reach**2, x[:, self.dims - 1]
+        wide = np.abs(cells).max(initial=0) >= 2**39  # cells at the clip have no borders
+        low, high = self._slice(last_axis - reach), self._slice(last_axis + reach)
         for shift in self.around:
-            number = self._column(cells + shift)
-            first, last = np.searchsorted(self.keys, number | low), np.searchsorted(self.keys, number | high, "right")
+            if wide:
+                seen = np.arange(len(x))
+            else:
+                edge = (cells + shift) * self.width
+                gap = np.maximum(np.maximum(edge - x[:, : self.dims - 1], x[:, : self.dims - 1] - edge - self.width), 0)
+                seen = np.flatnonzero((gap**2).sum(axis=1) <= limit * (1 + 1e-6))
+            number = self._column(cells[seen] + shift)
+            first, last = np.searchsorted(self.keys, number | low[seen]), np.searchsorted(self.keys, number | high[seen], "right")
             count = last - first
             busy = np.flatnonzero(count)
             ends = np.cumsum(count[busy])
             done = 0
             while done < len(busy):
-                # as many rows as fit PAIRS, one at least
-                upto = max(int(np.searchsorted(ends, (ends[done - 1] if done else 0) + PAIRS, "right")), done + 1)
+                upto = max(int(np.searchsorted(ends, (ends[done - 1] if done else 0) + max(PAIRS // 8, 1), "right")), done + 1)
                 part = busy[done:upto]
                 done = upto
                 n = count[part]
                 begin = np.cumsum(n) - n
                 ref = np.repeat(first[part] - begin, n) + np.arange(int(n.sum()))
-                pair, d2 = np.repeat(part, n), np.zeros(len(ref))
+                pair, d2 = np.repeat(seen[part], n), np.zeros(len(ref))
                 for column, points in zip(columns, self.points, strict=True):
-                    # pairs that one attribute after the other puts too far apart drop out
+                    # pairs that one axis after the other puts too far apart drop out
                     d2 = d2 + (column[pair] - points[ref]) ** 2
-                    near = d2 < self.r_max**2
+                    near = d2 <= limit[pair]
                     pair, ref, d2 = pair[near], ref[near], d2[near]
-                if not len(pair):
-                    continue
-                begin = np.flatnonzero(np.diff(pair, prepend=-1))
-                least = np.minimum.reduceat(d2, begin)
-                position = np.where(d2 == np.repeat(least, np.diff(np.append(begin, len(pair)))), self.order[ref], np.iinfo(np.int64).max)
-                position = np.minimum.reduceat(position, begin)
-                own = rows[pair[begin]]
-                better = (least < best[own]) | ((least == best[own]) & (position < at[own]))
-                best[own[better]], at[own[better]] = least[better], position[better]
-        return at
+                if len(pair):
+                    yield pair, self.order[ref]
 
 
 def _reference(ref: DataFrame, vector: Column, ref_id: str, props: Mapping[str, str]) -> DataFrame:
@@ -235,7 +312,7 @@ def nearest_unbounded(
     found = found.where(F.size("_v") == width)
     own = F.when(F.size(vector) == width, F.col(vector).cast("array<double>"))
     rows = _small(found, max(width, 1), broadcast_values) if width else None
-    index = lambda points: lambda x: nearest_vectors(x, points)
+    index = lambda points: lambda x, bound=None: nearest_vectors(x, points)
     if not width:
         return _filled(sim.withColumn("_best", F.lit(None).cast(found.schema["_best"].dataType)), ref, props, {}, sim.columns)
     if rows is not None:
@@ -253,7 +330,7 @@ def approximate_neighbours(vectors: DataFrame, found: DataFrame, width: int, rec
     """_v, _best, _d2 by hashed buckets, and the recall measured on the sample that they were fitted to."""
     x, near, other = neighbours.sampled_neighbours(vectors, found, width)
     made = neighbours.fitted_projections(x, near, other, recall)
-    index = lambda points: lambda v: nearest_vectors(v, points)
+    index = lambda points: lambda v, bound=None: nearest_vectors(v, points)
     met = checkpointed(neighbours.nearest_by_buckets(vectors, found, width, index, made))
     missed = vectors.select("_v").distinct().join(met.select("_v"), "_v", "left_anti")
     if not missed.isEmpty():

@@ -3,10 +3,11 @@
 Every reference row lies in one cell and is shuffled once; nothing of the
 reference passes through the driver but a bounded sample and one row for each
 cell. A vector visits the cells that its bound on the distance reaches. The
-bound is given (a radius), or it is the distance found in the vector's home
-cell, so a search without a radius takes two rounds. Cells are
+bound is the distance to a bounded sample of the reference, at most the given
+radius; without a radius it is the distance found in the vector's home cell, so
+such a search takes two rounds. Cells are
 
-* k-d boxes for few dimensions: cuts along the axis of the widest spread,
+* k-d boxes for few dimensions: cuts along the principal axis of the widest spread,
 * Voronoi cells of sampled pivots for many: the triangle inequality with each
   cell's greatest distance to its pivot, and the half-space between two pivots.
 
@@ -37,6 +38,8 @@ MOST_PIVOTS = 1024
 SAMPLED = 16
 #: Most numbers of a sample.
 SAMPLE_VALUES = 8_000_000
+#: Numbers of the sample that bounds a vector's distance before it visits cells: 16 MB.
+BOUND_VALUES = 2_000_000
 #: Rows of a block that a task holds, and visitors from which a cell is split into parts.
 BLOCK_ROWS = 100_000
 PART_ROWS = 1_000_000
@@ -58,16 +61,32 @@ def matrix(column: pa.Array | pa.ChunkedArray, width: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(float).reshape(-1, width)
 
 
+def spread_axes(rows: np.ndarray) -> np.ndarray:
+    """Orthogonal axes (columns) of rows, the widest spread first; the attributes' own where squares are not finite."""
+    with np.errstate(all="ignore"):
+        spread = np.cov(rows.T).reshape(rows.shape[1], -1) if len(rows) > 1 else np.eye(rows.shape[1])
+    return np.linalg.eigh(spread)[1][:, ::-1] if np.isfinite(spread).all() else np.eye(rows.shape[1])
+
+
+def turned(x: np.ndarray, axes: np.ndarray) -> np.ndarray:
+    """x along the axes; summed in order, as matrix products round a row differently from batch to batch."""
+    out = np.zeros((len(x), axes.shape[1]))
+    for c, axis in zip(x.T, axes, strict=True):
+        out += c[:, None] * axis
+    return out
+
+
 class KdCells:
-    """Boxes of a k-d tree, cut at medians of a sample until a leaf has at most ``most`` sampled rows."""
+    """Boxes of a k-d tree along the axes of a sample's spread, cut at medians until a leaf has at most ``most`` sampled rows."""
 
     def __init__(self, sample: np.ndarray, most: int) -> None:
+        self.axes = spread_axes(sample)
         self.axis: list[int] = []
         self.cut: list[float] = []
         self.sides: list[tuple[int, int]] = []
         self.leaf: list[int] = []
         self.count = 0
-        self._grow(sample, most)
+        self._grow(turned(sample, self.axes), most)
 
     def _grow(self, rows: np.ndarray, most: int) -> int:
         node = len(self.leaf)
@@ -100,7 +119,9 @@ class KdCells:
 
     def reach(self, x: np.ndarray, bound: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
         """(cell, positions of the rows that may lie within their bound of something in it); a negative bound reaches the home cell only."""
-        limit = np.where(bound < 0, -1.0, (bound * MARGIN) ** 2)
+        # turned coordinates are off by some 1e-15 of the vector's size
+        limit = np.where(bound < 0, -1.0, (bound * MARGIN + 1e-13 * np.abs(x).sum(axis=1)) ** 2)
+        x = turned(x, self.axes)
         stack = [(0, np.arange(len(x)), np.zeros(len(x)), np.zeros(x.shape))]
         while stack:
             node, at, d2, gap = stack.pop()
@@ -178,6 +199,27 @@ def _placed(ref: DataFrame, cells: KdCells | PivotCells, width: int) -> DataFram
     return ref.withColumn("_place", place("_v")).select("_place.*", "_v", "_ref", "_tie", "_best")
 
 
+def _bounded(vectors: DataFrame, ref: DataFrame, width: int, total: int, nearest: Callable[[np.ndarray], Callable[[np.ndarray], np.ndarray]], r_max: float) -> DataFrame:
+    """vectors with _bound: the distance to the nearest row of a sample that every task gets, r_max without one."""
+    most = BOUND_VALUES // width
+    picked = ref.where(F.pmod(F.xxhash64("_v", "_tie"), F.lit(max(-(-total // most), 1))) == 0).select("_v").limit(2 * most)
+    shared = vectors.sparkSession.sparkContext.broadcast(matrix(picked.toArrow()["_v"], width))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        points, find = shared.value, None
+        for batch in batches:
+            x = matrix(batch.column(0), width)
+            bound = np.full(len(x), float(r_max))
+            if len(points) and len(x):
+                find = find or nearest(points)
+                at = find(x)
+                hit = np.flatnonzero(at >= 0)
+                bound[hit] = np.sqrt(((x[hit] - points[at[hit]]) ** 2).sum(axis=1))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(bound)], names=["_v", "_bound"])
+
+    return vectors.mapInArrow(run, "_v array<double>, _bound double")
+
+
 def _spread(x: np.ndarray) -> np.ndarray:
     """A number of each row's content, to deal rows to parts."""
     bits = np.ascontiguousarray(x).view(np.uint64)
@@ -188,7 +230,7 @@ def _spread(x: np.ndarray) -> np.ndarray:
 
 
 def _visits(vectors: DataFrame, cells: KdCells | PivotCells, width: int, blocks: dict[int, int], home_only: bool, others_only: bool) -> tuple[DataFrame, dict[int, int]]:
-    """(_cell, _block, _part, _v) of every visit of vectors (_v, _bound), and the parts of each cell."""
+    """(_cell, _block, _part, _v, _bound) of every visit of vectors (_v, _bound), and the parts of each cell."""
 
     def reached(x: np.ndarray, bound: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
         own = cells.home(x)[0] if others_only or home_only else None
@@ -216,15 +258,16 @@ def _visits(vectors: DataFrame, cells: KdCells | PivotCells, width: int, blocks:
             for cell, at in reached(x, batch.column(1).to_numpy()):
                 part = (mixed[at] % np.uint64(parts.get(cell, 1))).astype(np.int32)
                 own = batch.column(0).take(pa.array(at))
+                reach = batch.column(1).take(pa.array(at))
                 for block in range(blocks.get(cell, 0)):
                     keys = [pa.array(np.full(len(at), cell)), pa.array(np.full(len(at), block, np.int32)), pa.array(part)]
-                    yield pa.RecordBatch.from_arrays([*keys, own], names=["_cell", "_block", "_part", "_v"])
+                    yield pa.RecordBatch.from_arrays([*keys, own, reach], names=["_cell", "_block", "_part", "_v", "_bound"])
 
-    return vectors.select("_v", "_bound").mapInArrow(send, "_cell bigint, _block int, _part int, _v array<double>"), parts
+    return vectors.select("_v", "_bound").mapInArrow(send, "_cell bigint, _block int, _part int, _v array<double>, _bound double"), parts
 
 
 def _solved(placed: DataFrame, visits: DataFrame, blocks: dict[int, int], parts: dict[int, int], width: int, nearest: Callable[[np.ndarray], Callable[[np.ndarray], np.ndarray]]) -> DataFrame:
-    """(_v, _d2, _ref, _tie, _best) of each visit's nearest row; nearest(points) finds positions, the first on ties, -1 for none.
+    """(_v, _d2, _ref, _tie, _best) of each visit's nearest row; nearest(points) finds positions of rows within their bounds, the first on ties, -1 for none.
 
     blocks and parts name the hot cells; all others have one of each.
     """
@@ -233,10 +276,10 @@ def _solved(placed: DataFrame, visits: DataFrame, blocks: dict[int, int], parts:
     many = spark.createDataFrame(hot, "_cell bigint, _blocks int, _parts int")  # no more than rows / PART_ROWS and rows / BLOCK_ROWS
     dealt = placed.join(F.broadcast(many), "_cell", "left")
     block = F.pmod(F.xxhash64("_v", "_tie"), F.coalesce("_blocks", F.lit(1))).cast("int")
-    dealt = dealt.select("_cell", block.alias("_block"), F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1)).alias("_part"), F.lit(0).alias("_side"), "_v", "_ref", "_tie", "_best")
+    dealt = dealt.select("_cell", block.alias("_block"), F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1)).alias("_part"), F.lit(0).alias("_side"), "_v", "_ref", "_tie", "_best", F.lit(0.0).alias("_bound"))
     kind = {f.name: f.dataType for f in placed.schema}
     nothing = [F.lit(None).cast(kind[c]).alias(c) for c in ("_ref", "_tie", "_best")]
-    both = dealt.unionByName(visits.select("_cell", "_block", "_part", F.lit(1).alias("_side"), "_v", *nothing))
+    both = dealt.unionByName(visits.select("_cell", "_block", "_part", F.lit(1).alias("_side"), "_v", *nothing, "_bound"))
     keys = ["_cell", "_block", "_part"]
     both = both.repartition(*keys).sortWithinPartitions(*keys, "_side", F.asc_nulls_last("_ref"), "_tie")
     names = ["_v", "_d2", "_ref", "_tie", "_best"]
@@ -261,7 +304,7 @@ def _solved(placed: DataFrame, visits: DataFrame, blocks: dict[int, int], parts:
                     points = matrix(table["_v"], width)
                     find = nearest(points)
                 x = matrix(rows.column(4), width)
-                at = find(x)
+                at = find(x, rows.column(8).to_numpy())
                 hit = np.flatnonzero(at >= 0)
                 if len(hit):
                     d2 = ((x[hit] - points[at[hit]]) ** 2).sum(axis=1)
@@ -298,7 +341,8 @@ def nearest_by_cells(vectors: DataFrame, ref: DataFrame, width: int, total: int,
     cells.bounded({r["_cell"]: r["far"] for r in summary})
     distinct = vectors.select("_v").distinct()
     if r_max is not None:
-        visits, parts = _visits(distinct.withColumn("_bound", F.lit(float(r_max))), cells, width, blocks, False, False)
+        bounded = checkpointed(_bounded(distinct, ref, width, total, nearest, r_max))
+        visits, parts = _visits(bounded, cells, width, blocks, False, False)
         return best_of(_solved(placed, visits, blocks, parts, width, nearest))
     distinct = checkpointed(distinct.withColumn("_bound", F.lit(0.0)))
     visits, parts = _visits(distinct, cells, width, blocks, True, False)
@@ -406,5 +450,5 @@ def nearest_by_buckets(vectors: DataFrame, ref: DataFrame, width: int, nearest:
     blocks, parts = count(placed, BLOCK_ROWS), count(visits, PART_ROWS)
     many = vectors.sparkSession.createDataFrame([(int(c), int(blocks.get(c, 1)), int(parts.get(c, 1))) for c in {*blocks, *parts}], "_cell bigint, _blocks int, _parts int")
     visits = visits.join(F.broadcast(many), "_cell", "left").withColumn("_part", F.pmod(F.xxhash64("_v"), F.coalesce("_parts", F.lit(1))).cast("int"))
-    visits = visits.select("_cell", F.explode(F.sequence(F.lit(0), F.coalesce("_blocks", F.lit(1)) - 1)).alias("_block"), "_part", "_v")
+    visits = visits.select("_cell", F.explode(F.sequence(F.lit(0), F.coalesce("_blocks", F.lit(1)) - 1)).alias("_block"), "_part", "_v", F.lit(float("inf")).alias("_bound"))
     return best_of(_solved(placed, visits, blocks, parts, width, nearest))

@@ -101,6 +101,39 @@ def test_cells_reach_all_that_is_near(make):
     assert all(sum(c == own[j] for c, at in cells.reach(rows[j : j + 1], np.array([-1.0])) for _ in at) == 1 for j in range(50))
 
 
+@pytest.mark.parametrize("width, most", [(3, 60), (9, 2000)])
+def test_radius_does_not_set_the_work(monkeypatch, width, most):
+    """All 20,000 points lie within r_max of every row; a row is measured against a few."""
+    rng = np.random.default_rng(3)
+    points, x = rng.random((20_000, width)), rng.random((200, width))
+    measured, pairs = [0], match._Level.pairs
+
+    def counted(self, *args):
+        for pair, position in pairs(self, *args):
+            measured[0] += len(pair)
+            yield pair, position
+
+    monkeypatch.setattr(match._Level, "pairs", counted)
+    found = match.CellIndex(points, 4.0).nearest(x)
+    assert (found == [((points - v) ** 2).sum(axis=1).argmin() for v in x]).all()
+    assert measured[0] < most * len(x)
+
+
+@pytest.mark.parametrize("far", [0.0, 1e5, 1e14, 1e140])
+def test_widening_radii_equal_brute_force(far):
+    """Dense and thin regions, copies, and reference rows so far off that axes are not turned; the bound is inclusive, the radius is not."""
+    rng = np.random.default_rng(4)
+    points = np.vstack([rng.random((300, 3)) * 0.01, rng.random((300, 3)) * 4, [[9.0, 9.0, 9.0]] * 30, [[far, 0.0, -far]]])
+    x = np.vstack([rng.random((100, 3)) * 0.01, rng.random((200, 3)) * 4, [[9.0, 9.0, 9.5], [9.0, 9.0, 9.25], [far, 0.25, -far], [-far, far, 50.0], [math.nan, 0.0, 0.0]]])
+    with np.errstate(all="ignore"):
+        d2 = np.array([((points - v) ** 2)[:, 0] + ((points - v) ** 2)[:, 1] + ((points - v) ** 2)[:, 2] for v in x])
+    d2[-1] = np.inf
+    want = np.where(d2.min(axis=1) < 0.25, d2.argmin(axis=1), -1)
+    index = match.CellIndex(points, 0.5)
+    assert (index.nearest(x) == want).all() and len({*want}) > 100
+    assert (index.nearest(x, np.sqrt(d2.min(axis=1))) == want).all()
+
+
 def test_buckets_reach_their_recall(spark, monkeypatch):
     """Clustered vectors: the measured recall holds on all vectors, not only on the sample it was fitted to."""
     monkeypatch.setattr(match, "BROADCAST_VALUES", 10)
