@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 
 from lumencat.functions import sky
 from lumencat.functions.rng import uniform
-from lumencat.operators import photoz, report, sampling, selections, stats
-from lumencat.plans import pipelines
+from lumencat.operators import photometry, photoz, report, sampling, selections, stats
+from lumencat.plans import fixtures, pipelines
 from lumencat.plans.chain_queries import STEMS, photo_z
 from lumencat.plans.fixtures import catalogue
 from lumencat.sources import tables
@@ -145,3 +145,17 @@ def test_row_index_of_many_parts_is_quick(spark):
     assert (n, low, high, distinct) == (300_000, 0, 299_999, 300_000)
     assert time.perf_counter() - began < 60
     assert found.where("k >= 0").select((F.col("row_index") - F.col("id") / 3 - 200_000).alias("d")).agg(F.min("d"), F.max("d")).first() == (0.0, 0.0)
+
+
+def test_catalogue_is_dealt_by_rows(spark, monkeypatch):
+    """One small file of many compressed ids is not left to a task for each core."""
+    monkeypatch.setattr(fixtures, "TASK_ROWS", 100)
+    made = fixtures.catalogue(spark, "/root/testdata/sf0.001")
+    assert made.rdd.getNumPartitions() >= made.count() / 100 > spark.sparkContext.defaultParallelism
+
+
+def test_draws_are_not_repeated(spark):
+    """Cuts on a noisy magnitude use its flux; the plan draws it once (two uniforms a band)."""
+    df = spark.range(5).select(F.col("id").alias("unique_gal_id"), (20 + F.col("id")).cast("double").alias("sdss_r_evo"))
+    out = photometry.photometry(df, {"sdss_r_evo": 24.2}).where("sdss_r_obs < 99 AND sdss_r_obserr < 1").groupBy().avg("sdss_r_obs")
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("md5(") == 2
