@@ -150,7 +150,9 @@ def _tile_steps(steps: list[tuple[str, str, str]], survey: str) -> str:
 def _tiles_query(survey: str, n: int | None, **needs) -> queries.Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         path = f"{scratch(spark)}/stats"
+        # what selections read, stored: their cuts name a magnitude many times
         cat = observed(spark, sf_dir)
+        cat = checkpointed(cat.select(ID, "ra_gal", "dec_gal", "z_cgal_v", *[c for c in cat.columns if c.endswith("_obs")]))
         options = {name: made(spark, sf_dir) for name, made in needs.items()}
         pipelines.line_of_sight_realisations(cat, survey, BOX, 5, 4, n, statistics=(path, "a"), **options)
         return rounded(tables.load_catalogue(spark, path))

@@ -159,3 +159,21 @@ def test_draws_are_not_repeated(spark):
     df = spark.range(5).select(F.col("id").alias("unique_gal_id"), (20 + F.col("id")).cast("double").alias("sdss_r_evo"))
     out = photometry.photometry(df, {"sdss_r_evo": 24.2}).where("sdss_r_obs < 99 AND sdss_r_obserr < 1").groupBy().avg("sdss_r_obs")
     assert out._jdf.queryExecution().optimizedPlan().toString().count("md5(") == 2
+
+
+def test_stratified_match_reads_its_input_twice(spark):
+    """Once for bounds, sums and spreads (two columns), once for the rows that are kept; the target once."""
+    reads = {"source": spark.sparkContext.accumulator(0), "target": spark.sparkContext.accumulator(0)}
+
+    def counted(name):
+        def add(x):
+            reads[name].add(1)
+            return x
+
+        return F.udf(add, "double").asNondeterministic()
+
+    df = spark.range(300).select(F.col("id").alias("unique_gal_id"), (F.col("id") % 2).alias("tile"), (F.col("id") / 300).alias("z"))
+    target = df.select((F.col("z") / 2).alias("z"))
+    kept = sampling.match_distribution_by_stratum(df.withColumn("z", counted("source")("z")), "z", "tile", target.withColumn("z", counted("target")("z")), "z", "s")
+    assert 0 < kept.count() < 300
+    assert reads["source"].value <= 600 and reads["target"].value <= 300
