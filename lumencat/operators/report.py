@@ -16,7 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.magnitudes import clean, not_sentinel, redshift_error
-from .stats import bin_index, quantiles
+from ..sources.storage import checkpointed
+from .stats import bin_index, exact_quantiles, quantiles
 
 #: Percentiles that give a family's automatic limits in the published reports.
 LIMITS = {"magnitude": (0.5, 99.5), "colour": (2.5, 97.5), "error": (0.0, 95.0), "property": (0.25, 99.75), "photo_z": (0.0, 99.75)}
@@ -98,11 +99,25 @@ def report(both: DataFrame, families: Sequence[Family], sample: str = "sample")
 
 
 def limits(both: DataFrame, families: Sequence[Family], sample: str = "sample", exact: bool = False) -> DataFrame:
-    """family, label, low, high: automatic limits that all samples share, from one pass of quantiles."""
+    """family, label, low, high: automatic limits that all samples share, from one pass of quantiles.
+
+    Exact ones read the values three times: these are stored as one row of
+    numbers for each row, and dealt to families as they are read. A family's
+    groups are bracketed at its own two limits.
+    """
     asked = [f for f in families if f.limits]
     shares = sorted({s / 100 for f in asked for s in f.limits})
-    own = F.coalesce(*[F.when(F.col("family") == f.name, F.col("y" if f.limited else "x")) for f in asked])
-    rows = _cells(both, asked, sample).select("sample", "family", "label", own.alias("v")).where(F.col("v").isNotNull())
-    found = quantiles(rows, ["family", "label", "sample"], "v", shares, exact)
-    pick = lambda end: F.coalesce(*[F.when(F.col("family") == f.name, F.col("values")[shares.index(f.limits[end] / 100)]) for f in asked])
-    return found.groupBy("family", "label").agg(F.min(pick(0)).alias("low"), F.max(pick(1)).alias("high"))
+    labels = [(f, label, pair[f.limited]) for f in asked for label, pair in f.values.items()]
+    values = both.select(F.col(sample).alias("sample"), *[clean(v).alias(f"_{i}") for i, (_, _, v) in enumerate(labels)])
+    values = checkpointed(values) if exact else values
+    rows = values.select("sample", F.inline(F.array(*[F.struct(F.lit(i).alias("no"), F.col(f"_{i}").alias("v")) for i in range(len(labels))])))
+    of_label = lambda of: F.array(*[of(f, label) for f, label, _ in labels])
+    places = of_label(lambda f, _: F.array(*[F.lit(shares.index(s / 100)) for s in f.limits]))
+    if exact:
+        found = exact_quantiles(rows, ["no", "sample"], "v", shares, F.get(places, F.col("no")), stored=True)
+        pick = lambda end: F.col("values")[end]
+    else:
+        found = quantiles(rows, ["no", "sample"], "v", shares, False)
+        pick = lambda end: F.get("values", F.get(F.get(places, F.col("no")), F.lit(end)))
+    each = found.groupBy("no").agg(F.min(pick(0)).alias("low"), F.max(pick(1)).alias("high"))
+    return each.select(F.get(of_label(lambda f, _: F.lit(f.name)), F.col("no")).alias("family"), F.get(of_label(lambda _, label: F.lit(label)), F.col("no")).alias("label"), "low", "high")

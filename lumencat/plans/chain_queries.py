@@ -253,7 +253,8 @@ _REPORT = ", cells AS (" + " UNION ALL ".join(
 
 
 def _both(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return catalogue(spark, sf_dir).withColumn("sample", F.when(F.col("flag_central") == 1, "data").otherwise("sim"))
+    read = [ID, "flag_central", *_M, "kappa", "disk_length", "bulge_length", "lmhalo", "z_b", "z_cgal"]
+    return checkpointed(derived_catalogue(spark, sf_dir).select(*read)).withColumn("sample", F.when(F.col("flag_central") == 1, "data").otherwise("sim"))
 
 
 @register("quality_report_families", f"{_REPORT} SELECT family, label, sample, bin::int AS bin, count(*) AS n, round(avg(y), 6) AS mean FROM cells WHERE bin IS NOT NULL GROUP BY GROUPING SETS ((family, label, sample, bin), (family, label, sample))")

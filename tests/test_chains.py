@@ -177,3 +177,21 @@ def test_stratified_match_reads_its_input_twice(spark):
     kept = sampling.match_distribution_by_stratum(df.withColumn("z", counted("source")("z")), "z", "tile", target.withColumn("z", counted("target")("z")), "z", "s")
     assert 0 < kept.count() < 300
     assert reads["source"].value <= 600 and reads["target"].value <= 300
+
+
+def test_brackets_that_miss_are_widened(spark, monkeypatch):
+    """A sketch that is off by more than its error must not move an exact quantile."""
+    sketch, calls = F.percentile_approx, []
+
+    def off(x, shares, accuracy):
+        calls.append(1)
+        return sketch(F.col(x) + (0.2 if len(calls) <= 2 else 0.0), shares, accuracy)
+
+    monkeypatch.setattr(stats.F, "percentile_approx", off)
+    df = spark.range(1001).select((F.col("id") % 2).alias("k"), (F.col("id") / 1000).alias("x"))
+    found = {r["k"]: r["values"] for r in stats.exact_quantiles(df, ["k"], "x", [0.1, 0.5]).collect()}
+    even, odd = [i / 1000 for i in range(0, 1001, 2)], [i / 1000 for i in range(1, 1001, 2)]
+    assert np.allclose(found[0], np.quantile(even, [0.1, 0.5]), atol=1e-12) and np.allclose(found[1], np.quantile(odd, [0.1, 0.5]), atol=1e-12)
+    picked = F.when(F.col("k") == 0, F.array(F.lit(2), F.lit(0))).otherwise(F.array(F.lit(1), F.lit(2)))
+    own = {r["k"]: r["values"] for r in stats.exact_quantiles(df, ["k"], "x", [0.1, 0.5, 0.9], picked).collect()}
+    assert np.allclose(own[0], np.quantile(even, [0.9, 0.1]), atol=1e-12) and np.allclose(own[1], np.quantile(odd, [0.5, 0.9]), atol=1e-12)
