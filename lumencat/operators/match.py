@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from itertools import product
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,6 +20,10 @@ BROADCAST_VALUES = 8_000_000
 BROADCAST_BYTES = 64 << 20
 #: Attributes by which cells are formed; each neighbouring cell is looked up.
 CELL_DIMENSIONS = 3
+#: First radii of a search, in distances between neighbours.
+WIDER = (1.0, 1.4, 2.0)
+#: Every so many points are searched for a bound on the distance to all of FEW or more.
+SPARSE, FEW = 16, 2_000
 #: Pairs of rows whose distances a task holds at a time.
 PAIRS = 2_000_000
 
@@ -68,15 +72,16 @@ def nearest_property(
 class CellIndex:
     """Reference points within r_max, searched by widening radii: one that finds a point has found the nearest.
 
-    The first radius is about a point's distance to its own neighbour, so a
-    search meets a few points however many lie within r_max; only rows without
-    a point so near go on to the next radius. Points are turned to the axes of
-    their widest spread (``neighbours.spread_axes``) to sift pairs; what is left
-    is measured in the attributes themselves.
+    The first radii are about a point's distance to its own neighbour, so a
+    search meets a few points however many lie within r_max. A row that lies
+    off the points would meet very many at once when its radius reaches them:
+    the nearest of every SPARSEth point bounds its radius first. Points are
+    turned to the axes of their widest spread (``neighbours.spread_axes``) to
+    sift pairs; what is left is measured in the attributes themselves.
     """
 
     def __init__(self, points: np.ndarray, r_max: float):
-        self.r_max, self.raw = r_max, np.ascontiguousarray(points.T)
+        self.r_max, self.points, self.raw = r_max, points, np.ascontiguousarray(points.T)
         self.centre = np.median(points, axis=0) if len(points) else np.zeros(points.shape[1])
         with np.errstate(all="ignore"):
             self.far = float(np.sqrt(((points - self.centre) ** 2).sum(axis=1)).max()) if len(points) else 0.0
@@ -86,11 +91,12 @@ class CellIndex:
         self.centre = self.centre if tame else np.zeros(points.shape[1])
         self.slack = 1e-5 if tame else 0.0
         self.turned = neighbours.turned(points - self.centre, self.axes)
-        self.radii = self._radii() if len(points) else []
+        self.least = self._least() if len(points) else r_max
         self.levels: dict[int, _Level] = {}
+        self.sparse: CellIndex | None = None
 
-    def _radii(self, sampled: int = 64) -> list[float]:
-        """Rising radii that end at r_max; the first holds most points' own neighbours, by an even sample."""
+    def _least(self, sampled: int = 64) -> float:
+        """A radius that holds most points' own neighbours, by an even sample."""
         n = len(self.turned)
         own = self.turned[:: max(n // sampled, 1)][:sampled]
         least = np.full(len(own), np.inf)
@@ -101,32 +107,50 @@ class CellIndex:
             # the point itself and its copies say nothing of the others
             least = np.minimum(least, np.where(d2 > 1e-12 * (own**2).sum(axis=1)[:, None], d2, np.inf).min(axis=1))
         least = np.sqrt(least[np.isfinite(least)])
-        radius, out = float(np.quantile(least, 0.6)) if len(least) else self.r_max, []
-        radius = max(radius, self.r_max / 4096)
-        for wider in (1.5, 1.5, 2.0, *[3.0] * 9):
-            if radius * 1.2 >= self.r_max:
-                break
-            out.append(radius)
-            radius *= wider
-        return [*out, self.r_max]
+        return min(max(float(np.quantile(least, 0.6)), self.r_max / 4096), self.r_max) if len(least) else self.r_max
 
     def nearest(self, x: np.ndarray, bound: np.ndarray | None = None) -> np.ndarray:
         """Position of the nearest reference point closer than r_max (and within the row's bound, if given), the first on ties; -1 without one."""
         at = np.full(len(x), -1, np.int64)
+        if not len(self.points):
+            return at
         limit = np.full(len(x), self.r_max) if bound is None else np.minimum(bound * neighbours.MARGIN, self.r_max)
         with np.errstate(all="ignore"):
             off = np.sqrt(((x - self.centre) ** 2).sum(axis=1))
         rows = np.flatnonzero(np.isfinite(x).all(axis=1) & (off <= (self.far + self.r_max) * (1 + 1e-9))) if self.slack else np.flatnonzero(np.isfinite(x).all(axis=1))
         turned = np.zeros(x.shape)
         turned[rows] = neighbours.turned(x[rows] - self.centre, self.axes)
-        for level, radius in enumerate(self.radii):
-            if not len(rows):
-                break
-            if level not in self.levels:
-                self.levels[level] = _Level(self.turned, radius, self.slack * self.r_max)
-            reach = np.minimum(limit[rows], radius)
-            at[rows] = self._nearest_within(self.levels[level], x[rows], turned[rows], reach, radius)
+        for radius in [r for w in WIDER if (r := w * self.least) < self.r_max]:
+            at[rows] = self._within(x[rows], turned[rows], np.minimum(limit[rows], radius), radius)
             rows = rows[(at[rows] < 0) & (limit[rows] > radius)]
+        if len(rows):
+            at[rows] = self._within(x[rows], turned[rows], self._bounded(x[rows], limit[rows]), self.r_max)
+        return at
+
+    def _bounded(self, x: np.ndarray, limit: np.ndarray) -> np.ndarray:
+        """The distance to a point near each row, at most limit."""
+        if len(self.points) < FEW:
+            return limit
+        if self.sparse is None:
+            self.sparse = CellIndex(self.points[::SPARSE], self.r_max)
+        at = self.sparse.nearest(x, limit)
+        hit = np.flatnonzero(at >= 0)
+        out = limit.copy()
+        out[hit] = np.minimum(limit[hit], np.sqrt(((x[hit] - self.sparse.points[at[hit]]) ** 2).sum(axis=1)) * neighbours.MARGIN)
+        return out
+
+    def _within(self, x: np.ndarray, turned: np.ndarray, reach: np.ndarray, radius: float) -> np.ndarray:
+        """Position of each row's nearest point closer than radius if one lies within its reach; -1 for none."""
+        at = np.full(len(x), -1, np.int64)
+        with np.errstate(all="ignore"):
+            doublings = np.ceil(np.log2(np.maximum(reach / self.least, 1))).astype(np.int64)
+        for level in np.unique(doublings):
+            if level not in self.levels:
+                self.levels[level] = _Level(self.turned, self.least * 2.0**level, self.slack * self.r_max)
+            rows = np.flatnonzero(doublings == level)
+            # in the order of the points: one row after the other reads what lies near in memory
+            rows = rows[np.argsort(self.levels[level].place(turned[rows]))]
+            at[rows] = self._nearest_within(self.levels[level], x[rows], turned[rows], reach[rows], radius)
         return at
 
     def _nearest_within(self, level: _Level, x: np.ndarray, turned: np.ndarray, reach: np.ndarray, radius: float) -> np.ndarray:
@@ -151,50 +175,70 @@ class CellIndex:
 
 
 class _Level:
-    """Points sorted by columns of cells (radius / 2 wide in all indexed axes but the last) and, inside a column, by slices of the last.
-
-    A point within the radius lies at most two cells away in each direction
-    (three with the slack of turned coordinates at a border), and in a run of
-    slices: each neighbouring column is one stretch of the order. Columns are
-    numbered by a hash; two that share a number are told apart by distance.
+    """Points sorted by columns of cells in all indexed axes but the last and, inside a column, by slices of the last.
+
+    A column is as wide as a ball, so a ball meets two at most in each
+    direction; where that shows a point too many others, it is a quarter of
+    that. Columns are numbered row by row, so points that are searched in this
+    order (``place``) read the stored ones in theirs. Cells are clipped at
+    CLIP around the median: what lies beyond shares the last ones and is told
+    apart by distance.
     """
 
     SLICE_BITS = 22
+    CLIP = 1 << 19
+    #: Points that a wide column may show to a point on average.
+    SHOWN = 48
 
     def __init__(self, points: np.ndarray, radius: float, slack: float):
-        self.dims, self.width = min(CELL_DIMENSIONS, points.shape[1]), (radius * (1 + 1e-9) + slack) / 2
-        self.low = points[:, self.dims - 1].min()
-        self.around = np.array([*product(range(-2, 3), repeat=self.dims - 1)], np.int64)
-        keys = self._column(self._cells(points)) | self._slice(points[:, self.dims - 1])
-        self.order = np.argsort(keys, kind="stable")
-        self.keys, self.points = keys[self.order], np.ascontiguousarray(points[self.order].T)
+        self.dims, ball = min(CELL_DIMENSIONS, points.shape[1]), radius * (1 + 1e-9) + slack
+        self.low, self.thick = points[:, self.dims - 1].min(), ball / 8
+        own = points[:: max(len(points) // 256, 1)]
+        for self.width in (2 * ball, ball / 2):
+            self.middle = np.floor(np.median(points[:, : self.dims - 1], axis=0) / self.width)
+            keys = self.place(points)
+            self.order = np.argsort(keys, kind="stable")
+            self.keys = keys[self.order]
+            if sum(len(seen) and int((last - first).sum()) for seen, first, last in self._stretches(own, np.full(len(own), ball))) <= self.SHOWN * len(own):
+                break
+        self.points = np.ascontiguousarray(points[self.order].T)
+
+    def place(self, x: np.ndarray) -> np.ndarray:
+        """Rising numbers along the order of the points."""
+        return self._column(self._cells(x)) | self._slice(x[:, self.dims - 1])
 
     def _cells(self, x: np.ndarray) -> np.ndarray:
-        return np.floor(np.clip(x[:, : self.dims - 1] / self.width, -(2.0**40), 2.0**40)).astype(np.int64)
+        return np.clip(np.floor(x[:, : self.dims - 1] / self.width) - self.middle, -self.CLIP, self.CLIP - 1).astype(np.int64)
 
     def _column(self, cells: np.ndarray) -> np.ndarray:
-        number = np.zeros(len(cells), np.uint64)
+        number = np.zeros(len(cells), np.int64)
         for c in cells.T:
-            number = (number + c.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
-        return (number >> np.uint64(24)).astype(np.int64) << self.SLICE_BITS
+            number = number * (2 * self.CLIP) + c + self.CLIP
+        return number << self.SLICE_BITS
 
     def _slice(self, x: np.ndarray) -> np.ndarray:
-        return np.clip((x - self.low) / (self.width / 4), 0, (1 << self.SLICE_BITS) - 1).astype(np.int64)
+        return np.clip((x - self.low) / self.thick, 0, (1 << self.SLICE_BITS) - 1).astype(np.int64)
+
+    def _stretches(self, x: np.ndarray, reach: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(rows of x, first and last of a stretch of points) that hold all points within the rows' reach."""
+        plane, last_axis = x[:, : self.dims - 1], x[:, self.dims - 1]
+        # roundings keep the order: no point within the reach has a cell outside these
+        start, end = self._cells(x - reach[:, None]), self._cells(x + reach[:, None])
+        low, high = self._slice(last_axis - reach), self._slice(last_axis + reach)
+        clipped = ((start == -self.CLIP) | (end == self.CLIP - 1)).any(axis=1)  # their cells have no borders
+        for shift in product(*[range(n + 1) for n in (end - start).max(axis=0, initial=0)]):
+            cells = start + np.array(shift, np.int64)
+            edge = (cells + self.middle) * self.width
+            gap = np.maximum(np.maximum(edge - plane, plane - edge - self.width), 0)
+            near = (gap**2).sum(axis=1) <= reach**2 * (1 + 1e-6)
+            seen = np.flatnonzero((cells <= end).all(axis=1) & (near | clipped))
+            number = self._column(cells[seen])
+            yield seen, np.searchsorted(self.keys, number | low[seen]), np.searchsorted(self.keys, number | high[seen], "right")
 
     def pairs(self, x: np.ndarray, reach: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """(row of x, position of a point) of pairs that may lie within the row's reach, rows rising, no more than PAIRS before sifting (one row at least)."""
-        cells, columns, limit, last_axis = self._cells(x), np.ascontiguousarray(x.T), reach**2, x[:, self.dims - 1]
-        wide = np.abs(cells).max(initial=0) >= 2**39  # cells at the clip have no borders
-        low, high = self._slice(last_axis - reach), self._slice(last_axis + reach)
-        for shift in self.around:
-            if wide:
-                seen = np.arange(len(x))
-            else:
-                edge = (cells + shift) * self.width
-                gap = np.maximum(np.maximum(edge - x[:, : self.dims - 1], x[:, : self.dims - 1] - edge - self.width), 0)
-                seen = np.flatnonzero((gap**2).sum(axis=1) <= limit * (1 + 1e-6))
-            number = self._column(cells[seen] + shift)
-            first, last = np.searchsorted(self.keys, number | low[seen]), np.searchsorted(self.keys, number | high[seen], "right")
+        columns, limit = np.ascontiguousarray(x.T), reach**2
+        for seen, first, last in self._stretches(x, reach):
             count = last - first
             busy = np.flatnonzero(count)
             ends = np.cumsum(count[busy])
@@ -238,19 +282,33 @@ def _by_broadcast(sim: DataFrame, found: DataFrame, rows: pa.Table, vector: Colu
     shared = spark.sparkContext.broadcast(neighbours.matrix(rows["_v"], width) if rows.num_rows else np.zeros((0, width)))
     kind = found.select("_best", F.lit(0).cast("bigint").alias("_at")).schema
     values = spark.createDataFrame(rows.select(["_best"]).append_column("_at", [np.arange(rows.num_rows)]), kind) if rows.num_rows else spark.createDataFrame([], kind)
+    search = uuid.uuid4().hex
     made: dict[int, Callable[[np.ndarray], np.ndarray]] = {}
 
-    @F.pandas_udf("bigint")
-    def nearest(x: pd.Series) -> pd.Series:
-        if 0 not in made:
-            made[0] = index(shared.value)
-        at, there = np.full(len(x), -1, np.int64), np.flatnonzero(x.notna().to_numpy())
+    @F.arrow_udf("bigint")
+    def nearest(x: pa.Array) -> pa.Array:
+        at, there = np.full(len(x), -1, np.int64), np.flatnonzero(x.is_valid().to_numpy(zero_copy_only=False))
         if len(there) and len(shared.value):
-            at[there] = made[0](np.stack(x.to_numpy()[there]).astype(float))
-        return pd.Series(at)
+            if 0 not in made:
+                made[0] = held(search, lambda: index(shared.value))
+            at[there] = made[0](neighbours.matrix(x.drop_null(), width))
+        return pa.array(at)
 
     usable = F.when((F.size(vector) == width) & neighbours.finite(vector), vector)
-    return sim.withColumn("_at", nearest(usable)).join(F.broadcast(values), "_at", "left")
+    # never null: a filter on the properties would infer one on the position, and search a second time below the projection
+    return sim.withColumn("_at", F.coalesce(nearest(usable), F.lit(-1).cast("bigint"))).join(F.broadcast(values), "_at", "left")
+
+
+#: The index of a worker's latest search, by the search.
+_HELD: dict[str, Callable[[np.ndarray], np.ndarray]] = {}
+
+
+def held(search: str, make: Callable[[], Callable[[np.ndarray], np.ndarray]]) -> Callable[[np.ndarray], np.ndarray]:
+    """The search's index, made once in a worker: its tasks follow one another."""
+    if search not in _HELD:
+        _HELD.clear()
+        _HELD[search] = make()
+    return _HELD[search]
 
 
 def _by_vector(sim: DataFrame, vector: Column, search: Callable[[DataFrame], DataFrame]) -> DataFrame:

@@ -19,9 +19,13 @@ PRESET = pipelines.KIDS_PRESET
 TILE = 8
 
 
-def catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stand-in catalogue as a stored table, as a real one would be: chains use its columns many times."""
-    return checkpointed(derived_catalogue(spark, sf_dir))
+#: What chains read of the catalogue: a column that is not read costs a digest for each row.
+READ = [ID, "ra_gal", "dec_gal", "z_cgal", "kappa", *[f"{s}_true" for s in STEMS.values()], "disk_length", "bulge_length", "bulge_fraction", "bulge_axis_ratio"]
+
+
+def stored(cat: DataFrame, *columns: str) -> DataFrame:
+    """The named columns of the stand-in catalogue as a stored table, as a real one would be: chains use them many times."""
+    return checkpointed(cat.select(*columns))
 
 
 # --- the chain in SQL ---------------------------------------------------------
@@ -85,11 +89,12 @@ _ATTRS = ("g", "r", "i")
 )
 def photometric_catalogue_photoz(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole chain: sizes, noise, a property of real data, photo-z, then the rules on property and prior magnitude."""
-    cat = catalogue(spark, sf_dir)
-    ref = cat.where(F.col(ID) % 10 == 0).select(F.col(ID).alias("ref_id"), F.col("lmhalo").alias("w"), *[(F.col(f"sdss_{b}_true") - 0.2).alias(f"ref_{b}") for b in _ATTRS])
+    cat, box = derived_catalogue(spark, sf_dir, held=True), sky.Box(35.0, 55.0, 6.0, 24.0)
+    real = stored(cat.where(F.col(ID) % 10 == 0), ID, "lmhalo", *[f"sdss_{b}_true" for b in _ATTRS])
+    ref = real.select(F.col(ID).alias("ref_id"), F.col("lmhalo").alias("w"), *[(F.col(f"sdss_{b}_true") - 0.2).alias(f"ref_{b}") for b in _ATTRS])
     drawn = {"sim_attrs": [f"sdss_{b}_obs_mag" for b in _ATTRS], "ref_attrs": [f"ref_{b}" for b in _ATTRS], "props": {"w": "recal_weight"}, "ref_id": "ref_id", "r_max": 0.5, "fallback": {"w": 0.0}}
     rules = [("recal_weight", "gg", 0.0), ("M_0", "ll", 90.0)]
-    out = pipelines.photometric_catalogue(cat.drop("z_b"), [*STEMS.values()], PRESET, sky.Box(35.0, 55.0, 6.0, 24.0), reference=(ref, drawn), rules=rules, photo_z=photo_z(spark))
+    out = pipelines.photometric_catalogue(stored(sky.sky_box(cat, box), *READ), [*STEMS.values()], PRESET, box, reference=(ref, drawn), rules=rules, photo_z=photo_z(spark))
     number = lambda c, digits: F.round(F.col(c).cast("double"), digits).alias(c)
     return out.select(ID, number("sdss_r_obs_mag", 3), number("recal_weight", 6), number("Z_B", 6), number("M_0", 3))
 
@@ -97,6 +102,7 @@ def photometric_catalogue_photoz(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- realisations of one tile --------------------------------------------------
 
 _DEEP = {b: EVO.format(m=f"lephare_{c}_true") for b, c in (("mb", "b"), ("mr", "rc"), ("mi", "ic"))}
+_DEEP_READ = [f"lephare_{c}_true" for c in ("b", "rc", "ic")]
 _KEY = f"({ID}::varchar || ':' || realisation::varchar)"
 _REALISED = (
     f", {queries._TILES}{_intrinsic_sql('EXISTS (SELECT 1 FROM tiles WHERE pointing_id = ' + str(TILE) + ' AND ra_gal >= ra_min AND ra_gal < ra_max AND dec_gal >= dec_min AND dec_gal < dec_max)')},"
@@ -110,7 +116,7 @@ _STEPS = ("input", "true", "d"), ("cut", "c1", "d"), ("success", "c1 AND c2", "d
 def _deep_field(spark: SparkSession, sf_dir: str, statistics: tuple[str, str] | None = None) -> tuple[DataFrame, DataFrame]:
     tiles = sky.pointing_grid(spark, BOX, 5, 4)
     return pipelines.deep_field_realisations(
-        catalogue(spark, sf_dir).drop("z_b"), [*STEMS.values()], PRESET, 3, "deep2", tiles, TILE, photo_z(spark), statistics=statistics, n_tot=40, pass_survey_selection=True
+        stored(derived_catalogue(spark, sf_dir), *READ, "z_cgal_v", *_DEEP_READ), [*STEMS.values()], PRESET, 3, "deep2", tiles, TILE, photo_z(spark), statistics=statistics, n_tot=40, pass_survey_selection=True
     )
 
 

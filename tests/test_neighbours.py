@@ -150,3 +150,50 @@ def test_buckets_reach_their_recall(spark, monkeypatch):
     assert sum(found[i] == exact[i] for i in exact) >= 0.87 * len(exact)
     reference = match._reference(r, F.col("w"), "j", {"p": "q"})
     assert match.approximate_neighbours(s.select(F.col("v").alias("_v")), reference, 12, 0.9)[1] >= 0.9
+
+
+def test_rows_off_the_points_meet_few(monkeypatch):
+    """Rows beside 50,000 points, at distances far above those between points; the nearest of a sparse sample bounds them."""
+    rng = np.random.default_rng(5)
+    points, x = rng.random((50_000, 3)), rng.random((100, 3)) + [0.0, 0.0, 1.0] + np.linspace(0.1, 0.9, 100)[:, None] * [0.0, 0.0, 1.0]
+    measured, pairs = [0], match._Level.pairs
+
+    def counted(self, *args):
+        for pair, position in pairs(self, *args):
+            measured[0] += len(pair)
+            yield pair, position
+
+    monkeypatch.setattr(match._Level, "pairs", counted)
+    found = match.CellIndex(points, 4.0).nearest(x)
+    assert (found == [((points - v) ** 2).sum(axis=1).argmin() for v in x]).all()
+    assert measured[0] < 400 * len(x)
+
+
+@pytest.mark.parametrize("width", [1, 2, 3, 5])
+def test_bounded_search_equals_brute_force(width):
+    """Enough points for a sparse index, clusters and rows on all sides of them, with and without a bound."""
+    rng = np.random.default_rng(6)
+    points = np.vstack([rng.normal(size=(3_000, width)) * 0.05, rng.normal(size=(3_000, width)), [[3.0] * width] * 500])
+    x = np.vstack([rng.normal(size=(200, width)) * 0.05, rng.normal(size=(200, width)) * 2, [[3.0] * width], [[-40.0] * width]])
+    d2 = np.array([sum((points[:, i] - v[i]) ** 2 for i in range(width)) for v in x])
+    want = np.where(d2.min(axis=1) < 1, d2.argmin(axis=1), -1)
+    index = match.CellIndex(points, 1.0)
+    assert (index.nearest(x) == want).all() and index.sparse is not None
+    assert (index.nearest(x, np.sqrt(d2.min(axis=1))) == want).all()
+
+
+def test_a_filter_on_the_property_does_not_repeat_the_search(spark):
+    """The join becomes an inner one; a condition on its key must not be inferred below the search."""
+    sim = spark.range(20).select("id", (F.col("id") / 2).alias("x"))
+    ref = spark.range(10).select(F.col("id").alias("j"), F.col("id").cast("double").alias("y"), (F.col("id") - 3).cast("double").alias("p"))
+    out = match.nearest_property(sim, ref, ["x"], ["y"], {"p": "q"}, "j", 0.4, {"p": 0.0}).where(F.col("q") > 0)
+    assert out._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+    assert sorted(out.select("id", "q").collect()) == [(2 * i, float(i - 3)) for i in range(4, 10)]
+
+
+def test_a_worker_holds_one_index():
+    made = []
+    make = lambda name: lambda: made.append(name) or name
+    assert [match.held(n, make(n)) for n in ("a", "a", "b", "a")] == ["a", "a", "b", "a"]
+    assert made == ["a", "b", "a"] and len(match._HELD) == 1
+    match._HELD.clear()
