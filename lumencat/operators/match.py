@@ -26,6 +26,8 @@ WIDER = (1.0, 1.4, 2.0)
 SPARSE, FEW = 16, 2_000
 #: Pairs of rows whose distances a task holds at a time.
 PAIRS = 2_000_000
+#: Points of a leaf of boxes and, in levels above it, of the node in which a row is searched first; distances of one product.
+LEAF, FIRST_LEVELS, PRODUCT = 256, 2, 1 << 17
 
 
 def _checked(sim_attrs: Sequence[str], ref_attrs: Sequence[str], props: Mapping[str, str], fallback: Mapping[str, object] | None) -> None:
@@ -52,7 +54,7 @@ def nearest_property(
     A reference of up to broadcast_values (BROADCAST_VALUES) numbers and BROADCAST_BYTES of
     properties goes to every task, which solves its batches of sim cell by
     cell: sim is read once and not shuffled. A larger one is cut into k-d boxes
-    (neighbours.py). Both give the same rows, whatever the ids of sim (row_id is
+    to which sim's rows are shuffled (neighbours.py). Both give the same rows, whatever the ids of sim (row_id is
     not looked at): a neighbour belongs to a row's attributes. Ties go to the
     smallest ref_id (null last), then to a hash of the properties; a property
     without a neighbour is its fallback. Rows with a missing attribute (null,
@@ -63,10 +65,11 @@ def nearest_property(
     found = _reference(ref, F.array(*[F.col(a).cast("double") for a in ref_attrs]), ref_id, props)
     rows = _small(found, width, broadcast_values)
     vector = F.array(*[F.col(a).cast("double") for a in sim_attrs])
-    index = lambda points: CellIndex(points, r_max).nearest
+    index = lambda points: (LeafIndex if width > CELL_DIMENSIONS else CellIndex)(points, r_max).nearest
     if rows is not None:
         return _filled(_by_broadcast(sim, found, rows, vector, width, index), ref, props, fallback or {}, sim.columns)
-    return _filled(_by_vector(sim, vector, lambda v: neighbours.nearest_by_cells(v, found, width, found.count(), index, r_max)), ref, props, fallback or {}, sim.columns)
+    own = F.when(neighbours.finite(vector), vector)
+    return _filled(neighbours.nearest_rows(sim, own, found, width, found.count(), index, r_max), ref, props, fallback or {}, sim.columns)
 
 
 class CellIndex:
@@ -260,11 +263,133 @@ class _Level:
                     yield pair, self.order[ref]
 
 
+class LeafIndex:
+    """Reference points within r_max in a k-d tree, for many attributes: leaves meet all rows that reach them in one matrix product.
+
+    Every node knows the box of its points along the axes of their widest spread. A
+    row is searched in the node it falls into, some leaves wide, then in those leaves
+    whose box lies within the distance found. Products leave the points whose distance
+    lies within rounding of the least; these are measured in the attributes themselves.
+    A product pays for many rows: callers pass some 100,000 at a time.
+    """
+
+    def __init__(self, points: np.ndarray, r_max: float):
+        n, width = points.shape
+        self.r_max, self.raw = r_max, np.ascontiguousarray(points.T)
+        self.centre = np.median(points, axis=0) if n else np.zeros(width)
+        with np.errstate(all="ignore"):
+            self.far = float(np.sqrt(((points - self.centre) ** 2).sum(axis=1)).max()) if n else 0.0
+        # points farther off would lose too much by turning: the attributes' own axes
+        self.tame = self.far < 1e8 * r_max
+        self.axes = neighbours.spread_axes(points[:: max(n // 10_000, 1)] - self.centre) if self.tame and n else np.eye(width)
+        self.lost = 1e-14 * width * (self.far + r_max) if self.tame else 0.0
+        self.points, self.order = self._turned(points), np.arange(n)
+        self.depth = max(int(np.ceil(np.log2(max(n, 1) / LEAF))), 0)
+        self.first = max(self.depth - FIRST_LEVELS, 0)
+        self.edges = [np.array([n * i >> level for i in range((1 << level) + 1)]) for level in range(self.depth + 1)]
+        self.axis = [np.zeros(1 << level, np.int64) for level in range(self.depth)]
+        self.cut = [np.zeros(1 << level) for level in range(self.depth)]
+        for level in range(self.depth):
+            for node in range(1 << level):
+                self._halve(level, node)
+        low = [np.minimum.reduceat(self.points, e[:-1]) if n else np.zeros((1, width)) for e in self.edges]
+        high = [np.maximum.reduceat(self.points, e[:-1]) if n else np.zeros((1, width)) for e in self.edges]
+        self.middle = [a + (b - a) / 2 for a, b in zip(low, high, strict=True)]
+        self.half = [np.maximum(b - m, m - a) * (1 + 1e-15) + 2 * self.lost for a, b, m in zip(low, high, self.middle, strict=True)]
+
+    def _turned(self, x: np.ndarray) -> np.ndarray:
+        return neighbours.turned(x - self.centre, self.axes) if self.tame else x.copy()
+
+    def _halve(self, level: int, node: int) -> None:
+        start, end, middle = self.edges[level][node], self.edges[level][node + 1], self.edges[level + 1][2 * node + 1]
+        rows = self.points[start:end]
+        axis = int(np.ptp(rows[:: max(len(rows) // 512, 1)], axis=0).argmax())
+        by = np.argpartition(rows[:, axis], middle - start)
+        self.points[start:end], self.order[start:end] = rows[by], self.order[start:end][by]
+        self.axis[level][node], self.cut[level][node] = axis, self.points[middle, axis]
+
+    def nearest(self, x: np.ndarray, bound: np.ndarray | None = None) -> np.ndarray:
+        """Position of the nearest reference point closer than r_max (and within the row's bound, if given), the first on ties; -1 without one."""
+        at, best = np.full(len(x), -1, np.int64), np.full(len(x), float(self.r_max) ** 2)
+        if bound is not None:
+            best = np.minimum((bound * neighbours.MARGIN) ** 2, best)
+        with np.errstate(all="ignore"):
+            there = np.isfinite(x).all(axis=1) & (np.sqrt(((x - self.centre) ** 2).sum(axis=1)) <= (self.far + self.r_max) * (1 + 1e-9))
+        rows = np.flatnonzero(there)
+        if not len(self.order) or not len(rows):
+            return at
+        turned = np.zeros(x.shape)
+        turned[rows] = self._turned(x[rows])
+        home = np.zeros(len(x), np.int64)
+        for level in range(self.first):
+            home[rows] = 2 * home[rows] + (turned[rows, self.axis[level][home[rows]]] >= self.cut[level][home[rows]])
+        rows = rows[np.argsort(home[rows], kind="stable")]
+        starts = np.flatnonzero(np.diff(home[rows], prepend=-1))
+        for start, end in zip(starts, [*starts[1:], len(rows)], strict=True):
+            self._meet(self.first, int(home[rows[start]]), rows[start:end], x, turned, best, at)
+        stack = [(0, 0, rows)]
+        while stack:
+            level, node, own = stack.pop()
+            if level == self.first:
+                own = own[home[own] != node]
+            if not len(own):
+                continue
+            if level == self.depth:
+                self._meet(level, node, own, x, turned, best, at)
+                continue
+            place, limit = turned[own], best[own] * (1 + 1e-9)
+            for child in (2 * node, 2 * node + 1):
+                gap = place - self.middle[level + 1][child]
+                np.abs(gap, out=gap)
+                gap -= self.half[level + 1][child]
+                np.maximum(gap, 0, out=gap)
+                stack.append((level + 1, child, own[np.einsum("ij,ij->i", gap, gap) <= limit]))
+        return at
+
+    def _meet(self, level: int, node: int, rows: np.ndarray, x: np.ndarray, turned: np.ndarray, best: np.ndarray, at: np.ndarray) -> None:
+        """Measure rows against all points of a node; best and at hold the least squared distance and its point."""
+        start, end, middle = self.edges[level][node], self.edges[level][node + 1], self.middle[level][node]
+        points, order = self.points[start:end] - middle, self.order[start:end]
+        squares = (points**2).sum(axis=1)
+        factor = np.concatenate([-2 * points.T, squares[None]])
+        largest, step = squares.max(), max(PRODUCT // len(points), 1)
+        for i in range(0, len(rows), step):
+            part = rows[i : i + step]
+            own = np.empty((len(part), turned.shape[1] + 1))
+            own[:, :-1], own[:, -1] = turned[part] - middle, 1.0
+            square = (own[:, :-1] ** 2).sum(axis=1)
+            product = own @ factor
+            # what the product and turning may have lost
+            rounding = 1e-13 * (square + largest) + 16 * self.lost * (np.sqrt(square) + np.sqrt(largest) + self.lost)
+            least, limit = product.min(axis=1), best[part] - square
+            near = np.flatnonzero(least <= limit + rounding)
+            if not len(near):
+                continue
+            limit = np.minimum(least, limit) + 2 * rounding
+            if 2 * len(near) < len(part):
+                product, part, limit = product[near], part[near], limit[near]
+            found = np.flatnonzero(product <= limit[:, None])
+            pair = found // len(order)
+            row, position = part[pair], order[found - pair * len(order)]
+            d2 = np.zeros(len(row))
+            for column, point in zip(x.T, self.raw, strict=True):
+                d2 += (column[row] - point[position]) ** 2
+            by = np.lexsort((position, d2, pair))
+            first = by[np.diff(pair[by], prepend=-1) > 0]
+            row, d2, position = row[first], d2[first], position[first]
+            better = (d2 < self.r_max**2) & ((d2 < best[row]) | ((d2 == best[row]) & ((position < at[row]) | (at[row] < 0))))
+            best[row[better]], at[row[better]] = d2[better], position[better]
+
+
 def _reference(ref: DataFrame, vector: Column, ref_id: str, props: Mapping[str, str]) -> DataFrame:
-    """_v, _ref, _tie and the properties as one column _best, of the rows that can be neighbours."""
+    """_v, _ref, _tie and the properties as one column _best, of the rows that can be neighbours.
+
+    Stored, as it is read several times, and filtered only then: the filter would
+    move below the attributes' own formulas and compute them again for each use.
+    """
     best = F.struct(*[F.col(p).alias(f"_p{i}") for i, p in enumerate(props)])
-    rows = ref.select(vector.alias("_v"), F.col(ref_id).alias("_ref"), F.xxhash64(F.to_json(best)).alias("_tie"), best.alias("_best"))
-    return rows.where(neighbours.finite(F.col("_v")))
+    rows = ref.select(F.when(neighbours.finite(vector), vector).alias("_v"), F.col(ref_id).alias("_ref"), F.xxhash64(F.to_json(best)).alias("_tie"), best.alias("_best"))
+    return checkpointed(rows).where(F.col("_v").isNotNull())
 
 
 def _small(found: DataFrame, width: int, most: int | None) -> pa.Table | None:
@@ -285,14 +410,27 @@ def _by_broadcast(sim: DataFrame, found: DataFrame, rows: pa.Table, vector: Colu
     search = uuid.uuid4().hex
     made: dict[int, Callable[[np.ndarray], np.ndarray]] = {}
 
-    @F.arrow_udf("bigint")
-    def nearest(x: pa.Array) -> pa.Array:
+    def solved(group: list[pa.Array]) -> Iterator[pa.Array]:
+        x = pa.chunked_array(group).combine_chunks()
         at, there = np.full(len(x), -1, np.int64), np.flatnonzero(x.is_valid().to_numpy(zero_copy_only=False))
         if len(there) and len(shared.value):
             if 0 not in made:
                 made[0] = held(search, lambda: index(shared.value))
             at[there] = made[0](neighbours.matrix(x.drop_null(), width))
-        return pa.array(at)
+        for part in np.split(at, np.cumsum([len(g) for g in group])[:-1]):
+            yield pa.array(part)
+
+    @F.arrow_udf("bigint")
+    def nearest(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        group: list[pa.Array] = []
+        for x in batches:
+            # many rows at a time: an index meets each of its parts with all of them
+            group.append(x)
+            if sum(len(g) for g in group) * width >= neighbours.GROUP_VALUES:
+                yield from solved(group)
+                group = []
+        if group:
+            yield from solved(group)
 
     usable = F.when((F.size(vector) == width) & neighbours.finite(vector), vector)
     # never null: a filter on the properties would infer one on the position, and search a second time below the projection

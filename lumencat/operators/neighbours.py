@@ -2,10 +2,8 @@
 
 Every reference row lies in one cell and is shuffled once; nothing of the
 reference passes through the driver but a bounded sample and one row for each
-cell. A vector visits the cells that its bound on the distance reaches. The
-bound is the distance to a bounded sample of the reference, at most the given
-radius; without a radius it is the distance found in the vector's home cell, so
-such a search takes two rounds. Cells are
+cell. A vector visits the cells that its bound on the distance reaches: the distance
+found in its home cell, at most the given radius, so a search takes two rounds. Cells are
 
 * k-d boxes for few dimensions: cuts along the principal axis of the widest spread,
 * Voronoi cells of sampled pivots for many: the triangle inequality with each
@@ -14,10 +12,13 @@ such a search takes two rounds. Cells are
 A cell of many rows is cut into blocks that every visitor meets, and the
 visitors of a cell into parts that each meet all of it. A task takes the rows
 of one (cell, block, part) as they are sorted: the reference first, which is
-held, then the visitors batch by batch, which are not.
+held, then the visitors group by group, which are not.
 
-The vectors that visit are distinct, and results are keyed by vector: ids may
-repeat or be missing, and a vector that a third of all rows share is solved once.
+Within a radius (``nearest_rows``) whole rows go to their home cell, once; what is found
+there bounds them, and only the vectors of rows whose bound reaches other cells go on.
+Otherwise (``nearest_by_cells``) the vectors that visit are distinct, and results are keyed by
+vector: a vector that a third of all rows share is solved once. Ids may repeat or be
+missing in both.
 """
 
 from __future__ import annotations
@@ -38,11 +39,15 @@ MOST_PIVOTS = 1024
 SAMPLED = 16
 #: Most numbers of a sample.
 SAMPLE_VALUES = 8_000_000
-#: Numbers of the sample that bounds a vector's distance before it visits cells: 16 MB.
-BOUND_VALUES = 2_000_000
 #: Rows of a block that a task holds, and visitors from which a cell is split into parts.
 BLOCK_ROWS = 100_000
 PART_ROWS = 1_000_000
+#: Within a radius cells and blocks may be so many times larger, up to so many numbers: an index passes most of a cell by, and few bounds leave it.
+LARGER, CELL_VALUES = 8, 4_000_000
+#: Visitors below which a cell is not split for the sake of idle cores.
+LEAST_PART = 20_000
+#: Numbers of the visitors that a task searches at a time.
+GROUP_VALUES = 2_000_000
 #: Dimensions up to which boxes keep rows apart.
 BOX_DIMENSIONS = 12
 #: Components beyond this count as missing: their squares would not be finite.
@@ -175,10 +180,10 @@ class PivotCells:
                 yield cell, at
 
 
-def cells_of(ref: DataFrame, width: int, total: int) -> KdCells | PivotCells:
+def cells_of(ref: DataFrame, width: int, total: int, larger: int = 1) -> KdCells | PivotCells:
     """Cells for the reference (column _v, and _tie) from a sample chosen by a hash."""
     boxes = width <= BOX_DIMENSIONS
-    wanted = min(max(-(-total // CELL_ROWS), 1), MOST_CELLS if boxes else MOST_PIVOTS)
+    wanted = min(max(-(-total // (CELL_ROWS * larger)), 1), MOST_CELLS if boxes else MOST_PIVOTS)
     rows = min(wanted * SAMPLED if boxes else wanted, max(SAMPLE_VALUES // width, 1))
     share = max(total // (2 * rows), 1)
     picked = ref.where(F.pmod(F.xxhash64("_v", "_tie"), F.lit(share)) == 0).select("_v").limit(4 * rows)
@@ -199,27 +204,6 @@ def _placed(ref: DataFrame, cells: KdCells | PivotCells, width: int) -> DataFram
     return ref.withColumn("_place", place("_v")).select("_place.*", "_v", "_ref", "_tie", "_best")
 
 
-def _bounded(vectors: DataFrame, ref: DataFrame, width: int, total: int, nearest: Callable[[np.ndarray], Callable[[np.ndarray], np.ndarray]], r_max: float) -> DataFrame:
-    """vectors with _bound: the distance to the nearest row of a sample that every task gets, r_max without one."""
-    most = BOUND_VALUES // width
-    picked = ref.where(F.pmod(F.xxhash64("_v", "_tie"), F.lit(max(-(-total // most), 1))) == 0).select("_v").limit(2 * most)
-    shared = vectors.sparkSession.sparkContext.broadcast(matrix(picked.toArrow()["_v"], width))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        points, find = shared.value, None
-        for batch in batches:
-            x = matrix(batch.column(0), width)
-            bound = np.full(len(x), float(r_max))
-            if len(points) and len(x):
-                find = find or nearest(points)
-                at = find(x)
-                hit = np.flatnonzero(at >= 0)
-                bound[hit] = np.sqrt(((x[hit] - points[at[hit]]) ** 2).sum(axis=1))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(bound)], names=["_v", "_bound"])
-
-    return vectors.mapInArrow(run, "_v array<double>, _bound double")
-
-
 def _spread(x: np.ndarray) -> np.ndarray:
     """A number of each row's content, to deal rows to parts."""
     bits = np.ascontiguousarray(x).view(np.uint64)
@@ -229,8 +213,16 @@ def _spread(x: np.ndarray) -> np.ndarray:
     return out >> np.uint64(33)
 
 
-def _visits(vectors: DataFrame, cells: KdCells | PivotCells, width: int, blocks: dict[int, int], home_only: bool, others_only: bool) -> tuple[DataFrame, dict[int, int]]:
-    """(_cell, _block, _part, _v, _bound) of every visit of vectors (_v, _bound), and the parts of each cell."""
+def part_rows(spark: SparkSession, total: int) -> int:
+    """Visitors of a part: four parts for each core, if they are not too small or too large."""
+    return min(PART_ROWS, max(total // (4 * spark.sparkContext.defaultParallelism), LEAST_PART))
+
+
+def _visits(vectors: DataFrame, cells: KdCells | PivotCells, width: int, blocks: dict[int, int], home_only: bool, others_only: bool, radius: bool = False) -> tuple[DataFrame, dict[int, int]]:
+    """(_cell, _block, _part, _v, _bound) of every visit of vectors (_v, _bound), and the parts of each cell (radius: of all; else of those with several).
+
+    others_only: what the home cell holds has been met; radius: one block of it.
+    """
 
     def reached(x: np.ndarray, bound: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
         own = cells.home(x)[0] if others_only or home_only else None
@@ -239,7 +231,7 @@ def _visits(vectors: DataFrame, cells: KdCells | PivotCells, width: int, blocks:
                 yield int(cell), np.flatnonzero(own == cell)
             return
         for cell, at in cells.reach(x, bound):
-            at = at[own[at] != cell] if others_only else at
+            at = at[own[at] != cell] if others_only and not (radius and blocks.get(cell, 1) > 1) else at
             if len(at) and cell in blocks:
                 yield int(cell), at
 
@@ -248,8 +240,10 @@ def _visits(vectors: DataFrame, cells: KdCells | PivotCells, width: int, blocks:
             found = [(c, len(at)) for c, at in reached(matrix(batch.column(0), width), batch.column(1).to_numpy())]
             yield pa.RecordBatch.from_arrays([pa.array([c for c, _ in found], pa.int64()), pa.array([n for _, n in found], pa.int64())], names=["cell", "n"])
 
-    weight = vectors.select("_v", "_bound").mapInArrow(weigh, "cell bigint, n bigint").groupBy("cell").agg(F.sum("n").alias("n")).where(F.col("n") > PART_ROWS).collect()  # one row for each hot cell
-    parts = {r["cell"]: -(-r["n"] // PART_ROWS) for r in weight}
+    weight = vectors.select("_v", "_bound").mapInArrow(weigh, "cell bigint, n bigint").groupBy("cell").agg(F.sum("n").alias("n"))
+    weight = (weight if radius else weight.where(F.col("n") > PART_ROWS)).collect()  # one row for each cell, or hot cell
+    most = part_rows(vectors.sparkSession, sum(r["n"] for r in weight)) if radius else PART_ROWS
+    parts = {r["cell"]: -(-r["n"] // most) for r in weight}
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -266,51 +260,89 @@ def _visits(vectors: DataFrame, cells: KdCells | PivotCells, width: int, blocks:
     return vectors.select("_v", "_bound").mapInArrow(send, "_cell bigint, _block int, _part int, _v array<double>, _bound double"), parts
 
 
-def _solved(placed: DataFrame, visits: DataFrame, blocks: dict[int, int], parts: dict[int, int], width: int, nearest: Callable[[np.ndarray], Callable[[np.ndarray], np.ndarray]]) -> DataFrame:
+def _numbered(spark: SparkSession, blocks: dict[int, int], parts: dict[int, int]) -> tuple[DataFrame, int]:
+    """(_cell, _blocks, _parts, _first) of the visited cells: a task for each block and part, numbered from _first; and the tasks' number."""
+    rows, first = [], 0
+    for cell, n in sorted(parts.items()):
+        rows.append((int(cell), int(blocks.get(cell, 1)), int(n), first))
+        first += rows[-1][1] * rows[-1][2]
+    return spark.createDataFrame(rows, "_cell bigint, _blocks int, _parts int, _first int"), max(first, 1)
+
+
+def _shared(placed: DataFrame, numbers: DataFrame) -> DataFrame:
+    """The reference's rows for each task of their cell, by its number _id."""
+    met = placed.join(F.broadcast(numbers), "_cell").withColumn("_part", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)))
+    return met.withColumn("_id", F.col("_first") + F.pmod(F.xxhash64("_v", "_tie"), "_blocks").cast("int") * F.col("_parts") + F.col("_part"))
+
+
+def _groups(batches: Iterator[pa.RecordBatch], keys: int, width: int) -> Iterator[tuple[list[pa.RecordBatch], pa.Table]]:
+    """(reference rows, some visitors) of one key after the other; rows come sorted by the keys, then the side. The list is one object for all groups of a key."""
+    key, held, waiting, count = None, [], [], 0
+    for batch in batches:
+        marks = np.column_stack([batch.column(i).to_numpy() for i in range(keys + 1)])
+        starts = np.flatnonzero(np.concatenate(([True], (marks[1:] != marks[:-1]).any(axis=1)))) if len(marks) else []
+        for start, end in zip(starts, [*starts[1:], len(marks)], strict=True):
+            own, side = tuple(marks[start, :keys]), marks[start, keys]
+            if own != key:
+                if waiting:
+                    yield held, pa.Table.from_batches(waiting)
+                key, held, waiting, count = own, [], [], 0
+            rows = batch.slice(start, end - start)
+            if side == 0:
+                held.append(rows)
+                continue
+            waiting.append(rows)
+            count += len(rows)
+            if count * width >= GROUP_VALUES:
+                yield held, pa.Table.from_batches(waiting)
+                waiting, count = [], 0
+    if waiting:
+        yield held, pa.Table.from_batches(waiting)
+
+
+def _solved(placed: DataFrame, visits: DataFrame, blocks: dict[int, int], parts: dict[int, int], width: int, nearest: Callable[[np.ndarray], Callable[[np.ndarray], np.ndarray]], radius: bool = False) -> DataFrame:
     """(_v, _d2, _ref, _tie, _best) of each visit's nearest row; nearest(points) finds positions of rows within their bounds, the first on ties, -1 for none.
 
-    blocks and parts name the hot cells; all others have one of each.
+    blocks and parts name the hot cells; all others have one of each. radius: parts
+    names all visited cells, and each (cell, block, part) is a task of its own.
     """
     spark = placed.sparkSession
-    hot = [(int(c), int(blocks.get(c, 1)), int(parts.get(c, 1))) for c in {*blocks, *parts} if blocks.get(c, 1) > 1 or parts.get(c, 1) > 1]
-    many = spark.createDataFrame(hot, "_cell bigint, _blocks int, _parts int")  # no more than rows / PART_ROWS and rows / BLOCK_ROWS
-    dealt = placed.join(F.broadcast(many), "_cell", "left")
-    block = F.pmod(F.xxhash64("_v", "_tie"), F.coalesce("_blocks", F.lit(1))).cast("int")
-    dealt = dealt.select("_cell", block.alias("_block"), F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1)).alias("_part"), F.lit(0).alias("_side"), "_v", "_ref", "_tie", "_best", F.lit(0.0).alias("_bound"))
     kind = {f.name: f.dataType for f in placed.schema}
     nothing = [F.lit(None).cast(kind[c]).alias(c) for c in ("_ref", "_tie", "_best")]
-    both = dealt.unionByName(visits.select("_cell", "_block", "_part", F.lit(1).alias("_side"), "_v", *nothing, "_bound"))
-    keys = ["_cell", "_block", "_part"]
-    both = both.repartition(*keys).sortWithinPartitions(*keys, "_side", F.asc_nulls_last("_ref"), "_tie")
+    if radius:
+        keys = ["_id"]
+        numbers, tasks = _numbered(spark, blocks, parts)
+        dealt = _shared(placed, numbers)
+        visits = visits.join(F.broadcast(numbers), "_cell").withColumn("_id", F.col("_first") + F.col("_block") * F.col("_parts") + F.col("_part"))
+    else:
+        keys = ["_cell", "_block", "_part"]
+        hot = [(int(c), int(blocks.get(c, 1)), int(parts.get(c, 1))) for c in {*blocks, *parts} if blocks.get(c, 1) > 1 or parts.get(c, 1) > 1]
+        many = spark.createDataFrame(hot, "_cell bigint, _blocks int, _parts int")  # no more than rows / PART_ROWS and rows / BLOCK_ROWS
+        block = F.pmod(F.xxhash64("_v", "_tie"), F.coalesce("_blocks", F.lit(1))).cast("int")
+        dealt = placed.join(F.broadcast(many), "_cell", "left").withColumn("_block", block).withColumn("_part", F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1)))
+    both = dealt.select(*keys, F.lit(0).alias("_side"), "_v", "_ref", "_tie", "_best", F.lit(0.0).alias("_bound"))
+    both = both.unionByName(visits.select(*keys, F.lit(1).alias("_side"), "_v", *nothing, "_bound"))
+    both = both.repartitionById(tasks, F.col("_id")) if radius else both.repartition(*keys)
+    both = both.sortWithinPartitions(*keys, "_side", F.asc_nulls_last("_ref"), "_tie")
     names = ["_v", "_d2", "_ref", "_tie", "_best"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, held, find, points, table = None, [], None, None, None
-        for batch in batches:
-            marks = np.column_stack([batch.column(i).to_numpy() for i in range(4)])
-            starts = np.flatnonzero(np.concatenate(([True], (marks[1:] != marks[:-1]).any(axis=1)))) if len(marks) else []
-            for start, end in zip(starts, [*starts[1:], len(marks)], strict=True):
-                own, side = tuple(marks[start, :3]), marks[start, 3]
-                if own != key:
-                    key, held, find = own, [], None
-                rows = batch.slice(start, end - start)
-                if side == 0:
-                    held.append(rows)
-                    continue
-                if not held:
-                    continue
-                if find is None:
-                    table = pa.Table.from_batches(held).combine_chunks()
-                    points = matrix(table["_v"], width)
-                    find = nearest(points)
-                x = matrix(rows.column(4), width)
-                at = find(x, rows.column(8).to_numpy())
-                hit = np.flatnonzero(at >= 0)
-                if len(hit):
-                    d2 = ((x[hit] - points[at[hit]]) ** 2).sum(axis=1)
-                    taken = table.select(["_ref", "_tie", "_best"]).take(pa.array(at[hit])).combine_chunks()
-                    columns = [rows.column(4).take(pa.array(hit)), pa.array(d2), *[c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in taken.columns]]
-                    yield pa.RecordBatch.from_arrays(columns, names=names)
+        now, find, points, table = None, None, None, None
+        for held, rows in _groups(batches, len(keys), width):
+            if not held:
+                continue
+            if held is not now:
+                now, table = held, pa.Table.from_batches(held).combine_chunks()
+                points = matrix(table["_v"], width)
+                find = nearest(points)
+            x = matrix(rows["_v"], width)
+            at = find(x, rows["_bound"].to_numpy())
+            hit = np.flatnonzero(at >= 0)
+            if len(hit):
+                d2 = ((x[hit] - points[at[hit]]) ** 2).sum(axis=1)
+                taken = table.select(["_ref", "_tie", "_best"]).take(pa.array(at[hit]))
+                columns = [c.combine_chunks() for c in (rows["_v"].take(pa.array(hit)), *taken.columns)]
+                yield pa.RecordBatch.from_arrays([columns[0], pa.array(d2), *columns[1:]], names=names)
 
     schema = placed.select("_v", F.lit(0.0).alias("_d2"), "_ref", "_tie", "_best").schema
     return both.mapInArrow(run, schema)
@@ -329,22 +361,11 @@ def best_of_rows(found: DataFrame) -> DataFrame:
     return found.groupBy("_v").agg(F.min_by(row, order).alias("_row")).select("_v", "_row.*")
 
 
-def nearest_by_cells(vectors: DataFrame, ref: DataFrame, width: int, total: int, nearest: Callable[[np.ndarray], Callable[[np.ndarray], np.ndarray]], r_max: float | None = None, cells: KdCells | PivotCells | None = None) -> DataFrame:
-    """_v, _best, _d2 of the nearest of ref (_v, _ref, _tie, _best; ``total`` rows) for every distinct row of vectors (_v).
-
-    With r_max only rows closer than it count, and vectors without one are absent.
-    """
+def nearest_by_cells(vectors: DataFrame, ref: DataFrame, width: int, total: int, nearest: Callable[[np.ndarray], Callable[[np.ndarray], np.ndarray]], cells: KdCells | PivotCells | None = None) -> DataFrame:
+    """_v, _best, _d2 of the nearest of ref (_v, _ref, _tie, _best; ``total`` rows) for every distinct row of vectors (_v)."""
     cells = cells or cells_of(ref, width, total)
-    placed = checkpointed(_placed(ref, cells, width))
-    summary = placed.groupBy("_cell").agg(F.count("*").alias("n"), F.max("_far").alias("far")).collect()  # one row for each cell
-    blocks = {r["_cell"]: -(-r["n"] // BLOCK_ROWS) for r in summary}
-    cells.bounded({r["_cell"]: r["far"] for r in summary})
-    distinct = vectors.select("_v").distinct()
-    if r_max is not None:
-        bounded = checkpointed(_bounded(distinct, ref, width, total, nearest, r_max))
-        visits, parts = _visits(bounded, cells, width, blocks, False, False)
-        return best_of(_solved(placed, visits, blocks, parts, width, nearest))
-    distinct = checkpointed(distinct.withColumn("_bound", F.lit(0.0)))
+    placed, blocks = _filled_cells(ref, cells, width, BLOCK_ROWS)
+    distinct = checkpointed(vectors.select("_v").distinct().withColumn("_bound", F.lit(0.0)))
     visits, parts = _visits(distinct, cells, width, blocks, True, False)
     first = checkpointed(best_of_rows(_solved(placed, visits, blocks, parts, width, nearest)))
     # a cell without a row of its own gives no bound: such a vector visits all
@@ -353,6 +374,85 @@ def nearest_by_cells(vectors: DataFrame, ref: DataFrame, width: int, total: int,
     return best_of(first.unionByName(_solved(placed, visits, blocks, parts, width, nearest)))
 
 
+def _filled_cells(ref: DataFrame, cells: KdCells | PivotCells, width: int, block_rows: int) -> tuple[DataFrame, dict[int, int]]:
+    """The reference in its cells, and the blocks of each cell; the cells learn how far their rows lie."""
+    placed = checkpointed(_placed(ref, cells, width))
+    summary = placed.groupBy("_cell").agg(F.count("*").alias("n"), F.max("_far").alias("far")).collect()  # one row for each cell
+    cells.bounded({r["_cell"]: r["far"] for r in summary})
+    return placed, {r["_cell"]: -(-r["n"] // block_rows) for r in summary}
+
+
+def nearest_rows(sim: DataFrame, vector: Column, ref: DataFrame, width: int, total: int, nearest: Callable[[np.ndarray], Callable[[np.ndarray], np.ndarray]], r_max: float) -> DataFrame:
+    """sim with _best of the nearest of ref (_v, _ref, _tie, _best; ``total`` rows) closer than r_max; null without one, or without a vector.
+
+    sim is stored with its rows' cells, as cells are weighed before rows are sent. A row
+    goes to its home cell whole and is stored with what it found there; the
+    vectors of those whose bound reaches further visit the other cells and are joined.
+    """
+    spark = sim.sparkSession
+    larger = min(LARGER, max(CELL_VALUES // (width * CELL_ROWS), 1))
+    cells = cells_of(ref, width, total, larger)
+    placed, blocks = _filled_cells(ref, cells, width, BLOCK_ROWS * larger)
+
+    @F.arrow_udf("bigint")
+    def home(x: pa.Array) -> pa.Array:
+        out, there = np.full(len(x), -1, np.int64), np.flatnonzero(x.is_valid().to_numpy(zero_copy_only=False))
+        if len(there):
+            out[there] = cells.home(matrix(x.drop_null(), width))[0]
+        return pa.array(out)
+
+    stored = checkpointed(sim.withColumn("_cell", home(vector)))
+    keyed = stored.select(F.struct(*sim.columns).alias("_row"), vector.alias("_v"), "_cell")
+    load = keyed.groupBy("_cell").agg(F.count("*").alias("n")).collect()  # one row for each cell
+    most = part_rows(spark, sum(r["n"] for r in load))
+    numbers, tasks = _numbered(spark, blocks, {r["_cell"]: -(-r["n"] // (most * blocks.get(r["_cell"], 1))) for r in load})
+    kind = {f.name: f.dataType for f in placed.schema} | {f.name: f.dataType for f in keyed.schema}
+    none = lambda *names: [F.lit(None).cast(kind[n]).alias(n) for n in names]
+    # rows that share a vector go to one block, but to any part
+    content = F.xxhash64(F.lit(1), *[f"_row.`{f.name}`" for f in sim.schema if "map<" not in f.dataType.simpleString()])
+    number = F.col("_first") + F.pmod(F.xxhash64("_v"), "_blocks").cast("int") * F.col("_parts") + F.pmod(content, "_parts").cast("int")
+    dealt = _shared(placed, numbers).select("_id", F.lit(0).alias("_side"), "_cell", "_v", "_ref", "_tie", "_best", *none("_row"))
+    rows = keyed.join(F.broadcast(numbers), "_cell", "left").select(number.alias("_id"), F.lit(1).alias("_side"), "_cell", "_v", *none("_ref", "_tie", "_best"), "_row")
+    both = dealt.unionByName(rows).repartitionById(tasks, F.col("_id")).sortWithinPartitions("_id", "_side", F.asc_nulls_last("_ref"), "_tie")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, find, points, table = None, None, None, None
+        for held, rows in _groups(batches, 1, width):
+            v = rows["_v"].combine_chunks()
+            there = np.flatnonzero(v.is_valid().to_numpy(zero_copy_only=False))
+            at, d2, onward = np.full(len(v), -1, np.int64), np.full(len(v), float(r_max) ** 2), np.zeros(len(v), bool)
+            if len(there):
+                x = matrix(v.drop_null(), width)
+                if held and held is not now:
+                    now, table = held, pa.Table.from_batches(held).combine_chunks()
+                    points = matrix(table["_v"], width)
+                    find = nearest(points)
+                if held:
+                    at[there] = find(x)
+                    hit = at[there] >= 0
+                    d2[there[hit]] = ((x[hit] - points[at[there[hit]]]) ** 2).sum(axis=1)
+                cell = rows["_cell"][0].as_py()
+                for other, reached in cells.reach(x, np.sqrt(d2[there])):
+                    if other in blocks and (other != cell or blocks[other] > 1):
+                        onward[there[reached]] = True
+            best = [pa.nulls(len(v), rows.schema.field(c).type) for c in ("_ref", "_tie", "_best")]
+            if held and len(there):
+                best = [c.combine_chunks() for c in table.select(["_ref", "_tie", "_best"]).take(pa.array(at, mask=at < 0)).columns]
+            kept = v.take(pa.array(np.arange(len(v)), mask=~onward))
+            yield pa.RecordBatch.from_arrays([rows["_row"].combine_chunks(), pa.array(d2), *best, kept], names=["_row", "_d2", "_ref", "_tie", "_best", "_v"])
+
+    schema = both.select("_row", F.lit(0.0).alias("_d2"), "_ref", "_tie", "_best", "_v").schema
+    first = checkpointed(both.mapInArrow(run, schema))
+    onward = first.where(F.col("_v").isNotNull())
+    bounds = checkpointed(onward.groupBy("_v").agg(F.sqrt(F.min("_d2")).alias("_bound")))
+    visits, parts = _visits(bounds, cells, width, blocks, False, True, True)
+    other = best_of_rows(_solved(placed, visits, blocks, parts, width, nearest, True))
+    order = lambda side: F.struct(f"{side}._d2", F.col(f"{side}._ref").isNull().alias("none"), f"{side}._ref", f"{side}._tie")
+    farther = F.col("b._best").isNull() | (F.col("a._best").isNotNull() & (order("a") <= order("b")))
+    joined = onward.alias("a").join(other.alias("b"), "_v", "left").select("a._row", F.when(farther, F.col("a._best")).otherwise(F.col("b._best")).alias("_best"))
+    return first.where(F.col("_v").isNull()).select("_row", "_best").unionByName(joined).select("_row.*", "_best")
+
+
 # --- approximate: hashed projections -----------------------------------------
 
 

@@ -191,6 +191,82 @@ def test_a_filter_on_the_property_does_not_repeat_the_search(spark):
     assert sorted(out.select("id", "q").collect()) == [(2 * i, float(i - 3)) for i in range(4, 10)]
 
 
+@pytest.mark.parametrize("far", [0.0, 1e5, 1e14, 1e140])
+@pytest.mark.parametrize("width", [1, 4, 9])
+def test_leaves_equal_brute_force(width, far):
+    """Clusters, more copies than a leaf holds, rows off the points and points so far off that axes are not turned; the bound is inclusive, the radius is not."""
+    rng = np.random.default_rng(7)
+    points = np.vstack([rng.random((1_500, width)) * 0.05, rng.random((1_500, width)) * 2, [[9.0] * width] * 600, [[far] + [0.0] * (width - 1)]])
+    x = np.vstack([rng.random((150, width)) * 0.05, rng.random((150, width)) * 2.5, [[9.0] * width, [9.5] + [9.0] * (width - 1), [9.25] * width, [far] + [0.25] * (width - 1), [-far] * width, [math.nan] * width]])
+    with np.errstate(all="ignore"):
+        d2 = sum((x[:, None, i] - points[None, :, i]) ** 2 for i in range(width))
+    d2[-1] = np.inf
+    want = np.where(d2.min(axis=1) < 0.25, d2.argmin(axis=1), -1)
+    index = match.LeafIndex(points, 0.5)
+    assert (index.nearest(x) == want).all() and len({*want}) > 100 and index.depth > 3
+    assert (index.nearest(x, np.sqrt(d2.min(axis=1))) == want).all()
+    assert (index.nearest(x, np.sqrt(d2.min(axis=1)) * 0.999) == np.where(d2.min(axis=1) == 0, want, -1)).all()
+
+
+def test_nine_attributes_meet_few_points(monkeypatch):
+    """Magnitudes that rise together and a redshift: a row is measured against a small share of the points, all in products."""
+    rng = np.random.default_rng(8)
+    make = lambda n: 8 * np.sqrt(rng.random((n, 1))) + np.cumsum(rng.random((n, 9)), axis=1)
+    points, x = make(60_000), make(3_000)
+    measured, meet = [0], match.LeafIndex._meet
+
+    def counted(self, level, node, rows, *args):
+        measured[0] += len(rows) * int(self.edges[level][node + 1] - self.edges[level][node])
+        meet(self, level, node, rows, *args)
+
+    monkeypatch.setattr(match.LeafIndex, "_meet", counted)
+    found = match.LeafIndex(points, 1.2).nearest(x)
+    assert (found[:200] == match.CellIndex(points, 1.2).nearest(x[:200])).all()
+    assert measured[0] < 0.2 * len(points) * len(x)
+
+
+@pytest.mark.parametrize("width", [2, 9])
+def test_rows_are_solved_at_home_or_sent_on(spark, monkeypatch, width):
+    """Many cells, some of several blocks, a vector that fills parts, ids that repeat: all columns of all rows come back once."""
+    small_cells(monkeypatch, LARGER=1, LEAST_PART=1)
+    monkeypatch.setattr(match, "BROADCAST_VALUES", 10)
+    sim, ref = hostile(np.random.default_rng(10 + width), width, 150, 160)
+    ref += [(20_000 + i, [0.625] * width, f"copy {i}") for i in range(30)]
+    sim += [(i, [0.625] * width) for i in range(20)]
+    names = [f"a{i}" for i in range(width)]
+    kind = ", ".join(f"{n} double" for n in names)
+    s = spark.createDataFrame([(i, *(v or [None] * width), {"k": n}) for n, (i, v) in enumerate(sim)], f"unique_gal_id bigint, {kind}, more map<string, int>").repartition(5)
+    r = spark.createDataFrame([(i, *v, p) for i, v, p in ref], f"rid bigint, {kind}, p string").repartition(3)
+    radius = 0.15 if width == 2 else 0.9
+    found = match.nearest_property(s, r, names, names, {"p": "q"}, "rid", radius).collect()
+    assert sorted(x["more"]["k"] for x in found) == [*range(len(sim))]
+    got = sorted([(str(None if all(x[n] is None for n in names) else [x[n] for n in names]), x["q"]) for x in found], key=str)
+    assert got == brute(sim, ref, radius)
+    assert all(x["unique_gal_id"] == sim[x["more"]["k"]][0] for x in found)
+
+
+@pytest.mark.parametrize("most", [10, 8_000_000])
+def test_attributes_are_computed_once(spark, monkeypatch, most):
+    """No filter on derived attributes moves below their formulas: each is computed once for a row of either side."""
+    monkeypatch.setattr(match, "BROADCAST_VALUES", most)
+    calls = {"sim": spark.sparkContext.accumulator(0), "ref": spark.sparkContext.accumulator(0)}
+
+    def attribute(side):
+        @F.udf("double")
+        def value(i):
+            calls[side].add(1)
+            return float(i)
+
+        return value
+
+    s = spark.range(40).select(F.col("id").alias("unique_gal_id"), attribute("sim")("id").alias("x"))
+    r = spark.range(40).select(F.col("id").alias("rid"), attribute("ref")("id").alias("y"), (F.col("id") * 10).alias("p"))
+    s, r = s.withColumn("x2", F.col("x") * 2), r.withColumn("y2", F.col("y") * 2)
+    found = match.nearest_property(s, r, ["x", "x2"], ["y", "y2"], {"p": "q"}, "rid", 0.5).collect()
+    assert {x["unique_gal_id"]: x["q"] for x in found} == {i: 10 * i for i in range(40)}
+    assert {side: n.value for side, n in calls.items()} == {"sim": 40, "ref": 40}
+
+
 def test_a_worker_holds_one_index():
     made = []
     make = lambda name: lambda: made.append(name) or name
