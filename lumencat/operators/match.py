@@ -318,16 +318,17 @@ class LeafIndex:
         rows = np.flatnonzero(there)
         if not len(self.order) or not len(rows):
             return at
-        turned = np.zeros(x.shape)
-        turned[rows] = self._turned(x[rows])
-        home = np.zeros(len(x), np.int64)
+        turned, home = self._turned(x[rows]), np.zeros(len(rows), np.int64)
         for level in range(self.first):
-            home[rows] = 2 * home[rows] + (turned[rows, self.axis[level][home[rows]]] >= self.cut[level][home[rows]])
-        rows = rows[np.argsort(home[rows], kind="stable")]
-        starts = np.flatnonzero(np.diff(home[rows], prepend=-1))
+            home = 2 * home + (turned[np.arange(len(rows)), self.axis[level][home]] >= self.cut[level][home])
+        # in the order of their nodes: rows that meet the same points lie side by side in memory
+        by = np.argsort(home, kind="stable")
+        rows, home, turned = rows[by], home[by], np.ascontiguousarray(turned[by].T)
+        columns, least, found = np.ascontiguousarray(x[rows].T), best[rows], at[rows]
+        starts = np.flatnonzero(np.diff(home, prepend=-1))
         for start, end in zip(starts, [*starts[1:], len(rows)], strict=True):
-            self._meet(self.first, int(home[rows[start]]), rows[start:end], x, turned, best, at)
-        stack = [(0, 0, rows)]
+            self._meet(self.first, int(home[start]), np.arange(start, end), columns, turned, least, found)
+        stack = [(0, 0, np.arange(len(rows)))]
         while stack:
             level, node, own = stack.pop()
             if level == self.first:
@@ -335,44 +336,48 @@ class LeafIndex:
             if not len(own):
                 continue
             if level == self.depth:
-                self._meet(level, node, own, x, turned, best, at)
+                self._meet(level, node, own, columns, turned, least, found)
                 continue
-            place, limit = turned[own], best[own] * (1 + 1e-9)
+            place, limit = turned[:, own], least[own] * (1 + 1e-9)
             for child in (2 * node, 2 * node + 1):
-                gap = place - self.middle[level + 1][child]
+                gap = place - self.middle[level + 1][child][:, None]
                 np.abs(gap, out=gap)
-                gap -= self.half[level + 1][child]
+                gap -= self.half[level + 1][child][:, None]
                 np.maximum(gap, 0, out=gap)
-                stack.append((level + 1, child, own[np.einsum("ij,ij->i", gap, gap) <= limit]))
+                gap *= gap
+                stack.append((level + 1, child, own[gap.sum(axis=0) <= limit]))
+        at[rows] = found
         return at
 
     def _meet(self, level: int, node: int, rows: np.ndarray, x: np.ndarray, turned: np.ndarray, best: np.ndarray, at: np.ndarray) -> None:
-        """Measure rows against all points of a node; best and at hold the least squared distance and its point."""
+        """Measure rows (columns of x and turned) against all points of a node; best and at hold the least squared distance and its point."""
         start, end, middle = self.edges[level][node], self.edges[level][node + 1], self.middle[level][node]
         points, order = self.points[start:end] - middle, self.order[start:end]
         squares = (points**2).sum(axis=1)
-        factor = np.concatenate([-2 * points.T, squares[None]])
+        factor = np.concatenate([-2 * points, squares[:, None]], axis=1)
         largest, step = squares.max(), max(PRODUCT // len(points), 1)
         for i in range(0, len(rows), step):
             part = rows[i : i + step]
-            own = np.empty((len(part), turned.shape[1] + 1))
-            own[:, :-1], own[:, -1] = turned[part] - middle, 1.0
-            square = (own[:, :-1] ** 2).sum(axis=1)
-            product = own @ factor
+            own = np.empty((len(turned) + 1, len(part)))
+            np.subtract(turned[:, part], middle[:, None], out=own[:-1])
+            square = (own[:-1] ** 2).sum(axis=0)
+            own[-1] = 1.0
+            product = factor @ own
             # what the product and turning may have lost
             rounding = 1e-13 * (square + largest) + 16 * self.lost * (np.sqrt(square) + np.sqrt(largest) + self.lost)
-            least, limit = product.min(axis=1), best[part] - square
+            least, limit = product.min(axis=0), best[part] - square
             near = np.flatnonzero(least <= limit + rounding)
             if not len(near):
                 continue
             limit = np.minimum(least, limit) + 2 * rounding
             if 2 * len(near) < len(part):
-                product, part, limit = product[near], part[near], limit[near]
-            found = np.flatnonzero(product <= limit[:, None])
-            pair = found // len(order)
-            row, position = part[pair], order[found - pair * len(order)]
+                product, part, limit = product[:, near], part[near], limit[near]
+            found = np.flatnonzero(product <= limit)
+            place = found // len(part)
+            pair, position = found - place * len(part), order[place]
+            row = part[pair]
             d2 = np.zeros(len(row))
-            for column, point in zip(x.T, self.raw, strict=True):
+            for column, point in zip(x, self.raw, strict=True):
                 d2 += (column[row] - point[position]) ** 2
             by = np.lexsort((position, d2, pair))
             first = by[np.diff(pair[by], prepend=-1) > 0]
